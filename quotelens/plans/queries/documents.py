@@ -194,9 +194,9 @@ def digest_row_ids(spark, folder):
 
 @query(
     "training_append",
-    """SELECT doc_id, 'labelled' AS origin, quality FROM labels
+    """SELECT doc_id, 'labelled' AS origin, CAST(quality AS BIGINT) AS quality FROM labels
     UNION ALL
-    SELECT doc_id, 'production', NULL FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels)""",
+    SELECT doc_id, 'production', -1 FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels)""",
 )
 def training_append(spark, folder):
     """Production rows join the training set unless their id is known."""
@@ -204,6 +204,6 @@ def training_append(spark, folder):
         "doc_id", F.lit("labelled").alias("origin"), F.col("quality").cast("long").alias("quality")
     )
     new = table(spark, folder, "documents").select(
-        "doc_id", F.lit("production").alias("origin"), F.lit(None).cast("long").alias("quality")
+        "doc_id", F.lit("production").alias("origin"), F.lit(-1).cast("long").alias("quality")
     )
     return cur.append_training(base, new, "doc_id")

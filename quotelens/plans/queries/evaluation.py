@@ -76,7 +76,7 @@ def matched_answers(spark, folder):
 
 @query(
     "paired_outputs",
-    "SELECT doc_id, source, quality FROM documents JOIN labels USING (doc_id)",
+    "SELECT doc_id, source, CAST(quality AS BIGINT) AS quality FROM documents JOIN labels USING (doc_id)",
 )
 def paired_outputs(spark, folder):
     from .registry import table

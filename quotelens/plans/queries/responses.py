@@ -66,7 +66,7 @@ def parsed_answers(spark, folder):
 
 @query(
     "valid_output_pairs",
-    f"""SELECT conv_id, turn, length(text) AS reference, 1 AS answers FROM conversations
+    f"""SELECT conv_id, turn, length(text) AS reference, CAST(1 AS BIGINT) AS answers FROM conversations
     WHERE {_STATUS} = 'ok'""",
 )
 def valid_output_pairs(spark, folder):
@@ -118,7 +118,7 @@ def failed_rows_dropped(spark, folder):
 
 @query(
     "mapped_rows",
-    """SELECT item_id, CASE WHEN item_id % 7 <> 0 THEN length(text) END AS letters,
+    """SELECT item_id, CASE WHEN item_id % 7 = 0 THEN -1 ELSE length(text) END AS letters,
            CASE WHEN item_id % 7 = 0 THEN 'failed' ELSE 'ok' END AS status,
            CASE WHEN item_id % 7 = 0 THEN 'ZeroDivisionError' END AS error FROM benchmark""",
 )
@@ -130,7 +130,10 @@ def mapped_rows(spark, folder):
 
     mapped = ans.map_rows(table(spark, folder, "benchmark"), letters, "letters bigint")
     return mapped.select(
-        "item_id", "letters", "status", F.substring_index("error", ":", 1).alias("error")
+        "item_id",
+        F.coalesce("letters", F.lit(-1)).alias("letters"),
+        "status",
+        F.substring_index("error", ":", 1).alias("error"),
     )
 
 

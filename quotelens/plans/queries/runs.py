@@ -28,25 +28,25 @@ def _summary_sql(keys):
     group = "".join(f"{k}, " for k in keys)
     by = f"GROUP BY {', '.join(keys)}" if keys else ""
     marks = ", ".join(
-        f"round(quantile_cont({column}, {p}), 6) AS p{int(p * 100)}{name}"
+        f"round(quantile_cont({column}, {p}), 4) AS p{int(p * 100)}{name}"
         for column, name in (("latency_ms", "Latency"), ("first_byte_ms", "TimeToFirstByte"))
         for p in (0.5, 0.9, 0.99)
     )
     tps = "count(DISTINCT client) / (avg(latency_ms) / 1000)"
     return f"""WITH {st.REQUESTS_SQL} SELECT {group}
-      round(max(start_ms + latency_ms) - min(start_ms), 6) AS "totalTimeMills",
+      round(max(start_ms + latency_ms) - min(start_ms), 4) AS "totalTimeMills",
       count(*) AS "totalRequests", count(*) FILTER (WHERE failed) AS "failedRequests",
       count(DISTINCT client) AS "concurrentClients", CAST(sum(tokens) AS BIGINT) AS "totalTokens",
       CAST(floor(sum(tokens) / count(*)) AS BIGINT) AS "tokenPerRequest",
-      round(avg(latency_ms), 6) AS "averageLatency", round(avg(first_byte_ms), 6) AS "timeToFirstByte",
-      round(100.0 * count(*) FILTER (WHERE failed) / count(*), 6) AS "errorRate", round({tps}, 6) AS tps,
-      round({tps} * sum(tokens) / nullif(count(*) - count(*) FILTER (WHERE failed), 0), 6) AS "tokenThroughput",
+      round(avg(latency_ms), 4) AS "averageLatency", round(avg(first_byte_ms), 4) AS "timeToFirstByte",
+      round(100.0 * count(*) FILTER (WHERE failed) / count(*), 4) AS "errorRate", round({tps}, 4) AS tps,
+      round({tps} * sum(tokens) / nullif(count(*) - count(*) FILTER (WHERE failed), 0), 4) AS "tokenThroughput",
       {marks} FROM requests {by}"""
 
 
 def _summary(spark, folder, keys):
     summary = runs.bench_summary(st.requests(spark, folder), keys)
-    return summary.select(*keys, *_COUNTS, *[r6(F.col(c), c) for c in _NUMBERS])
+    return summary.select(*keys, *_COUNTS, *[F.round(c, 4).alias(c) for c in _NUMBERS])
 
 
 @query("load_summary", _summary_sql(()))
@@ -62,11 +62,12 @@ def load_summary_by_endpoint(spark, folder):
 @query(
     "request_gaps",
     f"""WITH {st.REQUESTS_SQL} SELECT event_id, client,
-      lead(start_ms) OVER (PARTITION BY client ORDER BY start_ms) - start_ms AS gap_ms FROM requests""",
+      coalesce(lead(start_ms) OVER (PARTITION BY client ORDER BY start_ms) - start_ms, -1) AS gap_ms FROM requests""",
 )
 def request_gaps(spark, folder):
     log = st.requests(spark, folder).select("event_id", "client", "start_ms")
-    return runs.request_gap(log, at="start_ms").select("event_id", "client", "gap_ms")
+    gaps = runs.request_gap(log, at="start_ms")
+    return gaps.select("event_id", "client", F.coalesce("gap_ms", F.lit(-1)).alias("gap_ms"))
 
 
 @query(
@@ -98,12 +99,13 @@ def best_steps(spark, folder):
     marked AS (
       SELECT *, max(CASE WHEN best IS NULL OR best - eval_loss > 0.001 THEN place END)
                   OVER (PARTITION BY run ORDER BY step) AS last_place FROM evals)
-    SELECT run, min(CASE WHEN place - last_place >= 2 THEN step END) AS stop_step
+    SELECT run, coalesce(min(CASE WHEN place - last_place >= 2 THEN step END), -1) AS stop_step
     FROM marked GROUP BY run""",
 )
 def early_stops(spark, folder):
     log = st.training_log(spark, folder)
-    return runs.early_stop(log, chunk=F.floor(F.col("step") / 1000))
+    stops = runs.early_stop(log, chunk=F.floor(F.col("step") / 1000))
+    return stops.select("run", F.coalesce("stop_step", F.lit(-1)).alias("stop_step"))
 
 
 _LENGTHS = f"""SELECT source, count(*) AS count, round(avg(n), 6) AS mean, min(n) AS min, max(n) AS max,
