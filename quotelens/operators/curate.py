@@ -4,8 +4,8 @@ from pyspark.sql import functions as F
 
 from ..functions import chat
 from ..schemas import NOT_MENTIONED, RAW_NOT_MENTIONED
-from .joins import fits, join_small
-from .ordered import block
+from .joins import fits, hinted
+from .ordered import block, one_column
 
 
 def normalise_label(df, column="label"):
@@ -42,7 +42,7 @@ def first_per_doc(df, order, key="document_id"):
     return (
         df.filter(F.col(key).isNotNull())
         .groupBy(key)
-        .agg(F.min_by(F.struct(*others), F.struct(*order)).alias("_row"))
+        .agg(F.min_by(F.struct(*others), one_column(order)).alias("_row"))
         .select(key, "_row.*")
     )
 
@@ -51,7 +51,7 @@ def oversized(df, key, order, limit):
     """Keys with more than ``limit`` rows and the position of their first row."""
     return (
         df.groupBy(key)
-        .agg(F.count(F.lit(1)).alias("_rows"), F.min(F.struct(*order)).alias("_first"))
+        .agg(F.count(F.lit(1)).alias("_rows"), F.min(one_column(order)).alias("_first"))
         .filter(F.col("_rows") > limit)
         .select(key, "_first")
     )
@@ -75,12 +75,13 @@ def group_answers(df, order, item, key="document_id", name="inference", chunk=No
 def _part_of(rows, key, order, chunk, limit):
     chunk = block(order[-1], limit) if chunk is None else chunk
     big = oversized(rows, key, order, limit)
-    if fits(big) == 0:
+    n_big = fits(big)
+    if n_big == 0:
         nothing = F.lit(False)
-        return rows.withColumn("_first", F.when(nothing, F.struct(*order))).withColumn(
+        return rows.withColumn("_first", F.when(nothing, one_column(order))).withColumn(
             "part", F.when(nothing, chunk)
         )
-    split = join_small(rows, big, key, "left")
+    split = rows.join(hinted(big, n_big), key, "left")
     return split.withColumn("part", F.when(F.col("_first").isNotNull(), chunk))
 
 
@@ -96,7 +97,7 @@ def curate(df, order, origin="in_house", ts=None, chunk=None, limit=65536, label
         "part",
         "_first",
         "text",
-        F.struct(*order).alias("_at"),
+        one_column(order).alias("_at"),
         chat.answer_struct(label_name=label_name).alias("_answer"),
     )
     grouped = answers.groupBy("document_id", "part").agg(

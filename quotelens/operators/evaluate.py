@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from ..functions import text as tx
 from ..schemas import CLOSE_QUOTE, DEFAULT_LEGEND, LEGEND, NOT_MENTIONED
 from .joins import join_small
+from .ordered import one_column
 
 
 def pair_outputs(outputs, references, on):
@@ -15,7 +16,7 @@ def pair_outputs(outputs, references, on):
 def match_reference(reference, predicted, doc="document_id", order=("position",)):
     """Each predicted answer with the first reference answer of the same id, or nulls."""
     first = reference.groupBy(doc, "hypothesis_id").agg(
-        F.min_by(F.struct("label", "source_clause"), F.struct(*order)).alias("reference")
+        F.min_by(F.struct("label", "source_clause"), one_column(order)).alias("reference")
     )
     return predicted.join(first, [doc, "hypothesis_id"], "left")
 

@@ -4,7 +4,7 @@ import random
 
 from pyspark.sql import functions as F
 
-from .ordered import block, rows_between
+from .ordered import even_chunk, rows_between
 
 
 def value_counts(df, column):
@@ -59,4 +59,5 @@ def sample_slice(df, k, seed, order, chunk=None):
     if total < k:
         raise ValueError(f"{k} rows asked for, table has {total}")
     start = random.Random(seed).randint(0, total - k)
-    return rows_between(df, order, block(order[0]) if chunk is None else chunk, start, k)
+    chunk = even_chunk(df, [], order[0]) if chunk is None else chunk
+    return rows_between(df, order, chunk, start, k)

@@ -6,11 +6,16 @@ BROADCAST_ROWS = 100_000
 
 
 def fits(df, limit=BROADCAST_ROWS):
-    """Row count of ``df`` when at most ``limit``, else None; never reads further."""
+    """Row count of ``df`` when at most ``limit``, else None; never counts further."""
     n = df.limit(limit + 1).count()
     return n if n <= limit else None
 
 
+def hinted(df, rows):
+    """``df`` with a broadcast hint if its row count is known to be small."""
+    return df if rows is None else F.broadcast(df)
+
+
 def join_small(df, other, on, how="inner", limit=BROADCAST_ROWS):
     """Broadcast ``other`` if it has at most ``limit`` rows, else shuffle both sides."""
-    return df.join(other if fits(other, limit) is None else F.broadcast(other), on, how)
+    return df.join(hinted(other, fits(other, limit)), on, how)

@@ -1,15 +1,21 @@
 """Order-dependent results without one task per key.
 
-A plain window over ``keys`` puts every row of a key into one task. Here each key is cut
-into chunks along the order (a day of timestamps, a block of row numbers). Rows are ranked
+A plain window over ``keys`` puts every row of a key into one task. Here a key can be cut
+into chunks along the order (an hour of timestamps, a block of row numbers). Rows are ranked
 or accumulated inside (keys, chunk), and what earlier chunks contribute comes from a table
 with one row per (keys, chunk), which is small because it is aggregated before the shuffle.
 
-``chunk`` must never decrease along ``order``; keys and order columns must not be null.
+A chunk column must never decrease along ``order``. Without one, keys are taken to be small
+and a plain window is used; :func:`even_chunk` looks at the data and picks. Keys and order
+columns must not be null.
 """
 
 from pyspark.sql import Window, functions as F
 
+from .joins import BROADCAST_ROWS
+
+ROWS_PER_TASK = 1_000_000
+
 _COMBINE = {
     "min": (F.min, F.least),
     "max": (F.max, F.greatest),
@@ -19,7 +25,19 @@ _COMBINE = {
 
 def block(column, size=65536):
     """Chunk of an integer position: blocks of ``size`` consecutive values."""
-    return F.floor(F.col(column) / size) if isinstance(column, str) else F.floor(column / size)
+    return F.floor(F.col(column) / size)
+
+
+def even_chunk(df, keys, column, rows=ROWS_PER_TASK):
+    """Chunk of a numeric order column that leaves about ``rows`` rows of a key in a chunk.
+
+    None if no key has more rows than that. One aggregation over keys and the column.
+    """
+    per_key = df.groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("n"), (F.max(column) - F.min(column) + 1).alias("span")
+    )
+    width = per_key.filter(F.col("n") > rows).agg(F.min(F.col("span") / F.col("n"))).first()[0]
+    return None if width is None else block(column, max(1, int(width * rows)))
 
 
 def value_chunk(value):
@@ -27,6 +45,11 @@ def value_chunk(value):
     return (F.signum(value) * F.floor(F.log2(1 + F.abs(value)) * 64)).cast("long")
 
 
+def one_column(order):
+    """Order columns as a single comparable value; a lone column stays as it is."""
+    return F.col(order[0]) if len(order) == 1 else F.struct(*order)
+
+
 def _earlier(keys, order):
     return Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
 
@@ -50,11 +73,13 @@ def _rows_before(sizes, keys, names):
     )
 
 
-def row_numbers(df, keys, order, chunks, name="row_number"):
+def row_numbers(df, keys, order, chunks=(), name="row_number"):
     """1-based position of every row within ``keys`` along ``order``.
 
-    ``chunks`` lists one or more chunk columns, coarse to fine.
+    ``chunks`` lists chunk columns, coarse to fine.
     """
+    if not chunks:
+        return df.withColumn(name, F.row_number().over(Window.partitionBy(*keys).orderBy(*order)))
     cut, names = _with_chunks(df, chunks)
     sizes = cut.groupBy(*keys, *names).agg(F.count(F.lit(1)).alias("_n"))
     local = F.row_number().over(Window.partitionBy(*keys, *names).orderBy(*order))
@@ -72,6 +97,16 @@ def running(df, keys, order, chunk, columns):
     ``columns`` maps a new name to (``min`` | ``max`` | ``sum``, value column, before); with
     ``before`` true the current row is left out.
     """
+
+    def local(value, kind, before, rows):
+        frame = rows.orderBy(*order).rowsBetween(Window.unboundedPreceding, -1 if before else 0)
+        return _COMBINE[kind][0](value).over(frame)
+
+    if chunk is None:
+        rows = Window.partitionBy(*keys)
+        return df.withColumns(
+            {n: local(value, kind, before, rows) for n, (kind, value, before) in columns.items()}
+        )
     cut, (chunk_name,) = _with_chunks(df, [chunk])
     cut = cut.withColumns({f"_v_{n}": value for n, (_, value, _) in columns.items()})
     totals = cut.groupBy(*keys, chunk_name).agg(
@@ -86,26 +121,26 @@ def running(df, keys, order, chunk, columns):
             for n, (kind, _, _) in columns.items()
         ],
     )
-    rows = Window.partitionBy(*keys, chunk_name).orderBy(*order)
-    local = {
-        f"_l_{n}": _COMBINE[kind][0](f"_v_{n}").over(
-            rows.rowsBetween(Window.unboundedPreceding, -1 if before else 0)
-        )
+    rows = Window.partitionBy(*keys, chunk_name)
+    inside = {
+        f"_l_{n}": local(f"_v_{n}", kind, before, rows)
         for n, (kind, _, before) in columns.items()
     }
     combined = {
         n: _COMBINE[kind][1](F.col(f"_l_{n}"), F.col(f"_c_{n}"))
         for n, (kind, _, _) in columns.items()
     }
-    joined = cut.withColumns(local).join(carried, [*keys, chunk_name]).withColumns(combined)
+    joined = cut.withColumns(inside).join(carried, [*keys, chunk_name]).withColumns(combined)
     return joined.select(*df.columns, *columns)
 
 
 def next_value(df, keys, order, chunk, value, name):
     """``value`` of the following row of the same key; null on the last row."""
+    if chunk is None:
+        return df.withColumn(name, F.lead(value).over(Window.partitionBy(*keys).orderBy(*order)))
     cut, (chunk_name,) = _with_chunks(df.withColumn("_value", value), [chunk])
     firsts = cut.groupBy(*keys, chunk_name).agg(
-        F.min_by("_value", F.struct(*order)).alias("_first")
+        F.min_by("_value", one_column(order)).alias("_first")
     )
     following = firsts.select(
         *keys,
@@ -126,15 +161,16 @@ def next_value(df, keys, order, chunk, value, name):
 def rows_between(df, order, chunk, first, n):
     """Rows number ``first`` .. ``first + n - 1`` (from 0) of the whole frame.
 
-    Only chunks that hold wanted rows are ranked.
+    Only chunks that hold wanted rows are shuffled and ranked.
     """
-    cut, names = _with_chunks(df, [chunk])
+    cut, names = _with_chunks(df, [F.lit(0) if chunk is None else chunk])
     sizes = cut.groupBy(*names).agg(F.count(F.lit(1)).alias("_n"))
     offsets = _rows_before(sizes, [], names).join(sizes, names)
-    # Every chunk kept here holds at least one of the n wanted rows.
     held = offsets.filter(
         (F.col("_before") < first + n) & (F.col("_before") + F.col("_n") > first)
     )
+    # Each chunk kept holds at least one of the n wanted rows, so there are at most n.
+    held = F.broadcast(held) if n <= BROADCAST_ROWS else held
     position = F.col("_before") + F.row_number().over(
         Window.partitionBy(*names).orderBy(*order)
     ) - 1
@@ -146,20 +182,33 @@ def rows_between(df, order, chunk, first, n):
     )
 
 
-def exact_percentiles(df, keys, value, probabilities, prefix="p"):
-    """Exact, linearly interpolated percentiles per key: columns ``p50``, ``p90``, ...
+def exact_percentiles(df, keys, values, probabilities):
+    """Exact, linearly interpolated percentiles of several columns, one row per key.
+
+    ``values`` maps a prefix to a numeric column; results are named like ``<prefix>50``.
 
     Equal values are counted before the shuffle, a histogram over value chunks finds the
     chunks that hold the wanted ranks, and only those chunks are sorted.
     """
+    numbered = list(values.items())
+    entries = F.array(
+        *[
+            F.struct(F.lit(i).alias("_col"), F.col(c).cast("double").alias("_v"))
+            for i, (_, c) in enumerate(numbered)
+        ]
+    )
+    on = [*keys, "_col"]
+    present = F.col("_v").isNotNull()
+    for key in keys:
+        present = present & F.col(key).isNotNull()
     counts = (
-        df.select(*keys, F.col(value).cast("double").alias("_v"))
-        .filter(F.col("_v").isNotNull())
-        .groupBy(*keys, "_v")
+        df.select(*keys, F.inline(entries))
+        .filter(present)
+        .groupBy(*on, "_v")
         .agg(F.count(F.lit(1)).alias("_n"))
-        .withColumn("_chunk", value_chunk(F.col("_v")))
+        .withColumn("_chunk", F.coalesce(value_chunk(F.col("_v")), F.lit(0)))
     )
-    everything = Window.partitionBy(*keys).rowsBetween(
+    everything = Window.partitionBy(*on).rowsBetween(
         Window.unboundedPreceding, Window.unboundedFollowing
     )
     positions = [(F.col("_total") - 1) * p for p in probabilities]
@@ -170,50 +219,45 @@ def exact_percentiles(df, keys, value, probabilities, prefix="p"):
             for side, edge in (("lo", F.floor), ("hi", F.ceil))
         ]
     )
+
+    def within(start, end):
+        return lambda t: (t["rank"] >= start) & (t["rank"] < end)
+
+    before, n = F.col("_before"), F.col("_n")
     chunks = (
-        counts.groupBy(*keys, "_chunk")
+        counts.groupBy(*on, "_chunk")
         .agg(F.sum("_n").alias("_n"))
-        .withColumn("_before", F.coalesce(F.sum("_n").over(_earlier(keys, ["_chunk"])), F.lit(0)))
+        .withColumn("_before", F.coalesce(F.sum("_n").over(_earlier(on, ["_chunk"])), F.lit(0)))
         .withColumn("_total", F.sum("_n").over(everything))
-        .withColumn(
-            "_wanted",
-            F.filter(
-                ranks,
-                lambda t: (t["rank"] >= F.col("_before"))
-                & (t["rank"] < F.col("_before") + F.col("_n")),
-            ),
-        )
+        .withColumn("_wanted", F.filter(ranks, within(before, before + n)))
         .filter(F.size("_wanted") > 0)
-        .select(*keys, "_chunk", "_before", "_total", "_wanted")
+        .select(*on, "_chunk", "_before", "_total", "_wanted")
     )
-    upto = Window.partitionBy(*keys, "_chunk").orderBy("_v").rowsBetween(
+    upto = Window.partitionBy(*on, "_chunk").orderBy("_v").rowsBetween(
         Window.unboundedPreceding, 0
     )
+    end = F.col("_end")
     found = (
-        counts.join(chunks, [*keys, "_chunk"])
-        .withColumn("_end", F.col("_before") + F.sum("_n").over(upto))
-        .withColumn(
-            "_hit",
-            F.explode(
-                F.filter(
-                    "_wanted",
-                    lambda t: (t["rank"] >= F.col("_end") - F.col("_n"))
-                    & (t["rank"] < F.col("_end")),
-                )
-            ),
-        )
+        counts.join(chunks, [*on, "_chunk"])
+        .withColumn("_end", before + F.sum("_n").over(upto))
+        .withColumn("_hit", F.explode(F.filter("_wanted", within(end - n, end))))
     )
 
-    def at(i, side):
-        return F.max(
-            F.when((F.col("_hit.i") == i) & (F.col("_hit.side") == side), F.col("_v"))
-        )
+    def result(column, i, p):
+        mine = F.col("_col") == column
+
+        def at(side):
+            hit = mine & (F.col("_hit.i") == i) & (F.col("_hit.side") == side)
+            return F.max(F.when(hit, F.col("_v")))
 
-    named = []
-    for i, p in enumerate(probabilities):
-        position = (F.max("_total") - 1) * p
+        position = (F.max(F.when(mine, F.col("_total"))) - 1) * p
         share = position - F.floor(position)
-        column = at(i, "lo") * (1 - share) + at(i, "hi") * share
-        named.append(column.alias(f"{prefix}{p * 100:g}"))
-    return found.groupBy(*keys).agg(*named)
+        return at("lo") * (1 - share) + at("hi") * share
 
+    return found.groupBy(*keys).agg(
+        *[
+            result(column, i, p).alias(f"{prefix}{p * 100:g}")
+            for column, (prefix, _) in enumerate(numbered)
+            for i, p in enumerate(probabilities)
+        ]
+    )

@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from ..functions import text as tx
-from .joins import fits, join_small
+from .joins import fits, hinted
 
 QUOTES_PER_GROUP = 256
 
@@ -22,24 +22,24 @@ def ngram_overlap(left, right, key, n=3, quote_id="quote_id", per_group=QUOTES_P
     crowd = left.groupBy(key).agg(
         F.ceil(F.count(F.lit(1)) / per_group).cast("int").alias("_slices")
     ).filter("_slices > 1")
-    if fits(crowd) == 0:
-        quotes = left.withColumn("_slice", F.lit(0))
-        targets = right.withColumn("_slice", F.lit(0))
+    crowds = fits(crowd)
+    if crowds == 0:
+        on, quotes, targets = [key], left, right
     else:
-        slices = F.coalesce("_slices", F.lit(1))
-        quotes = join_small(left, crowd, key, "left").withColumn(
+        on, slices = [key, "_slice"], F.coalesce("_slices", F.lit(1))
+        quotes = left.join(hinted(crowd, crowds), key, "left").withColumn(
             "_slice", F.pmod(F.xxhash64(quote_id), slices).cast("int")
         )
-        targets = join_small(right, crowd, key, "left").withColumn(
+        targets = right.join(hinted(crowd, crowds), key, "left").withColumn(
             "_slice", F.explode(F.sequence(F.lit(0), slices - 1))
         )
-    grouped = quotes.groupBy(key, "_slice").agg(
+    grouped = quotes.groupBy(*on).agg(
         F.collect_list(F.struct(F.col(quote_id).alias("id"), F.col("text").alias("t"))).alias(
             "_quotes"
         )
     )
-    targets = targets.select(key, "_slice", F.col("text").alias("_target"))
-    paired = grouped.join(targets, [key, "_slice"], "left")
+    targets = targets.select(*on, F.col("text").alias("_target"))
+    paired = grouped.join(targets, on, "left")
     return paired.select(key, F.explode(_score_group(n)).alias("_s")).select(
         key,
         F.col("_s.id").alias(quote_id),

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from ..functions import arrays, chat, text as tx
 from ..schemas import IGNORED_LABEL, MAX_PROMPT_TOKENS, MAX_SEQUENCE, PAD_MULTIPLE
 from .joins import BROADCAST_ROWS, fits
-from .ordered import block, row_numbers
+from .ordered import even_chunk, row_numbers
 
 
 def fit_vocab(df, tokens="tokens", first_id=1):
@@ -21,7 +21,7 @@ def fit_vocab(df, tokens="tokens", first_id=1):
         counts,
         [],
         [F.desc("count"), "token"],
-        [-F.col("count"), F.substring("token", 1, 3)],
+        [-F.col("count"), F.coalesce(F.substring("token", 1, 3), F.lit(""))],
         "_rank",
     )
     return ranked.select(
@@ -139,8 +139,8 @@ def training_arrays(df, pad_id=0, limit=MAX_SEQUENCE, full="full_ids", prompt="p
 
 def batch_no(df, order, size, chunk=None, name="batch"):
     """Mini-batch number along the order, from 1."""
-    chunks = [block(order[0]) if chunk is None else chunk]
-    numbered = row_numbers(df, [], order, chunks, "_row")
+    chunk = even_chunk(df, [], order[0]) if chunk is None else chunk
+    numbered = row_numbers(df, [], order, [] if chunk is None else [chunk], "_row")
     return numbered.withColumn(name, F.expr(f"(_row - 1) div {int(size)} + 1")).drop("_row")
 
 

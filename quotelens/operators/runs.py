@@ -2,15 +2,16 @@
 
 from pyspark.sql import functions as F
 
-from .ordered import block, exact_percentiles, next_value, running
+from .ordered import even_chunk, exact_percentiles, next_value, running
 
 
 def bench_summary(requests, keys=()):
-    """Load-test summary per ``keys`` from one row per request.
+    """Load-test summary per ``keys`` from one row per request; null keys are left out.
 
     Columns read: client, start_ms, latency_ms, first_byte_ms, tokens, failed.
     """
-    keyed = requests.withColumn("_all", F.lit(1))
+    keyed = requests.dropna(subset=list(keys)) if keys else requests
+    keyed = keyed.withColumn("_all", F.lit(1))
     on = [*keys, "_all"]
     ratio = F.col("concurrentClients") / (F.col("averageLatency") / 1000)
     answered = F.col("totalRequests") - F.col("failedRequests")
@@ -32,12 +33,11 @@ def bench_summary(requests, keys=()):
         }
     )
     marks = (0.5, 0.9, 0.99)
-    latency = exact_percentiles(keyed, on, "latency_ms", marks, "l")
-    first = exact_percentiles(keyed, on, "first_byte_ms", marks, "f")
+    columns = {"l": "latency_ms", "f": "first_byte_ms"}
+    percentiles = exact_percentiles(keyed, on, columns, marks)
     names = {f"l{p * 100:g}": f"p{p * 100:g}Latency" for p in marks}
     names |= {f"f{p * 100:g}": f"p{p * 100:g}TimeToFirstByte" for p in marks}
-    joined = derived.join(latency, on, "left").join(first, on, "left")
-    return joined.withColumnsRenamed(names).drop("_all")
+    return derived.join(percentiles, on, "left").withColumnsRenamed(names).drop("_all")
 
 
 def loss_series(log, run=()):
@@ -65,8 +65,13 @@ def early_stop(log, patience=2, min_delta=1e-3, run="run", chunk=None):
     An evaluation improves if it is the first or lowers the best loss so far by more than
     ``min_delta``; training stops at the ``patience``-th in a row that does not.
     """
-    chunk = block("step") if chunk is None else chunk
-    evals = log.filter(F.col("eval_loss").isNotNull()).select(run, "step", "eval_loss")
+    evals = log.filter(F.col("eval_loss").isNotNull())
+    chunk = even_chunk(evals, [run], "step") if chunk is None else chunk
+    evals = evals.select(run, "step", "eval_loss")
+    if chunk is not None:
+        # Kept as a column, so that the second pass finds the rows already in place.
+        evals = evals.withColumn("_part", F.coalesce(chunk, F.lit(0)))
+        chunk = F.col("_part")
     ranked = running(
         evals,
         [run],
@@ -93,14 +98,15 @@ def early_stop(log, patience=2, min_delta=1e-3, run="run", chunk=None):
 
 def request_gap(log, client="client", at="ts_ms", chunk=None):
     """Milliseconds to the client's next request (``gap_ms``), null on its last one."""
-    chunk = block(at, 86_400_000) if chunk is None else chunk
+    chunk = even_chunk(log, [client], at) if chunk is None else chunk
     following = next_value(log, [client], [at], chunk, F.col(at), "_next")
     return following.withColumn("gap_ms", F.col("_next") - F.col(at)).drop("_next")
 
 
 def length_stats(df, size, keys=(), exact=True):
-    """Count, mean, extremes and percentiles of a length column per ``keys``."""
-    sized = df.select(*keys, F.lit(1).alias("_all"), size.alias("_size"))
+    """Count, mean, extremes and percentiles of a length per ``keys`` (nulls left out)."""
+    rows = df.dropna(subset=list(keys)) if keys else df
+    sized = rows.select(*keys, F.lit(1).alias("_all"), size.alias("_size"))
     on = [*keys, "_all"]
     marks = (0.5, 0.9, 0.99)
     basics = [
@@ -111,7 +117,7 @@ def length_stats(df, size, keys=(), exact=True):
     ]
     if exact:
         stats = sized.groupBy(*on).agg(*basics)
-        stats = stats.join(exact_percentiles(sized, on, "_size", marks), on, "left")
+        stats = stats.join(exact_percentiles(sized, on, {"p": "_size"}, marks), on, "left")
     else:
         approx = [F.percentile_approx("_size", p).alias(f"p{p * 100:g}") for p in marks]
         stats = sized.groupBy(*on).agg(*basics, *approx)

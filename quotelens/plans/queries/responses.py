@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from ...functions import chat
-from ...operators import answers as ans, evaluate as ev, explore
+from ...operators import answers as ans, curate as cur, evaluate as ev, explore
 from . import standins as st
 from .registry import TOKENS, query, table
 
@@ -101,7 +101,7 @@ def schema_violations(spark, folder):
         F.when(F.col("role") != "system", F.col("role")).alias("hypothesis"),
         F.col("text").alias("source_clause"),
     )
-    lists = rows.groupBy("conv_id").agg(F.collect_list(answer).alias("answers"))
+    lists = cur.group_answers(rows, ["turn"], answer, "conv_id", "answers")
     checked = ans.schema_violations(lists, ids=("q0", "q1", "q2", "q3", "q4"))
     return checked.select("conv_id", F.array_join("violations", ",").alias("violations"))
 
