@@ -5,7 +5,8 @@ from pyspark.sql import functions as F
 from ..functions import chat
 from ..operators import answers as ans, curate as cur, evaluate as ev, monitor as mon
 from ..operators import prepare as prep
-from ..sources import readers, writers
+from ..session import settle
+from ..sources import readers
 
 
 def curate_splits(spark, inputs, root, key, tag, fmt="parquet", origin="in_house", ts=None):
@@ -22,16 +23,14 @@ def curate_splits(spark, inputs, root, key, tag, fmt="parquet", origin="in_house
     return readers.read_version(spark, root, key, tag)
 
 
-def training_set(documents, system, vocab=None, key="document_id", pad_id=0, limit=None):
+def training_set(documents, system, vocab=None, key="document_id", pad_id=0):
     """Curated documents to training arrays; the vocabulary is fitted unless given."""
     tokens = prep.chat_tokens(documents, system)
     if vocab is None:
-        vocab = prep.fit_vocab(tokens, "full_tokens")
-    coded = prep.encode(tokens, vocab, key, "full_tokens", "full_ids")
-    coded = prep.encode(coded, vocab, key, "prompt_tokens", "prompt_ids")
+        vocab = settle(prep.fit_vocab(tokens, "full_tokens"))
+    coded = prep.encode_lookup(tokens, vocab, key, "full_tokens", "full_ids")
+    coded = prep.encode_lookup(coded, vocab, key, "prompt_tokens", "prompt_ids")
     kept = prep.filter_prompt_len(prep.assert_prefix(coded))
-    if limit is not None:
-        kept = prep.filter_prompt_len(kept, limit)
     return prep.training_arrays(kept, pad_id)
 
 
@@ -63,5 +62,3 @@ def score_log(log):
     parsed = ans.parse_response(log.withColumn("contract", contract))
     return mon.carp_in_row(ans.drop_failed(parsed))
 
-
-__all__ = ["curate_splits", "evaluate_outputs", "score_log", "test_prompts", "training_set", "writers"]

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from ...functions import text as tx
 from ...operators import monitor as mon, overlap
 from . import standins as st
-from .registry import FMEASURE, PRECISION, RECALL, TOKENS, TRIGRAMS, query, r6, sql_scores, table
+from .registry import FMEASURE, PRECISION, RECALL, TOKENS, TRIGRAMS, query, r6, sql_scores, table, texts
 
 _PAIRS = f"""{st.QUOTES_SQL}, pairs AS (
     SELECT q.doc_id AS pid, d.text AS target, q.text AS prediction
@@ -13,7 +13,7 @@ _PAIRS = f"""{st.QUOTES_SQL}, pairs AS (
 
 
 def _documents(spark, folder):
-    return table(spark, folder, "documents").select("doc_id", "text")
+    return texts(spark, folder, "text")
 
 
 @query(
@@ -26,7 +26,8 @@ def _documents(spark, folder):
 def quote_grounding_by_source(spark, folder):
     """Mean quote precision per source, and quotes at or below the alarm threshold."""
     quotes = st.quotes(spark, folder).withColumn("quote_id", F.col("source"))
-    scored = overlap.ngram_overlap(quotes, _documents(spark, folder), "doc_id")
+    documents = table(spark, folder, "documents").select("doc_id", "text")
+    scored = overlap.ngram_overlap(quotes, documents, "doc_id")
     precision = F.col("rouge.precision")
     return scored.groupBy(F.col("quote_id").alias("source")).agg(
         r6(F.avg(precision), "carp"),
@@ -44,9 +45,8 @@ def quote_grounding_by_source(spark, folder):
 )
 def quote_overlap(spark, folder):
     """Clipped trigram overlap and ROUGE-3 of every quote."""
-    scored = overlap.ngram_overlap(
-        st.quotes(spark, folder), _documents(spark, folder), "doc_id"
-    )
+    documents = table(spark, folder, "documents").select("doc_id", "text")
+    scored = overlap.ngram_overlap(st.quotes(spark, folder), documents, "doc_id")
     return scored.select(
         "doc_id",
         *[F.col(c).cast("long").alias(c) for c in ("overlap", "quote_grams", "target_grams")],
@@ -83,7 +83,7 @@ def request_grounding(spark, folder):
         F.lit("one two"),
     )
     answers = own.union(silent).union(short).withColumnRenamed("text", "source_clause")
-    return mon.carp(answers, _documents(spark, folder), "doc_id").select(
+    return mon.carp(answers, docs.select("doc_id", "text"), "doc_id").select(
         "doc_id", r6(F.col("carp"), "carp")
     )
 
@@ -108,7 +108,7 @@ def in_row_grounding(spark, folder):
         answer(F.substring("text", 1, 120)),
         answer(F.concat(F.lit("a b c "), F.substring("text", 301, 80))),
     )
-    docs = table(spark, folder, "documents").withColumn("answers", answers)
+    docs = texts(spark, folder, "text", "lang").withColumn("answers", answers)
     return mon.carp_in_row(docs, "text").select("doc_id", r6(F.col("carp"), "carp"))
 
 

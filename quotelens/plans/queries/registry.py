@@ -5,6 +5,7 @@ import uuid
 from pyspark.sql import functions as F
 
 from ...session import shared_folder
+from ...sources.readers import spread
 
 QUERIES = {}
 SQL = {}
@@ -24,6 +25,11 @@ def table(spark, folder, name):
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def texts(spark, folder, *columns):
+    """Columns of the documents, on all cores."""
+    return spread(table(spark, folder, "documents").select("doc_id", *columns), "doc_id")
+
+
 def scratch(spark):
     """A new path under the shared folder."""
     return f"{shared_folder(spark)}/{uuid.uuid4().hex}"

@@ -6,7 +6,7 @@ from ...functions import text as tx
 from ...operators import runs
 from ...operators.ordered import block
 from . import standins as st
-from .registry import TOKENS, query, r6, table
+from .registry import TOKENS, query, r6, texts
 
 _COUNTS = ("totalRequests", "failedRequests", "concurrentClients", "totalTokens", "tokenPerRequest")
 _NUMBERS = (
@@ -119,7 +119,7 @@ _LENGTHS = f"""SELECT source, count(*) AS count, round(avg(n), 6) AS mean, min(n
 def text_lengths(spark, folder):
     """Token counts per source with exact percentiles."""
     size = F.size(tx.rouge_tokens(F.col("text"))).cast("long")
-    stats = runs.length_stats(table(spark, folder, "documents"), size, ["source"])
+    stats = runs.length_stats(texts(spark, folder, "text", "source"), size, ["source"])
     return stats.select(
         "source", "count", r6(F.col("mean"), "mean"), "min", "max",
         *[r6(F.col(c), c) for c in ("p50", "p90", "p99")],

@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from ...functions import arrays, text as tx
 from ...operators import prepare as prep
-from .registry import TOKENS, query, table
+from .registry import TOKENS, query, table, texts
 
 _VOCAB = """vocab AS (
     SELECT token, count(*) AS count, row_number() OVER (ORDER BY count(*) DESC, token) AS token_id
@@ -58,7 +58,7 @@ def _text(ids, name):
     f"""WITH {_VOCAB.format(TOKENS.format('text'), 'documents')} SELECT token, count, token_id FROM vocab""",
 )
 def vocabulary(spark, folder):
-    tokens = table(spark, folder, "documents").select(tx.rouge_tokens(F.col("text")).alias("tokens"))
+    tokens = texts(spark, folder, "text").select(tx.rouge_tokens(F.col("text")).alias("tokens"))
     return prep.fit_vocab(tokens).select("token", "count", F.col("token_id").cast("long").alias("token_id"))
 
 

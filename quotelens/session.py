@@ -1,6 +1,7 @@
 """Session settings, and where shared intermediate tables go."""
 
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -13,6 +14,8 @@ def local_session(cpus="*", memory="16g", partitions=8, app="quotelens"):
         .config("spark.sql.shuffle.partitions", str(partitions))
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
+        # Scoring costs far more time per byte than Spark expects of a partition.
+        .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "64k")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", memory)
         .config("spark.ui.enabled", "false")
@@ -37,3 +40,14 @@ def shared_folder(spark):
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(tempfile.mkdtemp(prefix="quotelens-"))
     return context.getCheckpointDir()
+
+
+def settle(df):
+    """Write ``df`` to the shared folder and read it back.
+
+    For a result used several times: it is computed once, outlives lost executors and tells
+    later joins its size. The caller may delete the files once done.
+    """
+    path = f"{shared_folder(df.sparkSession)}/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

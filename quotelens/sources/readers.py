@@ -7,6 +7,20 @@ from ..schemas import BENCH_SUMMARY, PROMPT_PAYLOAD, RAW_NLI, TRAINING_LOG
 SPLITS = ("train", "validation", "test")
 
 
+def spread(df, *keys):
+    """Put a scan that has far fewer splits than there are cores on all of them.
+
+    For CPU-bound work on a few large row groups; a table with enough splits, a stream or
+    anything but a plain scan should not be and is not moved.
+    """
+    if df.isStreaming:
+        return df
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if 2 * df.rdd.getNumPartitions() > cores:
+        return df
+    return df.repartition(cores, *keys)
+
+
 def read_raw(spark, path, fmt="parquet", schema=RAW_NLI, with_order=False):
     """Raw dataset file; in CSV, list columns are JSON text.
 
