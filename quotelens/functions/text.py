@@ -72,11 +72,18 @@ def distinct_occurrences(grams):
 
         return F.when(F.size(repeats) == 0, no_strings()).otherwise(bind(run_starts, number_run))
 
-    def split_repeats(ordered):
+    def repeats_of(ordered):
         repeats = F.filter(ordered, lambda gram, i: (i > 0) & (gram == F.get(ordered, i - 1)))
-        return F.concat(F.array_distinct(ordered), bind(repeats, number_runs))
+        return bind(repeats, number_runs)
 
-    return bind(F.sort_array(grams), split_repeats)
+    def add_repeats(whole):
+        def extend(once):
+            more = F.concat(once, bind(F.sort_array(whole), repeats_of))
+            return F.when(F.size(once) == F.size(whole), once).otherwise(more)
+
+        return bind(F.array_distinct(whole), extend)
+
+    return bind(grams, add_repeats)
 
 
 def gram_set(text, n=3):

@@ -25,7 +25,7 @@ def is_json(text):
 
 
 def _is_object(text):
-    return F.substring(F.ltrim(text), 1, 1) == "{"
+    return text.rlike(r"^[ \t\r\n]*\{")
 
 
 def _kind(text, path):

@@ -1,0 +1,146 @@
+import json
+
+from pyspark.sql import functions as F
+
+from quotelens.functions import chat
+from quotelens.operators import answers as ans, evaluate as ev
+
+GOOD = {"hypothesis": "h", "hypothesis_id": "nda-1", "label": "entailment", "source_clause": "c"}
+
+
+def outer(inner):
+    return json.dumps({"generated_text": inner})
+
+
+def listed(*items):
+    return json.dumps({"Hypotheses": list(items)})
+
+
+CASES = [
+    (None, "bad_outer"),
+    ("", "bad_outer"),
+    ("   ", "bad_outer"),
+    ("{", "bad_outer"),
+    (outer(listed(GOOD))[:-1], "bad_outer"),
+    (outer(listed(GOOD)) + " x", "bad_outer"),
+    ("{}", "no_generated_text"),
+    ("[1]", "no_generated_text"),
+    ('[{"generated_text": "x"}]', "no_generated_text"),
+    ('{"generated_text": null}', "no_generated_text"),
+    ('{"generated_text": {"Hypotheses": [1]}}', "bad_inner"),
+    (outer("plain words"), "bad_inner"),
+    (outer(listed(GOOD)[:-2]), "bad_inner"),
+    (outer(listed(GOOD) + "}"), "bad_inner"),
+    (outer("{'Hypotheses': []}"), "bad_inner"),
+    (outer("[1]"), "no_hypotheses"),
+    (outer('[{"Hypotheses": []}]'), "no_hypotheses"),
+    (outer('{"other": []}'), "no_hypotheses"),
+    (outer('{"Hypotheses": {}}'), "not_a_list"),
+    (outer('{"Hypotheses": null}'), "not_a_list"),
+    (outer('{"Hypotheses": "[1]"}'), "not_a_list"),
+    (outer('{"Hypotheses": []}'), "empty_list"),
+    (outer('{"Hypotheses": [1, 2]}'), "bad_item"),
+    (outer(listed(GOOD)), "ok"),
+    (outer(listed(GOOD, {**GOOD, "extra": [1, {"a": "b"}]})), "ok"),
+    (outer(' \n' + listed(GOOD) + ' \n'), "ok"),
+    (outer('{"Hypotheses": [{"label": "x", "label": "y", "hypothesis_id": "1"}]}'), "ok"),
+]
+
+
+def test_every_failure_has_a_status(spark):
+    df = spark.createDataFrame(list(enumerate(c for c, _ in CASES)), "i int, output string")
+    got = {r.i: r for r in ans.parse_response(df).collect()}
+    assert len(got) == len(CASES)
+    for i, (text, want) in enumerate(CASES):
+        assert got[i].status == want, text
+        assert (got[i].answers is not None) == (want == "ok")
+    last = got[len(CASES) - 1].answers[0]
+    assert (last.label, last.hypothesis) == ("y", None)  # the last of repeated keys counts
+
+
+def test_strict_json_agrees_with_the_standard_parser(spark):
+    texts = [
+        "1", "1,2", '1,"b":2', "1],[2", '1}, {"x":2', "{}", "[]", '{"a":1}', '{"a":1},{"b":2}',
+        '{"a":1}],[2', '{"a":1},"b":2', "{'a':1}", '{"a":1,}', '{"a":"x\ny"}', '{"a":"é\\u00e9"}',
+        '"x"', "nul", "null", "tru", "[1,2", "[1 2]", '{"a":[{"b":[]}]}', '{"a":1}\n', "{}{}", "\t{} ",
+    ]
+
+    def valid(text):
+        try:
+            json.loads(text)
+            return True
+        except ValueError:
+            return False
+
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    for row in df.select("t", ans.is_json(F.col("t")).alias("ok")).collect():
+        assert row.ok == valid(row.t), row.t
+
+
+def test_pairs_keep_their_own_reference(spark):
+    rows = [(1, listed(GOOD), "r1"), (2, "{", "r2"), (3, '{"Hypotheses": []}', "r3"), (4, listed(GOOD), "r4")]
+    df = spark.createDataFrame(rows, "i int, generated string, ref string").repartition(3)
+    assert sorted((r.i, r.ref) for r in ans.valid_pairs(df).collect()) == [(1, "r1"), (4, "r4")]
+
+
+def test_violations(spark):
+    def one(**change):
+        return tuple({**GOOD, **change}[f] for f in ("hypothesis_id", "label", "hypothesis", "source_clause"))
+
+    lists = [
+        [one(), one(hypothesis_id="b")],
+        [one(), one(hypothesis_id="b"), one()],
+        [one(label="maybe"), one(hypothesis_id="b")],
+        [one(source_clause=None), one(hypothesis_id="b")],
+        [one(hypothesis_id="c"), one(), one(hypothesis_id="b")],
+        [one()],
+    ]
+    schema = "answers array<struct<hypothesis_id:string,label:string,hypothesis:string,source_clause:string>>"
+    df = spark.createDataFrame([(x,) for x in lists], schema).coalesce(1)
+    got = [r.violations for r in ans.schema_violations(df, ids=("nda-1", "b")).collect()]
+    assert got == [[], ["repeated_id"], ["unknown_label"], ["missing_field"], ["unknown_id"], ["incomplete"]]
+
+
+def test_mapped_rows_mark_failures(spark):
+    df = spark.createDataFrame([(i, [float(i)]) for i in range(5)], "i int, x array<double>")
+
+    def inverse(row):
+        return {"inv": 1 / row["x"][0]}
+
+    rows = {r.i: r for r in ans.map_rows(df, inverse, "inv double").collect()}
+    assert rows[0].status == "failed" and rows[0].error.startswith("ZeroDivisionError")
+    assert rows[4].inv == 0.25 and rows[4].x == [4.0] and rows[4].error is None
+
+
+def test_request_limit_is_exclusive(spark):
+    df = spark.range(4998, 5002).select(F.array_repeat(F.lit(1), F.col("id").cast("int")).alias("prompt_ids"))
+    assert sorted(len(r.prompt_ids) for r in ans.filter_request_len(df).collect()) == [4998, 4999]
+
+
+def test_legend(spark):
+    legend = ev.default_legend(spark)
+    assert legend.count() == 17
+    rows = [r for r in legend.collect()]
+    answers = spark.createDataFrame(
+        [(r.hypothesis_id, r.hypothesis) for r in rows] + [("nda-1", "other"), ("nda-9", "x"), ("nda-2", None)],
+        "hypothesis_id string, hypothesis string",
+    )
+    wrong = ev.legend_mismatch(answers, legend).collect()
+    assert sorted(r.hypothesis_id for r in wrong) == ["nda-1", "nda-2", "nda-9"]
+
+
+def test_chat_text(spark):
+    df = spark.createDataFrame([("s\nx", "u <|im_end|>\n y\n")], "s string, u string")
+    prompt = chat.chatml(F.col("s"), F.col("u"))
+    row = df.select(
+        prompt.alias("p"),
+        chat.split_chatml(prompt).alias("parts"),
+        chat.split_chatml(F.lit("no prompt")).alias("none"),
+        chat.uri_key(F.lit("s3://bucket/a/b/c.json")).alias("key"),
+        chat.fill_template(F.lit("[{contract}] $1 {x}"), F.lit(r"a\1$")).alias("t"),
+        chat.cap_output(F.lit(5000), 3000).alias("cap"),
+    ).first()
+    assert row.p == "<|im_start|>system\ns\nx<|im_end|>\n<|im_start|>user\nu <|im_end|>\n y\n<|im_end|>\n<|im_start|>assistant\n"
+    assert tuple(row.parts) == ("s\nx", "u <|im_end|>\n y\n")
+    assert tuple(row.none) == (None, None)
+    assert (row.key, row.t, row.cap) == ("a/b/c.json", r"[a\1$] $1 {x}", 3000)
