@@ -61,8 +61,9 @@ def group_answers(df, order, item, key="document_id", name="inference", chunk=No
     """Collect ``item`` into a list per document, in input order.
 
     A document with more than ``limit`` rows comes as several rows, one per ``chunk`` of the
-    order (default: blocks of ``limit`` of its last column). ``part`` holds the chunk and is
-    null for a document in one row. The parts in order are the whole list.
+    order: by default the leading order columns with blocks of ``limit`` of the last one, an
+    integer. ``part`` holds the chunk and is null for a document in one row. The parts in
+    order are the whole list.
     """
     rows = df.filter(F.col(key).isNotNull())
     part = _part_of(rows, key, order, chunk, limit)
@@ -73,7 +74,9 @@ def group_answers(df, order, item, key="document_id", name="inference", chunk=No
 
 
 def _part_of(rows, key, order, chunk, limit):
-    chunk = block(order[-1], limit) if chunk is None else chunk
+    if chunk is None:
+        last = block(order[-1], limit)
+        chunk = F.struct(*order[:-1], last.alias("block")) if order[1:] else last
     big = oversized(rows, key, order, limit)
     n_big = fits(big)
     if n_big == 0:
@@ -149,6 +152,6 @@ def explode_hypotheses(df, column="hypothesises/labels"):
 def append_training(base, new, key):
     """Base rows plus those new rows whose key the base does not have yet."""
     keys = [key] if isinstance(key, str) else list(key)
-    fresh = new.join(base.select(*keys), keys, "left_anti")
+    fresh = new.join(base.select(*keys).distinct(), keys, "left_anti")
     return base.unionByName(fresh)
 

@@ -2,9 +2,11 @@
 
 from pyspark.sql import functions as F
 
-from ...operators import evaluate as ev
+from ...functions import chat
+from ...operators import curate as cur, evaluate as ev
+from .. import jobs
 from . import standins as st
-from .registry import FMEASURE, query, r6, sql_scores
+from .registry import FMEASURE, query, r6, sql_scores, table
 
 _DOC_METRICS = f"""{st.PAIRS_SQL}, {sql_scores('pairs')},
     answers AS (
@@ -74,25 +76,40 @@ def matched_answers(spark, folder):
     )
 
 
+@query(
+    "unmatched_documents",
+    f"""WITH {st.PAIRS_SQL} SELECT document_id, count(*) AS unmatched FROM pairs
+    WHERE pid % 7 = 0 GROUP BY document_id""",
+)
+def unmatched_documents(spark, folder):
+    """Documents that cannot be scored because a reference answer is absent."""
+    reference = st.reference_answers(spark, folder).filter(
+        "(document_id * 1000 + position % 1000 + 1) % 7 <> 0"
+    )
+    pairs = ev.match_reference(reference, st.predicted_answers(spark, folder))
+    return ev.unmatched_documents(pairs)
+
+
 @query(
     "paired_outputs",
     "SELECT doc_id, source, CAST(quality AS BIGINT) AS quality FROM documents JOIN labels USING (doc_id)",
 )
 def paired_outputs(spark, folder):
-    from .registry import table
-
     docs = table(spark, folder, "documents").select("doc_id", "source")
     labels = table(spark, folder, "labels").select("doc_id", F.col("quality").cast("long"))
     return ev.pair_outputs(docs, labels, "doc_id")
 
 
-@query(
-    "document_metrics",
-    f"""WITH {_DOC_METRICS} SELECT document_id, length, true_predictions,
-    true_predictions_above_75fmeasure, {', '.join(f'round({c}, 6) AS {c}' for c in _MEANS)} FROM docs""",
-)
+_DOCUMENTS = f"""WITH {_DOC_METRICS} SELECT document_id, length, true_predictions,
+    true_predictions_above_75fmeasure, {', '.join(f'round({c}, 6) AS {c}' for c in _MEANS)} FROM docs"""
+
+
+@query("document_metrics", _DOCUMENTS)
 def document_metrics(spark, folder):
-    metrics = ev.document_metrics(_pairs(spark, folder))
+    return _rounded(ev.document_metrics(_pairs(spark, folder)))
+
+
+def _rounded(metrics):
     return metrics.select(
         "document_id",
         "length",
@@ -102,6 +119,21 @@ def document_metrics(spark, folder):
     )
 
 
+@query("evaluated_outputs", _DOCUMENTS)
+def evaluated_outputs(spark, folder):
+    """The same from generated JSON text and nested reference lists, one row per document."""
+    answer = F.struct("hypothesis_id", "label", F.lit("h").alias("hypothesis"), "source_clause")
+    reference = cur.group_answers(
+        st.reference_answers(spark, folder), ["position"], answer
+    ).drop("part")
+    outputs = cur.group_answers(
+        st.predicted_answers(spark, folder), ["position"], answer, name="answers"
+    )
+    generated = chat.answers_json(F.col("answers"), wrap=True).alias("generated")
+    paired = ev.pair_outputs(outputs.select("document_id", generated), reference, "document_id")
+    return _rounded(jobs.evaluate_outputs(paired))
+
+
 @query(
     "dataset_metrics",
     f"""{_DATASET} SELECT count,

@@ -25,6 +25,7 @@ def _documents(spark, folder):
 )
 def quote_grounding_by_source(spark, folder):
     """Mean quote precision per source, and quotes at or below the alarm threshold."""
+    # One quote per document, so its source can stand for the quote id and needs no join back.
     quotes = st.quotes(spark, folder).withColumn("quote_id", F.col("source"))
     documents = table(spark, folder, "documents").select("doc_id", "text")
     scored = overlap.ngram_overlap(quotes, documents, "doc_id")

@@ -2,10 +2,12 @@
 
 from pyspark.sql import functions as F, types as T
 
-from ...operators import prepare as prep
+from ...functions import chat
+from ...operators import prepare as prep, runs
 from ...sources import readers, writers
+from .. import jobs
 from . import standins as st
-from .registry import query, r6, scratch, table
+from .registry import PRECISION, query, r6, scratch, sql_scores, table, texts
 
 
 @query(
@@ -166,6 +168,60 @@ def request_log_scan(spark, folder):
     return readers.read_request_log(spark, path).select("ts_ms", "input", "output")
 
 
+@query(
+    "scored_request_log",
+    f"""WITH {st.QUOTES_SQL}, pairs AS (
+      SELECT q.doc_id AS pid, d.text AS target, q.text AS prediction
+      FROM quotes q JOIN documents d ON d.doc_id = q.doc_id), {sql_scores('pairs')}
+    SELECT pid AS ts_ms, round({PRECISION}, 6) AS carp FROM scores""",
+)
+def scored_request_log(spark, folder):
+    """Documents as logged requests, one quote each: from log text to grounding."""
+    answer = F.struct(
+        F.lit("h").alias("hypothesis"),
+        F.lit("nda-1").alias("hypothesis_id"),
+        F.lit("entailment").alias("label"),
+        F.col("quote").alias("source_clause"),
+    )
+    generated = chat.answers_json(F.array(answer), wrap=True).alias("generated_text")
+    prompt = chat.chatml(F.lit("Find quotes."), F.col("text")).alias("inputs")
+    block = F.concat(
+        F.lit("timestamp: "),
+        F.col("doc_id").cast("string"),
+        F.lit("\ninput: "),
+        F.to_json(F.struct(prompt)),
+        F.lit("\noutput: "),
+        F.to_json(F.struct(generated)),
+        F.lit("\n"),
+    )
+    quotes = st.quotes(spark, folder).select("doc_id", F.col("text").alias("quote"))
+    path = scratch(spark)
+    documents = texts(spark, folder, "text").join(quotes, "doc_id")
+    documents.select(block.alias("value")).write.text(path)
+    scored = jobs.score_log(readers.read_request_log(spark, path))
+    return scored.select("ts_ms", r6(F.col("carp"), "carp"))
+
+
+@query(
+    "summary_files",
+    """SELECT event_type AS tokenizer, count(*) AS "totalRequests", round(avg(value), 6) AS "averageLatency"
+    FROM events GROUP BY event_type""",
+)
+def summary_files(spark, folder):
+    """Summaries written one per file behind a noise line and read back."""
+    summary = runs.bench_summary(st.requests(spark, folder), ["endpoint"]).withColumnRenamed(
+        "endpoint", "tokenizer"
+    )
+    noisy = F.concat(F.lit("Loading from: prompts\n"), F.to_json(F.struct(*summary.columns)))
+    path = scratch(spark)
+    summary.select(F.col("tokenizer").alias("part"), noisy.alias("value")).write.partitionBy(
+        "part"
+    ).text(path)
+    return readers.read_bench_summary(spark, path).select(
+        "tokenizer", "totalRequests", r6(F.col("averageLatency"), "averageLatency")
+    )
+
+
 @query(
     "training_log_scan",
     f"WITH {st.LOG_SQL} SELECT step, loss, eval_loss FROM log",
