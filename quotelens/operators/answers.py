@@ -2,8 +2,10 @@
 
 from pyspark.sql import functions as F, types as T
 
+from ..functions.text import bind
 from ..schemas import ANSWER, ANSWER_FIELDS, DEFAULT_LEGEND, LABELS, MAX_REQUEST_TOKENS
 
+_ANSWERS = T.ArrayType(ANSWER)
 # Spark's JSON reader keeps the last of repeated keys, as json.loads does.
 _STRICT = {"allowSingleQuotes": "false", "columnNameOfCorruptRecord": "bad"}
 
@@ -33,51 +35,66 @@ def _kind(text, path):
     return F.schema_of_variant(F.try_variant_get(F.try_parse_json(text), path, "variant"))
 
 
-def _outer(text):
-    generated = F.from_json(text, "generated_text string", _STRICT)["generated_text"]
-    return F.when(_is_object(text), generated)
+def _failed(status):
+    return F.struct(F.lit(status).alias("status"), F.lit(None).cast(_ANSWERS).alias("answers"))
 
 
-def response_status(response):
-    """Why a response cannot be used, or ``ok``, from the doubly encoded response text."""
-    inner = _outer(response)
-    kind = _kind(response, "$.generated_text")
-    return (
-        F.when(~is_json(response), "bad_outer")
-        .when(inner.isNull(), "no_generated_text")
-        .when(F.coalesce(kind != "STRING", F.lit(False)), "bad_inner")
-        .otherwise(generated_status(inner))
+def read_generated(generated):
+    """Struct of status and answers for generated text."""
+    seen = F.struct(
+        is_json(generated).alias("valid"),
+        _is_object(generated).alias("object"),
+        F.array_contains(F.json_object_keys(generated), "Hypotheses").alias("named"),
+        F.from_json(generated, "Hypotheses array<string>", _STRICT)["Hypotheses"].alias("list"),
+        F.from_json(generated, T.StructType().add("Hypotheses", _ANSWERS), _STRICT)[
+            "Hypotheses"
+        ].alias("answers"),
     )
 
-
-def generated_status(generated):
-    """The same for generated text without the outer layer."""
-    as_list = F.from_json(generated, "Hypotheses array<string>", _STRICT)["Hypotheses"]
-    answers = generated_answers(generated)
-    has_field = F.array_contains(F.json_object_keys(generated), "Hypotheses")
-    return (
-        F.when(~is_json(generated), "bad_inner")
-        .when(~_is_object(generated) | ~F.coalesce(has_field, F.lit(False)), "no_hypotheses")
-        .when(as_list.isNull(), "not_a_list")
-        .when(F.size(as_list) == 0, "empty_list")
-        .when(answers.isNull() | F.exists(answers, lambda a: a.isNull()), "bad_item")
-        .otherwise("ok")
+    def judge(s):
+        usable = s["answers"].isNotNull() & ~F.exists(s["answers"], lambda a: a.isNull())
+        return (
+            F.when(~s["valid"], _failed("bad_inner"))
+            .when(~s["object"] | ~F.coalesce(s["named"], F.lit(False)), _failed("no_hypotheses"))
+            .when(s["list"].isNull(), _failed("not_a_list"))
+            .when(F.size(s["list"]) == 0, _failed("empty_list"))
+            .when(~usable, _failed("bad_item"))
+            .otherwise(F.struct(F.lit("ok").alias("status"), s["answers"].alias("answers")))
+        )
+
+    return bind(seen, judge)
+
+
+def read_response(response):
+    """The same for a whole response, whose ``generated_text`` is JSON again."""
+    generated = F.from_json(response, "generated_text string", _STRICT)["generated_text"]
+    seen = F.struct(
+        is_json(response).alias("valid"),
+        F.when(_is_object(response), generated).alias("generated"),
+        F.coalesce(_kind(response, "$.generated_text") == "STRING", F.lit(True)).alias("text"),
     )
 
+    def judge(s):
+        return (
+            F.when(~s["valid"], _failed("bad_outer"))
+            .when(s["generated"].isNull(), _failed("no_generated_text"))
+            .when(~s["text"], _failed("bad_inner"))
+            .otherwise(read_generated(s["generated"]))
+        )
 
-def generated_answers(generated):
-    schema = T.StructType([T.StructField("Hypotheses", T.ArrayType(ANSWER))])
-    return F.from_json(generated, schema, _STRICT)["Hypotheses"]
+    return bind(seen, judge)
 
 
 def parse_response(df, column="output", wrapped=True):
-    """Add ``status`` and ``answers`` (null unless ok); no row is dropped."""
-    raw = F.col(column)
-    status = response_status(raw) if wrapped else generated_status(raw)
-    generated = _outer(raw) if wrapped else raw
-    return df.withColumn("status", status).withColumn(
-        "answers", F.when(F.col("status") == "ok", generated_answers(generated))
-    )
+    """Add ``status`` and ``answers`` (null unless ok); no row is dropped.
+
+    The statuses: bad_outer, no_generated_text, bad_inner, no_hypotheses, not_a_list,
+    empty_list, bad_item, ok. Without ``wrapped`` the column holds generated text.
+
+    A generator keeps later filters on the status from repeating the parse below it.
+    """
+    read = read_response if wrapped else read_generated
+    return df.select("*", F.inline(F.array(bind(F.col(column), read))))
 
 
 def drop_failed(df):

@@ -14,9 +14,9 @@ def fit_vocab(df, tokens="tokens", first_id=1):
     Ranked by count first: n occurrences have fewer than sqrt(2n) different counts, so the
     one global step stays small. Tokens of equal count are ranked by their first letters.
     """
-    counts = df.select(F.explode(tokens).alias("token")).groupBy("token").agg(
-        F.count(F.lit(1)).alias("count")
-    )
+    # An outer explode gets no filter on the array, which would compute the tokens twice.
+    words = df.select(F.explode_outer(tokens).alias("token")).filter("token is not null")
+    counts = words.groupBy("token").agg(F.count(F.lit(1)).alias("count"))
     ranked = row_numbers(
         counts,
         [],
@@ -39,7 +39,8 @@ def encode(df, vocab, key, tokens="tokens", name="ids", unknown_id=None):
         if unknown_id is None
         else F.lit(unknown_id)
     )
-    positions = df.select(key, F.posexplode(tokens).alias("_pos", "token"))
+    positions = df.select(key, F.posexplode_outer(tokens).alias("_pos", "token"))
+    positions = positions.filter("token is not null")
     known = positions.join(vocab.select("token", "token_id"), "token", "left")
     ids = known.select(
         key,
