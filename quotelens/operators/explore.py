@@ -58,6 +58,6 @@ def sample_slice(df, k, seed, order, chunk=None):
     total = df.count()
     if total < k:
         raise ValueError(f"{k} rows asked for, table has {total}")
-    start = random.Random(seed).randint(0, total - k)
+    start = int(random.Random(seed).random() * (total - k + 1))
     chunk = even_chunk(df, [], order[0]) if chunk is None else chunk
     return rows_between(df, order, chunk, start, k)

@@ -34,35 +34,67 @@ def encode(df, vocab, key, tokens="tokens", name="ids", unknown_id=None):
 
     ``key`` identifies a row. A token outside the vocabulary gets ``unknown_id`` or fails.
     """
+    # An outer explode gets no filter on the array, which would compute the tokens twice.
+    positions = df.select(key, F.posexplode_outer(tokens).alias("_pos", "token"))
+    lists = _joined_ids(positions.filter("token is not null"), vocab, key, unknown_id)
+    return (
+        df.join(lists, key, "left")
+        .withColumn(name, F.coalesce(F.col("_at")["_id"], F.array().cast("array<int>")))
+        .drop("_at")
+    )
+
+
+def _joined_ids(positions, vocab, key, unknown_id):
+    """Rows of key, position and token to one ordered list of (position, id) per key."""
     missing = (
         F.raise_error(F.concat(F.lit("token not in vocabulary: "), F.col("token"))).cast("int")
         if unknown_id is None
         else F.lit(unknown_id)
     )
-    positions = df.select(key, F.posexplode_outer(tokens).alias("_pos", "token"))
-    positions = positions.filter("token is not null")
     known = positions.join(vocab.select("token", "token_id"), "token", "left")
-    ids = known.select(
-        key,
-        F.struct("_pos", F.coalesce("token_id", missing).alias("_id")).alias("_at"),
-    )
-    lists = ids.groupBy(key).agg(F.array_sort(F.collect_list("_at"))["_id"].alias(name))
-    return df.join(lists, key, "left").withColumn(
-        name, F.coalesce(name, F.array().cast("array<int>"))
-    )
+    entry = F.struct("_pos", F.coalesce("token_id", missing).alias("_id"))
+    return known.groupBy(key).agg(F.array_sort(F.collect_list(entry)).alias("_at"))
 
 
 def encode_lookup(
     df, vocab, key, tokens="tokens", name="ids", unknown_id=None, limit=BROADCAST_ROWS
 ):
-    """The same without a shuffle when the vocabulary has at most ``limit`` tokens.
+    """The same with the ``limit`` first tokens of the vocabulary held in memory.
 
-    The usual case with a fitted, stored vocabulary of fixed size; a larger one is joined.
+    A fitted vocabulary starts with its most frequent tokens, so the positions that are left
+    for the join are few and no token is hot. One that fits whole needs no shuffle.
     """
-    if fits(vocab, limit) is None:
-        return encode(df, vocab, key, tokens, name, unknown_id)
+    whole = fits(vocab, limit) is not None
+    first = vocab if whole else vocab.orderBy("token_id").limit(limit)
+    found = df.withColumn(name, _memory_ids(first)(tokens))
+    positions = F.transform(tokens, lambda t, i: F.struct(i.alias("_pos"), t.alias("token")))
+    rare = F.filter(positions, lambda p: F.get(F.col(name), p["_pos"]).isNull())
+    if whole:
+        fallback = (
+            F.raise_error(F.concat(F.lit("token not in vocabulary: "), F.get(rare, F.lit(0))["token"]))
+            if unknown_id is None
+            else F.transform(name, lambda t: F.coalesce(t, F.lit(unknown_id)))
+        )
+        gap = F.exists(name, lambda t: t.isNull())
+        return found.withColumn(name, F.when(gap, fallback.cast("array<int>")).otherwise(F.col(name)))
+    left = found.select(key, F.inline(rare))
+    lists = _joined_ids(left, vocab, key, unknown_id)
+    memory = F.filter(
+        F.transform(name, lambda t, i: F.struct(i.alias("_pos"), t.alias("_id"))),
+        lambda p: p["_id"].isNotNull(),
+    )
+    merged = F.array_sort(F.concat(memory, F.col("_at")))["_id"]
+    return (
+        found.join(lists, key, "left")
+        .withColumn(name, F.when(F.col("_at").isNull(), F.col(name)).otherwise(merged))
+        .drop("_at")
+    )
+
+
+def _memory_ids(vocab):
+    """Arrow function from token lists to id lists, null for a token it does not hold."""
     table = vocab.select("token", "token_id").toPandas()
-    shared = df.sparkSession.sparkContext.broadcast(
+    shared = vocab.sparkSession.sparkContext.broadcast(
         (table["token"].to_numpy(), table["token_id"].to_numpy("int32"))
     )
 
@@ -73,15 +105,13 @@ def encode_lookup(
         words, ids = shared.value
         index = pd.Index(words)
         for lists in batches:
-            lengths = lists.map(len).to_numpy()
+            ends = np.cumsum(lists.map(len).to_numpy())
             flat = np.concatenate([*lists, np.empty(0, dtype=object)])
             at = index.get_indexer(flat)
-            if unknown_id is None and (at < 0).any():
-                raise ValueError(f"token not in vocabulary: {flat[at < 0][0]}")
-            values = np.where(at < 0, unknown_id or 0, ids[at]).astype("int32")
-            yield pd.Series(np.split(values, np.cumsum(lengths)[:-1]))
+            values = np.where(at < 0, None, ids[at]) if (at < 0).any() else ids[at]
+            yield pd.Series(np.split(values, ends[:-1]))
 
-    return df.withColumn(name, _series_udf(lookup)(tokens))
+    return _series_udf(lookup)
 
 
 def encode_with(df, tokenize, text="text", name="ids"):

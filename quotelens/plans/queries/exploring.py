@@ -1,5 +1,7 @@
 """First-look counts, distinct values and samples."""
 
+import random
+
 from pyspark.sql import functions as F
 
 from ...operators import explore
@@ -56,8 +58,16 @@ def last_documents(spark, folder):
     return explore.tail(docs, 4, ["doc_id"])
 
 
-@query("sampled_slice")
+_SEED = 11
+
+
+@query(
+    "sampled_slice",
+    f"""WITH placed AS (SELECT doc_id, source, row_number() OVER (ORDER BY doc_id) - 1 AS place,
+      floor({random.Random(_SEED).random()!r}::DOUBLE * (count(*) OVER () - 4)) AS start FROM documents)
+    SELECT doc_id, source FROM placed WHERE place BETWEEN start AND start + 4""",
+)
 def sampled_slice(spark, folder):
     """Five documents in a row from a random start."""
     docs = table(spark, folder, "documents").select("doc_id", "source")
-    return explore.sample_slice(docs, 5, 11, ["doc_id"], F.floor(F.col("doc_id") / 64))
+    return explore.sample_slice(docs, 5, _SEED, ["doc_id"], F.floor(F.col("doc_id") / 64))

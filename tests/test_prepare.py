@@ -38,10 +38,10 @@ def test_both_encoders_agree(tokens):
 
 def test_unknown_tokens(tokens):
     vocab = prep.fit_vocab(tokens).filter("token <> 'zebra'")
-    for encoder in (prep.encode, prep.encode_lookup):
+    for encoder, options in ((prep.encode, {}), (prep.encode_lookup, {}), (prep.encode_lookup, {"limit": 2})):
         with pytest.raises(Exception, match="zebra"):
-            encoder(tokens, vocab, "i").collect()
-        got = {r.i: r.ids for r in encoder(tokens, vocab, "i", unknown_id=0).collect()}
+            encoder(tokens, vocab, "i", **options).collect()
+        got = {r.i: r.ids for r in encoder(tokens, vocab, "i", unknown_id=0, **options).collect()}
         assert got[4][-1] == 0 and len(got[4]) == 4
 
 
