@@ -6,11 +6,13 @@ than the watermark are dropped; a period is emitted once the watermark has passe
 """
 
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StatefulProcessor
 
 from ..operators.monitor import grounding_points, period_means
 from ..schemas import ALARM_THRESHOLD
 
 WATERMARK = "10 minutes"
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 LOG_COLUMNS = ("ts", "endpoint", "adapter", "template_uri", "input", "output")
 
 
@@ -42,46 +44,62 @@ def alarm_stream(means, seconds=300, n=1, m=1, missing="notBreaching", key="metr
 
     State per key: the last n breach flags, the last state and the last period. A gap is
     filled when the next period arrives, as :func:`~quotelens.operators.monitor.alarm_state`
-    fills it. At most one row per key and period reaches this operator.
+    fills it. At most one row per key and period reaches this operator, which may follow
+    :func:`short_alarm` directly. Runs on the RocksDB state store, which is set for the
+    session if another one is.
     """
-    keep = missing != "notBreaching"
+    means.sparkSession.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
+    return (
+        means.select(key, "period", "mean", "breach")
+        .groupBy(key)
+        .transformWithStateInPandas(
+            AlarmProcessor(key, seconds, n, m, missing != "notBreaching"),
+            f"{key} string, period timestamp, mean double, state string",
+            "Append",
+            "None",
+        )
+    )
+
+
+class AlarmProcessor(StatefulProcessor):
+    """Advances one key's alarm by the periods that have closed."""
+
+    def __init__(self, key, seconds, n, m, keep):
+        self.key, self.seconds, self.n, self.m, self.keep = key, seconds, n, m, keep
 
-    def advance(group, batches, state):
+    def init(self, handle):
+        self.memory = handle.getValueState(
+            "alarm", "flags array<boolean>, last_state string, last_period bigint"
+        )
+
+    def handleInputRows(self, key, rows, timerValues):
         import pandas as pd
 
-        flags, last_state, last_period = state.get if state.exists else ([], "OK", None)
+        flags, last_state, last_period = self.memory.get() or ([], "OK", None)
         flags = list(flags)
-        rows = pd.concat(list(batches)).sort_values("period")
+        closed = pd.concat(list(rows)).sort_values("period")
         out = []
 
         def push(at, mean, breach):
             nonlocal last_state, flags
-            flags = [*flags, bool(breach)][-n:]
-            if mean is not None or not keep:
-                last_state = "ALARM" if sum(flags) >= m else "OK"
-            out.append((group[0], at, mean, last_state))
+            flags = [*flags, bool(breach)][-self.n :]
+            if mean is not None or not self.keep:
+                last_state = "ALARM" if sum(flags) >= self.m else "OK"
+            out.append((key[0], at, mean, last_state))
 
-        for at, mean, breach in zip(rows["period"], rows["mean"], rows["breach"]):
+        for at, mean, breach in zip(closed["period"], closed["mean"], closed["breach"]):
             at_s = int(at.timestamp())
             if last_period is not None:
-                for gap in range(last_period + seconds, at_s, seconds):
+                for gap in range(last_period + self.seconds, at_s, self.seconds):
                     push(pd.Timestamp(gap, unit="s"), None, False)
             push(at, mean, breach)
             last_period = at_s
-        state.update((flags, last_state, last_period))
-        yield pd.DataFrame(out, columns=[key, "period", "mean", "state"])
+        self.memory.update((flags, last_state, last_period))
+        frame = pd.DataFrame(out, columns=[self.key, "period", "mean", "state"])
+        yield frame.astype({"mean": "float64"})
 
-    return (
-        means.select(key, "period", "mean", "breach")
-        .groupBy(key)
-        .applyInPandasWithState(
-            advance,
-            f"{key} string, period timestamp, mean double, state string",
-            "flags array<boolean>, last_state string, last_period long",
-            "append",
-            "NoTimeout",
-        )
-    )
+    def close(self):
+        pass
 
 
 def sink_inference_log(stream, path, checkpoint, available_now=False):

@@ -69,6 +69,15 @@ def test_long_lists_come_in_parts(spark):
     assert [a.hypothesis_id for p in parts[:3] for a in p.inference] == [f"q{i}" for i in range(25)]
 
 
+def test_parts_follow_all_order_columns(spark):
+    rows = [(7, i % 12, f"t{i // 12}", "H", f"q{i:02d}", "entailment", ["e"]) for i in range(36)]
+    df = raw(spark, rows).withColumnRenamed("text", "file").withColumn("text", F.lit("x"))
+    parts = cur.curate(df, ["file", "pos"], limit=10).orderBy("part").collect()
+    assert [len(p.inference) for p in parts] == [10, 2] * 3
+    assert [a.hypothesis_id for p in parts for a in p.inference] == [f"q{i:02d}" for i in range(36)]
+    assert [p.text for p in parts] == ["x"] + [None] * 5
+
+
 def test_group_then_explode_is_the_input(spark):
     df = raw(spark, ROWS).filter("document_id is not null")
     item = F.struct("hypothesis", "label")

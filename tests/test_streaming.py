@@ -107,3 +107,15 @@ def test_scoring_a_stream(spark, tmp_path):
     scored = mon.carp_in_row(spark.readStream.schema(schema).parquet(f"{tmp_path}/in"))
     done = live.run_to_table(scored, f"{tmp_path}/out", f"{tmp_path}/state")
     assert [r.carp for r in done.collect()] == [1.0]
+
+
+def test_alarm_straight_from_scored_responses(spark, tmp_path, stream):
+    """Period means and the stateful alarm in one running query."""
+    means = live.short_alarm(mon.to_metric_points(stream))
+    named = means.select(F.lit("CARP_3").alias("metric"), "period", "mean", "breach")
+    states = live.alarm_stream(named, n=2, m=1)
+    done = live.run_to_table(states, f"{tmp_path}/out", f"{tmp_path}/state")
+    got = {(r.period - at(0)).seconds // 60: r.state for r in done.collect()}
+    assert got[0] == got[5] == "ALARM" and got[10] == "OK"
+    assert got[20] == got[25] == "ALARM" and got[30] == got[60] == "OK"
+    assert sorted(got) == list(range(0, 205, 5))
