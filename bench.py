@@ -60,7 +60,7 @@ def main(names):
                 "value": round(sum(times.values()), 3),
                 "unit": "sec",
                 "queries": times,
-                "sf": os.path.basename(folder).removeprefix("sf"),
+                "sf": float(os.path.basename(os.path.normpath(folder)).removeprefix("sf")),
             }
         )
     )
