@@ -125,9 +125,8 @@ def quote_precisions(contract, quotes, n=3):
     """
 
     def against(sets):
-        wanted = F.flatten(sets)
         return bind(
-            F.array_intersect(F.array_distinct(wanted), gram_set(contract, n)),
+            F.array_intersect(F.flatten(sets), gram_set(contract, n)),
             lambda found: F.transform(
                 sets,
                 lambda s: F.size(F.array_intersect(s, found)) / F.greatest(F.size(s), F.lit(1)),

@@ -47,16 +47,6 @@ def first_per_doc(df, order, key="document_id"):
     )
 
 
-def oversized(df, key, order, limit):
-    """Keys with more than ``limit`` rows and the position of their first row."""
-    return (
-        df.groupBy(key)
-        .agg(F.count(F.lit(1)).alias("_rows"), F.min(one_column(order)).alias("_first"))
-        .filter(F.col("_rows") > limit)
-        .select(key, "_first")
-    )
-
-
 def group_answers(df, order, item, key="document_id", name="inference", chunk=None, limit=65536):
     """Collect ``item`` into a list per document, in input order.
 
@@ -77,13 +67,17 @@ def _part_of(rows, key, order, chunk, limit):
     if chunk is None:
         last = block(order[-1], limit)
         chunk = F.struct(*order[:-1], last.alias("block")) if order[1:] else last
-    big = oversized(rows, key, order, limit)
-    n_big = fits(big)
+    sizes = rows.groupBy(key).agg(F.count(F.lit(1)).alias("_rows"))
+    n_big = fits(sizes.filter(F.col("_rows") > limit))
     if n_big == 0:
         nothing = F.lit(False)
         return rows.withColumn("_first", F.when(nothing, one_column(order))).withColumn(
             "part", F.when(nothing, chunk)
         )
+    first = rows.groupBy(key).agg(
+        F.count(F.lit(1)).alias("_rows"), F.min(one_column(order)).alias("_first")
+    )
+    big = first.filter(F.col("_rows") > limit).select(key, "_first")
     split = rows.join(hinted(big, n_big), key, "left")
     return split.withColumn("part", F.when(F.col("_first").isNotNull(), chunk))
 

@@ -50,7 +50,7 @@ def score_pairs(pairs):
 
     Two ``not_mentioned`` labels agree fully whatever their clauses hold.
     """
-    matched = F.col("label") == F.col("reference.label")
+    matched = F.col("label").eqNullSafe(F.col("reference.label"))
     both_silent = matched & (F.col("label") == NOT_MENTIONED)
     score = tx.rouge_n(F.col("reference.source_clause"), F.col("source_clause"))["fmeasure"]
     return pairs.withColumns(
