@@ -1,8 +1,9 @@
 """The operators as queries on the test tables, with SQL where SQL can say the same."""
 
+import public_tokenizers
 from pyspark.sql import functions as F
 
-from . import sharding
+from . import packing, sharding
 
 QUERIES = {}
 SQL = {}
@@ -37,3 +38,29 @@ def op1(spark, folder):
     return sharding.number_slots(placed).select(
         *[F.col(c).cast("long") if c == "slot" else c for c in columns]
     )
+
+
+def pack_documents(documents):
+    """Production parameters of packing."""
+    return packing.pack(
+        documents,
+        public_tokenizers.path("byte_bpe_50k.json"),
+        public_tokenizers.path("byte_bpe_50k.tiktoken"),
+        public_tokenizers.PATTERN,
+    )
+
+
+@query("op2_hierarchical_packing")
+def op2(spark, folder):
+    """All documents as pieces of full windows of 128 to 1,024 tokens."""
+    return pack_documents(table(spark, folder, "documents")).select(
+        "doc_id",
+        "start",
+        "length",
+        F.crc32("ids").alias("ids_crc32"),
+        "doc_tokens",
+        "sequence_id",
+        "offset",
+        "window",
+        "step_group",
+    )
