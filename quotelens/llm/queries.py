@@ -1,9 +1,11 @@
 """The operators as queries on the test tables, with SQL where SQL can say the same."""
 
+import string
+
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from . import packing, sharding
+from . import line_runs, packing, sharding
 
 QUERIES = {}
 SQL = {}
@@ -64,3 +66,27 @@ def op2(spark, folder):
         "window",
         "step_group",
     )
+
+
+SPACES_SQL = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
+LOWER_SQL = f"translate({{0}}, '{string.ascii_uppercase}', '{string.ascii_lowercase}')"
+
+
+@query(
+    "op8_line_runs",
+    f"""
+    WITH split AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents),
+    placed AS (SELECT doc_id, unnest(lines) AS line, unnest(range(len(lines))) AS pos FROM split),
+    keyed AS (SELECT *, {LOWER_SQL.format(f'trim(line, {SPACES_SQL})')} AS key FROM placed),
+    common AS (SELECT key FROM keyed WHERE key <> '' GROUP BY key HAVING count(DISTINCT doc_id) >= 10)
+    SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE common.key IS NOT NULL) AS n_dropped,
+           sha256(coalesce(string_agg(line, chr(10) ORDER BY pos)
+                           FILTER (WHERE common.key IS NULL), '')) AS kept_sha256
+    FROM keyed LEFT JOIN common ON keyed.key = common.key GROUP BY doc_id""",
+)
+def op8(spark, folder):
+    """All documents without the lines that ten or more of them share."""
+    documents = table(spark, folder, "documents").select("doc_id", "text")
+    return line_runs.dedup_lines(documents).select(
+        "doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256")
+    )
