@@ -5,7 +5,8 @@ import string
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from . import line_runs, packing, sharding
+from . import line_runs, packing, quality, sharding, simhash
+from .text import remainder
 
 QUERIES = {}
 SQL = {}
@@ -90,3 +91,25 @@ def op8(spark, folder):
     return line_runs.dedup_lines(documents).select(
         "doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256")
     )
+
+
+@query("op9_covering_simhash")
+def op9(spark, folder):
+    """All documents with their SimHash and the group it is linked to within 4 bits."""
+    return simhash.near_duplicates(table(spark, folder, "documents"))
+
+
+QUALITY_THRESHOLD = 0.3
+
+
+@query("op3_attention_quality")
+def op3(spark, folder):
+    """Quality of all documents, learned outside the held-out fifth."""
+    documents = table(spark, folder, "documents").select("doc_id", "text")
+    scored = quality.score_documents(documents, table(spark, folder, "labels"))
+    return scored.select(
+        "doc_id",
+        (remainder("doc_id", 5) == 0).alias("held_out"),
+        "score",
+        F.when(F.col("score") >= QUALITY_THRESHOLD, 1).otherwise(0).alias("predicted"),
+    )
