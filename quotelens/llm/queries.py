@@ -5,7 +5,7 @@ import string
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from . import line_runs, packing, quality, sharding, simhash
+from . import hmm, line_runs, packing, quality, sharding, simhash
 from .text import remainder
 
 QUERIES = {}
@@ -113,3 +113,10 @@ def op3(spark, folder):
         "score",
         F.when(F.col("score") >= QUALITY_THRESHOLD, 1).otherwise(0).alias("predicted"),
     )
+
+
+@query("op7_hidden_markov_scores")
+def op7(spark, folder):
+    """Probability of all documents under a model learned from six sevenths of them."""
+    documents = table(spark, folder, "documents").select("doc_id", "text")
+    return hmm.score_texts(documents, remainder("doc_id", 7) == 2)

@@ -16,8 +16,6 @@ one fingerprint. A null id is kept; a component of null ids alone has a null id.
 gives an empty result. Other columns of the input are not read.
 """
 
-import string
-
 import numpy as np
 import pandas as pd
 import xxhash
@@ -25,15 +23,15 @@ from pyspark.sql import functions as F
 
 from ..session import settle
 from .graph import components, join_unique
+from .text import lower_words
 
 BITS = 64
 BLOCK = 1 << 16
-_LOWER = bytes.maketrans(string.ascii_uppercase.encode(), string.ascii_lowercase.encode())
 
 
 def fingerprint(text, shingle=4, seed=42):
     """64-bit SimHash of a text as a signed number."""
-    words = text.encode().translate(_LOWER).split()  # at ASCII white space
+    words = lower_words(text)
     if not words:
         return 0
     n = max(1, len(words) - shingle + 1)

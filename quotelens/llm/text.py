@@ -27,3 +27,11 @@ def digest(*columns):
 def remainder(doc_id, n):
     """crc32 of the id as text, mod ``n``; a null id counts as an empty text."""
     return F.crc32(whole(F.col(doc_id).cast("string"))) % n
+
+
+_LOWER = bytes.maketrans(string.ascii_uppercase.encode(), string.ascii_lowercase.encode())
+
+
+def lower_words(text):
+    """Words of a text between ASCII white space, A-Z in lower case, as UTF-8."""
+    return text.encode().translate(_LOWER).split()
