@@ -5,7 +5,7 @@ import string
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from . import hmm, line_runs, packing, quality, sharding, simhash
+from . import hmm, host_rules, line_runs, packing, quality, sharding, simhash
 from .text import remainder
 
 QUERIES = {}
@@ -120,3 +120,48 @@ def op7(spark, folder):
     """Probability of all documents under a model learned from six sevenths of them."""
     documents = table(spark, folder, "documents").select("doc_id", "text")
     return hmm.score_texts(documents, remainder("doc_id", 7) == 2)
+
+
+HOST_RULES = ["short", "repetitive", "symbols", "dup_lines", "word_length"]
+WORDS_SQL = r"regexp_extract_all(text, '[^\x20\x09-\x0D]+')"
+
+
+@query(
+    "op6_host_rules",
+    rf"""
+    WITH docs AS (SELECT doc_id, source, coalesce(text, '') AS text FROM documents),
+    w AS (SELECT doc_id, {WORDS_SQL} AS w FROM docs),
+    windows AS (SELECT doc_id, i, w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] AS g
+                FROM (SELECT doc_id, w, unnest(range(1, len(w) - 1)) AS i FROM w)),
+    twice AS (SELECT doc_id, i FROM (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, g) AS n
+                                     FROM windows) WHERE n > 1),
+    repeats AS (SELECT doc_id, count(DISTINCT p) AS n_repeat_words
+                FROM (SELECT doc_id, unnest([i, i + 1, i + 2]) AS p FROM twice) GROUP BY doc_id),
+    lines AS (SELECT doc_id, list_filter(string_split(text, chr(10)),
+                                         lambda x: len(trim(x, {SPACES_SQL})) > 0) AS l FROM docs),
+    m AS (
+      SELECT doc_id, source, len(w) AS n_words, length(regexp_replace(text, '[\x20\x09-\x0D]+', '', 'g')) AS word_chars,
+             length(regexp_replace(text, '[^#*$%&|<>]+', '', 'g')) AS n_symbols,
+             len(l) - len(list_distinct(l)) AS n_dup_lines,
+             coalesce(n_repeat_words, 0) AS n_repeat_words, len(l) AS n_lines
+      FROM docs JOIN w USING (doc_id) JOIN lines USING (doc_id) LEFT JOIN repeats USING (doc_id)),
+    checked AS (
+      SELECT *, n_words < 50 AS short, 100 * n_repeat_words > 50 * n_words AS repetitive,
+             10 * n_symbols > n_words AS symbols, 10 * n_dup_lines > 3 * n_lines AS dup_lines,
+             word_chars < 2 * n_words OR word_chars > 12 * n_words AS word_length FROM m),
+    hosts AS (SELECT source, rule, count(*) AS n, count(*) FILTER (WHERE failed) AS f
+              FROM (UNPIVOT checked ON {', '.join(HOST_RULES)} INTO NAME rule VALUE failed)
+              GROUP BY source, rule),
+    moments AS (SELECT rule, sum(f) / sum(n) AS m, sum(f * f / n) / sum(n) AS q, count(*) / sum(n) AS h
+                FROM hosts GROUP BY rule),
+    priors AS (SELECT rule, m, least(greatest(m * (1 - m) / greatest(q - m * m - m * (1 - m) * h, 1e-12) - 1, 1), 1e6) AS k
+               FROM moments),
+    verdicts AS (SELECT source, max((f + m * k) / (n + k)) > 0.5 AS blocked
+                 FROM hosts JOIN priors USING (rule) GROUP BY source)
+    SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, n_lines,
+           short OR repetitive AS base_failed, NOT (short OR repetitive) AND NOT blocked AS kept
+    FROM checked JOIN verdicts ON checked.source IS NOT DISTINCT FROM verdicts.source""",
+)
+def op6(spark, folder):
+    """All documents measured, and judged with their hosts."""
+    return host_rules.judge(table(spark, folder, "documents"))
