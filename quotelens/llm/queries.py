@@ -5,7 +5,7 @@ import string
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from . import hmm, host_rules, line_runs, packing, quality, sharding, simhash
+from . import decontaminate, hmm, host_rules, line_runs, packing, quality, sharding, simhash, urls
 from .text import remainder
 
 QUERIES = {}
@@ -165,3 +165,36 @@ WORDS_SQL = r"regexp_extract_all(text, '[^\x20\x09-\x0D]+')"
 def op6(spark, folder):
     """All documents measured, and judged with their hosts."""
     return host_rules.judge(table(spark, folder, "documents"))
+
+
+URL_RULES = [
+    ("allow", "com/"),
+    ("block", "example.com/en/"),
+    ("allow", "www.example.com/en/"),
+    ("block", "net/es/"),
+    ("block", "net/fr/"),
+]
+
+
+@query("op5_boosted_urls")
+def op5(spark, folder):
+    """All page URLs by the listed rules, or by trees learned from labelled URLs.
+
+    A page is labelled if the document whose number is in its path is: unwanted are documents of
+    low quality and toxic ones.
+    """
+    pages = table(spark, folder, "pages").select("page_id", "url")
+    number = F.expr(r"try_cast(regexp_extract(url, '/([0-9]+)(?:[^0-9].*)?$', 1) AS bigint)")
+    elsewhere = -1 - F.pmod(F.xxhash64("url"), F.lit(1 << 40))  # spreads pages without a number
+    labels = table(spark, folder, "labels").groupBy(F.col("doc_id").alias("number")).agg(
+        F.max(F.when((F.col("quality") == 0) | (F.col("toxic") == 1), 1).otherwise(0)).alias("label")
+    )
+    numbered = pages.withColumn("number", F.coalesce(number, elsewhere))
+    return urls.judge(numbered.join(labels, "number", "left"), URL_RULES)
+
+
+@query("op10_seeded_alignment")
+def op10(spark, folder):
+    """All documents that hold a benchmark item, whole or edited."""
+    documents = table(spark, folder, "documents")
+    return decontaminate.contaminated(documents, table(spark, folder, "benchmark"))
