@@ -5,7 +5,7 @@ import string
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from . import decontaminate, hmm, host_rules, line_runs, packing, quality, sharding, simhash, urls
+from . import decontaminate, hmm, host_rules, line_runs, packing, pseudonyms, quality, sharding, simhash, urls
 from .text import remainder
 
 QUERIES = {}
@@ -198,3 +198,16 @@ def op10(spark, folder):
     """All documents that hold a benchmark item, whole or edited."""
     documents = table(spark, folder, "documents")
     return decontaminate.contaminated(documents, table(spark, folder, "benchmark"))
+
+
+#: Only for the test tables; production passes a key of its own.
+TEST_KEY = b"key for the test tables"
+
+
+@query("op4_feistel_pseudonyms")
+def op4(spark, folder):
+    """All documents with pseudonyms for personal data, and where they stand."""
+    documents = table(spark, folder, "documents").select("doc_id", "text")
+    return pseudonyms.pseudonymise(documents, TEST_KEY).select(
+        "doc_id", "text", F.size("found").alias("n_found"), "found"
+    )
