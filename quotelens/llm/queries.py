@@ -43,20 +43,15 @@ def op1(spark, folder):
     )
 
 
-def pack_documents(documents):
-    """Production parameters of packing."""
-    return packing.pack(
+def packed_pieces(documents):
+    """Pieces with a checksum of their ids, by the production parameters."""
+    packed = packing.pack(
         documents,
         public_tokenizers.path("byte_bpe_50k.json"),
         public_tokenizers.path("byte_bpe_50k.tiktoken"),
         public_tokenizers.PATTERN,
     )
-
-
-@query("op2_hierarchical_packing")
-def op2(spark, folder):
-    """All documents as pieces of full windows of 128 to 1,024 tokens."""
-    return pack_documents(table(spark, folder, "documents")).select(
+    return packed.select(
         "doc_id",
         "start",
         "length",
@@ -69,6 +64,12 @@ def op2(spark, folder):
     )
 
 
+@query("op2_hierarchical_packing")
+def op2(spark, folder):
+    """All documents as pieces of full windows of 128 to 1,024 tokens."""
+    return packed_pieces(table(spark, folder, "documents"))
+
+
 SPACES_SQL = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
 LOWER_SQL = f"translate({{0}}, '{string.ascii_uppercase}', '{string.ascii_lowercase}')"
 
