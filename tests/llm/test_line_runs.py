@@ -1,0 +1,65 @@
+from collections import Counter
+
+import pytest
+
+from quotelens.llm import line_runs
+
+SPACES = " \t\n\x0b\f\r"
+LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+
+
+def brute(rows, least):
+    """(id, text left, lines, dropped) of each row."""
+    key = lambda line: line.strip(SPACES).translate(LOWER)
+    docs = Counter(k for _, t in rows for k in {key(x) for x in (t or "").split("\n")} if k)
+    out = []
+    for i, t in rows:
+        lines = (t or "").split("\n")
+        kept = [x for x in lines if docs[key(x)] < least]
+        out.append((i, "\n".join(kept), len(lines), len(lines) - len(kept)))
+    return Counter(out)
+
+
+ROWS = [
+    *((i, f"All Rights  RESERVED\nown line {i}\n\n") for i in range(12)),
+    *((20 + i, f"\t all rights  reserved\r\nÉtage {i % 4}\nétage") for i in range(6)),
+    (40, None), (41, ""), (42, "\n\n"), (43, "own line 1"), (None, "own line 1\nx"),
+    (44, "twice\ntwice\ntwice"), (45, "twice"), (45, "twice"), (45, "twice"),
+    (46, "very long\n" * 30_000 + "own line 1"),
+]
+
+
+@pytest.mark.parametrize("least,batches,fanout", [(3, 1, 4), (3, 5, 2), (2, 9, 3), (1, 2, 4)])
+def test_equals_brute_force(spark, least, batches, fanout):
+    df = spark.createDataFrame(ROWS, "doc_id bigint, text string").repartition(3)
+    df = df.selectExpr("*", "1 AS h1", "2 AS docs", "3 AS n_lines", "'l' AS line")
+    store = line_runs.LineRuns(spark, min_docs=least, fanout=fanout)
+    for i in range(batches):
+        store.add(df.filter(f"pmod(hash(text), {batches}) = {i}"))
+    assert all(len(level) < fanout for level in store.levels)
+    out = line_runs.drop_lines(df, store.closed()).collect()
+    found = Counter((r["doc_id"], r["text"], r["n_lines"], r["n_dropped"]) for r in out)
+    assert found == brute(ROWS, least) and out[0]["h1"] == 1
+
+
+def test_dedup_in_batches(spark):
+    df = spark.createDataFrame(ROWS, "doc_id bigint, text string")
+    out = line_runs.dedup_lines(df, min_docs=3).collect()
+    found = Counter((r["doc_id"], r["text"], r["n_lines"], r["n_dropped"]) for r in out)
+    assert found == brute(ROWS, 3)
+
+
+def test_runs_are_sorted_and_closed_lines_are_counted_no_further(spark):
+    store = line_runs.LineRuns(spark, min_docs=2, fanout=9)
+    batch = spark.createDataFrame([("a\nb",), ("a",)], "text string")
+    store.add(batch)
+    store.add(batch)
+    runs = [spark.read.parquet(p).coalesce(1).collect() for p in store.levels[0]]
+    assert [len(r) for r in runs] == [2, 1]  # the second run has no line that was closed
+    assert sorted(r["docs"] for r in store.counts().collect()) == [2, 2]
+    assert store.closed().count() == 2
+
+
+def test_empty(spark):
+    df = spark.createDataFrame([], "doc_id bigint, text string")
+    assert line_runs.dedup_lines(df).collect() == []
