@@ -1,8 +1,8 @@
 """Benchmark passages in training documents, also when edited or paraphrased.
 
 1. Every item is cut into word n-grams, and one pass over all documents counts in how many
-   documents each occurs. The rarest half of an item's n-grams are its seeds; an item that was
-   copied often keeps its rarest ones all the same.
+   documents each occurs. The rarest three quarters of an item's n-grams are its seeds; an item
+   that was copied often keeps its rarest ones all the same.
 2. A second pass finds the seeds in each document. A hit says where in the document the item would
    lie; that passage, with room for insertions, is aligned with the whole item by Smith-Waterman
    over words. The score is the best local alignment over that of the item with itself.
@@ -145,11 +145,11 @@ def _document_counts(texts, grams):
 
 
 def _seeds(items, docs, least):
-    """Gram -> (words in it, [(item, position)]) for the rarest half of each item's grams."""
+    """Gram -> (words in it, [(item, position)]) for the rarest grams of each item."""
     seeds = {}
     for i, words in enumerate(items):
         grams = _grams(words)
-        rare = sorted(grams, key=lambda g: (docs.get(g, 0), g))[: max(least, len(grams) // 2)]
+        rare = sorted(grams, key=lambda g: (docs.get(g, 0), g))[: max(least, 3 * len(grams) // 4)]
         for gram in rare:
             seeds.setdefault(gram, (min(GRAM, len(words)), []))[1].append((i, grams[gram]))
     return seeds
