@@ -99,8 +99,8 @@ def _gradients(model, x, starts, target):
     }
 
 
-def fit(bags, targets, hidden=24, attention=12, epochs=30, batch=128, rate=4e-3, seed=0):
-    """Weights learned by Adam from bags of passages and their labels."""
+def fit(bags, targets, hidden=24, attention=12, steps=960, batch=128, rate=4e-3, seed=0):
+    """Weights learned from bags of passages and their labels, by so many steps of Adam."""
     rng = np.random.default_rng(seed)
 
     def start(*shape):
@@ -118,19 +118,19 @@ def fit(bags, targets, hidden=24, attention=12, epochs=30, batch=128, rate=4e-3,
     targets = np.asarray(targets, float)
     first = {k: np.zeros_like(v) for k, v in model.items()}
     second = {k: np.zeros_like(v) for k, v in model.items()}
-    step = 0
-    for _ in range(epochs if bags else 0):
-        order = rng.permutation(len(bags))
-        for at in range(0, len(order), batch):
-            chosen = order[at : at + batch]
-            x = np.concatenate([bags[i] for i in chosen]).astype(float)
-            starts = np.cumsum([0, *(len(bags[i]) for i in chosen[:-1])])
-            step += 1
-            for k, d in _gradients(model, x, starts, targets[chosen]).items():
-                first[k] = 0.9 * first[k] + 0.1 * d
-                second[k] = 0.999 * second[k] + 0.001 * d * d
-                up = first[k] / (1 - 0.9**step)
-                model[k] = model[k] - rate * up / (np.sqrt(second[k] / (1 - 0.999**step)) + 1e-8)
+    batches = -(-len(bags) // batch)
+    for step in range(1, 1 + steps if bags else 1):
+        if (step - 1) % batches == 0:
+            order = rng.permutation(len(bags))
+        at = (step - 1) % batches * batch
+        chosen = order[at : at + batch]
+        x = np.concatenate([bags[i] for i in chosen]).astype(float)
+        starts = np.cumsum([0, *(len(bags[i]) for i in chosen[:-1])])
+        for k, d in _gradients(model, x, starts, targets[chosen]).items():
+            first[k] = 0.9 * first[k] + 0.1 * d
+            second[k] = 0.999 * second[k] + 0.001 * d * d
+            up = first[k] / (1 - 0.9**step)
+            model[k] = model[k] - rate * up / (np.sqrt(second[k] / (1 - 0.999**step)) + 1e-8)
     return model
 
 
