@@ -20,6 +20,7 @@ any other. An empty table gives an empty result. Other columns of the input are
 import math
 import zlib
 from collections import Counter
+from itertools import chain as chained
 
 import numpy as np
 import pyarrow as pa
@@ -30,7 +31,7 @@ from pyspark.sql import functions as F
 from ..session import settle
 from .text import lower_words
 
-FLUSH = 400_000
+FLUSH, BLOCK = 400_000, 200_000
 
 
 def count_words(texts):
@@ -128,53 +129,84 @@ class Vocabulary:
             hashes, common = held.value
             row = TaskContext.get().partitionId() << 33
             seen, size = {}, 1 << 16
-            code, count, key = np.zeros(size, np.uint16), np.zeros(size, np.int64), np.zeros(size, np.int64)
+            code, count, key = (np.zeros(size, t) for t in (np.uint16, np.int64, np.int64))
 
             def learn(words):
                 """Class, count (-1: not in memory) and hash of words not met yet."""
                 nonlocal size, code, count, key
-                first = len(seen)
-                while first + len(words) > size:
+                new = slice(len(seen), len(seen) + len(words))
+                while new.stop > size:
                     size *= 2
                     code, count, key = (np.resize(x, size) for x in (code, count, key))
                 h = np.array([xxhash.xxh64_intdigest(w, 42) for w in words], np.uint64).view(np.int64)
                 at = np.minimum(np.searchsorted(hashes, h), max(0, len(hashes) - 1))
                 found = hashes[at] == h if len(hashes) else np.zeros(len(h), bool)
-                new = slice(first, first + len(words))
                 key[new], count[new] = h, -1
                 count[new][found] = common[at[found]]
                 code[new] = [own_class.get(w) or _group(w, own, groups) for w in words]
-                seen.update(zip(words, range(first, first + len(words))))
+                seen.update(zip(words, range(new.start, new.stop)))
+
+            def out(docs, lists):
+                nonlocal row
+                lengths = np.array([len(w) for w in lists])
+                words = list(chained.from_iterable(lists))
+                if len(seen) > FLUSH:
+                    seen.clear()
+                learn([w for w in set(words) if w not in seen])
+                at = np.fromiter(map(seen.__getitem__, words), np.int64, len(words))
+                n, c, classes = len(docs), count[at], code[at]
+                doc = np.repeat(np.arange(n), lengths)
+                logs = np.log10(np.maximum(c, 0) + 1)
+                grouped = classes > own
+
+                def total_of(values):
+                    return np.bincount(doc, values, n)
+
+                # Within a class of its own a word is certain: its share cancels out.
+                told, alone = total_of(logs), total_of(np.where(grouped, 0, logs))
+                shares = total_of(np.where(grouped, share[classes], 0))
+                stops = np.cumsum(lengths + 1)
+                filled = np.zeros(stops[-1], "<u2")
+                filled[np.arange(len(words)) + doc] = classes
+                rare = np.flatnonzero(c < 0)
+                rare = rare[np.lexsort((key[at[rare]], doc[rare]))]
+                h, d = key[at[rare]], doc[rare]
+                first = np.flatnonzero(np.append(True, (h[1:] != h[:-1]) | (d[1:] != d[:-1]))[: len(h)])
+                pairs = pa.StructArray.from_arrays(
+                    [pa.array(h[first]), pa.array(np.diff(np.append(first, len(h))))], ["h", "n"]
+                )
+                columns = [
+                    np.arange(row, row + n),
+                    pa.array([x for x, _ in docs], pa.int64()),
+                    pa.array([x for _, x in docs], pa.bool_()),
+                    lengths + 1,
+                    total_of(c > 0).astype(np.int64) + (ends > 0),
+                    told - total * lengths + math.log10(ends + 1) - total,
+                    told - alone - shares,
+                    pa.Array.from_buffers(
+                        pa.binary(), n,
+                        [None, pa.py_buffer(np.append(0, 2 * stops).astype(np.int32)), pa.py_buffer(filled)],
+                    ),
+                    pa.ListArray.from_arrays(
+                        np.searchsorted(d[first], np.arange(n + 1)).astype(np.int32), pairs
+                    ),
+                ]
+                row += n
+                return pa.record_batch(
+                    [pa.array(x).cast(f.type) for x, f in zip(columns, schema)], schema=schema
+                )
 
+            docs, lists, tokens = [], [], 0
             for batch in batches:
-                rows = []
-                for doc, text, out in zip(*(batch.column(i).to_pylist() for i in range(3))):
-                    words = lower_words(text)
-                    if len(seen) > FLUSH:
-                        seen.clear()
-                    new = [w for w in dict.fromkeys(words) if w not in seen]
-                    if new:
-                        learn(new)
-                    at = np.fromiter(map(seen.__getitem__, words), np.int64, len(words))
-                    c, classes = count[at], code[at]
-                    told = np.log10(c[c >= 0] + 1).sum()
-                    h, n = np.unique(key[at[c < 0]], return_counts=True)
-                    grouped = classes > own
-                    # Within a class of its own a word is certain: its share cancels out.
-                    alone = np.log10(c[~grouped] + 1).sum()
-                    end = math.log10(ends + 1) - total
-                    rows.append(
-                        (row, doc, out, len(words) + 1, int((c > 0).sum()) + (ends > 0),
-                         told - total * len(words) + end,
-                         told - alone - share[classes[grouped]].sum(),
-                         np.append(classes, np.uint16(0)).astype("<u2").tobytes(),
-                         [{"h": a, "n": b} for a, b in zip(h.tolist(), n.tolist())])
-                    )
-                    row += 1
-                columns = list(zip(*rows)) or [[]] * len(schema)
-                yield pa.record_batch(
-                    [pa.array(x, f.type) for x, f in zip(columns, schema)], schema=schema
-                )
+                for doc, text, out_of in zip(*(batch.column(i).to_pylist() for i in range(3))):
+                    docs.append((doc, out_of))
+                    lists.append(lower_words(text))
+                    tokens += len(lists[-1])
+                    if tokens > BLOCK:
+                        yield out(docs, lists)
+                        docs, lists, tokens = [], [], 0
+            if docs:
+                yield out(docs, lists)
 
         return settle(
             texts.select("doc_id", "text", "held_out").mapInArrow(
@@ -200,6 +232,9 @@ class Chain:
     def __init__(self, start, middle, move, emit):
         self.start, self.middle, self.move, self.emit = start, middle, move, emit
 
+    def tables(self):
+        return self.start, self.middle, self.move, self.emit
+
     @classmethod
     def initial(cls, class_tokens, states, seed):
         """Sticky states whose emissions differ by chance from the common one."""
@@ -290,10 +325,10 @@ def train(rows, vocabulary, states=8, rounds=6, segment=256, seed=0, width=1_024
     chain = Chain.initial(vocabulary.class_tokens, states, seed)
     session = rows.sparkSession
     for _ in range(rounds):
-        shared = session.sparkContext.broadcast(chain)
+        shared = session.sparkContext.broadcast(chain.tables())
 
         def expect(batches, shared=shared):
-            chain = shared.value
+            chain = Chain(*shared.value)
             total = np.zeros(2 * states + states * states + chain.emit.size)
             waiting, opening = [], []
             for batch in batches:
@@ -322,13 +357,13 @@ def train(rows, vocabulary, states=8, rounds=6, segment=256, seed=0, width=1_024
 
 def likelihoods(rows, chain, block=2_000_000):
     """(row, chain_score): the forward recursion over the classes of each row."""
-    shared = rows.sparkSession.sparkContext.broadcast(chain)
+    shared = rows.sparkSession.sparkContext.broadcast(chain.tables())
 
     def run(batches):
-        ids, sequences, tokens = [], [], 0
+        chain, ids, sequences, tokens = Chain(*shared.value), [], [], 0
 
         def out():
-            found = log10_likelihood(shared.value, sequences)
+            found = log10_likelihood(chain, sequences)
             made = pa.record_batch([pa.array(ids, pa.int64()), pa.array(found)], ["row", "chain_score"])
             ids.clear()
             sequences.clear()
