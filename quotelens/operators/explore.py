@@ -4,7 +4,7 @@ import random
 
 from pyspark.sql import functions as F
 
-from .ordered import even_chunk, rows_between
+from .ordered import rows_between
 
 
 def value_counts(df, column):
@@ -53,11 +53,10 @@ def tail(df, n, order):
     return df.orderBy(*[F.desc(c) if isinstance(c, str) else c.desc() for c in order]).limit(n)
 
 
-def sample_slice(df, k, seed, order, chunk=None):
+def sample_slice(df, k, seed, order):
     """k rows in a row of the order, from a random start."""
     total = df.count()
     if total < k:
         raise ValueError(f"{k} rows asked for, table has {total}")
     start = int(random.Random(seed).random() * (total - k + 1))
-    chunk = even_chunk(df, [], order[0]) if chunk is None else chunk
-    return rows_between(df, order, chunk, start, k)
+    return rows_between(df, order, start, k)

@@ -1,21 +1,20 @@
 """Order-dependent results without one task per key.
 
-A plain window over ``keys`` puts every row of a key into one task. Here a key can be cut
-into chunks along the order (an hour of timestamps, a block of row numbers). Rows are ranked
-or accumulated inside (keys, chunk), and what earlier chunks contribute comes from a table
-with one row per (keys, chunk), which is small because it is aggregated before the shuffle.
-
-A chunk column must never decrease along ``order``. Without one, keys are taken to be small
-and a plain window is used; :func:`even_chunk` looks at the data and picks. Keys and order
-columns must not be null.
+A plain window over ``keys`` puts every row of a key into one task. Here rows are first put in
+order by range partitioning and written to the shared folder, each with the number of its part.
+Ranks and running values are computed inside (keys, part), and what earlier parts contribute comes
+from a small table: only a key that lies in several parts has rows there, at most two a part.
+
+The result does not depend on the size of the table. Keys and order columns may have any sortable
+type and may be null (nulls first, unless the order says otherwise); rows that are equal in them
+follow each other in any order and are spread over parts like others.
 """
 
 from pyspark.sql import Window, functions as F
 
-from .joins import BROADCAST_ROWS
-
-ROWS_PER_TASK = 1_000_000
+from ..session import settle
 
+PART, TIE = "_part", "_tie"
 _COMBINE = {
     "min": (F.min, F.least),
     "max": (F.max, F.greatest),
@@ -23,172 +22,139 @@ _COMBINE = {
 }
 
 
-def block(column, size=65536):
-    """Chunk of an integer position: blocks of ``size`` consecutive values."""
-    return F.floor(F.col(column) / size)
-
-
-def even_chunk(df, keys, column, rows=ROWS_PER_TASK):
-    """Chunk of a numeric order column that leaves about ``rows`` rows of a key in a chunk.
-
-    None if no key has more rows than that. One aggregation over keys and the column.
-    """
-    per_key = df.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("n"), (F.max(column) - F.min(column) + 1).alias("span")
-    )
-    width = per_key.filter(F.col("n") > rows).agg(F.min(F.col("span") / F.col("n"))).first()[0]
-    return None if width is None else block(column, max(1, int(width * rows)))
-
-
-def value_chunk(value):
-    """Chunk of a number: about 64 chunks per doubling, at most 2**17 over all doubles."""
-    return (F.signum(value) * F.floor(F.log2(1 + F.abs(value)) * 64)).cast("long")
-
-
 def one_column(order):
     """Order columns as a single comparable value; a lone column stays as it is."""
     return F.col(order[0]) if len(order) == 1 else F.struct(*order)
 
 
-def _earlier(keys, order):
-    return Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+def in_parts(df, keys, order):
+    """``df`` in the shared folder, cut along keys and order; adds ``_part`` and ``_tie``."""
+    tied = df.withColumn(TIE, F.monotonically_increasing_id())
+    spread = tied.repartitionByRange(*keys, *order, TIE)
+    return settle(spread.withColumn(PART, F.spark_partition_id()))
 
 
-def _with_chunks(df, chunks):
-    names = [f"_chunk{i}" for i in range(len(chunks))]
-    return df.withColumns(dict(zip(names, chunks))), names
+def _inside(keys, order):
+    return Window.partitionBy(*keys, PART).orderBy(*order, TIE)
 
 
-def _rows_before(sizes, keys, names):
-    """Rows of the key in front of each chunk, level by level."""
-    outer, last = names[:-1], names[-1]
-    before = F.coalesce(F.sum("_n").over(_earlier([*keys, *outer], [last])), F.lit(0))
-    here = sizes.select(*keys, *names, before.alias("_before"))
-    if not outer:
-        return here
-    totals = sizes.groupBy(*keys, *outer).agg(F.sum("_n").alias("_n"))
-    above = _rows_before(totals, keys, outer).withColumnRenamed("_before", "_above")
-    return here.join(above, [*keys, *outer]).select(
-        *keys, *names, (F.col("_before") + F.col("_above")).alias("_before")
-    )
+def _carried(placed, keys, aggregates, use):
+    """``use`` of the earlier (or later) parts, for keys that lie in more than one part.
 
+    ``aggregates`` are taken per (keys, part); ``use`` maps a window over the parts of a key to
+    columns. The result has at most two rows a part, whatever the data.
+    """
+    sizes = placed.groupBy(*keys, PART).agg(*aggregates)
+    key = Window.partitionBy(*keys) if keys else Window.partitionBy(F.lit(0))
+    parts = F.count(F.lit(1)).over(key).alias("_parts")
+    several = sizes.select("*", parts).filter("_parts > 1")
+    return several.select(*keys, PART, *use(key.orderBy(PART)))
 
-def row_numbers(df, keys, order, chunks=(), name="row_number"):
-    """1-based position of every row within ``keys`` along ``order``.
 
-    ``chunks`` lists chunk columns, coarse to fine.
-    """
-    if not chunks:
-        return df.withColumn(name, F.row_number().over(Window.partitionBy(*keys).orderBy(*order)))
-    cut, names = _with_chunks(df, chunks)
-    sizes = cut.groupBy(*keys, *names).agg(F.count(F.lit(1)).alias("_n"))
-    local = F.row_number().over(Window.partitionBy(*keys, *names).orderBy(*order))
-    return (
-        cut.withColumn("_local", local)
-        .join(_rows_before(sizes, keys, names), [*keys, *names])
-        .withColumn(name, F.col("_local") + F.col("_before"))
-        .drop("_local", "_before", *names)
-    )
+def _with_carried(placed, carried, keys):
+    """Joined on the keys, nulls included, and the part."""
+    names = [f"_k{i}" for i in range(len(keys))]
+    small = F.broadcast(carried.withColumnsRenamed({**dict(zip(keys, names)), PART: "_p"}))
+    on = F.col(PART) == F.col("_p")
+    for key, name in zip(keys, names):
+        on = on & F.col(key).eqNullSafe(F.col(name))
+    return placed.join(small, on, "left").drop("_p", *names)
+
 
+def row_numbers(df, keys, order, name="row_number"):
+    """1-based position of every row within ``keys`` along ``order``."""
+    one = {"_n": ("sum", F.lit(1), False)}
+    return running(df, keys, order, one).withColumnRenamed("_n", name)
 
-def running(df, keys, order, chunk, columns):
+
+def running(df, keys, order, columns):
     """Running aggregates within ``keys`` along ``order``, all in one pass.
 
     ``columns`` maps a new name to (``min`` | ``max`` | ``sum``, value column, before); with
     ``before`` true the current row is left out.
     """
+    return running_in_parts(in_parts(df, keys, order), keys, order, columns).drop(PART, TIE)
 
-    def local(value, kind, before, rows):
-        frame = rows.orderBy(*order).rowsBetween(Window.unboundedPreceding, -1 if before else 0)
-        return _COMBINE[kind][0](value).over(frame)
 
-    if chunk is None:
-        rows = Window.partitionBy(*keys)
-        return df.withColumns(
-            {n: local(value, kind, before, rows) for n, (kind, value, before) in columns.items()}
-        )
-    cut, (chunk_name,) = _with_chunks(df, [chunk])
-    cut = cut.withColumns({f"_v_{n}": value for n, (_, value, _) in columns.items()})
-    totals = cut.groupBy(*keys, chunk_name).agg(
-        *[_COMBINE[kind][0](f"_v_{n}").alias(f"_t_{n}") for n, (kind, _, _) in columns.items()]
-    )
-    earlier = _earlier(keys, [chunk_name])
-    carried = totals.select(
-        *keys,
-        chunk_name,
-        *[
-            _COMBINE[kind][0](f"_t_{n}").over(earlier).alias(f"_c_{n}")
+def running_in_parts(placed, keys, order, columns):
+    """The same over rows of :func:`in_parts`, which keep their part and tie."""
+    valued = placed.withColumns({f"_v_{n}": value for n, (_, value, _) in columns.items()})
+
+    def earlier(parts):
+        frame = parts.rowsBetween(Window.unboundedPreceding, -1)
+        return [
+            _COMBINE[kind][0](f"_t_{n}").over(frame).alias(f"_c_{n}")
             for n, (kind, _, _) in columns.items()
-        ],
-    )
-    rows = Window.partitionBy(*keys, chunk_name)
-    inside = {
-        f"_l_{n}": local(f"_v_{n}", kind, before, rows)
+        ]
+
+    totals = [_COMBINE[kind][0](f"_v_{n}").alias(f"_t_{n}") for n, (kind, _, _) in columns.items()]
+    carried = _carried(valued, keys, totals, earlier)
+    local = {
+        f"_l_{n}": _COMBINE[kind][0](f"_v_{n}").over(
+            _inside(keys, order).rowsBetween(Window.unboundedPreceding, -1 if before else 0)
+        )
         for n, (kind, _, before) in columns.items()
     }
     combined = {
         n: _COMBINE[kind][1](F.col(f"_l_{n}"), F.col(f"_c_{n}"))
         for n, (kind, _, _) in columns.items()
     }
-    joined = cut.withColumns(inside).join(carried, [*keys, chunk_name]).withColumns(combined)
-    return joined.select(*df.columns, *columns)
+    joined = _with_carried(valued.withColumns(local), carried, keys).withColumns(combined)
+    kept = [c for c in placed.columns if c not in columns]
+    return joined.select(*kept, *columns)
 
 
-def next_value(df, keys, order, chunk, value, name):
+def next_value(df, keys, order, value, name):
     """``value`` of the following row of the same key; null on the last row."""
-    if chunk is None:
-        return df.withColumn(name, F.lead(value).over(Window.partitionBy(*keys).orderBy(*order)))
-    cut, (chunk_name,) = _with_chunks(df.withColumn("_value", value), [chunk])
-    firsts = cut.groupBy(*keys, chunk_name).agg(
-        F.min_by("_value", one_column(order)).alias("_first")
-    )
-    following = firsts.select(
-        *keys,
-        chunk_name,
-        F.lead("_first").over(Window.partitionBy(*keys).orderBy(chunk_name)).alias("_following"),
-    )
-    w = Window.partitionBy(*keys, chunk_name).orderBy(*order)
-    last_of_chunk = F.lead(F.lit(1)).over(w).isNull()
+    placed = in_parts(df.withColumn("_value", value), keys, order)
+    inside = _inside(keys, order)
+    ranked = placed.withColumns(
+        {
+            "_first": F.row_number().over(inside) == 1,
+            "_last": F.lead(F.lit(1)).over(inside).isNull(),
+            "_local": F.lead("_value").over(inside),
+        }
+    )
+    first = F.max_by("_value", "_first").alias("_value")
+    carried = _carried(
+        ranked, keys, [first], lambda parts: [F.lead("_value").over(parts).alias("_following")]
+    )
+    following = F.when(F.col("_last"), F.col("_following")).otherwise(F.col("_local"))
     return (
-        cut.withColumn("_last", last_of_chunk)
-        .withColumn("_local", F.lead("_value").over(w))
-        .join(following, [*keys, chunk_name])
-        .withColumn(name, F.when(F.col("_last"), F.col("_following")).otherwise(F.col("_local")))
-        .drop("_last", "_local", "_following", "_value", chunk_name)
+        _with_carried(ranked, carried, keys)
+        .withColumn(name, following)
+        .drop("_first", "_last", "_local", "_following", "_value", PART, TIE)
     )
 
 
-def rows_between(df, order, chunk, first, n):
+def rows_between(df, order, first, n):
     """Rows number ``first`` .. ``first + n - 1`` (from 0) of the whole frame.
 
-    Only chunks that hold wanted rows are shuffled and ranked.
+    Only parts that hold wanted rows are ranked.
     """
-    cut, names = _with_chunks(df, [F.lit(0) if chunk is None else chunk])
-    sizes = cut.groupBy(*names).agg(F.count(F.lit(1)).alias("_n"))
-    offsets = _rows_before(sizes, [], names).join(sizes, names)
-    held = offsets.filter(
+    placed = in_parts(df, [], order)
+    sizes = placed.groupBy(PART).agg(F.count(F.lit(1)).alias("_n"))
+    earlier = Window.partitionBy(F.lit(0)).orderBy(PART).rowsBetween(Window.unboundedPreceding, -1)
+    before = F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before")
+    held = sizes.select("*", before).filter(
         (F.col("_before") < first + n) & (F.col("_before") + F.col("_n") > first)
     )
-    # Each chunk kept holds at least one of the n wanted rows, so there are at most n.
-    held = F.broadcast(held) if n <= BROADCAST_ROWS else held
-    position = F.col("_before") + F.row_number().over(
-        Window.partitionBy(*names).orderBy(*order)
-    ) - 1
+    position = F.col("_before") + F.row_number().over(_inside([], order)) - 1
     return (
-        cut.join(held, names)
+        placed.join(F.broadcast(held), PART)  # a row for each part at most
         .withColumn("_position", position)
         .filter(F.col("_position").between(first, first + n - 1))
-        .drop("_position", "_before", "_n", *names)
+        .drop("_position", "_before", "_n", PART, TIE)
     )
 
 
-def exact_percentiles(df, keys, values, probabilities):
+def exact_percentiles(df, keys, values, probabilities, count=None):
     """Exact, linearly interpolated percentiles of several columns, one row per key.
 
-    ``values`` maps a prefix to a numeric column; results are named like ``<prefix>50``.
+    ``values`` maps a prefix to a numeric column; results are named like ``<prefix>50``. Nulls
+    are left out, NaN is above every number. ``count`` names a column with how often a row counts.
 
-    Equal values are counted before the shuffle, a histogram over value chunks finds the
-    chunks that hold the wanted ranks, and only those chunks are sorted.
+    Equal values are counted first; a running sum over the counted values finds the wanted ranks.
     """
     numbered = list(values.items())
     entries = F.array(
@@ -198,19 +164,16 @@ def exact_percentiles(df, keys, values, probabilities):
         ]
     )
     on = [*keys, "_col"]
-    present = F.col("_v").isNotNull()
-    for key in keys:
-        present = present & F.col(key).isNotNull()
     counts = (
-        df.select(*keys, F.inline(entries))
-        .filter(present)
+        df.dropna(subset=list(keys))
+        .select(*keys, F.lit(1).alias("_n") if count is None else F.col(count).alias("_n"), F.inline(entries))
+        .filter("_v is not null")
         .groupBy(*on, "_v")
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .withColumn("_chunk", F.coalesce(value_chunk(F.col("_v")), F.lit(0)))
-    )
-    everything = Window.partitionBy(*on).rowsBetween(
-        Window.unboundedPreceding, Window.unboundedFollowing
+        .agg(F.sum("_n").alias("_n"))
     )
+    placed = in_parts(counts, on, ["_v"])
+    ended = running_in_parts(placed, on, ["_v"], {"_end": ("sum", F.col("_n"), False)})
+    totals = placed.groupBy(*on).agg(F.sum("_n").alias("_total"))
     positions = [(F.col("_total") - 1) * p for p in probabilities]
     ranks = F.array(
         *[
@@ -219,29 +182,9 @@ def exact_percentiles(df, keys, values, probabilities):
             for side, edge in (("lo", F.floor), ("hi", F.ceil))
         ]
     )
-
-    def within(start, end):
-        return lambda t: (t["rank"] >= start) & (t["rank"] < end)
-
-    before, n = F.col("_before"), F.col("_n")
-    chunks = (
-        counts.groupBy(*on, "_chunk")
-        .agg(F.sum("_n").alias("_n"))
-        .withColumn("_before", F.coalesce(F.sum("_n").over(_earlier(on, ["_chunk"])), F.lit(0)))
-        .withColumn("_total", F.sum("_n").over(everything))
-        .withColumn("_wanted", F.filter(ranks, within(before, before + n)))
-        .filter(F.size("_wanted") > 0)
-        .select(*on, "_chunk", "_before", "_total", "_wanted")
-    )
-    upto = Window.partitionBy(*on, "_chunk").orderBy("_v").rowsBetween(
-        Window.unboundedPreceding, 0
-    )
     end = F.col("_end")
-    found = (
-        counts.join(chunks, [*on, "_chunk"])
-        .withColumn("_end", before + F.sum("_n").over(upto))
-        .withColumn("_hit", F.explode(F.filter("_wanted", within(end - n, end))))
-    )
+    wanted = F.filter(ranks, lambda t: (t["rank"] >= end - F.col("_n")) & (t["rank"] < end))
+    found = ended.join(totals, on).withColumn("_hit", F.explode(wanted))
 
     def result(column, i, p):
         mine = F.col("_col") == column
@@ -252,7 +195,9 @@ def exact_percentiles(df, keys, values, probabilities):
 
         position = (F.max(F.when(mine, F.col("_total"))) - 1) * p
         share = position - F.floor(position)
-        return at("lo") * (1 - share) + at("hi") * share
+        # Between equal ends nothing is weighed, so infinities stay what they are.
+        between = at("lo") * (1 - share) + at("hi") * share
+        return F.when((share == 0) | at("lo").eqNullSafe(at("hi")), at("lo")).otherwise(between)
 
     return found.groupBy(*keys).agg(
         *[

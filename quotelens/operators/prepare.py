@@ -5,25 +5,17 @@ from pyspark.sql import functions as F
 from ..functions import arrays, chat, text as tx
 from ..schemas import IGNORED_LABEL, MAX_PROMPT_TOKENS, MAX_SEQUENCE, PAD_MULTIPLE
 from .joins import BROADCAST_ROWS, fits
-from .ordered import even_chunk, row_numbers
+from .ordered import row_numbers
 
 
 def fit_vocab(df, tokens="tokens", first_id=1):
     """Token ids by falling count, then by token; ids below ``first_id`` stay free.
 
-    Ranked by count first: n occurrences have fewer than sqrt(2n) different counts, so the
-    one global step stays small. Tokens of equal count are ranked by their first letters.
     """
     # An outer explode gets no filter on the array, which would compute the tokens twice.
     words = df.select(F.explode_outer(tokens).alias("token")).filter("token is not null")
     counts = words.groupBy("token").agg(F.count(F.lit(1)).alias("count"))
-    ranked = row_numbers(
-        counts,
-        [],
-        [F.desc("count"), "token"],
-        [-F.col("count"), F.coalesce(F.substring("token", 1, 3), F.lit(""))],
-        "_rank",
-    )
+    ranked = row_numbers(counts, [], [F.desc("count"), "token"], "_rank")
     return ranked.select(
         "token", "count", (F.col("_rank") - 1 + first_id).cast("int").alias("token_id")
     )
@@ -168,10 +160,9 @@ def training_arrays(df, pad_id=0, limit=MAX_SEQUENCE, full="full_ids", prompt="p
     )
 
 
-def batch_no(df, order, size, chunk=None, name="batch"):
+def batch_no(df, order, size, name="batch"):
     """Mini-batch number along the order, from 1."""
-    chunk = even_chunk(df, [], order[0]) if chunk is None else chunk
-    numbered = row_numbers(df, [], order, [] if chunk is None else [chunk], "_row")
+    numbered = row_numbers(df, [], order, "_row")
     return numbered.withColumn(name, F.expr(f"(_row - 1) div {int(size)} + 1")).drop("_row")
 
 

@@ -2,7 +2,8 @@
 
 from pyspark.sql import functions as F
 
-from .ordered import even_chunk, exact_percentiles, next_value, running
+from ..session import settle
+from .ordered import exact_percentiles, in_parts, next_value, running_in_parts
 
 
 def bench_summary(requests, keys=()):
@@ -37,7 +38,13 @@ def bench_summary(requests, keys=()):
     percentiles = exact_percentiles(keyed, on, columns, marks)
     names = {f"l{p * 100:g}": f"p{p * 100:g}Latency" for p in marks}
     names |= {f"f{p * 100:g}": f"p{p * 100:g}TimeToFirstByte" for p in marks}
-    return derived.join(percentiles, on, "left").withColumnsRenamed(names).drop("_all")
+    return _side_by_side(derived, percentiles, on).withColumnsRenamed(names).drop("_all")
+
+
+def _side_by_side(left, right, on):
+    """Two tables with one row a key as one; an aggregation, as the key may be a constant."""
+    both = left.unionByName(right, allowMissingColumns=True)
+    return both.groupBy(*on).agg(*[F.max(c).alias(c) for c in both.columns if c not in on])
 
 
 def loss_series(log, run=()):
@@ -59,47 +66,30 @@ def best_step(log, run="run"):
     )
 
 
-def early_stop(log, patience=2, min_delta=1e-3, run="run", chunk=None):
+def early_stop(log, patience=2, min_delta=1e-3, run="run"):
     """Step at which training stops per run, null if it never does.
 
     An evaluation improves if it is the first or lowers the best loss so far by more than
     ``min_delta``; training stops at the ``patience``-th in a row that does not.
     """
-    evals = log.filter(F.col("eval_loss").isNotNull())
-    chunk = even_chunk(evals, [run], "step") if chunk is None else chunk
-    evals = evals.select(run, "step", "eval_loss")
-    if chunk is not None:
-        # Kept as a column, so that the second pass finds the rows already in place.
-        evals = evals.withColumn("_part", F.coalesce(chunk, F.lit(0)))
-        chunk = F.col("_part")
-    ranked = running(
-        evals,
-        [run],
-        ["step"],
-        chunk,
-        {
-            "_rank": ("sum", F.lit(1), False),
-            "_best": ("min", F.col("eval_loss"), True),
-        },
-    )
+    evals = log.filter(F.col("eval_loss").isNotNull()).select(run, "step", "eval_loss")
+    ranks = {
+        "_rank": ("sum", F.lit(1), False),
+        "_best": ("min", F.col("eval_loss"), True),
+    }
+    ranked = running_in_parts(in_parts(evals, [run], ["step"]), [run], ["step"], ranks)
     improved = F.col("_best").isNull() | (F.col("_best") - F.col("eval_loss") > min_delta)
-    since = running(
-        ranked,
-        [run],
-        ["step"],
-        chunk,
-        {"_last": ("max", F.when(improved, F.col("_rank")), False)},
-    )
+    last = {"_last": ("max", F.when(improved, F.col("_rank")), False)}
+    since = running_in_parts(ranked, [run], ["step"], last)
     waited = F.col("_rank") - F.col("_last")
     return since.groupBy(run).agg(
         F.min(F.when(waited >= patience, F.col("step"))).alias("stop_step")
     )
 
 
-def request_gap(log, client="client", at="ts_ms", chunk=None):
+def request_gap(log, client="client", at="ts_ms"):
     """Milliseconds to the client's next request (``gap_ms``), null on its last one."""
-    chunk = even_chunk(log, [client], at) if chunk is None else chunk
-    following = next_value(log, [client], [at], chunk, F.col(at), "_next")
+    following = next_value(log, [client], [at], F.col(at), "_next")
     return following.withColumn("gap_ms", F.col("_next") - F.col(at)).drop("_next")
 
 
@@ -109,16 +99,25 @@ def length_stats(df, size, keys=(), exact=True):
     sized = rows.select(*keys, F.lit(1).alias("_all"), size.alias("_size"))
     on = [*keys, "_all"]
     marks = (0.5, 0.9, 0.99)
-    basics = [
-        F.count("_size").alias("count"),
-        F.avg("_size").alias("mean"),
-        F.min("_size").alias("min"),
-        F.max("_size").alias("max"),
-    ]
     if exact:
-        stats = sized.groupBy(*on).agg(*basics)
-        stats = stats.join(exact_percentiles(sized, on, {"p": "_size"}, marks), on, "left")
+        # Everything follows from how often each size occurs, so sizes are computed once.
+        sizes = settle(sized.groupBy(*on, "_size").agg(F.count(F.lit(1)).alias("_n")))
+        stats = sizes.groupBy(*on).agg(
+            F.coalesce(F.sum(F.when(F.col("_size").isNotNull(), F.col("_n"))), F.lit(0)).alias("count"),
+            (F.sum(F.col("_size") * F.col("_n")) / F.sum(
+                F.when(F.col("_size").isNotNull(), F.col("_n"))
+            )).alias("mean"),
+            F.min("_size").alias("min"),
+            F.max("_size").alias("max"),
+        )
+        marked = exact_percentiles(sizes, on, {"p": "_size"}, marks, count="_n")
+        stats = _side_by_side(stats, marked, on)
     else:
-        approx = [F.percentile_approx("_size", p).alias(f"p{p * 100:g}") for p in marks]
-        stats = sized.groupBy(*on).agg(*basics, *approx)
+        stats = sized.groupBy(*on).agg(
+            F.count("_size").alias("count"),
+            F.avg("_size").alias("mean"),
+            F.min("_size").alias("min"),
+            F.max("_size").alias("max"),
+            *[F.percentile_approx("_size", p).alias(f"p{p * 100:g}") for p in marks],
+        )
     return stats.drop("_all")

@@ -4,7 +4,6 @@ from pyspark.sql import functions as F
 
 from ...functions import text as tx
 from ...operators import runs
-from ...operators.ordered import block
 from . import standins as st
 from .registry import TOKENS, query, r6, texts
 
@@ -67,7 +66,7 @@ def load_summary_by_endpoint(spark, folder):
 )
 def request_gaps(spark, folder):
     log = st.requests(spark, folder).select("event_id", "client", "start_ms")
-    gaps = runs.request_gap(log, at="start_ms", chunk=block("start_ms", 86_400_000))
+    gaps = runs.request_gap(log, at="start_ms")
     return gaps.select("event_id", "client", F.coalesce("gap_ms", F.lit(-1)).alias("gap_ms"))
 
 
@@ -105,7 +104,7 @@ def best_steps(spark, folder):
 )
 def early_stops(spark, folder):
     log = st.training_log(spark, folder)
-    stops = runs.early_stop(log, chunk=block("step", 1000))
+    stops = runs.early_stop(log)
     return stops.select("run", F.coalesce("stop_step", F.lit(-1)).alias("stop_step"))
 
 

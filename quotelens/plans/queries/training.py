@@ -158,4 +158,4 @@ def padded_batches(spark, folder):
 )
 def batch_numbers(spark, folder):
     docs = table(spark, folder, "documents").select("doc_id")
-    return prep.batch_no(docs, ["doc_id"], 7, chunk=F.floor(F.col("doc_id") / 100))
+    return prep.batch_no(docs, ["doc_id"], 7)

@@ -22,19 +22,53 @@ def same(left, right):
     return sorted(map(str, left.collect())) == sorted(map(str, right.collect()))
 
 
-def test_row_numbers(hot):
-    want = hot.withColumn("n", F.row_number().over(Window.partitionBy("k").orderBy("t")).cast("long"))
-    for chunks in ([F.floor(F.col("t") / 50)], [F.floor(F.col("t") / 200), F.floor(F.col("t") / 7)]):
-        got = ordered.row_numbers(hot, ["k"], ["t"], chunks, "n").select(want.columns)
-        assert same(got, want)
-    plain = ordered.row_numbers(hot, ["k"], ["t"], name="n")
-    assert same(plain.withColumn("n", F.col("n").cast("long")), want)
+@pytest.fixture(scope="module")
+def odd(spark):
+    """Null keys, null and repeated order values, a burst."""
+    rng = random.Random(6)
+    rows = [
+        (rng.choice([None, "hot", "hot", "a"]), rng.choice([None, 3, 3, rng.randrange(900)]), i)
+        for i in range(700)
+    ]
+    return spark.createDataFrame(rows, "k string, t long, v int").repartition(5)
 
 
-def test_running(hot):
-    w = Window.partitionBy("k").orderBy("t")
+def test_row_numbers(hot, odd):
+    want = hot.withColumn("n", F.row_number().over(Window.partitionBy("k").orderBy("t")).cast("long"))
+    assert same(ordered.row_numbers(hot, ["k"], ["t"], "n").select(want.columns), want)
+    full = Window.partitionBy("k").orderBy("t", "v")
+    want = odd.withColumn("n", F.row_number().over(full).cast("long"))
+    assert same(ordered.row_numbers(odd, ["k"], ["t", "v"], "n").select(want.columns), want)
+    by_text = odd.select(F.concat(F.lit("x"), F.col("v").cast("string")).alias("s"))
+    want = by_text.withColumn("n", F.row_number().over(Window.orderBy(F.desc("s"))).cast("long"))
+    assert same(ordered.row_numbers(by_text, [], [F.desc("s")], "n"), want)
+
+
+def test_ties_are_numbered_without_gaps_and_spread_over_parts(spark):
+    rows = spark.range(4_000).select(F.lit(1).alias("k"), F.lit(None).cast("int").alias("t"))
+    numbers = [r["n"] for r in ordered.row_numbers(rows, ["k"], ["t"], "n").collect()]
+    assert sorted(numbers) == list(range(1, 4_001))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        sizes = ordered.in_parts(rows, ["k"], ["t"]).groupBy("_part").count().collect()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert len(sizes) > 2 and max(r["count"] for r in sizes) < 3_000
+
+
+@pytest.fixture
+def many_parts(spark):
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    spark.conf.set("spark.sql.shuffle.partitions", "9")
+    yield
+    spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.shuffle.partitions", "4")
+
+
+def _check_running(df):
+    w = Window.partitionBy("k").orderBy("t", "v")
     upto = w.rowsBetween(Window.unboundedPreceding, 0)
-    want = hot.select(
+    want = df.select(
         "*",
         F.min("v").over(w.rowsBetween(Window.unboundedPreceding, -1)).alias("lo"),
         F.max("v").over(upto).alias("hi"),
@@ -45,22 +79,21 @@ def test_running(hot):
         "hi": ("max", F.col("v"), False),
         "total": ("sum", F.col("v"), False),
     }
-    for width in (13, 100_000):
-        got = ordered.running(hot, ["k"], ["t"], F.floor(F.col("t") / width), columns)
-        assert same(got.select(want.columns), want)
+    assert same(ordered.running(df, ["k"], ["t", "v"], columns).select(want.columns), want)
+    want = df.withColumn("x", F.lead("v").over(w))
+    assert same(ordered.next_value(df, ["k"], ["t", "v"], F.col("v"), "x").select(want.columns), want)
+    want = df.withColumn("n", F.row_number().over(w).cast("long"))
+    assert same(ordered.row_numbers(df, ["k"], ["t", "v"], "n").select(want.columns), want)
 
 
-def test_next_value(hot):
-    want = hot.withColumn("x", F.lead("v").over(Window.partitionBy("k").orderBy("t")))
-    for chunk in (F.floor(F.col("t") / 9), None):
-        assert same(ordered.next_value(hot, ["k"], ["t"], chunk, F.col("v"), "x").select(want.columns), want)
+def test_running_and_next(hot, odd):
+    _check_running(hot)
+    _check_running(odd)
 
 
-def test_even_chunk_looks_at_the_hottest_key(hot):
-    assert ordered.even_chunk(hot, ["k"], "t", rows=1000) is None
-    chunk = ordered.even_chunk(hot, ["k"], "t", rows=50)
-    biggest = hot.groupBy("k", chunk).count().agg(F.max("count")).first()[0]
-    assert biggest < 100
+def test_results_do_not_depend_on_parts(hot, odd, many_parts):
+    _check_running(hot)
+    _check_running(odd)
 
 
 def test_percentiles_are_exact(spark):
@@ -76,16 +109,28 @@ def test_percentiles_are_exact(spark):
                 assert np.isclose(got[key][f"{name}{p * 100:g}"], np.quantile(values, p)), (key, name, p)
 
 
-def test_slices(hot):
+def test_odd_numbers_and_spread_values(spark, many_parts):
+    nan, inf = float("nan"), float("inf")
+    rows = [(v,) for v in [nan, inf, -inf, -0.0, 0.0, None, 1.0]]
+    df = spark.createDataFrame(rows, "x double")
+    got = ordered.exact_percentiles(df, [], {"x": "x"}, (0.0, 0.2, 0.4, 0.6, 0.8, 1.0)).first()
+    assert [str(v) for v in got] == ["-inf", "0.0", "0.0", "1.0", "inf", "nan"]
+    close = spark.range(20_000).select((100 + F.col("id") / 20_000).alias("x"))
+    got = ordered.exact_percentiles(close, [], {"x": "x"}, (0.5, 0.99)).first()
+    assert np.allclose(got, np.quantile(100 + np.arange(20_000) / 20_000, [0.5, 0.99]))
+
+
+def test_slices(hot, odd, many_parts):
     order = [r.t for r in hot.orderBy("t").collect()]
-    for chunk in (F.floor(F.col("t") / 20), None):
-        got = ordered.rows_between(hot, ["t"], chunk, 95, 30)
-        assert sorted(r.t for r in got.collect()) == order[95:125]
+    got = ordered.rows_between(hot, ["t"], 95, 30)
+    assert sorted(r.t for r in got.collect()) == order[95:125]
     sample = sorted(r.t for r in explore.sample_slice(hot, 5, 1, ["t"]).collect())
     start = order.index(sample[0])
     assert sample == order[start : start + 5]
     again = sorted(r.t for r in explore.sample_slice(hot.repartition(2), 5, 1, ["t"]).collect())
     assert sample == again
+    for seed in range(4):
+        assert explore.sample_slice(odd, 5, seed, ["k", "t"]).count() == 5
     with pytest.raises(ValueError):
         explore.sample_slice(hot.limit(3), 5, 1, ["t"])
 

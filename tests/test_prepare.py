@@ -86,11 +86,12 @@ def test_padding(spark, longest, width):
         assert r.labels[n:] == [-100] * (len(r.labels) - n)
 
 
-def test_batches_do_not_depend_on_chunks(spark):
+def test_batches_take_any_order(spark):
     df = spark.range(0, 50, 2).repartition(4)
-    for chunk in (None, F.floor(F.col("id") / 10)):
-        got = {r.id: r.batch for r in prep.batch_no(df, ["id"], 5, chunk).collect()}
-        assert got == {i: i // 10 + 1 for i in range(0, 50, 2)}
+    got = {r.id: r.batch for r in prep.batch_no(df, ["id"], 5).collect()}
+    assert got == {i: i // 10 + 1 for i in range(0, 50, 2)}
+    named = df.select(F.lit("f").alias("file"), F.col("id").alias("row"))
+    assert {r.row: r.batch for r in prep.batch_no(named, ["file", "row"], 5).collect()} == got
 
 
 def test_training_set_from_documents(spark):

@@ -19,9 +19,7 @@ def test_best_step_takes_the_earlier_of_equals(spark):
     assert tuple(runs.best_step(spark.createDataFrame(rows, LOG)).first()) == ("r", 20, 0.3)
 
 
-@pytest.mark.parametrize("width", [None, 20])
-def test_early_stop(spark, width):
-    chunk = width and F.floor(F.col("step") / width)
+def test_early_stop(spark):
     losses = {
         "never": [1.0, 0.9, 0.8, 0.7],
         "stalls": [1.0, 0.9, 0.8995, 0.8991, 0.5],
@@ -30,9 +28,11 @@ def test_early_stop(spark, width):
         "edge": [1.0, 0.999, 0.998],
     }
     rows = [(r, 10 * i, None, e) for r, es in losses.items() for i, e in enumerate(es)]
+    losses[None] = losses["rises"]
+    rows += [(None, 10 * i, None, e) for i, e in enumerate(losses[None])]
     rows += [("never", 5, 0.1, None)]
     df = spark.createDataFrame(rows, LOG).repartition(3)
-    got = {r.run: r.stop_step for r in runs.early_stop(df, chunk=chunk).collect()}
+    got = {r.run: r.stop_step for r in runs.early_stop(df).collect()}
 
     def brute(es):
         best, waited = None, 0
@@ -67,12 +67,14 @@ def test_published_summaries(spark, requests, failed, clients, latency, tokens,
     assert math.isclose(row.p99Latency, latency) and row.totalRequests == requests
 
 
-def test_gaps_over_chunks(spark):
-    rows = [("a", t) for t in (0, 5, 5, 1000, 99_999)] + [("b", 7)]
+def test_gaps(spark):
+    rows = [("a", t) for t in (0, 5, 5, 1000, 99_999)] + [("b", 7), ("b", None)]
     df = spark.createDataFrame(rows, "client string, ts_ms long").repartition(3)
-    for chunk in (None, F.floor(F.col("ts_ms") / 100)):
-        got = sorted((r.client, r.ts_ms, -1 if r.gap_ms is None else r.gap_ms) for r in runs.request_gap(df, chunk=chunk).collect())
-        assert got == [("a", 0, 5), ("a", 5, 0), ("a", 5, 995), ("a", 1000, 98_999), ("a", 99_999, -1), ("b", 7, -1)]
+    gaps = runs.request_gap(df).fillna(-1).collect()
+    assert sorted((r.client, r.ts_ms, r.gap_ms) for r in gaps) == [
+        ("a", 0, 5), ("a", 5, 0), ("a", 5, 995), ("a", 1000, 98_999), ("a", 99_999, -1),
+        ("b", -1, -1), ("b", 7, -1),
+    ]
 
 
 def test_length_statistics(spark):
