@@ -5,7 +5,9 @@ from pyspark.sql import functions as F
 from ..functions import chat
 from ..schemas import NOT_MENTIONED, RAW_NOT_MENTIONED
 from .joins import fits, hinted
-from .ordered import block, one_column
+from .ordered import one_column, running
+
+LIMIT, LIMIT_BYTES = 65_536, 64 << 20  # of one answer list
 
 
 def normalise_label(df, column="label"):
@@ -47,69 +49,70 @@ def first_per_doc(df, order, key="document_id"):
     )
 
 
-def group_answers(df, order, item, key="document_id", name="inference", chunk=None, limit=65536):
-    """Collect ``item`` into a list per document, in input order.
+def group_answers(df, order, item, key="document_id", name="inference", limit=LIMIT, limit_bytes=LIMIT_BYTES):
+    """Collect ``item`` into lists per document, in input order.
 
-    A document with more than ``limit`` rows comes as several rows, one per ``chunk`` of the
-    order: by default the leading order columns with blocks of ``limit`` of the last one, an
-    integer. ``part`` holds the chunk and is null for a document in one row. The parts in
-    order are the whole list.
+    Every row has a ``part``, 0 for a document within the limits. A list with more than ``limit``
+    entries or ``limit_bytes`` bytes of text goes on in rows with higher parts (numbers may be
+    skipped); the parts in order are the whole list.
     """
     rows = df.filter(F.col(key).isNotNull())
-    part = _part_of(rows, key, order, chunk, limit)
-    grouped = part.groupBy(key, "part").agg(
+    parted, _ = _with_parts(rows, key, order, item, limit, limit_bytes)
+    grouped = parted.groupBy(key, "part").agg(
         F.array_sort(F.collect_list(F.struct(*order, item.alias("_item")))).alias("_items")
     )
     return grouped.select(key, "part", F.col("_items._item").alias(name))
 
 
-def _part_of(rows, key, order, chunk, limit):
-    if chunk is None:
-        last = block(order[-1], limit)
-        chunk = F.struct(*order[:-1], last.alias("block")) if order[1:] else last
-    sizes = rows.groupBy(key).agg(F.count(F.lit(1)).alias("_rows"))
-    n_big = fits(sizes.filter(F.col("_rows") > limit))
-    if n_big == 0:
-        nothing = F.lit(False)
-        return rows.withColumn("_first", F.when(nothing, one_column(order))).withColumn(
-            "part", F.when(nothing, chunk)
-        )
-    first = rows.groupBy(key).agg(
-        F.count(F.lit(1)).alias("_rows"), F.min(one_column(order)).alias("_first")
-    )
-    big = first.filter(F.col("_rows") > limit).select(key, "_first")
-    split = rows.join(hinted(big, n_big), key, "left")
-    return split.withColumn("part", F.when(F.col("_first").isNotNull(), chunk))
+def _large_keys(rows, key, weight, limit, limit_bytes):
+    sizes = rows.groupBy(key).agg(F.count(F.lit(1)).alias("_rows"), F.sum(weight).alias("_bytes"))
+    return sizes.filter((F.col("_rows") > limit) | (F.col("_bytes") > limit_bytes)).select(key)
 
 
-def curate(df, order, origin="in_house", ts=None, chunk=None, limit=65536, label_name="label"):
-    """Raw rows to curated documents with one shuffle on the document id.
+def _with_parts(rows, key, order, item, limit, limit_bytes):
+    """``rows`` with a ``part``, and whether any document is beyond the limits.
 
-    ``order`` names the columns that give the input order. Lists longer than ``limit`` are
-    cut as in :func:`group_answers`; the text then stands on the first part only.
+    Only the rows of such documents are put in order.
+    """
+    weight = F.coalesce(F.octet_length(F.to_json(F.struct(item.alias("v")))), F.lit(0))
+    large = _large_keys(rows, key, weight, limit, limit_bytes)
+    n_large = fits(large)
+    if n_large == 0:
+        return rows.withColumn("part", F.lit(0)), False
+    large = hinted(large, n_large)
+    before = {
+        "_row": ("sum", F.lit(1), True),
+        "_bytes": ("sum", weight, True),
+    }
+    cut = running(rows.join(large, key, "left_semi"), [key], order, before)
+    part = F.expr(f"_row div {int(limit)} + _bytes div {int(limit_bytes)}").cast("int")
+    others = rows.join(large, key, "left_anti").withColumn("part", F.lit(0))
+    return others.unionByName(cut.withColumn("part", part).drop("_row", "_bytes")), True
+
+
+def curate(df, order, origin="in_house", ts=None, limit=LIMIT, limit_bytes=LIMIT_BYTES, label_name="label"):
+    """Raw rows to curated documents.
+
+    ``order`` names the columns that give the input order. Lists are cut into parts as in
+    :func:`group_answers`; every part has the text of the document's first row.
     """
     rows = assert_fields(normalise_label(df.filter(F.col("document_id").isNotNull())))
-    answers = _part_of(rows, "document_id", order, chunk, limit).select(
-        "document_id",
-        "part",
-        "_first",
-        "text",
-        one_column(order).alias("_at"),
-        chat.answer_struct(label_name=label_name).alias("_answer"),
-    )
-    grouped = answers.groupBy("document_id", "part").agg(
-        F.min_by("text", "_at").alias("_text"),
-        F.min("_at").alias("_start"),
-        F.max("_first").alias("_first"),
+    answer = chat.answer_struct(label_name=label_name)
+    parted, cut = _with_parts(rows, "document_id", order, answer, limit, limit_bytes)
+    grouped = parted.select(
+        "document_id", "part", "text", one_column(order).alias("_at"), answer.alias("_answer")
+    ).groupBy("document_id", "part").agg(
+        F.min_by("text", "_at").alias("text"),
         F.array_sort(F.collect_list(F.struct("_at", "_answer"))).alias("_list"),
     )
-    whole_or_first = F.col("_first").isNull() | (F.col("_start") == F.col("_first"))
-    documents = grouped.select(
-        "document_id",
-        F.when(whole_or_first, F.col("_text")).alias("text"),
-        F.col("_list._answer").alias("inference"),
-        "part",
-    )
+    if cut:
+        later = grouped.filter("part > 0").select("document_id").distinct()
+        first = grouped.filter("part = 0").join(later, "document_id", "left_semi")
+        first = first.select("document_id", F.col("text").alias("_first"))
+        grouped = grouped.join(first, "document_id", "left").withColumn(
+            "text", F.when(F.col("part") > 0, F.col("_first")).otherwise(F.col("text"))
+        )
+    documents = grouped.select("document_id", "text", F.col("_list._answer").alias("inference"), "part")
     return with_provenance(documents, origin, ts)
 
 
@@ -144,8 +147,17 @@ def explode_hypotheses(df, column="hypothesises/labels"):
 
 
 def append_training(base, new, key):
-    """Base rows plus those new rows whose key the base does not have yet."""
+    """Base rows plus those new rows whose key the base does not have yet.
+
+    Of new rows with one key the smallest row stays, columns compared from left to right.
+    """
     keys = [key] if isinstance(key, str) else list(key)
     fresh = new.join(base.select(*keys).distinct(), keys, "left_anti")
+    rest = [c for c in new.columns if c not in keys]
+    if rest:
+        one = fresh.groupBy(*keys).agg(F.min(F.struct(*rest)).alias("_row"))
+        fresh = one.select(*keys, "_row.*")
+    else:
+        fresh = fresh.distinct()
     return base.unionByName(fresh)
 

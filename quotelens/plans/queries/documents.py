@@ -128,20 +128,19 @@ def curated_mentioned_only(spark, folder):
 
 @query(
     "curated_in_parts",
-    f"""WITH {st.RAW_SQL}, sized AS (
-      SELECT *, count(*) OVER (PARTITION BY document_id) > 4 AS big,
-             min(turn) OVER (PARTITION BY document_id) AS first_turn FROM raw)
-    SELECT document_id, CASE WHEN big THEN turn // 4 ELSE -1 END AS part, count(*) AS answers,
-           CASE WHEN min(turn) = min(first_turn) THEN first(text ORDER BY turn) END AS text,
+    f"""WITH {st.RAW_SQL}, placed AS (
+      SELECT *, (row_number() OVER w - 1) // 4 AS part, first(text) OVER w AS first_text
+      FROM raw WINDOW w AS (PARTITION BY document_id ORDER BY turn))
+    SELECT document_id, part, count(*) AS answers, first_text AS text,
            string_agg(hypothesis_id, ',' ORDER BY turn) AS ids
-    FROM sized GROUP BY 1, 2""",
+    FROM placed GROUP BY document_id, part, first_text""",
 )
 def curated_in_parts(spark, folder):
     """Lists longer than the limit come as consecutive rows; nothing is lost."""
     documents = cur.curate(st.raw_rows(spark, folder), ["turn"], limit=4)
     return documents.select(
         "document_id",
-        F.coalesce(F.col("part").cast("long"), F.lit(-1)).alias("part"),
+        F.col("part").cast("long").alias("part"),
         F.size("inference").cast("long").alias("answers"),
         "text",
         F.array_join(F.col("inference.hypothesis_id"), ",").alias("ids"),

@@ -62,20 +62,24 @@ def test_long_lists_come_in_parts(spark):
     parts = cur.curate(raw(spark, rows), ["pos"], limit=10).orderBy("document_id", "part").collect()
     assert [(p.document_id, p.part, len(p.inference), p.text) for p in parts] == [
         (7, 0, 10, "t0"),
-        (7, 1, 10, None),
-        (7, 2, 5, None),
-        (8, None, 3, "u"),
+        (7, 1, 10, "t0"),
+        (7, 2, 5, "t0"),
+        (8, 0, 3, "u"),
     ]
     assert [a.hypothesis_id for p in parts[:3] for a in p.inference] == [f"q{i}" for i in range(25)]
+    by_bytes = cur.curate(raw(spark, rows), ["pos"], limit_bytes=500).orderBy("document_id", "part")
+    parts = [p for p in by_bytes.collect() if p.document_id == 7]
+    assert len(parts) > 3 and {p.text for p in parts} == {"t0"}
+    assert [a.hypothesis_id for p in parts for a in p.inference] == [f"q{i}" for i in range(25)]
 
 
 def test_parts_follow_all_order_columns(spark):
     rows = [(7, i % 12, f"t{i // 12}", "H", f"q{i:02d}", "entailment", ["e"]) for i in range(36)]
     df = raw(spark, rows).withColumnRenamed("text", "file").withColumn("text", F.lit("x"))
     parts = cur.curate(df, ["file", "pos"], limit=10).orderBy("part").collect()
-    assert [len(p.inference) for p in parts] == [10, 2] * 3
+    assert [len(p.inference) for p in parts] == [10, 10, 10, 6]
     assert [a.hypothesis_id for p in parts for a in p.inference] == [f"q{i:02d}" for i in range(36)]
-    assert [p.text for p in parts] == ["x"] + [None] * 5
+    assert [p.text for p in parts] == ["x"] * 4
 
 
 def test_group_then_explode_is_the_input(spark):
@@ -100,7 +104,7 @@ def test_label_name_variant_and_first_rows(spark):
 
 def test_append_skips_known_ids(spark):
     base = spark.createDataFrame([(1, "a"), (2, "b")], "id long, v string")
-    new = spark.createDataFrame([(2, "x"), (3, "y")], "id long, v string")
+    new = spark.createDataFrame([(2, "x"), (3, "z"), (3, "y"), (3, "y")], "id long, v string")
     assert sorted(map(tuple, cur.append_training(base, new, "id").collect())) == [
         (1, "a"), (2, "b"), (3, "y"),
     ]
