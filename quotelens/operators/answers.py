@@ -117,8 +117,8 @@ def explode_answers(df, answers="answers"):
 def schema_violations(df, ids=tuple(i for i, _ in DEFAULT_LEGEND), answers="answers"):
     """Add ``violations``: which rules the answer list of the row breaks.
 
-    Missing fields and unknown labels break the declared schema; unknown ids, repeated ids
-    and a list without all ids are our own checks.
+    Missing fields and unknown labels break the declared schema; a null list (``no_list``),
+    unknown ids, repeated ids and a list without all ids are our own checks.
     """
     items = F.col(answers)
     seen = F.transform(items, lambda a: a["hypothesis_id"])
@@ -126,6 +126,7 @@ def schema_violations(df, ids=tuple(i for i, _ in DEFAULT_LEGEND), answers="answ
         items, lambda a: F.greatest(*[a[f].isNull().cast("int") for f in ANSWER_FIELDS]) == 1
     )
     rules = [
+        (items.isNull(), "no_list"),
         (missing, "missing_field"),
         (F.exists(items, lambda a: ~a["label"].isin(*LABELS)), "unknown_label"),
         (F.exists(seen, lambda i: ~i.isin(*ids)), "unknown_id"),
@@ -146,8 +147,8 @@ def filter_request_len(df, limit=MAX_REQUEST_TOKENS, ids="prompt_ids"):
 def map_rows(df, fn, schema):
     """Apply a Python function to rows in parallel; a failing row is marked, not fatal.
 
-    ``fn`` maps a dict to a dict with the fields of ``schema``. Result: the input columns,
-    those fields, ``status`` and ``error``.
+    ``fn`` maps a dict to a dict with the fields of ``schema``; an error in it and a result of
+    the wrong type mark the row. Result: the input columns, those fields, ``status``, ``error``.
     """
     added = T._parse_datatype_string(schema) if isinstance(schema, str) else schema
     out = T.StructType(
@@ -173,7 +174,20 @@ def map_rows(df, fn, schema):
         from pyspark.sql.pandas.types import to_arrow_schema
 
         arrow_schema = to_arrow_schema(out)
+        def typed(row):
+            """The row as it is, or marked as failed if its values have the wrong types."""
+            try:
+                return pa.RecordBatch.from_pylist([row], arrow_schema)
+            except (pa.ArrowException, TypeError, ValueError, OverflowError) as problem:
+                failed = {**row, **dict.fromkeys(names), "status": "failed"}
+                failed["error"] = f"{type(problem).__name__}: {problem}"
+                return pa.RecordBatch.from_pylist([failed], arrow_schema)
+
         for batch in record_batches:
-            yield pa.RecordBatch.from_pylist([call(r) for r in batch.to_pylist()], arrow_schema)
+            rows = [call(r) for r in batch.to_pylist()]
+            try:
+                yield pa.RecordBatch.from_pylist(rows, arrow_schema)
+            except (pa.ArrowException, TypeError, ValueError, OverflowError):
+                yield from map(typed, rows)
 
     return df.mapInArrow(batches, out)

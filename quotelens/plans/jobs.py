@@ -6,13 +6,13 @@ from ..functions import chat
 from ..operators import answers as ans, curate as cur, evaluate as ev, monitor as mon
 from ..operators import prepare as prep
 from ..session import settle
-from ..sources import readers
+from ..sources import readers, writers
 
 
 def curate_splits(spark, inputs, root, key, tag, fmt="parquet", origin="in_house", ts=None):
     """Raw files of several splits to one dataset version; ``inputs`` maps split to path.
 
-    One job per split, each writing its own partition of the same version.
+    One job per split, each writing its own partition; the version is published after the last.
     """
     for split, path in inputs.items():
         raw = readers.read_raw(spark, path, fmt, with_order=True)
@@ -20,6 +20,7 @@ def curate_splits(spark, inputs, root, key, tag, fmt="parquet", origin="in_house
         rows = cur.with_row_id(documents).withColumn("split", F.lit(split))
         target = f"{root}/key={key}/version={tag}/split={split}"
         rows.drop("split").write.mode("errorifexists").parquet(target)
+    writers.publish(spark, root, key, tag)
     return readers.read_version(spark, root, key, tag)
 
 

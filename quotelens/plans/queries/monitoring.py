@@ -231,6 +231,7 @@ def live_alarm_states(spark, folder):
     closed = means.select(F.concat_ws("/", *keys).alias("owner"), "period", "mean", "breach")
     closed.write.parquet(f"{path}/closed")
     stream = spark.readStream.schema(closed.schema).parquet(f"{path}/closed")
+    spark.conf.set(*live.STATE_STORE)
     states = live.alarm_stream(stream, n=3, m=2, missing="missing", key="owner")
     done = live.run_to_table(states, f"{path}/out", f"{path}/state")
     return _state_columns(done, "owner")

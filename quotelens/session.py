@@ -5,6 +5,8 @@ import uuid
 
 from pyspark.sql import SparkSession
 
+from .streaming.live import STATE_STORE
+
 
 def local_session(cpus="*", memory="16g", partitions=8, app="quotelens"):
     """A single-machine session for tests and the bench; clusters bring their own."""
@@ -17,6 +19,7 @@ def local_session(cpus="*", memory="16g", partitions=8, app="quotelens"):
         # Scoring costs far more time per byte than Spark expects of a partition.
         .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "64k")
         .config("spark.sql.session.timeZone", "UTC")
+        .config(*STATE_STORE)
         .config("spark.driver.memory", memory)
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")

@@ -59,29 +59,29 @@ def read_jsonl(spark, path, schema):
     return spark.read.schema(schema).json(path)
 
 
-def _versions(spark, root, key=None):
-    path = root if key is None else f"{root}/key={key}"
-    reader = spark.read.option("basePath", root)
-    found = reader.parquet(path)
-    # Directory names stay text: a tag of digits must not turn into a number.
-    names = ("key", "version", "split")
-    text = T.StructType(
-        [T.StructField(f.name, T.StringType()) if f.name in names else f for f in found.schema]
-    )
-    return reader.schema(text).parquet(path)
-
-
 def list_versions(spark, root):
-    """Keys and versions present; reads directory names, no data columns."""
-    return _versions(spark, root).select("key", "version").distinct()
+    """Keys and versions published; reads the manifest only."""
+    manifest = spark.read.schema("key string, version string").parquet(f"{root}/manifest")
+    return manifest.distinct()
 
 
 def read_version(spark, root, key, tag="latest"):
-    """One version of a dataset; other versions are pruned by directory."""
-    df = _versions(spark, root, key)
+    """One published version of a dataset, in its own schema; no other version is touched."""
+    versions = list_versions(spark, root).filter(F.col("key") == key)
     if tag == "latest":
-        tag = df.agg(F.max("version")).first()[0]
-    return df.filter(F.col("version") == tag)
+        tag = versions.agg(F.max("version")).first()[0]
+    elif versions.filter(F.col("version") == tag).isEmpty():
+        tag = None
+    if tag is None:
+        raise ValueError(f"no such published version of {key}")
+    path = f"{root}/key={key}/version={tag}"
+    found = spark.read.parquet(path).schema
+    # The split is text: a name of digits must not turn into a number.
+    text = T.StructType(
+        [T.StructField(f.name, T.StringType()) if f.name == "split" else f for f in found]
+    )
+    version = spark.read.schema(text).parquet(path)
+    return version.withColumns({"key": F.lit(key), "version": F.lit(tag)})
 
 
 def read_splits(spark, root, key, tag="latest"):

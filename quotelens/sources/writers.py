@@ -11,14 +11,24 @@ def version_tag(ts=None):
 def write_version(df, root, key, tag, split=None):
     """New version of a dataset under root/key=/version=/split=; an existing one fails.
 
-    Without ``split`` the frame must have that column.
+    Without ``split`` the frame must have that column. The version is published last, so readers
+    never see part of it.
     """
     rows = df if split is None else df.withColumn("split", F.lit(split))
     path = f"{root}/key={key}/version={tag}"
     rows.write.mode("errorifexists").partitionBy("split").parquet(path)
+    publish(df.sparkSession, root, key, tag)
     return path
 
 
+def publish(spark, root, key, tag):
+    """Add a complete version to the manifest, one small row a version."""
+    row = spark.range(1).select(
+        F.lit(key).alias("key"), F.lit(tag).alias("version"), F.current_timestamp().alias("published")
+    )
+    row.write.mode("append").parquet(f"{root}/manifest")
+
+
 def write_jsonl(df, path):
     df.write.mode("errorifexists").json(path)
 

@@ -12,7 +12,10 @@ from ..operators.monitor import grounding_points, period_means
 from ..schemas import ALARM_THRESHOLD
 
 WATERMARK = "10 minutes"
-ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+STATE_STORE = (
+    "spark.sql.streaming.stateStore.providerClass",
+    "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+)
 LOG_COLUMNS = ("ts", "endpoint", "adapter", "template_uri", "input", "output")
 
 
@@ -45,10 +48,14 @@ def alarm_stream(means, seconds=300, n=1, m=1, missing="notBreaching", key="metr
     State per key: the last n breach flags, the last state and the last period. A gap is
     filled when the next period arrives, as :func:`~quotelens.operators.monitor.alarm_state`
     fills it. At most one row per key and period reaches this operator, which may follow
-    :func:`short_alarm` directly. Runs on the RocksDB state store, which is set for the
-    session if another one is.
+    :func:`short_alarm` directly; a period that is not after the last one is late and skipped.
+    The session must have the RocksDB state store (``STATE_STORE``), which is left to the caller
+    because other streams of the session may have state in another one.
     """
-    means.sparkSession.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
+    if missing not in ("notBreaching", "missing", "ignore"):
+        raise ValueError(f"unknown policy for missing data: {missing}")
+    if means.sparkSession.conf.get(STATE_STORE[0], "") != STATE_STORE[1]:
+        raise ValueError(f"set {STATE_STORE[0]} to {STATE_STORE[1]}")
     return (
         means.select(key, "period", "mean", "breach")
         .groupBy(key)
@@ -89,6 +96,8 @@ class AlarmProcessor(StatefulProcessor):
 
         for at, mean, breach in zip(closed["period"], closed["mean"], closed["breach"]):
             at_s = int(at.timestamp())
+            if last_period is not None and at_s <= last_period:
+                continue
             if last_period is not None:
                 for gap in range(last_period + self.seconds, at_s, self.seconds):
                     push(pd.Timestamp(gap, unit="s"), None, False)
@@ -122,13 +131,11 @@ def run_to_table(stream, path, checkpoint, mode="append"):
     """Run a stream over everything available and return its result as a table.
 
     Each batch is written under its own number, so a repeated batch replaces itself.
-    In ``complete`` mode the last batch holds the whole result.
+    In ``complete`` mode the last batch on storage holds the whole result.
     """
-    last = []
 
     def write(batch, number):
         batch.write.mode("overwrite").parquet(f"{path}/batch={number}")
-        last.append(number)
 
     query = (
         stream.writeStream.outputMode(mode)
@@ -140,5 +147,7 @@ def run_to_table(stream, path, checkpoint, mode="append"):
     query.awaitTermination()
     reader = stream.sparkSession.read.schema(stream.schema)
     if mode == "complete":
-        return reader.parquet(f"{path}/batch={last[-1]}")
+        batches = reader.parquet(path)
+        last = batches.agg(F.max("batch")).first()[0]
+        return batches.filter(F.col("batch") == last).drop("batch")
     return reader.option("recursiveFileLookup", "true").parquet(path)

@@ -99,6 +99,8 @@ def test_violations(spark):
     df = spark.createDataFrame([(x,) for x in lists], schema).coalesce(1)
     got = [r.violations for r in ans.schema_violations(df, ids=("nda-1", "b")).collect()]
     assert got == [[], ["repeated_id"], ["unknown_label"], ["missing_field"], ["unknown_id"], ["incomplete"]]
+    none = spark.createDataFrame([(None,)], schema)
+    assert ans.schema_violations(none).first().violations == ["no_list"]
 
 
 def test_mapped_rows_mark_failures(spark):
@@ -110,6 +112,10 @@ def test_mapped_rows_mark_failures(spark):
     rows = {r.i: r for r in ans.map_rows(df, inverse, "inv double").collect()}
     assert rows[0].status == "failed" and rows[0].error.startswith("ZeroDivisionError")
     assert rows[4].inv == 0.25 and rows[4].x == [4.0] and rows[4].error is None
+    odd = {0: "text", 1: 1.5, 2: None, 3: [1.0], 4: 2**80}
+    rows = {r.i: r for r in ans.map_rows(df, lambda row: {"inv": odd[row["i"]]}, "inv double").collect()}
+    assert [rows[i].status for i in range(4)] == ["failed", "ok", "ok", "failed"]
+    assert rows[1].inv == 1.5 and rows[0].inv is None and rows[0].x == [0.0]
 
 
 def test_request_limit_is_exclusive(spark):

@@ -25,7 +25,19 @@ def test_versions_and_splits(spark, tmp_path):
         ("docs", "0009"), ("docs", "0010"), ("other", "7"),
     ]
     plan = splits["test"]._jdf.queryExecution().executedPlan().toString()
-    assert "PartitionFilters: [isnotnull(version" in plan
+    assert "PartitionFilters: [isnotnull(split" in plan and "version=0010" not in plan
+    own = {"b": ("0011", rows.withColumn("b", F.lit(1))), "c": ("0012", rows.withColumn("c", F.lit("x")))}
+    for tag, df in own.values():
+        writers.write_version(df, root, "docs", tag)
+    for column, (tag, _) in own.items():
+        columns = readers.read_version(spark, root, "docs", tag).columns
+        assert set(columns) == {"id", "split", "key", "version", column}
+    assert "c" in readers.read_version(spark, root, "docs").columns
+    rows.filter("split = 'train'").write.partitionBy("split").parquet(f"{root}/key=docs/version=0013")
+    assert "c" in readers.read_version(spark, root, "docs").columns  # 0013 is not published
+    for key, tag in (("docs", "0013"), ("docs", "none"), ("none", "latest")):
+        with pytest.raises(ValueError, match="no such published version"):
+            readers.read_version(spark, root, key, tag)
     with pytest.raises(Exception, match="already exists"):
         writers.write_version(rows, root, "docs", "0009")
 
