@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 
 # A ROUGE token is a run of these characters in the lowercased text.
 TOKEN_PATTERN = "[a-z0-9]+"
+_SPACES = r" \t\n\x0B\f\r"
+PIECE_PATTERN = rf"<\|im_(?:start|end)\|>|[{_SPACES}]+|[\p{{L}}\p{{N}}_]+|[^{_SPACES}\p{{L}}\p{{N}}_]"
 
 
 def bind(value, body):
@@ -30,6 +32,14 @@ def rouge_tokens(text):
     return F.regexp_extract_all(lowered, F.lit(TOKEN_PATTERN), F.lit(0))
 
 
+def chat_pieces(text):
+    """The text cut into chat markers, white space, words and single other characters.
+
+    Put together again the pieces are the text, in any script; null text has none.
+    """
+    return F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(PIECE_PATTERN), F.lit(0))
+
+
 def ngrams(tokens, n=3):
     """Array of the n-grams of a token array, space separated; empty when too short."""
 

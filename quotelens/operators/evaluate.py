@@ -100,7 +100,12 @@ def unmatched_documents(pairs, doc="document_id"):
 
 
 def dataset_metrics(documents):
-    """One row: document count, unweighted means and minima; all 0 without documents."""
+    """One row: document count, unweighted means and minima; all 0 without documents.
+
+    With an ``outcome`` column (``jobs.document_outcomes``) only scored documents count in these,
+    and the numbers of documents, of those with each other outcome, and the share that was
+    scored stand beside them.
+    """
     means = {
         "average_accuracy": "accuracy",
         "average_fmeasure": "average_fmeasure",
@@ -117,10 +122,19 @@ def dataset_metrics(documents):
         "f_perc_above_75fmeasure",
     ]
     zero = F.lit(0.0)
+    left_out = []
+    if "outcome" in documents.columns:
+        outcomes = {o: F.count_if(F.col("outcome") == o) for o in ("failed", "missing", "unmatched")}
+        left_out = [
+            F.count(F.lit(1)).alias("documents"),
+            *[n.alias(f"{o}_documents") for o, n in outcomes.items()],
+            F.coalesce(F.avg((F.col("outcome") == "scored").cast("int")), zero).alias("scored_share"),
+        ]
     return documents.agg(
-        F.count(F.lit(1)).alias("count"),
+        F.count("accuracy").alias("count"),
         *[F.coalesce(F.avg(c), zero).alias(name) for name, c in means.items()],
         *[F.coalesce(F.min(c), zero).alias(f"min_{c}") for c in minima],
+        *left_out,
     )
 
 

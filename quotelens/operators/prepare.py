@@ -1,12 +1,14 @@
 """Training arrays: vocabulary, token ids, loss masks, length filters, padded batches."""
 
-from pyspark.sql import functions as F
+from pyspark.sql import Window, functions as F
 
 from ..functions import arrays, chat, text as tx
 from ..schemas import IGNORED_LABEL, MAX_PROMPT_TOKENS, MAX_SEQUENCE, PAD_MULTIPLE
 from .joins import BROADCAST_ROWS, fits
 from .ordered import row_numbers
 
+LONG_TOKEN = 256
+
 
 def fit_vocab(df, tokens="tokens", first_id=1):
     """Token ids by falling count, then by token; ids below ``first_id`` stay free.
@@ -21,21 +23,6 @@ def fit_vocab(df, tokens="tokens", first_id=1):
     )
 
 
-def encode(df, vocab, key, tokens="tokens", name="ids", unknown_id=None):
-    """Token ids of every row, in token order, by a join with the vocabulary.
-
-    ``key`` identifies a row. A token outside the vocabulary gets ``unknown_id`` or fails.
-    """
-    # An outer explode gets no filter on the array, which would compute the tokens twice.
-    positions = df.select(key, F.posexplode_outer(tokens).alias("_pos", "token"))
-    lists = _joined_ids(positions.filter("token is not null"), vocab, key, unknown_id)
-    return (
-        df.join(lists, key, "left")
-        .withColumn(name, F.coalesce(F.col("_at")["_id"], F.array().cast("array<int>")))
-        .drop("_at")
-    )
-
-
 def _joined_ids(positions, vocab, key, unknown_id):
     """Rows of key, position and token to one ordered list of (position, id) per key."""
     missing = (
@@ -48,17 +35,20 @@ def _joined_ids(positions, vocab, key, unknown_id):
     return known.groupBy(key).agg(F.array_sort(F.collect_list(entry)).alias("_at"))
 
 
-def encode_lookup(
-    df, vocab, key, tokens="tokens", name="ids", unknown_id=None, limit=BROADCAST_ROWS
-):
-    """The same with the ``limit`` first tokens of the vocabulary held in memory.
+def encode(df, vocab, key, tokens="tokens", name="ids", unknown_id=None, limit=BROADCAST_ROWS):
+    """Token ids of every row, in token order; ``key`` identifies a row.
 
-    A fitted vocabulary starts with its most frequent tokens, so the positions that are left
-    for the join are few and no token is hot. One that fits whole needs no shuffle.
+    The ``limit`` first tokens of the vocabulary are held in memory. A fitted vocabulary starts
+    with its most frequent tokens, so the positions that are left for the join are few and no
+    token is hot; one that fits whole needs no shuffle. Tokens of more than ``LONG_TOKEN`` bytes
+    are always joined, so the memory is bounded. A token outside the vocabulary gets
+    ``unknown_id`` or fails; a null list has no ids.
     """
-    whole = fits(vocab, limit) is not None
-    first = vocab if whole else vocab.orderBy("token_id").limit(limit)
-    found = df.withColumn(name, _memory_ids(first)(tokens))
+    short = F.octet_length("token") <= LONG_TOKEN
+    whole = fits(vocab, limit) is not None and vocab.filter(~short).isEmpty()
+    first = vocab if whole else vocab.filter(short).orderBy("token_id").limit(limit)
+    listed = df.withColumn(tokens, F.coalesce(tokens, F.array().cast("array<string>")))
+    found = listed.withColumn(name, _memory_ids(first)(tokens))
     positions = F.transform(tokens, lambda t, i: F.struct(i.alias("_pos"), t.alias("token")))
     rare = F.filter(positions, lambda p: F.get(F.col(name), p["_pos"]).isNull())
     if whole:
@@ -97,10 +87,12 @@ def _memory_ids(vocab):
         words, ids = shared.value
         index = pd.Index(words)
         for lists in batches:
+            lists = lists.map(lambda x: [] if x is None else x)
             ends = np.cumsum(lists.map(len).to_numpy())
             flat = np.concatenate([*lists, np.empty(0, dtype=object)])
             at = index.get_indexer(flat)
-            values = np.where(at < 0, None, ids[at]) if (at < 0).any() else ids[at]
+            found = np.append(ids, np.int32(0))[at]  # the end stands in for what is not held
+            values = np.where(at < 0, None, found) if (at < 0).any() else found
             yield pd.Series(np.split(values, ends[:-1]))
 
     return _series_udf(lookup)
@@ -127,22 +119,28 @@ def _series_udf(fn):
     return F.pandas_udf(fn, "array<int>")
 
 
-def chat_tokens(df, system, answers="inference", text="text", wrap=False):
-    """Add ``prompt_tokens`` and ``full_tokens`` of the rendered conversation."""
+def chat_texts(df, system, answers="inference", text="text", wrap=False):
+    """Add ``prompt_text`` and ``full_text``, the rendered conversation without and with answers."""
     turn = chat.answers_json(F.col(answers), wrap)
     return df.withColumns(
         {
-            "prompt_tokens": tx.rouge_tokens(chat.chatml(system, F.col(text))),
-            "full_tokens": tx.rouge_tokens(chat.chatml(system, F.col(text), turn)),
+            "prompt_text": chat.chatml(system, F.col(text)),
+            "full_text": chat.chatml(system, F.col(text), turn),
         }
     )
 
 
+def chat_tokens(df, system, answers="inference", text="text", wrap=False, cut=tx.chat_pieces):
+    """Add ``prompt_tokens`` and ``full_tokens`` of the rendered conversation; nothing is lost."""
+    rendered = chat_texts(df, system, answers, text, wrap)
+    tokens = {f"{side}_tokens": cut(F.col(f"{side}_text")) for side in ("prompt", "full")}
+    return rendered.withColumns(tokens).drop("prompt_text", "full_text")
+
+
 def assert_prefix(df, full="full_ids", prompt="prompt_ids"):
     """Fail the job where the full ids do not begin with the prompt ids."""
-    checked = F.when(arrays.starts_with(F.col(full), F.col(prompt)), F.col(full)).otherwise(
-        F.raise_error("full ids do not start with the prompt ids").cast("array<int>")
-    )
+    problem = F.raise_error("full ids do not start with the prompt ids").cast(df.schema[full].dataType)
+    checked = F.when(arrays.starts_with(F.col(full), F.col(prompt)), F.col(full)).otherwise(problem)
     return df.withColumn(full, checked)
 
 
@@ -152,9 +150,10 @@ def filter_prompt_len(df, limit=MAX_PROMPT_TOKENS, ids="prompt_ids"):
 
 
 def training_arrays(df, pad_id=0, limit=MAX_SEQUENCE, full="full_ids", prompt="prompt_ids"):
-    """Add ``input_ids``, ``attention_mask`` and ``labels``, cut to ``limit``."""
-    labels = arrays.truncate(arrays.loss_labels(F.col(full), F.col(prompt), pad_id), limit)
-    ids = arrays.truncate(F.col(full), limit)
+    """Add ``input_ids``, ``attention_mask`` and ``labels``, cut to ``limit`` unless it is None."""
+    labels, ids = arrays.loss_labels(F.col(full), F.col(prompt), pad_id), F.col(full)
+    if limit is not None:
+        labels, ids = arrays.truncate(labels, limit), arrays.truncate(ids, limit)
     return df.withColumns(
         {"input_ids": ids, "attention_mask": arrays.attention(ids, pad_id), "labels": labels}
     )
@@ -167,11 +166,12 @@ def batch_no(df, order, size, name="batch"):
 
 
 def pad_batches(df, batch="batch", multiple=PAD_MULTIPLE, pad_id=0):
-    """Pad the three arrays to the longest row of the batch, up to a multiple."""
-    widths = df.groupBy(batch).agg(
-        arrays.padded_width(F.max(F.size("input_ids")), multiple).alias("width")
-    )
+    """Pad the three arrays to the longest row of the batch, up to a multiple.
+
+    A batch is padded in one task, as it is trained on in one step.
+    """
+    longest = F.max(F.size("input_ids")).over(Window.partitionBy(batch))
     fill = {"input_ids": pad_id, "attention_mask": 0, "labels": IGNORED_LABEL}
-    return df.join(widths, batch).withColumns(
+    return df.withColumn("width", arrays.padded_width(longest, multiple)).withColumns(
         {c: arrays.pad_to(F.col(c), F.col("width"), value) for c, value in fill.items()}
     )

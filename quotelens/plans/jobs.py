@@ -24,15 +24,42 @@ def curate_splits(spark, inputs, root, key, tag, fmt="parquet", origin="in_house
     return readers.read_version(spark, root, key, tag)
 
 
-def training_set(documents, system, vocab=None, key="document_id", pad_id=0):
-    """Curated documents to training arrays; the vocabulary is fitted unless given."""
-    tokens = prep.chat_tokens(documents, system)
+def coded_set(documents, system, vocab=None, tokenize=None):
+    """Curated documents with ``prompt_ids`` and ``full_ids``, in the shared folder.
+
+    ``tokenize`` maps a list of texts to lists of ids. Without it texts are cut without loss and
+    numbered by ``vocab``, which is fitted on the documents unless given.
+    """
+    if tokenize is not None:
+        coded = prep.chat_texts(documents, system)
+        for side in ("prompt", "full"):
+            coded = prep.encode_with(coded, tokenize, f"{side}_text", f"{side}_ids")
+        return settle(prep.assert_prefix(coded.drop("prompt_text", "full_text")))
+    tokens = prep.chat_tokens(documents, system).withColumn("_row", F.monotonically_increasing_id())
+    tokens = settle(prep.assert_prefix(tokens, "full_tokens", "prompt_tokens"))
     if vocab is None:
         vocab = settle(prep.fit_vocab(tokens, "full_tokens"))
-    coded = prep.encode_lookup(tokens, vocab, key, "full_tokens", "full_ids")
-    coded = prep.encode_lookup(coded, vocab, key, "prompt_tokens", "prompt_ids")
-    kept = prep.filter_prompt_len(prep.assert_prefix(coded))
-    return prep.training_arrays(kept, pad_id)
+    coded = prep.encode(tokens, vocab, "_row", "full_tokens", "full_ids")
+    prompt = F.slice("full_ids", F.lit(1), F.size("prompt_tokens"))
+    return settle(coded.withColumn("prompt_ids", prompt).drop("_row"))
+
+
+def training_set(coded, pad_id=0, max_prompt=None, max_sequence=None):
+    """Training arrays of a coded set; see :func:`training_report` for what the limits cost."""
+    kept = coded if max_prompt is None else prep.filter_prompt_len(coded, max_prompt)
+    return prep.training_arrays(kept, pad_id, max_sequence)
+
+
+def training_report(coded, max_prompt=None, max_sequence=None):
+    """One row: documents, those that a prompt limit drops, and those that are cut."""
+    nothing = F.lit(False)
+    dropped = nothing if max_prompt is None else F.size("prompt_ids") > max_prompt
+    cut = nothing if max_sequence is None else F.size("full_ids") > max_sequence
+    return coded.agg(
+        F.count(F.lit(1)).alias("rows"),
+        F.count_if(dropped).alias("dropped"),
+        F.count_if(cut & ~dropped).alias("cut"),
+    )
 
 
 def test_prompts(documents, system):
@@ -42,19 +69,59 @@ def test_prompts(documents, system):
     )
 
 
-def evaluate_outputs(outputs, doc="document_id"):
-    """Rows of (document, generated text, reference answers) to document metrics."""
-    usable = ans.valid_pairs(outputs)
-    pairs = usable.select(
-        doc, F.explode(ev.match_lists(F.col("inference"), F.col("answers"))).alias("_pair")
-    )
-    flat = pairs.select(
-        doc,
-        F.col("_pair.predicted.label").alias("label"),
-        F.col("_pair.predicted.source_clause").alias("source_clause"),
-        F.col("_pair.reference").alias("reference"),
+def _output_pairs(outputs, references, doc):
+    """Parsed outputs with their status, and the answers of whole documents with references.
+
+    A document may come in several parts on either side; answers are matched by id over all of
+    them, and one part that cannot be read leaves the document out.
+    """
+    parsed = ans.parse_response(_numbered(outputs).select(doc, "part", "generated"), "generated", wrapped=False)
+    parsed = settle(parsed)
+    broken = parsed.filter(F.col("status") != "ok").select(doc).distinct()
+    read = ans.explode_answers(ans.drop_failed(parsed).select(doc, "part", "answers"))
+    given = ans.explode_answers(_numbered(references).select(doc, "part", "inference"), "inference")
+    pairs = ev.match_reference(given, read.join(broken, doc, "left_anti"), doc, ("part", "position"))
+    return parsed, pairs.select(doc, "label", "source_clause", "reference")
+
+
+def _numbered(df):
+    return df if "part" in df.columns else df.withColumn("part", F.lit(0))
+
+
+def evaluate_outputs(outputs, references=None, doc="document_id"):
+    """Generated texts and reference answers to document metrics.
+
+    ``outputs`` has (document, generated), ``references`` (document, inference), each with a
+    ``part`` where documents are cut; without ``references`` the outputs have both columns.
+    """
+    _, pairs = _output_pairs(outputs, outputs if references is None else references, doc)
+    return ev.document_metrics(pairs, doc)
+
+
+def document_outcomes(outputs, references=None, doc="document_id"):
+    """The metrics of every reference document, and its ``outcome``.
+
+    ``missing``: no output; ``failed``: an output cannot be read; ``unmatched``: an answer has
+    no reference; ``scored``: it has metrics, which are null otherwise.
+    """
+    references = outputs if references is None else references
+    parsed, pairs = _output_pairs(outputs, references, doc)
+    answered = parsed.groupBy(doc).agg(F.max((F.col("status") != "ok").cast("int")).alias("_broken"))
+    metrics = ev.document_metrics(pairs, doc)
+    known = references.select(doc).distinct().join(answered, doc, "left").join(metrics, doc, "left")
+    outcome = (
+        F.when(F.col("_broken").isNull(), "missing")
+        .when(F.col("_broken") == 1, "failed")
+        .when(F.col("accuracy").isNull(), "unmatched")
+        .otherwise("scored")
     )
-    return ev.document_metrics(flat, doc)
+    return known.withColumn("outcome", outcome).drop("_broken")
+
+
+def release_check(outputs, references=None, doc="document_id", rules=ev.RELEASE_RULES, least_scored=0.95):
+    """One row: dataset metrics, documents left out and why, and the gate on both."""
+    outcomes = document_outcomes(outputs, references, doc)
+    return ev.gate(ev.dataset_metrics(outcomes), (*rules, ("scored_share", least_scored)))
 
 
 def score_log(log):

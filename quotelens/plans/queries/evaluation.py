@@ -119,19 +119,66 @@ def _rounded(metrics):
     )
 
 
-@query("evaluated_outputs", _DOCUMENTS)
-def evaluated_outputs(spark, folder):
-    """The same from generated JSON text and nested reference lists, one row per document."""
+def _lists(spark, folder, limit):
+    """Outputs as JSON text and references as lists, cut into parts of ``limit`` answers."""
     answer = F.struct("hypothesis_id", "label", F.lit("h").alias("hypothesis"), "source_clause")
-    reference = cur.group_answers(
-        st.reference_answers(spark, folder), ["position"], answer
-    ).drop("part")
+    reference = cur.group_answers(st.reference_answers(spark, folder), ["position"], answer, limit=limit)
     outputs = cur.group_answers(
-        st.predicted_answers(spark, folder), ["position"], answer, name="answers"
+        st.predicted_answers(spark, folder), ["position"], answer, name="answers", limit=limit
     )
     generated = chat.answers_json(F.col("answers"), wrap=True).alias("generated")
-    paired = ev.pair_outputs(outputs.select("document_id", generated), reference, "document_id")
-    return _rounded(jobs.evaluate_outputs(paired))
+    return outputs.select("document_id", "part", generated), reference
+
+
+@query("evaluated_outputs", _DOCUMENTS)
+def evaluated_outputs(spark, folder):
+    """The same from generated JSON text and nested reference lists, cut into small parts."""
+    return _rounded(jobs.evaluate_outputs(*_lists(spark, folder, limit=2)))
+
+
+@query(
+    "release_check",
+    f"""WITH {_DOC_METRICS}, outcomes AS (
+      SELECT conv_id AS document_id,
+             CASE WHEN conv_id % 7 = 0 OR d.document_id IS NULL THEN 'missing' WHEN conv_id % 5 = 0 THEN 'failed'
+                  WHEN conv_id % 11 = 0 THEN 'unmatched' ELSE 'scored' END AS outcome, d.*
+      FROM (SELECT DISTINCT conv_id FROM conversations WHERE role = 'user') c
+      LEFT JOIN docs d ON d.document_id = c.conv_id),
+    checked AS (
+      SELECT count(*) FILTER (WHERE outcome = 'scored') AS count, count(*) AS documents,
+             count(*) FILTER (WHERE outcome = 'failed') AS failed_documents,
+             count(*) FILTER (WHERE outcome = 'missing') AS missing_documents,
+             count(*) FILTER (WHERE outcome = 'unmatched') AS unmatched_documents,
+             avg(accuracy) FILTER (WHERE outcome = 'scored') AS average_accuracy,
+             avg(average_fmeasure) FILTER (WHERE outcome = 'scored') AS average_fmeasure,
+             avg(CAST(outcome = 'scored' AS INT)) AS scored_share FROM outcomes)
+    SELECT count, documents, failed_documents, missing_documents, unmatched_documents,
+           round(average_accuracy, 6) AS average_accuracy, round(scored_share, 6) AS scored_share,
+           scored_share >= 0.95 AS check_scored_share,
+           count >= 1 AND average_accuracy >= 0.7 AND average_fmeasure >= 0.7 AND scored_share >= 0.95 AS passed
+    FROM checked""",
+)
+def release_check(spark, folder):
+    """Metrics, what was left out of them, and the gate, with broken and missing outputs."""
+    outputs, reference = _lists(spark, folder, limit=3)
+    doc = F.col("document_id")
+    text = F.col("generated")
+    cut = F.substring(text, F.lit(1), F.length(text) - 2)
+    odd = F.replace(text, F.lit('"hypothesis_id":"'), F.lit('"hypothesis_id":"x'))
+    spoilt = F.when(doc % 5 == 0, cut).when(doc % 11 == 0, odd).otherwise(text)
+    outputs = outputs.filter(doc % 7 != 0).withColumn("generated", spoilt)
+    row = jobs.release_check(outputs, reference)
+    return row.select(
+        "count",
+        "documents",
+        "failed_documents",
+        "missing_documents",
+        "unmatched_documents",
+        r6(F.col("average_accuracy"), "average_accuracy"),
+        r6(F.col("scored_share"), "scored_share"),
+        "check_scored_share",
+        "passed",
+    )
 
 
 @query(

@@ -91,6 +91,21 @@ def test_lists_in_one_row(spark):
     got = jobs.evaluate_outputs(df).collect()
     assert [(r.document_id, r.accuracy, r.average_fmeasure) for r in got] == [(1, 1.0, 1.0)]
 
+    # Two parts with answers in another order than the references; a missing and an odd document.
+    said = [(1, 0, generated % COPY), (1, 7, generated.replace("q1", "q2") % LONG), (2, 0, "{"),
+            (2, 1, generated % COPY), (4, 0, generated.replace("q1", "q9") % COPY)]
+    asked = [(1, 0, [("q2", "entailment", "h", LONG)]), (1, 1, [good]), (2, 0, [good]), (3, 0, [good]), (4, 0, [good])]
+    outputs = spark.createDataFrame(said, "document_id int, part int, generated string")
+    references = spark.createDataFrame(asked, f"document_id int, part int, inference array<{answer}>")
+    outcomes = {r.document_id: r.outcome for r in jobs.document_outcomes(outputs, references).collect()}
+    assert outcomes == {1: "scored", 2: "failed", 3: "missing", 4: "unmatched"}
+    row = jobs.release_check(outputs, references, least_scored=0.5).first()
+    assert (row["count"], row.documents, row.average_accuracy, row.scored_share) == (1, 4, 1.0, 0.25)
+    assert (row.failed_documents, row.missing_documents, row.unmatched_documents) == (1, 1, 1)
+    assert row.check_average_accuracy and not row.check_scored_share and not row.passed
+    assert jobs.release_check(outputs, references, least_scored=0.2).first().passed
+    assert jobs.release_check(outputs.limit(0), references.limit(0)).first().scored_share == 0
+
 
 def test_result_does_not_depend_on_partitions(spark):
     reference = [(d, p, f"q{p}", "entailment", LONG) for d in range(5) for p in range(4)]

@@ -27,18 +27,23 @@ def test_vocabulary_order(tokens):
     assert [r.token_id for r in got] == list(range(1, len(want) + 1))
 
 
-def test_both_encoders_agree(tokens):
+def test_ids_do_not_depend_on_what_is_in_memory(tokens, spark):
     vocab = prep.fit_vocab(tokens).cache()
     ids = {r.token: r.token_id for r in vocab.collect()}
     want = {i: [ids[t] for t in ts] for i, ts in TOKENS}
-    for encoder, options in ((prep.encode, {}), (prep.encode_lookup, {}), (prep.encode_lookup, {"limit": 2})):
+    for encoder, options in ((prep.encode, {}), (prep.encode, {"limit": 2}), (prep.encode, {"limit": 0})):
         got = {r.i: r.ids for r in encoder(tokens, vocab, "i", **options).collect()}
         assert got == want
+        none = spark.createDataFrame([(9, None)], tokens.schema)
+        assert encoder(none, vocab, "i", **options).first().ids == []
+    long = spark.createDataFrame([(1, ["x" * 300, "y"])], tokens.schema)
+    ids = prep.encode(long, prep.fit_vocab(long), "i").first().ids
+    assert ids == [1, 2]
 
 
 def test_unknown_tokens(tokens):
     vocab = prep.fit_vocab(tokens).filter("token <> 'zebra'")
-    for encoder, options in ((prep.encode, {}), (prep.encode_lookup, {}), (prep.encode_lookup, {"limit": 2})):
+    for encoder, options in ((prep.encode, {}), (prep.encode, {"limit": 2}), (prep.encode, {"limit": 0})):
         with pytest.raises(Exception, match="zebra"):
             encoder(tokens, vocab, "i", **options).collect()
         got = {r.i: r.ids for r in encoder(tokens, vocab, "i", unknown_id=0, **options).collect()}
@@ -98,9 +103,30 @@ def test_training_set_from_documents(spark):
     answer = "struct<hypothesis_id:string,label:string,hypothesis:string,source_clause:string>"
     rows = [(i, f"text number {i} of the set", [("q1", "entailment", "h", f"clause {i}")]) for i in range(6)]
     docs = spark.createDataFrame(rows, f"document_id long, text string, inference array<{answer}>")
-    for r in jobs.training_set(docs, F.lit("Read it.")).collect():
+    coded = jobs.coded_set(docs, F.lit("Read it."))
+    for r in jobs.training_set(coded).collect():
         n = len(r.prompt_ids)
         assert r.full_ids[:n] == r.prompt_ids and r.labels == [-100] * n + r.full_ids[n:]
-        assert set(r.attention_mask) == {1}
+        assert set(r.attention_mask) == {1} and r.input_ids == r.full_ids
+    sizes = sorted(len(r.full_ids) for r in coded.collect())
+    report = jobs.training_report(coded, max_sequence=sizes[0] - 1).first()
+    assert tuple(report) == (6, 0, 6)
+    assert tuple(jobs.training_report(coded, max_prompt=1).first()) == (6, 6, 0)
+    assert tuple(jobs.training_report(coded).first()) == (6, 0, 0)
+    assert jobs.training_set(coded, max_prompt=1).count() == 0
+    outside = jobs.coded_set(docs, F.lit("Read it."), tokenize=lambda ts: [list(t.encode()) for t in ts])
+    texts = {r.document_id: bytes(r.full_ids).decode() for r in outside.collect()}
+    assert "text number 3 of the set" in texts[3] and "clause 3" in texts[3]
+    with pytest.raises(Exception, match="do not start with"):
+        jobs.coded_set(docs, F.lit("s"), tokenize=lambda ts: [[len(t)] for t in ts])
     prompts = jobs.test_prompts(docs, F.lit("Read it.")).collect()
     assert all(p.text.endswith("<|im_start|>assistant\n") and len(p.inference) == 1 for p in prompts)
+
+
+@pytest.mark.parametrize("text", ["", "a b\n\t{\"q\": 1.5}", "Größe  日本語 𝒳! <|im_start|>user\n<|x|>", "\u00a0\u2003x"])
+def test_pieces_put_together_are_the_text(spark, text):
+    from quotelens.functions import text as tx
+
+    pieces = spark.createDataFrame([(text,)], "t string").select(tx.chat_pieces(F.col("t"))).first()[0]
+    assert "".join(pieces) == text
+    assert ("<|im_start|>" in pieces) == ("<|im_start|>" in text)
