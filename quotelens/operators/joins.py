@@ -2,13 +2,17 @@
 
 from pyspark.sql import functions as F
 
-BROADCAST_ROWS = 100_000
+BROADCAST_ROWS, BROADCAST_BYTES = 100_000, 64 << 20
 
 
-def fits(df, limit=BROADCAST_ROWS):
-    """Row count of ``df`` when at most ``limit``, else None; never counts further."""
-    n = df.limit(limit + 1).count()
-    return n if n <= limit else None
+def fits(df, limit=BROADCAST_ROWS, most_bytes=BROADCAST_BYTES):
+    """Row count of ``df`` if it has at most ``limit`` rows and ``most_bytes`` as JSON, else None.
+
+    It never looks further than one row over the limit.
+    """
+    size = F.sum(F.octet_length(F.to_json(F.struct("*"))))
+    n, found = df.limit(limit + 1).agg(F.count(F.lit(1)), F.coalesce(size, F.lit(0))).first()
+    return n if n <= limit and found <= most_bytes else None
 
 
 def hinted(df, rows):

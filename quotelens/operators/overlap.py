@@ -17,8 +17,10 @@ def ngram_overlap(left, right, key, n=3, quote_id="quote_id", per_group=QUOTES_P
 
     Each text is shuffled once; n-grams never are. Quotes of one key travel together so that
     the long text is cut into n-grams once, at most about ``per_group`` of them: a key with
-    more is spread over slices by a hash of the quote id and its text copied to each.
+    more is spread over slices by a hash of the quote and its text copied to each. Quotes
+    without a key have no text to meet and are scored where they are.
     """
+    alone, left = left.filter(F.col(key).isNull()), left.filter(F.col(key).isNotNull())
     crowd = left.groupBy(key).agg(
         F.ceil(F.count(F.lit(1)) / per_group).cast("int").alias("_slices")
     ).filter("_slices > 1")
@@ -28,7 +30,7 @@ def ngram_overlap(left, right, key, n=3, quote_id="quote_id", per_group=QUOTES_P
     else:
         on, slices = [key, "_slice"], F.coalesce("_slices", F.lit(1))
         quotes = left.join(hinted(crowd, crowds), key, "left").withColumn(
-            "_slice", F.pmod(F.xxhash64(quote_id), slices).cast("int")
+            "_slice", F.pmod(F.xxhash64(quote_id, "text"), slices).cast("int")
         )
         targets = right.join(hinted(crowd, crowds), key, "left").withColumn(
             "_slice", F.explode(F.sequence(F.lit(0), slices - 1))
@@ -39,8 +41,14 @@ def ngram_overlap(left, right, key, n=3, quote_id="quote_id", per_group=QUOTES_P
         )
     )
     targets = targets.select(*on, F.col("text").alias("_target"))
-    paired = grouped.join(targets, on, "left")
-    return paired.select(key, F.explode(_score_group(n)).alias("_s")).select(
+    paired = grouped.join(targets, on, "left").select(key, "_quotes", "_target")
+    lonely = alone.select(
+        key,
+        F.array(F.struct(F.col(quote_id).alias("id"), F.col("text").alias("t"))).alias("_quotes"),
+        F.lit(None).cast("string").alias("_target"),
+    )
+    both = paired.unionByName(lonely)
+    return both.select(key, F.explode(_score_group(n)).alias("_s")).select(
         key,
         F.col("_s.id").alias(quote_id),
         "_s.overlap",

@@ -72,29 +72,30 @@ def quote_overlap(spark, folder):
 )
 def request_grounding(spark, folder):
     """Grounding per request from flat answers; quotes too short for a trigram score 0."""
-    docs = table(spark, folder, "documents")
-    own = st.quotes(spark, folder).select(
-        "doc_id", F.lit(0).alias("position"), F.lit("entailment").alias("label"), "text"
-    )
-    silent = docs.select("doc_id", F.lit(1), F.lit("not_mentioned"), F.lit(""))
-    short = docs.select(
-        "doc_id",
-        F.lit(2),
-        F.when(F.col("lang") == "en", "contradiction").otherwise("not_mentioned"),
-        F.lit("one two"),
-    )
-    answers = own.union(silent).union(short).withColumnRenamed("text", "source_clause")
-    return mon.carp(answers, docs.select("doc_id", "text"), "doc_id").select(
-        "doc_id", r6(F.col("carp"), "carp")
+    third = F.when(F.col("lang") == "en", "contradiction").otherwise("not_mentioned")
+    listed = F.array(
+        *[
+            F.struct(F.lit(i).alias("position"), label.alias("label"), clause.alias("source_clause"))
+            for i, (label, clause) in enumerate(
+                [
+                    (F.lit("entailment"), F.col("text")),
+                    (F.lit("not_mentioned"), F.lit("")),
+                    (third, F.lit("one two")),
+                ]
+            )
+        ]
     )
+    answers = st.quotes(spark, folder).select("doc_id", F.inline(listed))
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    return mon.carp(answers, docs, "doc_id").select("doc_id", r6(F.col("carp"), "carp"))
 
 
 @query(
     "in_row_grounding",
     f"""WITH pairs AS (
-      SELECT doc_id * 10 AS pid, text AS target, substring(text, 1, 120) AS prediction FROM documents WHERE lang <> 'de'
+      SELECT doc_id * 10 AS pid, text AS target, {st.span_sql('text', 'doc_id', 120)} AS prediction FROM documents WHERE lang <> 'de'
       UNION ALL
-      SELECT doc_id * 10 + 1, text, 'a b c ' || substring(text, 301, 80) FROM documents WHERE lang <> 'de'),
+      SELECT doc_id * 10 + 1, text, 'a b c ' || {st.span_sql('text', '(doc_id + 1)', 80)} FROM documents WHERE lang <> 'de'),
     {sql_scores('pairs')}, means AS (SELECT pid // 10 AS doc_id, avg({PRECISION}) AS carp FROM scores GROUP BY 1)
     SELECT doc_id, round(coalesce(carp, 1.0), 6) AS carp FROM documents LEFT JOIN means USING (doc_id)""",
 )
@@ -106,8 +107,8 @@ def in_row_grounding(spark, folder):
         return F.struct(label.alias("label"), clause.alias("source_clause"))
 
     answers = F.array(
-        answer(F.substring("text", 1, 120)),
-        answer(F.concat(F.lit("a b c "), F.substring("text", 301, 80))),
+        answer(st.span(F.col("text"), F.col("doc_id"), 120)),
+        answer(F.concat(F.lit("a b c "), st.span(F.col("text"), F.col("doc_id") + 1, 80))),
     )
     docs = texts(spark, folder, "text", "lang").withColumn("answers", answers)
     return mon.carp_in_row(docs, "text").select("doc_id", r6(F.col("carp"), "carp"))

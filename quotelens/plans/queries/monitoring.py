@@ -224,17 +224,34 @@ def alarm_edges(spark, folder):
     SELECT endpoint || '/' || adapter AS owner, {_STATE_COLUMNS} FROM states""",
 )
 def live_alarm_states(spark, folder):
-    """Stateful alarm over a stream of closed periods."""
-    keys = ("endpoint", "adapter")
-    means = mon.period_means(mon.grounding_points(_points(spark, folder), owned=True), keys=keys)
+    """Points, period means and stateful alarm in one running query, stopped and resumed.
+
+    Ten days of events arrive at a time; the state goes on from the checkpoint. The last arrival
+    is one later event that closes all periods.
+    """
     path = scratch(spark)
-    closed = means.select(F.concat_ws("/", *keys).alias("owner"), "period", "mean", "breach")
-    closed.write.parquet(f"{path}/closed")
-    stream = spark.readStream.schema(closed.schema).parquet(f"{path}/closed")
+    events = table(spark, folder, "events").withColumn("ts", F.col("ts").cast("timestamp"))
+    events.limit(0).write.parquet(f"{path}/in")
+    stream = spark.readStream.schema(events.schema).parquet(f"{path}/in")
+    points = mon.to_metric_points(st.scored_responses(stream))
+    means = live.drift_alarm(points, "5 minutes")
+    owner = F.concat_ws("/", "endpoint", "adapter").alias("owner")
     spark.conf.set(*live.STATE_STORE)
-    states = live.alarm_stream(stream, n=3, m=2, missing="missing", key="owner")
-    done = live.run_to_table(states, f"{path}/out", f"{path}/state")
-    return _state_columns(done, "owner")
+    states = live.alarm_stream(
+        means.select(owner, "period", "mean", "breach"), n=3, m=2, missing="missing", key="owner"
+    )
+    end = events.agg(F.max("ts").alias("last")).select(
+        *[
+            (F.col("last") + F.expr("interval 2 days")).alias(f.name) if f.name == "ts"
+            else F.lit("end" if f.name == "event_type" else 0).cast(f.dataType).alias(f.name)
+            for f in events.schema
+        ]
+    )
+    days = F.least(F.floor((F.dayofmonth("ts") - 1) / 10), F.lit(2))
+    for arrival in (*[events.filter(days == i) for i in range(3)], end):
+        arrival.write.mode("append").parquet(f"{path}/in")
+        done = live.run_to_table(states, f"{path}/out", f"{path}/state")
+    return _state_columns(done.filter("owner NOT LIKE 'end/%'"), "owner")
 
 
 @query(

@@ -10,16 +10,28 @@ from .registry import table
 SPAN = 200  # characters of a document used as its quote
 
 
+def span(text, number, length):
+    """``length`` characters from anywhere in a text, the place depending on ``number``."""
+    last = F.greatest(F.length(text) - (length - 1), F.lit(1))
+    return F.substring(text, (1 + (number * 37) % last).cast("int"), F.lit(length))
+
+
+def span_sql(text, number, length):
+    last = f"greatest(length({text}) - {length - 1}, 1)"
+    return f"substring({text}, 1 + ({number} * 37) % {last}, {length})"
+
+
 def quotes(spark, folder):
     """One quote per document; every fifth is taken from the following document."""
     docs = table(spark, folder, "documents").select(
-        "doc_id", "source", F.substring("text", 1, SPAN).alias("own")
+        "doc_id", "source", "lang", span(F.col("text"), F.col("doc_id"), SPAN).alias("own")
     )
     other = docs.select((F.col("doc_id") - 1).alias("doc_id"), F.col("own").alias("other"))
     foreign = (F.col("doc_id") % 5 == 0) & F.col("other").isNotNull()
     return docs.join(other, "doc_id", "left").select(
         "doc_id",
         "source",
+        "lang",
         F.lit(0).alias("quote_id"),
         F.when(foreign, F.col("other")).otherwise(F.col("own")).alias("text"),
     )
@@ -27,8 +39,8 @@ def quotes(spark, folder):
 
 QUOTES_SQL = f"""quotes AS (
     SELECT d.doc_id, d.source,
-           CASE WHEN d.doc_id % 5 = 0 AND o.doc_id IS NOT NULL THEN substring(o.text, 1, {SPAN})
-                ELSE substring(d.text, 1, {SPAN}) END AS text
+           CASE WHEN d.doc_id % 5 = 0 AND o.doc_id IS NOT NULL THEN {span_sql('o.text', 'o.doc_id', SPAN)}
+                ELSE {span_sql('d.text', 'd.doc_id', SPAN)} END AS text
     FROM documents d LEFT JOIN documents o ON o.doc_id = d.doc_id + 1)"""
 
 _LABEL = (
@@ -85,7 +97,7 @@ def predicted_answers(spark, folder):
         "conv_id", (F.col("turn") + 1).alias("turn"), F.col("text").alias("asked")
     )
     said = turns.filter("role = 'assistant'").join(user, ["conv_id", "turn"])
-    quote = F.when(F.col("conv_id") % 2 == 0, F.substring("asked", 1, 150)).otherwise(F.col("text"))
+    quote = F.when(F.col("conv_id") % 2 == 0, span(F.col("asked"), F.col("conv_id"), 150)).otherwise(F.col("text"))
     return said.select(
         F.col("conv_id").alias("document_id"),
         F.col("turn").alias("position"),
@@ -115,7 +127,7 @@ PAIRS_SQL = f"""pairs AS (
            {_label_sql('((a.conv_id + a.turn - 1 + (a.turn % 4) / 3.0) % 3)')} AS label,
            {_label_sql('((u.conv_id + u.turn) % 3)')} AS ref_label,
            u.text AS target,
-           CASE WHEN a.conv_id % 2 = 0 THEN substring(u.text, 1, 150) ELSE a.text END AS prediction
+           CASE WHEN a.conv_id % 2 = 0 THEN {span_sql('u.text', 'a.conv_id', 150)} ELSE a.text END AS prediction
     FROM conversations a JOIN conversations u
       ON u.conv_id = a.conv_id AND u.turn = a.turn - 1 AND u.role = 'user'
     WHERE a.role = 'assistant')"""

@@ -102,3 +102,22 @@ def test_quote_precisions_of_many_quotes(spark):
     df = spark.createDataFrame([(contract, quotes)], "c string, q array<string>")
     got = df.select(tx.quote_precisions(F.col("c"), F.col("q"))).first()[0]
     assert got == [brute(contract, q)[0] for q in quotes]
+
+
+def test_crowds_without_a_key_or_with_one_quote_id_are_split(spark):
+    """Null keys are scored where they are, and equal quote ids do not hold quotes together."""
+    texts = spark.createDataFrame([("k", "a b c d e f g h")], "k string, text string")
+    rows = [(None, 1, f"a b c {i}") for i in range(500)] + [("k", 1, f"a b c {i}") for i in range(500)]
+    quotes = spark.createDataFrame(rows, "k string, quote_id int, text string").repartition(4)
+    scored = overlap.ngram_overlap(quotes, texts, "k", per_group=20).collect()
+    assert len(scored) == 1000
+    assert all(r.overlap == (0 if r.k is None else 1) for r in scored)
+    assert all(r.quote_grams == 2 and r.rouge.precision == r.overlap / 2 for r in scored)
+
+
+def test_broadcasts_are_checked_by_bytes(spark):
+    from quotelens.operators.joins import fits
+
+    df = spark.createDataFrame([("x" * 1000,)] * 10, "t string")
+    assert fits(df) == 10 and fits(df, 9) is None and fits(df, most_bytes=5_000) is None
+    assert fits(df.limit(0)) == 0
