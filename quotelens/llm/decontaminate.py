@@ -7,8 +7,8 @@
    lie; that passage, with room for insertions, is aligned with the whole item by Smith-Waterman
    over words. The score is the best local alignment over that of the item with itself.
 
-Benchmarks are held in memory in blocks of ``block_chars`` characters; documents are never shuffled.
-Words are lower-cased, ASCII punctuation is white space.
+Benchmarks are held in memory in blocks of ``block_chars`` characters, each with two passes over the
+documents; documents are never shuffled. Words are lower-cased, ASCII punctuation is white space.
 
 Edge cases: null or empty items match nothing, null or empty texts match nothing. Items shorter
 than an n-gram are one gram. Very long texts are searched whole. Repeated rows and repeated items
@@ -165,7 +165,7 @@ def _prepared(df, benchmark, text, item_id, item_text, block_chars, least_seeds)
 
 
 def contaminated(df, benchmark, doc_id="doc_id", text="text", item_id="item_id", item_text="text",
-                 threshold=0.5, least_seeds=8, block_chars=16_000_000):
+                 threshold=0.5, least_seeds=8, block_chars=2_000_000):
     """One row for each document and item found in it: score (0 to 1) and the words it covers."""
     schema = pa.schema(
         [("doc_id", pa.int64()), ("item_id", pa.int64()), ("score", pa.float64()),
@@ -196,7 +196,7 @@ def contaminated(df, benchmark, doc_id="doc_id", text="text", item_id="item_id",
 
 
 def drop_contaminated(df, benchmark, text="text", item_id="item_id", item_text="text",
-                      threshold=0.5, least_seeds=8, block_chars=16_000_000):
+                      threshold=0.5, least_seeds=8, block_chars=2_000_000):
     """``df`` without the rows in which an item is found; all columns stay."""
     place = df.columns.index(text)
     for _, items, seeds in _prepared(df, benchmark, text, item_id, item_text, block_chars, least_seeds):

@@ -42,12 +42,46 @@ def line_hashes(text):
 
 
 class LineRuns:
-    """A store of runs under ``folder``, by default a new one in the shared folder."""
+    """A new store of runs under ``folder``, by default in the shared folder.
+
+    A batch counts once its runs are in the store's manifest, so a batch that fails half-way can be
+    added again. Runs that were merged stay on disk until the folder is removed.
+    """
 
     def __init__(self, spark, folder=None, min_docs=10, fanout=4):
         self.spark, self.min_docs, self.fanout = spark, min_docs, fanout
         self.folder = folder or f"{shared_folder(spark)}/lines-{uuid.uuid4().hex}"
-        self.levels = []
+        self.levels, self.batches = [], 0
+
+    @classmethod
+    def open(cls, spark, folder):
+        """The store as its last batch left it."""
+        manifest = spark.read.parquet(f"{folder}/manifest")
+        last = manifest.agg(F.max("batch")).first()[0]
+        rows = manifest.filter(F.col("batch") == last).collect()
+        store = cls(spark, folder, rows[0]["min_docs"], rows[0]["fanout"])
+        store.batches = last
+        store.levels = [[] for _ in range(1 + max(r["level"] for r in rows))]
+        for r in sorted(rows, key=lambda r: r["place"]):
+            store.levels[r["level"]].append(r["path"])
+        return store
+
+    def _publish(self):
+        """One row for each run that counts: their number grows with the log of the batches."""
+        self.batches += 1
+        runs = [(level, path) for level, paths in enumerate(self.levels) for path in paths]
+        rows = F.array(
+            *[
+                F.struct(F.lit(i).alias("place"), F.lit(level).alias("level"), F.lit(path).alias("path"))
+                for i, (level, path) in enumerate(runs)
+            ]
+        )
+        self.spark.range(1).select(
+            F.lit(self.batches).alias("batch"),
+            F.lit(self.min_docs).alias("min_docs"),
+            F.lit(self.fanout).alias("fanout"),
+            F.inline(rows),
+        ).write.mode("append").parquet(f"{self.folder}/manifest")
 
     def _merged(self, paths):
         runs = self.spark.read.schema("h1 bigint, h2 bigint, docs bigint").parquet(*paths)
@@ -78,6 +112,7 @@ class LineRuns:
         if any(self.levels):
             counts = counts.join(self.closed().hint("merge"), KEY, "left_anti")
         self._write(counts, 0)
+        self._publish()
 
 
 def drop_lines(df, closed, doc_id="doc_id", text="text"):

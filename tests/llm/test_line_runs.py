@@ -60,6 +60,18 @@ def test_runs_are_sorted_and_closed_lines_are_counted_no_further(spark):
     assert store.closed().count() == 2
 
 
+def test_a_store_is_opened_as_its_last_batch_left_it(spark, tmp_path):
+    store = line_runs.LineRuns(spark, f"{tmp_path}/store", min_docs=3, fanout=2)
+    for i in range(5):
+        store.add(spark.createDataFrame([(f"own {i}\nshared\nodd {i % 2}",)], "text string"))
+    again = line_runs.LineRuns.open(spark, f"{tmp_path}/store")
+    assert (again.levels, again.min_docs, again.fanout) == (store.levels, 3, 2)
+    assert sum(map(len, again.levels)) == 2  # 5 batches: a run of four and a run of one
+    again.add(spark.createDataFrame([("odd 1",)], "text string"))
+    df = spark.createDataFrame([(1, "shared\nown 1\nodd 0\nodd 1")], "doc_id bigint, text string")
+    assert line_runs.drop_lines(df, again.closed()).first()["text"] == "own 1"
+
+
 def test_empty(spark):
     df = spark.createDataFrame([], "doc_id bigint, text string")
     assert line_runs.dedup_lines(df).collect() == []
