@@ -49,7 +49,9 @@ def first_per_doc(df, order, key="document_id"):
     )
 
 
-def group_answers(df, order, item, key="document_id", name="inference", limit=LIMIT, limit_bytes=LIMIT_BYTES):
+def group_answers(
+    df, order, item, key="document_id", name="inference", limit=LIMIT, limit_bytes=LIMIT_BYTES
+):
     """Collect ``item`` into lists per document, in input order.
 
     Every row has a ``part``, 0 for a document within the limits. A list with more than ``limit``
@@ -90,7 +92,9 @@ def _with_parts(rows, key, order, item, limit, limit_bytes):
     return others.unionByName(cut.withColumn("part", part).drop("_row", "_bytes")), True
 
 
-def curate(df, order, origin="in_house", ts=None, limit=LIMIT, limit_bytes=LIMIT_BYTES, label_name="label"):
+def curate(
+    df, order, origin="in_house", ts=None, limit=LIMIT, limit_bytes=LIMIT_BYTES, label_name="label"
+):
     """Raw rows to curated documents.
 
     ``order`` names the columns that give the input order. Lists are cut into parts as in

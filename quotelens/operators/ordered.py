@@ -164,9 +164,13 @@ def exact_percentiles(df, keys, values, probabilities, count=None):
         ]
     )
     on = [*keys, "_col"]
+    times = F.lit(1) if count is None else F.col(count)
+    present = F.lit(True)
+    for key in keys:
+        present = present & F.col(key).isNotNull()
     counts = (
-        df.dropna(subset=list(keys))
-        .select(*keys, F.lit(1).alias("_n") if count is None else F.col(count).alias("_n"), F.inline(entries))
+        df.filter(present)
+        .select(*keys, times.alias("_n"), F.inline(entries))
         .filter("_v is not null")
         .groupBy(*on, "_v")
         .agg(F.sum("_n").alias("_n"))

@@ -75,8 +75,8 @@ def _output_pairs(outputs, references, doc):
     A document may come in several parts on either side; answers are matched by id over all of
     them, and one part that cannot be read leaves the document out.
     """
-    parsed = ans.parse_response(_numbered(outputs).select(doc, "part", "generated"), "generated", wrapped=False)
-    parsed = settle(parsed)
+    texts = _numbered(outputs).select(doc, "part", "generated")
+    parsed = settle(ans.parse_response(texts, "generated", wrapped=False))
     broken = parsed.filter(F.col("status") != "ok").select(doc).distinct()
     read = ans.explode_answers(ans.drop_failed(parsed).select(doc, "part", "answers"))
     given = ans.explode_answers(_numbered(references).select(doc, "part", "inference"), "inference")
@@ -118,7 +118,9 @@ def document_outcomes(outputs, references=None, doc="document_id"):
     return known.withColumn("outcome", outcome).drop("_broken")
 
 
-def release_check(outputs, references=None, doc="document_id", rules=ev.RELEASE_RULES, least_scored=0.95):
+def release_check(
+    outputs, references=None, doc="document_id", rules=ev.RELEASE_RULES, least_scored=0.95
+):
     """One row: dataset metrics, documents left out and why, and the gate on both."""
     outcomes = document_outcomes(outputs, references, doc)
     return ev.gate(ev.dataset_metrics(outcomes), (*rules, ("scored_share", least_scored)))

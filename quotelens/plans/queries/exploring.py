@@ -2,8 +2,6 @@
 
 import random
 
-from pyspark.sql import functions as F
-
 from ...operators import explore
 from .registry import query, table
 

@@ -72,7 +72,8 @@ def parsed_answers(spark, folder):
 def valid_output_pairs(spark, folder):
     """Unusable outputs go together with their own reference."""
     generated = F.from_json("output", "generated_text string")["generated_text"]
-    rows = _responses(spark, folder).filter("output rlike '[}]$'").withColumn("generated", generated)
+    whole = F.when(ans.is_json(F.col("output")), generated)  # null for an output that is cut
+    rows = _responses(spark, folder).withColumn("generated", whole)
     reference = table(spark, folder, "conversations").select(
         "conv_id", "turn", F.length("text").cast("long").alias("reference")
     )
