@@ -1,13 +1,13 @@
 """Benchmark passages in training documents, also when edited or paraphrased.
 
-1. Every item is cut into word n-grams, and one pass over all documents counts in how many
-   documents each occurs. The rarest three quarters of an item's n-grams are its seeds; an item
-   that was copied often keeps its rarest ones all the same.
-2. A second pass finds the seeds in each document. A hit says where in the document the item would
+1. Every word n-gram of an item is a seed. None is left out: an edited copy may keep only n-grams
+   that are common, or that other copies hold as well.
+2. One pass finds the seeds in each document. A hit says where in the document the item would
    lie; that passage, with room for insertions, is aligned with the whole item by Smith-Waterman
-   over words. The score is the best local alignment over that of the item with itself.
+   over words. The score is the best local alignment over that of the item with itself. Passages
+   with too few of the item's words for the threshold are not aligned.
 
-Benchmarks are held in memory in blocks of ``block_chars`` characters, each with two passes over the
+Benchmarks are held in memory in blocks of ``block_chars`` characters, each with one pass over the
 documents; documents are never shuffled. Words are lower-cased, ASCII punctuation is white space.
 
 Edge cases: null or empty items match nothing, null or empty texts match nothing. Items shorter
@@ -16,7 +16,6 @@ give a row each; null ids are kept. Empty tables give an empty result.
 """
 
 import string
-from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -103,6 +102,8 @@ def _matches(text, machine, items, threshold):
         best = (0, 0, 0)
         target = items[item]
         for low, high in _passages(places, len(target), len(words)):
+            if sum(map(set(words[low:high]).__contains__, target)) < threshold * len(target):
+                continue  # a score is MATCH a shared word at most
             a, b = _numbers(target, words[low:high])
             score, end = align(a, b)
             if score > best[0]:
@@ -126,46 +127,24 @@ def _blocks(benchmark, item_id, text, block_chars):
         yield [(i, w) for i, w in sorted(found, key=lambda x: (x[0] is None, x)) if w]
 
 
-def _document_counts(texts, grams):
-    """In how many rows of ``texts`` each gram occurs."""
-
-    def run(batches):
-        machine, counts = _automaton({g: g for g in grams}), Counter()
-        for batch in batches:
-            for text in batch.column(0).to_pylist() if grams else ():
-                joined = f" {' '.join(plain_words(text))} "
-                counts.update({gram for _, gram in machine.iter(joined)})
-        yield pa.record_batch(
-            [pa.array(list(counts), pa.string()), pa.array(list(counts.values()), pa.int64())],
-            ["gram", "docs"],
-        )
-
-    found = texts.mapInArrow(run, "gram string, docs bigint")
-    return {r["gram"]: r["docs"] for r in found.groupBy("gram").agg(F.sum("docs").alias("docs")).collect()}
-
-
-def _seeds(items, docs, least):
-    """Gram -> (words in it, [(item, position)]) for the rarest grams of each item."""
+def _seeds(items):
+    """Gram -> (words in it, [(item, position)]) for all grams of each item."""
     seeds = {}
     for i, words in enumerate(items):
-        grams = _grams(words)
-        rare = sorted(grams, key=lambda g: (docs.get(g, 0), g))[: max(least, 3 * len(grams) // 4)]
-        for gram in rare:
-            seeds.setdefault(gram, (min(GRAM, len(words)), []))[1].append((i, grams[gram]))
+        for gram, at in _grams(words).items():
+            seeds.setdefault(gram, (min(GRAM, len(words)), []))[1].append((i, at))
     return seeds
 
 
-def _prepared(df, benchmark, text, item_id, item_text, block_chars, least_seeds):
+def _prepared(benchmark, item_id, item_text, block_chars):
     """For each block: item ids, item words and seeds."""
-    texts = df.select(F.coalesce(text, F.lit("")).alias("text"))
     for block in _blocks(benchmark, item_id, item_text, block_chars):
         items = [words for _, words in block]
-        docs = _document_counts(texts, sorted({g for words in items for g in _grams(words)}))
-        yield [i for i, _ in block], items, _seeds(items, docs, least_seeds)
+        yield [i for i, _ in block], items, _seeds(items)
 
 
 def contaminated(df, benchmark, doc_id="doc_id", text="text", item_id="item_id", item_text="text",
-                 threshold=0.5, least_seeds=8, block_chars=2_000_000):
+                 threshold=0.5, block_chars=2_000_000):
     """One row for each document and item found in it: score (0 to 1) and the words it covers."""
     schema = pa.schema(
         [("doc_id", pa.int64()), ("item_id", pa.int64()), ("score", pa.float64()),
@@ -173,7 +152,7 @@ def contaminated(df, benchmark, doc_id="doc_id", text="text", item_id="item_id",
     )
     rows = df.select(F.col(doc_id).cast("long").alias("doc_id"), F.coalesce(text, F.lit("")).alias("text"))
     result = None
-    for ids, items, seeds in _prepared(df, benchmark, text, item_id, item_text, block_chars, least_seeds):
+    for ids, items, seeds in _prepared(benchmark, item_id, item_text, block_chars):
 
         def run(batches, ids=ids, items=items, seeds=seeds):
             machine = _automaton(seeds)
@@ -196,10 +175,10 @@ def contaminated(df, benchmark, doc_id="doc_id", text="text", item_id="item_id",
 
 
 def drop_contaminated(df, benchmark, text="text", item_id="item_id", item_text="text",
-                      threshold=0.5, least_seeds=8, block_chars=2_000_000):
+                      threshold=0.5, block_chars=2_000_000):
     """``df`` without the rows in which an item is found; all columns stay."""
     place = df.columns.index(text)
-    for _, items, seeds in _prepared(df, benchmark, text, item_id, item_text, block_chars, least_seeds):
+    for _, items, seeds in _prepared(benchmark, item_id, item_text, block_chars):
 
         def run(batches, items=items, seeds=seeds):
             machine = _automaton(seeds)

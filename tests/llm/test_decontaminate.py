@@ -99,3 +99,18 @@ def test_empty(spark):
     assert decontaminate.contaminated(docs.limit(0), bench).collect() == []
     assert decontaminate.contaminated(docs, bench.limit(0)).collect() == []
     assert decontaminate.drop_contaminated(docs, bench.limit(0)).count() == 1
+
+
+@pytest.mark.parametrize("exact_copies", [0, 3])
+@pytest.mark.parametrize("n", [16, 40])
+def test_every_fourth_word_replaced(spark, n, exact_copies):
+    item = [f"i{i}" for i in range(n)]
+    copy = " ".join(f"x{i}" if i % 4 == 3 else w for i, w in enumerate(item))
+    rows = [(0, copy)] + [(i + 1, " ".join(item)) for i in range(exact_copies)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    bench = spark.createDataFrame([(1, " ".join(item))], "item_id bigint, text string")
+    found = {r["doc_id"]: r["score"] for r in decontaminate.contaminated(docs, bench).collect()}
+    words = decontaminate.plain_words
+    assert found[0] == slow_align(words(" ".join(item)), words(copy)) / (MATCH * n) > 0.5
+    assert len(found) == 1 + exact_copies
+    assert decontaminate.drop_contaminated(docs, bench).count() == 0
