@@ -85,3 +85,35 @@ def test_frames(spark):
     back = pseudonyms.pseudonymise(spark.createDataFrame(out), b"k", back=True).collect()
     assert sorted(map(str, ((r["doc_id"], r["text"]) for r in back))) == sorted(map(str, rows))
     assert pseudonyms.pseudonymise(df.limit(0), b"k").collect() == []
+
+
+CARD, IBAN = "4111111111111111", "BE68 5390 0754 7034"
+
+
+@pytest.mark.parametrize(
+    "text,values",
+    [(f"{CARD} 12/27", [CARD]), (f"{CARD} 123", [CARD]), (f"{CARD} 12345 6", [CARD]),
+     (f"{CARD} 5500000000000004", [CARD, "5500000000000004"]),
+     ("4111 1111 1111 1111 5500-0000-0000-0004", ["4111 1111 1111 1111", "5500-0000-0000-0004"]),
+     ("no 12 4111 1111 1111 1111", ["4111 1111 1111 1111"]),
+     ("41111111 11111111 98765432 1", ["41111111 11111111"]),
+     (f"{IBAN} EUR 500", [IBAN]), (f"{IBAN} GB82 WEST 1234 5698 7654 32", [IBAN, "GB82 WEST 1234 5698 7654 32"]),
+     ("2024-01-15/2024-02-20", ["2024-01-15", "2024-02-20"]), ("1/5/2020-12/31/2001", ["1/5/2020", "12/31/2001"]),
+     ("5.3.1987-31.12.1999", ["5.3.1987", "31.12.1999"]), (f"{CARD} 2024-01-15", ["2024-01-15", CARD])],
+)
+def test_values_beside_numbers_capitals_and_each_other(text, values):
+    new, spans = replace(f"see {text}.", PERMUTE)
+    assert not any(v in new for v in values)
+    assert sorted(f"see {text}."[a:b] for _, a, b in spans) == sorted(values)
+    assert replace(new, PERMUTE, back=True)[0] == f"see {text}."
+
+
+def test_neighbours_of_all_kinds_come_back():
+    rng = random.Random(3)
+    values = [v for vs in VALUES.values() for v in vs if "." not in v] + [CARD, IBAN]
+    for _ in range(1_500):
+        some = [rng.choice(values) if rng.random() < 0.4 else str(rng.randrange(10 ** rng.randrange(1, 8)))
+                for _ in range(rng.randrange(1, 12))]
+        text = "".join(x + rng.choice([" ", " ", "-", "/", " EUR "]) for x in some)
+        new, spans = replace(text, PERMUTE)
+        assert replace(new, PERMUTE, back=True)[0] == text
