@@ -115,6 +115,30 @@ def test_crowds_without_a_key_or_with_one_quote_id_are_split(spark):
     assert all(r.quote_grams == 2 and r.rouge.precision == r.overlap / 2 for r in scored)
 
 
+def test_repeats_of_one_quote_do_not_share_a_group(spark, monkeypatch):
+    """Equal quotes of one id are scored once, so a group stays near the wanted size."""
+    texts = spark.createDataFrame([("k", "a b c d e f g h")], "k string, text string")
+    rows = [("k", 1, "a b c")] * 400 + [("k", 2, None)] * 70 + [("k", i, f"a b c {i}") for i in range(200)]
+    quotes = spark.createDataFrame(rows, "k string, quote_id int, text string").repartition(4)
+    scored = overlap.ngram_overlap(quotes, texts, "k", per_group=20).collect()
+    assert sorted((r.quote_id, r.overlap, r.quote_grams) for r in scored) == sorted(
+        (i, 0, 0) if q is None else (i, 1, len(q.split()) - 2) for _, i, q in rows
+    )
+
+    def sizes(n):
+        return F.transform("_quotes", lambda q: q.withField("overlap", F.size("_quotes")).withField(
+            "quote_grams", F.lit(1)).withField("target_grams", F.lit(1)))
+
+    monkeypatch.setattr(overlap, "_score_group", sizes)
+    assert max(r.overlap for r in overlap.ngram_overlap(quotes, texts, "k", per_group=20).collect()) < 60
+
+
+def test_rows_are_repeated_by_their_count(spark):
+    df = spark.createDataFrame([(1, 1), (2, 65_536), (3, 65_537), (4, 200_000)], "i int, n long")
+    got = overlap._repeated(df, F.col("n")).groupBy("i").count().collect()
+    assert {r["i"]: r["count"] for r in got} == {1: 1, 2: 65_536, 3: 65_537, 4: 200_000}
+
+
 def test_broadcasts_are_checked_by_bytes(spark):
     from quotelens.operators.joins import fits
 
