@@ -218,6 +218,14 @@ def alarm_edges(spark, folder):
     return edges.select(*keys, _stamp("period", "period"), "previous", "state")
 
 
+def _arrivals(events):
+    """Events in three parts in time order: ten days, ten days and the rest."""
+    first = events.agg(F.min(F.to_date("ts"))).first()[0]
+    days = F.datediff("ts", F.lit(first).cast("date"))
+    part = F.least(F.floor(days / 10), F.lit(2))
+    return [events.filter(part == i) for i in range(3)]
+
+
 @query(
     "live_alarm_states",
     f"""WITH {_state_sql(3, 2, True, 'endpoint, adapter')}
@@ -226,7 +234,8 @@ def alarm_edges(spark, folder):
 def live_alarm_states(spark, folder):
     """Points, period means and stateful alarm in one running query, stopped and resumed.
 
-    Ten days of events arrive at a time; the state goes on from the checkpoint. The last arrival
+    The first ten days of events arrive, then the next ten, then all later ones; the state goes on
+    from the checkpoint. The last arrival
     is one later event that closes all periods.
     """
     path = scratch(spark)
@@ -247,8 +256,7 @@ def live_alarm_states(spark, folder):
             for f in events.schema
         ]
     )
-    days = F.least(F.floor((F.dayofmonth("ts") - 1) / 10), F.lit(2))
-    for arrival in (*[events.filter(days == i) for i in range(3)], end):
+    for arrival in (*_arrivals(events), end):
         arrival.write.mode("append").parquet(f"{path}/in")
         done = live.run_to_table(states, f"{path}/out", f"{path}/state")
     return _state_columns(done.filter("owner NOT LIKE 'end/%'"), "owner")

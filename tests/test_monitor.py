@@ -111,3 +111,13 @@ def test_drift(spark):
     assert got["q1", "entailment"].one_sided and got["q1", "entailment"].drifted
     assert math.isclose(got["q1", "contradiction"].change, 0.4) and got["q1", "contradiction"].share == 0
     assert not got["q2", "entailment"].drifted and not got["q2", "entailment"].one_sided
+
+
+def test_live_arrivals_come_in_time_order_over_months(spark):
+    from quotelens.plans.queries import monitoring
+
+    events = spark.sql("SELECT timestamp'2024-01-05 10:00:00' + make_interval(0, 0, 0, id) AS ts FROM range(70)")
+    arrivals = [sorted(r["ts"] for r in a.collect()) for a in monitoring._arrivals(events)]
+    assert [len(a) for a in arrivals] == [10, 10, 50]
+    assert sum(arrivals, []) == sorted(r["ts"] for r in events.collect())
+    assert all(a.count() == 0 for a in monitoring._arrivals(events.limit(0)))
