@@ -5,7 +5,10 @@ import string
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from . import decontaminate, hmm, host_rules, line_runs, packing, pseudonyms, quality, sharding, simhash, urls
+from . import (
+    decontaminate, hmm, host_rules, infilling, line_runs, packing, pseudonyms, quality, sharding,
+    simhash, urls,
+)
 from .text import remainder
 
 QUERIES = {}
@@ -212,3 +215,43 @@ def op4(spark, folder):
     return pseudonyms.pseudonymise(documents, TEST_KEY).select(
         "doc_id", "text", F.size("found").alias("n_found"), "found"
     )
+
+
+UNITS_SQL = r"regexp_extract_all(text, '[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+')"
+
+
+@query(
+    "op13_counted_infilling",
+    rf"""
+    WITH docs AS (SELECT doc_id, coalesce(text, '') AS text,
+                         sha256('42:' || coalesce(doc_id::VARCHAR, '')) AS h FROM documents),
+    drawn AS (SELECT doc_id, text, {UNITS_SQL} AS u, ('0x' || h[1:8])::BIGINT AS h1, ('0x' || h[9:16])::BIGINT AS h2,
+                     ('0x' || h[17:24])::BIGINT AS h3, ('0x' || h[25:32])::BIGINT AS h4 FROM docs),
+    cuts AS (SELECT *, least(h1 % (len(u) + 1), h2 % (len(u) + 1)) AS a,
+                    greatest(h1 % (len(u) + 1), h2 % (len(u) + 1)) AS b,
+                    CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>')
+                              OR h3 % 100 >= 50 THEN 'plain'
+                         WHEN h4 % 100 < 80 THEN 'spm' ELSE 'psm' END AS form FROM drawn),
+    cut AS (SELECT *, array_to_string(u[1:a], '') AS p, array_to_string(u[a + 1:b], '') AS m,
+                   array_to_string(u[b + 1:], '') AS s FROM cuts)
+    SELECT doc_id, len(u) AS n, form, CASE WHEN form <> 'plain' THEN length(p) END AS prefix_chars,
+           CASE WHEN form <> 'plain' THEN length(m) END AS middle_chars,
+           sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m
+                            ELSE '<S>' || s || '<P>' || p || '<M>' || m END) AS output_sha256,
+           sha256(text) AS restored_sha256
+    FROM cut""",
+)
+def op13(spark, folder):
+    """All documents, half of them rearranged for filling in the middle."""
+    documents = table(spark, folder, "documents").select("doc_id", "text")
+    moved = infilling.transform(documents)
+    found = infilling.parts(F.col("output"), F.col("form"))
+    return moved.select(
+        "doc_id",
+        F.col("n_units").alias("n"),
+        "form",
+        F.length(found["prefix"]).cast("long").alias("prefix_chars"),
+        F.length(found["middle"]).cast("long").alias("middle_chars"),
+        F.sha2("output", 256).alias("output_sha256"),
+        F.sha2(infilling.restore(F.col("output"), F.col("form")), 256).alias("restored_sha256"),
+    )
