@@ -6,8 +6,8 @@ import public_tokenizers
 from pyspark.sql import functions as F
 
 from . import (
-    decontaminate, hmm, host_rules, infilling, line_runs, packing, pseudonyms, quality, sharding,
-    simhash, urls,
+    decontaminate, hmm, host_rules, infilling, line_runs, packing, prefix_trie, pseudonyms,
+    quality, sharding, simhash, urls,
 )
 from .text import remainder
 
@@ -255,3 +255,45 @@ def op13(spark, folder):
         F.sha2("output", 256).alias("output_sha256"),
         F.sha2(infilling.restore(F.col("output"), F.col("form")), 256).alias("restored_sha256"),
     )
+
+
+#: CRC32 of the text of a number, bit by bit.
+CRC32_SQL = """xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split({0}::VARCHAR, ''),
+        lambda x: ascii(x)::BIGINT)), lambda crc, byte: list_reduce(list_prepend(xor(crc, byte), range(8)),
+        lambda a, i: xor(a >> 1, 3988292384::BIGINT * (a & 1)))), 4294967295::BIGINT)"""
+
+
+@query(
+    "op11_conversation_trie",
+    f"""
+    WITH said AS (SELECT conv_id AS c, turn, length(coalesce(text, '')) AS l,
+                         md5(length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '')) AS m
+                  FROM conversations WHERE conv_id IS NOT NULL),
+    t AS (SELECT *, row_number() OVER (PARTITION BY c ORDER BY turn NULLS FIRST, m) AS i FROM said),
+    ids AS (SELECT c, {CRC32_SQL.format('c')} % 6 AS h, c - c % 100 AS base FROM (SELECT DISTINCT c FROM said)),
+    heads AS (SELECT ids.c, t.i AS d, m, l FROM ids JOIN t ON t.c = base AND t.i <= h),
+    taken AS (SELECT c, count(*) AS k FROM heads GROUP BY c),
+    rebuilt AS (SELECT * FROM heads UNION ALL
+                SELECT ids.c, coalesce(k, 0) + t.i - h, m, l
+                FROM ids JOIN t ON t.c = ids.c AND t.i > h LEFT JOIN taken ON taken.c = ids.c),
+    named AS (SELECT c, d, l, md5(array_to_string(list(m) OVER (PARTITION BY c ORDER BY d), ',')) AS node FROM rebuilt),
+    paths AS (SELECT c, d, l, node, lag(node, 1, 'root') OVER (PARTITION BY c ORDER BY d) AS parent FROM named
+              UNION ALL SELECT c, 0, 0, 'root', NULL FROM ids),
+    nodes AS (SELECT node, d, min(c) AS c, count(*) AS n, any_value(l) AS l, any_value(parent) AS parent
+              FROM paths GROUP BY node, d),
+    kids AS (SELECT parent, count(*) AS n FROM nodes GROUP BY parent),
+    below AS (SELECT p.node, sum((nodes.n - 1) * nodes.l) AS saved, count(*) FILTER (WHERE kids.n IS NULL) AS leaves
+              FROM nodes LEFT JOIN kids ON kids.parent = nodes.node
+              JOIN paths p ON p.c = nodes.c AND p.d <= nodes.d GROUP BY p.node),
+    ends AS (SELECT node, string_agg(c::VARCHAR, ',' ORDER BY c) AS ids
+             FROM (SELECT c, arg_max(node, d) AS node FROM paths GROUP BY c) GROUP BY node)
+    SELECT nodes.c AS conv_id, nodes.d AS depth, up.c AS parent_conv_id, nodes.n AS n_convs,
+           coalesce(kids.n, 0) AS n_children, leaves AS n_leaves, saved::BIGINT AS saved_tokens,
+           sha256(coalesce(ids, '')) AS ends_sha256
+    FROM nodes JOIN below USING (node) LEFT JOIN kids ON kids.parent = nodes.node
+    LEFT JOIN ends ON ends.node = nodes.node LEFT JOIN nodes up ON up.node = nodes.parent""",
+)
+def op11(spark, folder):
+    """All conversations, with shared heads, as a trie of their turns."""
+    lists = prefix_trie.turn_lists(table(spark, folder, "conversations"))
+    return prefix_trie.prefix_trie(prefix_trie.share_heads(lists))
