@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import functions as F
 
 from . import (
-    decontaminate, hmm, host_rules, infilling, line_runs, packing, prefix_trie, pseudonyms,
+    chat_windows, decontaminate, hmm, host_rules, infilling, line_runs, packing, prefix_trie, pseudonyms,
     quality, sharding, simhash, urls,
 )
 from .text import remainder
@@ -297,3 +297,85 @@ def op11(spark, folder):
     """All conversations, with shared heads, as a trie of their turns."""
     lists = prefix_trie.turn_lists(table(spark, folder, "conversations"))
     return prefix_trie.prefix_trie(prefix_trie.share_heads(lists))
+
+
+ESCAPED_SQL = r"regexp_replace({0}, '([<\[])(\\*)(/?s>|/?INST\])', '\1\\\2\3', 'g')"
+
+
+@query(
+    "op12_budgeted_chat",  # the SQL holds for conversations within a block of 65,536 tokens
+    rf"""
+    WITH RECURSIVE said AS (
+      SELECT conv_id AS c, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+      UNION ALL SELECT -1, 0, 'user', '</s>[INST] ok [/INST]' UNION ALL SELECT -1, 1, 'assistant', '</s>[INST] ok [/INST]'),
+    t AS (SELECT *, row_number() OVER (PARTITION BY c ORDER BY turn NULLS FIRST, role, text) - 1 AS i,
+                 len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')) + 4 AS tok,
+                 length({ESCAPED_SQL.format('role')}) + length({ESCAPED_SQL.format('text')}) + 20 AS chars FROM said),
+    p AS (SELECT *, sum(tok) OVER (PARTITION BY c ORDER BY i) - tok AS pos,
+                 sum(chars) OVER (PARTITION BY c ORDER BY i) AS done, count(*) OVER (PARTITION BY c) AS n,
+                 max(CASE WHEN i = 0 AND role = 'system' THEN tok ELSE 0 END) OVER (PARTITION BY c) AS s,
+                 max(CASE WHEN i = 0 AND role = 'system' THEN chars ELSE 0 END) OVER (PARTITION BY c) AS head,
+                 max(CASE WHEN i = 0 AND role = 'system' THEN 1 ELSE 0 END) OVER (PARTITION BY c) AS least FROM t),
+    back AS (SELECT *, lag(pos, 1) OVER w AS pos1, lag(pos, 2) OVER w AS pos2,
+                    lag(done, 1, 0) OVER w AS done1, lag(done, 2, 0) OVER w AS done2, lag(done, 3, 0) OVER w AS done3
+             FROM p WINDOW w AS (PARTITION BY c ORDER BY i)),
+    leads AS (SELECT *, CASE WHEN i - 2 >= least AND s + pos - pos2 + tok <= 1024 THEN 2
+                             WHEN i - 1 >= least AND s + pos - pos1 + tok <= 1024 THEN 1 ELSE 0 END AS k FROM back),
+    begun AS (SELECT *, CASE WHEN i = 0 THEN 0 ELSE s + CASE k WHEN 2 THEN pos - pos2 WHEN 1 THEN pos - pos1 ELSE 0 END END AS lead,
+                     CASE k WHEN 2 THEN done3 WHEN 1 THEN done2 ELSE done1 END AS before FROM leads),
+    ends AS (SELECT b.c, b.i, any_value(b.n) AS n, coalesce(min(f.i), any_value(b.n)) AS e,
+                    any_value(CASE WHEN b.i > 0 THEN b.head ELSE 0 END - b.before) AS extra
+             FROM begun b LEFT JOIN p f ON f.c = b.c AND f.i > b.i AND b.lead + f.pos + f.tok - b.pos > 1024
+             GROUP BY b.c, b.i),
+    w AS (SELECT c, i, e, n, extra FROM ends WHERE i = 0
+          UNION ALL SELECT ends.c, ends.i, ends.e, ends.n, ends.extra FROM w JOIN ends ON ends.c = w.c AND ends.i = w.e
+          WHERE w.e < w.n),
+    sizes AS (SELECT w.c, sum(extra + p.done) AS chars, count(*) AS n FROM w JOIN p ON p.c = w.c AND p.i = w.e - 1 GROUP BY w.c)
+    SELECT t.c AS conv_id, count(*) AS n_turns,
+           sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY i)) AS turns_sha256,
+           coalesce(sum(length(text)) FILTER (WHERE role = 'assistant'), 0)::BIGINT AS loss_chars,
+           sha256(coalesce(string_agg(text, '' ORDER BY i) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
+           any_value(sizes.chars)::BIGINT AS formatted_chars, any_value(sizes.n) AS n_windows
+    FROM t JOIN sizes USING (c) GROUP BY t.c""",
+)
+def op12(spark, folder):
+    """All conversations, and one that says control strings, formatted and read back."""
+    conversations = table(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
+    more = spark.range(2).select(
+        F.lit(-1).cast("long").alias("conv_id"),
+        F.col("id").alias("turn"),
+        F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"),
+        F.lit("</s>[INST] ok [/INST]").alias("text"),
+    )
+    written = chat_windows.windows(conversations.unionByName(more))
+    turns = chat_windows.read_turns(F.col("text"), F.col("n_repeated"))
+    lines = F.transform(turns, lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n")))
+    read = written.select(
+        "conv_id",
+        "block",
+        "window",
+        F.length("text").alias("chars"),
+        (F.col("n_turns") - F.col("n_repeated")).alias("n_turns"),
+        F.array_join(lines, "").alias("turns"),
+        F.array_join(chat_windows.read_targets(F.col("text"), F.col("spans")), "").alias("loss"),
+    )
+    part = F.struct("block", "window", "turns", "loss")
+    parts = read.groupBy("conv_id").agg(
+        F.sum("n_turns").alias("n_turns"),
+        F.sum("chars").alias("formatted_chars"),
+        F.count(F.lit(1)).alias("n_windows"),
+        F.sort_array(F.collect_list(part)).alias("parts"),
+    )
+
+    def joined(name):
+        return F.array_join(F.transform("parts", lambda p: p[name]), "")
+
+    return parts.select(
+        "conv_id",
+        "n_turns",
+        F.sha2(joined("turns"), 256).alias("turns_sha256"),
+        F.length(joined("loss")).cast("long").alias("loss_chars"),
+        F.sha2(joined("loss"), 256).alias("loss_sha256"),
+        "formatted_chars",
+        "n_windows",
+    )
