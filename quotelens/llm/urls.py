@@ -178,18 +178,19 @@ def _best_split(histogram, total, penalty, least):
 
 def _routed(splits, depth):
     """Number of the node a row of ``bins`` falls in; ``splits`` is data, not part of the plan."""
-    feature, at = [-1] * 2**depth, [0] * 2**depth
-    for node, (f, b, *_) in splits.items():
-        feature[node], at[node] = f, b
-    node, features, ats = F.lit(1), F.lit(feature), F.lit(at)
-    for _ in range(depth):
-        f = F.get(features, node)
-        higher = (F.get("bins", f) > F.get(ats, node)).cast("int")
-        node = F.when(f.isNull() | (f < 0), node).otherwise(2 * node + higher)
-    return node
+    feature, at, low = [0] * 2 ** (depth + 1), [1 << 30] * 2 ** (depth + 1), list(range(2 ** (depth + 1)))
+    for node, (f, b) in splits.items():
+        feature[node], at[node], low[node] = f, b, 2 * node
+    features, ats, lows = F.lit(feature), F.lit(at), F.lit(low)
+
+    def step(node, _):
+        higher = F.get("bins", F.get(features, node)) > F.get(ats, node)
+        return F.get(lows, node) + higher.cast("int")
 
+    return F.aggregate(F.sequence(F.lit(1), F.lit(depth)), F.lit(1), step)
 
-def _histograms(data, p, splits, wanted, depth, width):
+
+def _histograms(data, splits, wanted, depth, width):
     """{node: {feature: {bin: (g, h)}}} of the wanted nodes of a growing tree.
 
     A row's cells, one a feature, are marked in the vector ``cells``; a node's sum of weighted
@@ -197,6 +198,7 @@ def _histograms(data, p, splits, wanted, depth, width):
     """
     rows = data.withColumn("node", _routed(splits, depth)).filter(F.col("node").isin(wanted))
     # Summed weights have to be positive, so g is taken as (g + n) - n.
+    p = F.col("p")
     weights = {"raised": F.col("positive") + F.col("n") * (1 - p), "n": F.col("n").cast("double"),
                "h": F.col("n") * F.greatest(p * (1 - p), F.lit(1e-12))}
     sums = [
@@ -212,7 +214,7 @@ def _histograms(data, p, splits, wanted, depth, width):
     return nodes
 
 
-def _grow(data, p, depth, width, rate, penalty, least):
+def _grow(data, depth, width, rate, penalty, least):
     """Splits and leaf values of one tree, or None if no cut helps.
 
     Sums of children come from the cut above them.
@@ -220,7 +222,7 @@ def _grow(data, p, depth, width, rate, penalty, least):
     splits, sums, wanted = {}, {}, [1]
     for _ in range(depth):
         following = []
-        for i, histogram in _histograms(data, p, splits, wanted, depth, width).items():
+        for i, histogram in _histograms(data, splits, wanted, depth, width).items():
             if i == 1:
                 parts = histogram[0].values()
                 sums[1] = sum(g for g, _ in parts), sum(h for _, h in parts)
@@ -264,19 +266,22 @@ def fit_trees(rows, features=FEATURES, label="label", rounds=10, depth=3, bins=3
         .groupBy("bins")
         .agg(F.count(F.lit(1)).alias("n"), F.sum(label).alias("positive"))
     )
-    data = settle(counted.withColumn("cells", array_to_vector(F.flatten(marks))))
-    margin = F.lit(model.bias)
-    for _ in range(rounds):
-        p = 1 / (1 + F.exp(-margin))
-        grown = _grow(data, p, depth, bins, rate, penalty, least)
+    def placed(data, margin):
+        probability = (1 / (1 + F.exp(-F.col("m")))).alias("p")
+        return settle(data.withColumn("m", margin).select("bins", "n", "positive", "cells", "m", probability))
+
+    data = placed(counted.withColumn("cells", array_to_vector(F.flatten(marks))), F.lit(model.bias))
+    for left in range(rounds - 1, -1, -1):
+        grown = _grow(data, depth, bins, rate, penalty, least)
         if grown is None:
             break
         splits, values = grown
         model.trees.append(
             _assemble({i: (features[f], float(cuts[f][b])) for i, (f, b) in splits.items()}, values.get)
         )
-        leaves = F.lit([float(values.get(i, 0.0)) for i in range(2 ** (depth + 1))])
-        margin = margin + F.get(leaves, _routed(splits, depth))
+        if left:
+            leaves = F.lit([float(values.get(i, 0.0)) for i in range(2 ** (depth + 1))])
+            data = placed(data, F.col("m") + F.get(leaves, _routed(splits, depth)))
     return model
 
 
