@@ -51,11 +51,13 @@ def carp(answers, contracts, key="request_id", quote_id="position"):
     )
 
 
-def to_metric_points(df, keep=()):
+def to_metric_points(df, keep=(), whole_seconds=True):
     """Scored responses (answers, carp, endpoint, adapter, ts) to metric points.
 
     One count per answer with dimension label and one with endpoint, adapter and label; the
     grounding mean without dimensions and with endpoint and adapter. Stateless.
+
+    Times are cut to seconds, which takes a watermark off; ``whole_seconds=False`` leaves them and it.
     """
     owner = [F.lit("model_endpoint"), F.col("endpoint"), F.lit("model_adapter"), F.col("adapter")]
     no_dims = F.create_map().cast("map<string,string>")
@@ -80,7 +82,7 @@ def to_metric_points(df, keep=()):
     points = F.concat(label_points(False), label_points(True), grounding)
     return df.select(
         *keep,
-        F.date_trunc("second", "ts").alias("ts"),
+        F.date_trunc("second", "ts").alias("ts") if whole_seconds else "ts",
         F.explode(points).alias("_point"),
     ).select(*keep, "_point.metric", "_point.dims", "ts", "_point.value")
 

@@ -2,8 +2,8 @@
 
 from pyspark.sql import functions as F
 
-from ...operators import monitor as mon
-from ...streaming import live
+from ...operators import drift, monitor as mon
+from ...streaming import arrivals as arrivals_, live, silence
 from . import standins as st
 from .registry import query, r6, scratch, table
 
@@ -249,13 +249,7 @@ def live_alarm_states(spark, folder):
     states = live.alarm_stream(
         means.select(owner, "period", "mean", "breach"), n=3, m=2, missing="missing", key="owner"
     )
-    end = events.agg(F.max("ts").alias("last")).select(
-        *[
-            (F.col("last") + F.expr("interval 2 days")).alias(f.name) if f.name == "ts"
-            else F.lit("end" if f.name == "event_type" else 0).cast(f.dataType).alias(f.name)
-            for f in events.schema
-        ]
-    )
+    end = _ended(events)
     for arrival in (*_arrivals(events), end):
         arrival.write.mode("append").parquet(f"{path}/in")
         done = live.run_to_table(states, f"{path}/out", f"{path}/state")
@@ -280,3 +274,130 @@ def inference_log(spark, folder):
     )
     live.sink_inference_log(log, f"{path}/log", f"{path}/state", available_now=True).awaitTermination()
     return spark.read.schema(log.schema).parquet(f"{path}/log").drop("ts")
+
+
+def _ended(events, days=2):
+    """One event of its own, days after the last, that lets the watermark pass all others."""
+    return events.agg(F.max("ts").alias("last")).select(
+        *[
+            (F.col("last") + F.expr(f"interval {days} days")).alias(f.name) if f.name == "ts"
+            else F.lit("end" if f.name == "event_type" else -1).cast(f.dataType).alias(f.name)
+            for f in events.schema
+        ]
+    )
+
+
+def _arriving(spark, events, arrivals):
+    """A stream over a folder, and functions that let each arrival come in."""
+    path = scratch(spark)
+    events.limit(0).write.parquet(f"{path}/in")
+    stream = spark.readStream.schema(events.schema).parquet(f"{path}/in")
+    return path, stream, [lambda a=a: a.write.mode("append").parquet(f"{path}/in") for a in arrivals]
+
+
+_QUIET = "NOT (event_type IN ('error', 'click') AND ts >= (SELECT min(ts::DATE) FROM events) + INTERVAL 10 DAY)"
+
+
+@query(
+    "live_silent_alarms",
+    f"""WITH {st.RESPONSES_SQL.replace('FROM events', f'FROM events WHERE {_QUIET}')},
+    {_means_sql('5 minutes', 'endpoint, adapter, ')},
+    closed AS (SELECT time_bucket(INTERVAL 5 MINUTE, max(ts) + INTERVAL 2 DAY - INTERVAL 10 MINUTE, TIMESTAMP '1970-01-01')
+                      - INTERVAL 5 MINUTE AS upto FROM events),
+    spine AS (SELECT endpoint, adapter, unnest(generate_series(min(period), any_value(upto), INTERVAL 5 MINUTE)) AS period
+              FROM means, closed GROUP BY endpoint, adapter),
+    flagged AS (SELECT endpoint, adapter, period, mean, CASE WHEN mean IS NULL OR mean <= 0.7 THEN 1 ELSE 0 END AS bad
+                FROM spine LEFT JOIN means USING (endpoint, adapter, period))
+    SELECT endpoint || '/' || adapter AS owner, strftime(period, '%Y-%m-%d %H:%M:%S') AS period, round(mean, 6) AS mean,
+      CASE WHEN sum(bad) OVER (PARTITION BY endpoint, adapter ORDER BY period ROWS BETWEEN 11 PRECEDING AND CURRENT ROW) >= 12
+           THEN 'ALARM' ELSE 'OK' END AS state FROM flagged""",
+)
+def live_silent_alarms(spark, folder):
+    """Two kinds of endpoint fall silent after ten days; an hour without data or below is an alarm."""
+    everything = table(spark, folder, "events").withColumn("ts", F.col("ts").cast("timestamp"))
+    first = everything.agg(F.min(F.to_date("ts"))).first()[0]
+    late = F.col("ts") >= F.date_add(F.lit(first), 10).cast("timestamp")
+    events = everything.filter(~(F.col("event_type").isin("error", "click") & late))
+    arrivals = (*_arrivals(events), _ended(everything))
+    path, stream, arrive = _arriving(spark, everything, arrivals)
+    means = live.drift_alarm(mon.to_metric_points(st.scored_responses(stream)), "5 minutes")
+    owner = F.concat_ws("/", "endpoint", "adapter").alias("owner")
+    spark.conf.set(*live.STATE_STORE)
+    states = silence.watched_alarm(
+        means.select(owner, "period", "mean", "breach"), n=12, m=12, missing="breaching", key="owner"
+    )
+    for arrival in arrive:
+        arrival()
+        done = live.run_to_table(states, f"{path}/out", f"{path}/state")
+    return _state_columns(done.filter("owner NOT LIKE 'end/%'"), "owner")
+
+
+@query("live_means_without_repeats", _SHORT)
+def live_means_without_repeats(spark, folder):
+    """Every third response is sent again by its caller, minutes later; means count it once."""
+    events = table(spark, folder, "events").withColumn("ts", F.col("ts").cast("timestamp"))
+    again = events.filter(F.col("event_id") % 3 == 0)
+    arrivals = [
+        part for a, b in zip(_arrivals(events), _arrivals(again)) for part in (a, b)
+    ]
+    path, stream, arrive = _arriving(spark, events, [*arrivals, _ended(events, 30)])
+    # A later arrival may be as old as the one before it began: that is what is waited for.
+    scored = st.scored_responses(stream, "event_id")
+    once = arrivals_.distinct_responses(scored, "event_id", "12 days")
+    points = mon.to_metric_points(once, whole_seconds=False)
+    means = live.short_alarm(points, watermark=None)
+    for arrival in arrive:
+        arrival()
+        done = live.run_to_table(means, f"{path}/out", f"{path}/state")
+    last = events.agg(F.max("ts")).first()[0]
+    return _means(done.filter(F.col("period") <= F.lit(last)))
+
+
+_LABEL_COUNTS = """count(*) FILTER (WHERE label = 'entailment') AS e, count(*) FILTER (WHERE label = 'contradiction') AS c,
+      count(*) FILTER (WHERE label = 'not_mentioned') AS m"""
+
+
+@query(
+    "live_label_drift",
+    f"""WITH {st.RESPONSES_SQL}, told AS (
+      SELECT ts, hypothesis_id, CASE WHEN hypothesis_id = 'nda-3' AND ts >= TIMESTAMP '2024-01-20' AND label = 'contradiction'
+             THEN 'entailment' ELSE label END AS label, ts < (SELECT min(ts::DATE) FROM events) + INTERVAL 10 DAY AS old
+      FROM responses),
+    b AS (SELECT hypothesis_id, {_LABEL_COUNTS} FROM told WHERE old GROUP BY ALL),
+    w AS (SELECT {_bucket('1 day')} AS period, hypothesis_id, {_LABEL_COUNTS} FROM told WHERE NOT old GROUP BY ALL),
+    cells AS (SELECT period, w.hypothesis_id, n, x, bx, sum(x) OVER h AS total, sum(bx) OVER h AS btotal,
+                     count(*) FILTER (WHERE x + bx > 0) OVER h - 1 AS degrees
+              FROM w JOIN b USING (hypothesis_id), LATERAL (SELECT unnest([1, 2, 3]) AS n, unnest([w.e, w.c, w.m]) AS x, unnest([b.e, b.c, b.m]) AS bx)
+              WINDOW h AS (PARTITION BY period, w.hypothesis_id)),
+    tests AS (SELECT period, hypothesis_id, any_value(total) AS answers, any_value(degrees) AS degrees, any_value(total + btotal) AS everything,
+                     sum(CASE WHEN x + bx > 0 THEN (x - (x + bx) * total / (total + btotal)) ** 2 / ((x + bx) * total / (total + btotal))
+                            + (bx - (x + bx) * btotal / (total + btotal)) ** 2 / ((x + bx) * btotal / (total + btotal)) ELSE 0 END) AS statistic
+              FROM cells GROUP BY period, hypothesis_id)
+    SELECT strftime(period, '%Y-%m-%d %H:%M:%S') AS period, hypothesis_id, answers::BIGINT AS answers, round(statistic, 6) AS statistic,
+      round(exp(-statistic / 2), 6) AS p_value, round(sqrt(statistic / everything), 6) AS effect, exp(-statistic / 2) < 0.001 AS drifted
+    FROM tests""",
+)
+def live_label_drift(spark, folder):
+    """Days against the first ten, which are the stored baseline; one hypothesis loses a label."""
+    events = table(spark, folder, "events").withColumn("ts", F.col("ts").cast("timestamp"))
+
+    def answers(rows):
+        flat = st.scored_responses(rows).select("ts", F.explode("answers").alias("a"))
+        flat = flat.select("ts", "a.hypothesis_id", "a.label")
+        lost = (F.col("hypothesis_id") == "nda-3") & (F.col("ts") >= F.lit("2024-01-20").cast("timestamp"))
+        told = F.when(lost & (F.col("label") == "contradiction"), "entailment").otherwise(F.col("label"))
+        return flat.withColumn("label", told)
+
+    old, *later = _arrivals(events)
+    path, stream, arrive = _arriving(spark, events, [*later, _ended(events)])
+    drift.label_table(answers(old)).write.parquet(f"{path}/baseline")
+    baseline = spark.read.parquet(f"{path}/baseline")
+    tested = live.label_drift_stream(answers(stream), baseline)
+    for arrival in arrive:
+        arrival()
+        done = live.run_to_table(tested, f"{path}/out", f"{path}/state")
+    last = events.agg(F.max("ts")).first()[0]
+    return done.filter(F.col("period") <= F.lit(last)).select(
+        _stamp("period", "period"), "hypothesis_id", "answers",
+        *[r6(F.col(c), c) for c in ("statistic", "p_value", "effect")], "drifted",
+    )

@@ -155,7 +155,7 @@ REQUESTS_SQL = """requests AS (
     FROM events)"""
 
 
-def scored_responses(events):
+def scored_responses(events, *keep):
     """Events (table or stream) as scored responses with one answer each."""
     answer = F.struct(
         F.concat(F.lit("nda-"), (F.col("user_id") % 5).cast("string")).alias("hypothesis_id"),
@@ -164,6 +164,7 @@ def scored_responses(events):
         F.lit("c").alias("source_clause"),
     )
     return events.select(
+        *keep,
         F.col("ts").cast("timestamp").alias("ts"),
         F.col("event_type").alias("endpoint"),
         F.concat(F.lit("adapter-"), (F.col("user_id") % 2).cast("string")).alias("adapter"),

@@ -8,6 +8,7 @@ than the watermark are dropped; a period is emitted once the watermark has passe
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor
 
+from ..operators.drift import drift_test, label_table
 from ..operators.monitor import grounding_points, period_means
 from ..schemas import ALARM_THRESHOLD
 
@@ -20,8 +21,10 @@ LOG_COLUMNS = ("ts", "endpoint", "adapter", "template_uri", "input", "output")
 
 
 def short_alarm(points, period="5 minutes", threshold=ALARM_THRESHOLD, watermark=WATERMARK):
-    """Grounding mean per period over all traffic."""
-    mine = grounding_points(points, owned=False).withWatermark("ts", watermark)
+    """Grounding mean per period over all traffic; ``watermark`` is None where there is one already."""
+    mine = grounding_points(points, owned=False)
+    if watermark is not None:
+        mine = mine.withWatermark("ts", watermark)
     return period_means(mine, period, (), threshold)
 
 
@@ -151,3 +154,15 @@ def run_to_table(stream, path, checkpoint, mode="append"):
         last = batches.agg(F.max("batch")).first()[0]
         return batches.filter(F.col("batch") == last).drop("batch")
     return reader.option("recursiveFileLookup", "true").parquet(path)
+
+
+def label_drift_stream(answers, baseline, period="1 day", alpha=0.001, dims=(), watermark=WATERMARK):
+    """Drift test of every closed period against a stored baseline, one row a hypothesis.
+
+    ``baseline`` is a table of label counts that is read again in every micro-batch, so a newer one
+    under the same path is used from the next batch on.
+    """
+    window = F.window("ts", period).alias("_w")
+    counts = label_table(answers.withWatermark("ts", watermark), (window, *dims))
+    tested = drift_test(counts, baseline, alpha)
+    return tested.select(F.col("_w.start").alias("period"), *[c for c in tested.columns if c != "_w"])
