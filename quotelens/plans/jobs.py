@@ -12,15 +12,17 @@ from ..sources import readers, writers
 def curate_splits(spark, inputs, root, key, tag, fmt="parquet", origin="in_house", ts=None):
     """Raw files of several splits to one dataset version; ``inputs`` maps split to path.
 
-    One job per split, each writing its own partition; the version is published after the last.
+    One job per split, each writing its own partition; the version is published after the last. A
+    job that breaks off between splits can be run again under the same tag.
     """
+    writers.refuse_published(spark, root, key, tag)
+    target, attempt = writers.new_attempt(root, key, tag)
     for split, path in inputs.items():
         raw = readers.read_raw(spark, path, fmt, with_order=True)
         documents = cur.curate(raw, ["file", "row"], origin, ts)
         rows = cur.with_row_id(documents).withColumn("split", F.lit(split))
-        target = f"{root}/key={key}/version={tag}/split={split}"
-        rows.drop("split").write.mode("errorifexists").parquet(target)
-    writers.publish(spark, root, key, tag)
+        rows.drop("split").write.mode("errorifexists").parquet(f"{target}/split={split}")
+    writers.publish(spark, root, key, tag, attempt)
     return readers.read_version(spark, root, key, tag)
 
 

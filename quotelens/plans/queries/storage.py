@@ -4,7 +4,7 @@ from pyspark.sql import functions as F, types as T
 
 from ...functions import chat
 from ...operators import prepare as prep, runs
-from ...sources import readers, writers
+from ...sources import appends, readers, writers
 from .. import jobs
 from . import standins as st
 from .registry import PRECISION, query, r6, scratch, sql_scores, table, texts
@@ -235,3 +235,41 @@ def training_log_scan(spark, folder):
     path = scratch(spark)
     lists.select("part", array.alias("value")).write.partitionBy("part").text(path)
     return readers.read_training_log(spark, path).drop("run")
+
+
+@query(
+    "appended_versions",
+    """SELECT d.doc_id, 'labelled' AS origin, CAST(l.quality AS BIGINT) AS quality, 'v9' AS version
+    FROM documents d JOIN labels l USING (doc_id)
+    UNION ALL SELECT doc_id, 'production', -1, CASE WHEN lang = 'en' THEN 'v10' ELSE 'v11' END
+    FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels)""",
+)
+def appended_versions(spark, folder):
+    """Labelled rows, then production rows in two appends; known ids are found by Bloom filters."""
+    root = scratch(spark)
+    documents = table(spark, folder, "documents")
+    labelled = documents.join(table(spark, folder, "labels"), "doc_id").select(
+        "doc_id", F.lit("labelled").alias("origin"), F.col("quality").cast("long").alias("quality")
+    )
+    new = documents.select(
+        "doc_id", F.lit("production").alias("origin"), F.lit(-1).cast("long").alias("quality"), "lang"
+    )
+    appends.append_new(labelled, root, "training", "doc_id", "v9")
+    appends.append_new(new.filter("lang = 'en'").drop("lang"), root, "training", "doc_id", "v10")
+    appends.append_new(new.drop("lang"), root, "training", "doc_id", "v11")
+    return appends.read_appended(spark, root, "training")
+
+
+@query(
+    "published_last",
+    "SELECT doc_id, 'v10' AS version FROM documents WHERE lang = 'en'",
+)
+def published_last(spark, folder):
+    """The latest version is the one published last, not the largest tag; a broken attempt is passed over."""
+    root = scratch(spark)
+    documents = table(spark, folder, "documents").select("doc_id", "lang", _split().alias("split"))
+    writers.write_version(documents, root, "docs", "v9")
+    broken, _ = writers.new_attempt(root, "docs", "v10")
+    documents.filter("split = 'train'").drop("split").write.parquet(f"{broken}/split=train")
+    writers.write_version(documents.filter("lang = 'en'"), root, "docs", "v10")
+    return readers.read_version(spark, root, "docs").select("doc_id", "version")

@@ -1,5 +1,6 @@
 """Readers. Every schema is declared; nothing is inferred from data."""
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F, types as T
 
 from ..schemas import BENCH_SUMMARY, PROMPT_PAYLOAD, RAW_NLI, TRAINING_LOG
@@ -21,9 +22,12 @@ def spread(df, *keys):
     return df.repartition(cores, *keys)
 
 
-def read_raw(spark, path, fmt="parquet", schema=RAW_NLI, with_order=False):
+def read_raw(spark, path, fmt="parquet", schema=RAW_NLI, with_order=False, multi_line=True):
     """Raw dataset file; in CSV, list columns are JSON text.
 
+    A CSV file whose texts may hold line ends has to be read by one task. ``multi_line=False`` is
+    for files without any: they are split like other text files.
+
     ``with_order`` adds ``file`` and ``row``: the input order, which Parquet files keep.
     """
     if fmt == "parquet":
@@ -41,7 +45,7 @@ def read_raw(spark, path, fmt="parquet", schema=RAW_NLI, with_order=False):
     flat = T.StructType(
         [T.StructField(f.name, T.StringType() if f.name in lists else f.dataType) for f in schema]
     )
-    options = {"header": "true", "multiLine": "true", "escape": '"'}
+    options = {"header": "true", "multiLine": str(multi_line).lower(), "escape": '"'}
     df = spark.read.schema(flat).options(**options).csv(path)
     return df.withColumns({name: F.from_json(name, kind) for name, kind in lists.items()})
 
@@ -59,22 +63,51 @@ def read_jsonl(spark, path, schema):
     return spark.read.schema(schema).json(path)
 
 
+MANIFEST = "key string, version string, published timestamp, attempt string"
+
+
+def versions(spark, root):
+    """Published versions: ``key``, ``version``, ``published``, ``attempt`` and ``path`` below the root.
+
+    Of several attempts at a version the one published first counts. Reads the manifest only.
+    """
+    try:
+        manifest = spark.read.schema(MANIFEST).parquet(f"{root}/manifest")
+    except AnalysisException as absent:
+        if absent.getCondition() != "PATH_NOT_FOUND":
+            raise
+        manifest = spark.createDataFrame([], MANIFEST)
+    first = manifest.groupBy("key", "version").agg(F.min(F.struct("published", "attempt")).alias("_first"))
+    folder = F.concat(F.lit("key="), F.col("key"), F.lit("/version="), F.col("version"))
+    # Versions from before there were attempts have none.
+    path = F.concat(folder, F.coalesce(F.concat(F.lit("/attempt="), F.col("attempt")), F.lit("")))
+    return first.select("key", "version", "_first.*").withColumn("path", path)
+
+
 def list_versions(spark, root):
     """Keys and versions published; reads the manifest only."""
-    manifest = spark.read.schema("key string, version string").parquet(f"{root}/manifest")
-    return manifest.distinct()
+    return versions(spark, root).select("key", "version")
+
+
+def published_attempt(spark, root, key, tag):
+    """The attempt that is the version, or None if it is not published."""
+    row = versions(spark, root).filter((F.col("key") == key) & (F.col("version") == tag)).first()
+    return None if row is None else row["attempt"] or ""
 
 
 def read_version(spark, root, key, tag="latest"):
-    """One published version of a dataset, in its own schema; no other version is touched."""
-    versions = list_versions(spark, root).filter(F.col("key") == key)
+    """One published version of a dataset, in its own schema; no other version is touched.
+
+    ``latest`` is the one published last, whatever its tag.
+    """
+    mine = versions(spark, root).filter(F.col("key") == key)
     if tag == "latest":
-        tag = versions.agg(F.max("version")).first()[0]
-    elif versions.filter(F.col("version") == tag).isEmpty():
-        tag = None
-    if tag is None:
+        row = mine.orderBy(F.col("published").desc(), F.col("version").desc()).first()
+    else:
+        row = mine.filter(F.col("version") == tag).first()
+    if row is None:
         raise ValueError(f"no such published version of {key}")
-    path = f"{root}/key={key}/version={tag}"
+    tag, path = row["version"], f"{root}/{row['path']}"
     found = spark.read.parquet(path).schema
     # The split is text: a name of digits must not turn into a number.
     text = T.StructType(
