@@ -1,28 +1,41 @@
 """Benchmark passages in training documents, also when edited or paraphrased.
 
-1. Every word n-gram of an item is a seed. None is left out: an edited copy may keep only n-grams
-   that are common, or that other copies hold as well.
-2. One pass finds the seeds in each document. A hit says where in the document the item would
-   lie; that passage, with room for insertions, is aligned with the whole item by Smith-Waterman
-   over words. The score is the best local alignment over that of the item with itself. Passages
-   with too few of the item's words for the threshold are not aligned.
-
-Benchmarks are held in memory in blocks of ``block_chars`` characters, each with one pass over the
-documents; documents are never shuffled. Words are lower-cased, ASCII punctuation is white space.
-
-Edge cases: null or empty items match nothing, null or empty texts match nothing. Items shorter
-than an n-gram are one gram. Very long texts are searched whole. Repeated rows and repeated items
-give a row each; null ids are kept. Empty tables give an empty result.
+1. Words and word pairs of the items are counted over all documents: in how many does each occur?
+2. Each item gets the rarest of them as seeds, as many as make sure that a copy holds one. A copy
+   whose alignment reaches the threshold has m of the item's L words, and 2 m less its errors is at
+   least the score that is needed. If m is large (``MANY`` of L), only L - m words are missing, so one
+   of any L - m + 1 words is there. Otherwise few errors are left, they cut the copy into few runs, and
+   so many pairs survive that one of the rarest L - 1 - survivors + 1 pairs is there. Seeds that no
+   document has are left out afterwards: they cannot be the ones that survive.
+3. One pass over the documents cuts out the passages around seeds, as wide as a copy can be. They are
+   joined to the items by seed, and each passage that has enough of an item's words is aligned with
+   the whole item by Smith-Waterman over words. The score is the best local alignment over that of
+   the item with itself. Nothing that reaches the threshold is lost.
+
+Seeds are looked up as 64-bit hashes in a sorted array that is broadcast; ``block_chars`` characters
+of items at a time bound it. The items that hold a seed are broadcast behind a check of their size,
+otherwise passages are shuffled by seed, with frequent seeds apart. Documents are never shuffled.
+Words are lower-cased, ASCII punctuation is white space. A score is at least that of ``LEAST`` words,
+or of the whole item if it is shorter, so that a single shared word is no copy of a short item.
+
+Edge cases: null or empty items match nothing, null or empty texts match nothing. Very long texts are
+searched whole, and cut into passages. Repeated rows and repeated items give a row each, but are
+aligned once for each document; null ids are kept. Empty tables give an empty result.
 """
 
+import math
 import string
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import functions as F
+from pyspark.sql import Window, functions as F
+
+from ..operators.joins import fits, join_small
+from ..session import settle
+from .graph import join_unique
 
-GRAM = 3
 MATCH, MISMATCH, GAP = 2, -1, -1
+MANY, LEAST = 0.78, 6
 _PLAIN = bytes.maketrans(string.punctuation.encode(), b" " * len(string.punctuation))
 
 
@@ -31,24 +44,32 @@ def plain_words(text):
     return text.lower().encode().translate(_PLAIN).decode().split()
 
 
-def _grams(words, n=GRAM):
-    """Distinct n-grams with their first position."""
-    n = min(n, len(words))
-    found = {}
-    for i in range(len(words) - n + 1 if n else 0):
-        found.setdefault(f" {' '.join(words[i : i + n])} ", i)
-    return found
+def _hashes(words):
+    """Hashes of the words, and of the pairs of neighbours."""
+    from pandas.util import hash_array
+
+    one = hash_array(np.array(words, object), categorize=False) if words else np.zeros(0, np.uint64)
+    two = (one[:-1] * np.uint64(0x9E3779B97F4A7C15) + np.uint64(1)) ^ (one[1:] * np.uint64(0xC2B2AE3D27D4EB4F))
+    return one.view(np.int64), two.view(np.int64)
+
 
+def needed(n, threshold):
+    """Least score of a copy of an item of ``n`` words."""
+    return max(math.ceil(threshold * MATCH * n), MATCH * min(n, LEAST))
 
-def _automaton(grams):
-    import ahocorasick
 
-    machine = ahocorasick.Automaton()
-    for gram, value in grams.items():
-        machine.add_word(gram, value)
-    if grams:
-        machine.make_automaton()
-    return machine
+def quotas(n, threshold):
+    """How many of an item's rarest words, and of its rarest pairs, are seeds."""
+    need = needed(n, threshold)
+    least = -(-need // MATCH)
+    many = min(n, max(least, math.ceil(MANY * n)))
+    if many > least:
+        # m words with errors e <= 2 m - need stand in at most e + 1 runs: m - e - 1 pairs survive,
+        # least where m is largest
+        survivors = (many - 1) - (MATCH * (many - 1) - need) - 1
+        if survivors > 0:
+            return n - many + 1, n - 1 - survivors + 1
+    return n - least + 1, 0
 
 
 def align(item, passage):
@@ -75,11 +96,15 @@ def _numbers(item, words):
     )
 
 
-def _passages(starts, length, n):
-    """Ranges of words where copies may lie; overlapping ones are joined."""
-    slack = 4 + length // 4
+def _slack(n, threshold):
+    """Words that a copy may have beside those of the item."""
+    return MATCH * n - needed(n, threshold)
+
+
+def _ranges(starts, length, slack, n):
+    """Ranges of words where copies may lie that begin at ``starts``; overlapping ones are joined."""
     ranges = []
-    for start in sorted(starts):
+    for start in sorted(set(starts)):
         low, high = max(0, start - slack), min(n, start + length + slack)
         if ranges and low <= ranges[-1][1]:
             ranges[-1][1] = max(high, ranges[-1][1])
@@ -88,106 +113,232 @@ def _passages(starts, length, n):
     return ranges
 
 
-def _matches(text, machine, items, threshold):
-    """(item index, score, start, end) of the items found in a text; positions are words."""
-    words = plain_words(text)
-    joined = f" {' '.join(words)} "
-    starts, word, seen = {}, 0, 0
-    for last, (n, holders) in machine.iter(joined):
-        word += joined.count(" ", seen, last)  # the gram's last word is number word - 1
-        seen = last
-        for item, offset in holders:
-            starts.setdefault(item, set()).add(word - n - offset)
-    for item, places in starts.items():
-        best = (0, 0, 0)
-        target = items[item]
-        for low, high in _passages(places, len(target), len(words)):
-            if sum(map(set(words[low:high]).__contains__, target)) < threshold * len(target):
-                continue  # a score is MATCH a shared word at most
-            a, b = _numbers(target, words[low:high])
-            score, end = align(a, b)
-            if score > best[0]:
-                best = score, low, low + end
-        score, low, end = best
-        if score >= threshold * MATCH * len(target):
-            a, b = _numbers(target, words[low:end])
-            yield item, score / (MATCH * len(target)), end - align(a[::-1], b[::-1])[1], end
-
-
-def _blocks(benchmark, item_id, text, block_chars):
-    """Items as lists of (id, words), block by block; the number of blocks follows their size."""
-    rows = benchmark.select(
-        F.col(item_id).cast("long").alias("item_id"), F.coalesce(text, F.lit("")).alias("text")
-    )
-    total = rows.agg(F.coalesce(F.sum(F.length("text")), F.lit(0))).first()[0]
+def best_copy(item, words, starts, threshold):
+    """Score, start and end of the best copy of ``item`` near ``starts``, or None."""
+    slack, wanted, best = _slack(len(item), threshold), set(item), (0, 0, 0)
+    need = needed(len(item), threshold)
+    for low, high in _ranges(starts, len(item), slack, len(words)):
+        held = [w in wanted for w in words[low:high]]
+        if MATCH * sum(held) < need:
+            continue  # a score is MATCH a shared word at most
+        a, b = _numbers(item, words[low:high])
+        score, end = align(a, b)
+        if score > best[0]:
+            best = score, low, low + end
+    score, low, end = best
+    if score < need:
+        return None
+    a, b = _numbers(item, words[low:end])
+    return score, end - align(a[::-1], b[::-1])[1], end
+
+
+def _item_grams(batches):
+    """Words (n = 1) and pairs (n = 2) of each item with their places."""
+    schema = pa.schema([("item", pa.int64()), ("n", pa.int32()), ("gram", pa.int64()), ("at", pa.int32()),
+                        ("length", pa.int32())])
+    for batch in batches:
+        for item, text in zip(*(c.to_pylist() for c in batch.columns)):
+            words = plain_words(text)
+            for n, grams in enumerate(_hashes(words), 1):
+                size = len(grams)
+                columns = [np.full(size, item), np.full(size, n), grams, np.arange(size), np.full(size, len(words))]
+                yield pa.record_batch([pa.array(c, f.type) for c, f in zip(columns, schema)], schema=schema)
+
+
+def _find(grams, known):
+    """Places of ``grams`` that are in the sorted array ``known``, and where they are in it."""
+    if not len(known) or not len(grams):
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    at = np.searchsorted(known, grams)
+    at[at == len(known)] = 0
+    hits = np.flatnonzero(known[at] == grams)
+    return hits, at[hits]
+
+
+def _document_counts(texts, known):
+    """Documents that hold each of the known grams, summed before they leave a task."""
+
+    def run(batches):
+        counts = np.zeros(len(known.value), np.int64)
+        for batch in batches:
+            for text in batch.column(0).to_pylist():
+                for grams in _hashes(plain_words(text)):
+                    counts[np.unique(_find(grams, known.value)[1])] += 1
+        held = np.flatnonzero(counts)
+        yield pa.record_batch([known.value[held], counts[held]], names=["gram", "docs"])
+
+    found = texts.mapInArrow(run, "gram bigint, docs bigint")
+    return found.groupBy("gram").agg(F.sum("docs").alias("docs"))
+
+
+def _seeds(grams, counts, threshold):
+    """The rarest grams of each item, with their place; ``docs`` is in how many documents they are.
+
+    An item is one text, so its grams are ranked in one task.
+    """
+    rank = F.row_number().over(Window.partitionBy("item", "n").orderBy(F.coalesce("docs", F.lit(0)), "at"))
+    lengths = [r["length"] for r in grams.select("length").distinct().collect()]  # small: different lengths
+    allowed = F.create_map(*[
+        F.lit(x) for n in lengths for x in (n, [*quotas(n, threshold), _slack(n, threshold)])
+    ]) if lengths else F.create_map().cast("map<int,array<int>>")
+    mine = F.element_at(allowed, F.col("length"))
+    ranked = grams.join(counts, "gram", "left").withColumns({"rank": rank, "slack": F.element_at(mine, 3)})
+    return ranked.filter(F.col("docs").isNotNull() & (F.col("rank") <= F.element_at(mine, F.col("n"))))
+
+
+def _cut(known, before, after):
+    """Cuts passages around seeds out of documents, one row each with its seeds and their places."""
+    schema = pa.schema([("row", pa.int64()), ("doc_id", pa.int64()), ("start", pa.int64()), ("words", pa.string()),
+                        ("hits", pa.list_(pa.struct([("gram", pa.int64()), ("place", pa.int64())])))])
+
+    def run(batches):
+        from pyspark import TaskContext
+
+        row = TaskContext.get().partitionId() << 33
+        seeds, back, on = known.value, before.value, after.value
+        for batch in batches:
+            for doc, text in zip(*(c.to_pylist() for c in batch.columns)):
+                row += 1
+                words = plain_words(text)
+                places, which = (np.concatenate(x) for x in zip(*(_find(g, seeds) for g in _hashes(words))))
+                if not len(places):
+                    continue
+                low, high = np.maximum(places - back[which], 0), np.minimum(places + on[which], len(words))
+                order = np.argsort(low, kind="stable")
+                reach = np.maximum.accumulate(high[order])
+                cuts = np.flatnonzero(np.append(True, low[order][1:] > reach[:-1]))
+                out = []
+                for members in np.split(order, cuts[1:]):
+                    first, last = int(low[members].min()), int(high[members].max())
+                    hits = [{"gram": int(seeds[w]), "place": int(p) - first} for p, w in zip(places[members], which[members])]
+                    out.append((row, doc, first, " ".join(words[first:last]), hits))
+                columns = zip(*out)
+                yield pa.record_batch([pa.array(c, f.type) for c, f in zip(columns, schema)], schema=schema)
+
+    return run
+
+
+def _aligned(threshold):
+    """Best copy of each item in each passage. Rows of a passage that follow each other are aligned
+    together; where a shuffle has parted them, they are aligned more often, with the same best."""
+    schema = pa.schema([("row", pa.int64()), ("doc_id", pa.int64()), ("item", pa.int64()), ("score", pa.float64()),
+                        ("start_word", pa.int64()), ("end_word", pa.int64())])
+
+    def found(key, words, items):
+        row, doc, first = key
+        for item, (text, starts) in items.items():
+            target = plain_words(text)
+            copy = best_copy(target, words, starts, threshold)
+            if copy:
+                score, low, high = copy
+                yield row, doc, item, score / (MATCH * len(target)), first + low, first + high
+
+    def run(batches):
+        key, words, items, out = None, None, {}, []
+        for batch in batches:
+            for row, doc, first, text, place, holders in zip(*(c.to_pylist() for c in batch.columns)):
+                if (row, doc, first) != key:
+                    out += found(key, words, items) if items else ()
+                    key, words, items = (row, doc, first), text.split(" "), {}
+                for h in holders:
+                    items.setdefault(h["item"], (h["text"], []))[1].append(place - h["at"])
+            if out:
+                yield pa.record_batch([pa.array(c, f.type) for c, f in zip(zip(*out), schema)], schema=schema)
+                out = []
+        out += found(key, words, items) if items else ()
+        if out:
+            yield pa.record_batch([pa.array(c, f.type) for c, f in zip(zip(*out), schema)], schema=schema)
+
+    return run
+
+
+def _item_blocks(items, block_chars):
+    """Different item texts with their number, block by block; blocks follow their total length."""
+    total = items.agg(F.coalesce(F.sum(F.length("text")), F.lit(0))).first()[0]
     blocks = 1 + total // block_chars
     for i in range(blocks):
-        here = rows.filter(F.pmod(F.xxhash64("text"), F.lit(blocks)) == i)
-        found = [(r["item_id"], plain_words(r["text"])) for r in here.collect()]
-        yield [(i, w) for i, w in sorted(found, key=lambda x: (x[0] is None, x)) if w]
+        yield items.filter(F.pmod(F.col("item"), F.lit(blocks)) == i)
 
 
-def _seeds(items):
-    """Gram -> (words in it, [(item, position)]) for all grams of each item."""
-    seeds = {}
-    for i, words in enumerate(items):
-        for gram, at in _grams(words).items():
-            seeds.setdefault(gram, (min(GRAM, len(words)), []))[1].append((i, at))
-    return seeds
-
-
-def _prepared(benchmark, item_id, item_text, block_chars):
-    """For each block: item ids, item words and seeds."""
-    for block in _blocks(benchmark, item_id, item_text, block_chars):
-        items = [words for _, words in block]
-        yield [i for i, _ in block], items, _seeds(items)
-
-
-def contaminated(df, benchmark, doc_id="doc_id", text="text", item_id="item_id", item_text="text",
-                 threshold=0.5, block_chars=2_000_000):
-    """One row for each document and item found in it: score (0 to 1) and the words it covers."""
-    schema = pa.schema(
-        [("doc_id", pa.int64()), ("item_id", pa.int64()), ("score", pa.float64()),
-         ("start_word", pa.int64()), ("end_word", pa.int64())]
-    )
-    rows = df.select(F.col(doc_id).cast("long").alias("doc_id"), F.coalesce(text, F.lit("")).alias("text"))
+def _copies(rows, items, threshold, block_chars):
+    """Copies of different items in ``rows`` (doc_id, text): row, doc_id, item, score and words."""
+    context = rows.sparkSession.sparkContext
     result = None
-    for ids, items, seeds in _prepared(benchmark, item_id, item_text, block_chars):
-
-        def run(batches, ids=ids, items=items, seeds=seeds):
-            machine = _automaton(seeds)
-            for batch in batches:
-                found = []
-                for doc, value in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                    if seeds:
-                        for i, *rest in _matches(value, machine, items, threshold):
-                            found.append((doc, ids[i], *rest))
-                columns = list(zip(*found)) or [[]] * len(schema)
-                yield pa.record_batch(
-                    [pa.array(c, f.type) for c, f in zip(columns, schema)], schema=schema
-                )
-
-        here = rows.mapInArrow(
-            run, "doc_id bigint, item_id bigint, score double, start_word bigint, end_word bigint"
+    for block in _item_blocks(items, block_chars):
+        grams = settle(
+            block.mapInArrow(_item_grams, "item bigint, n int, gram bigint, at int, length int")
+        )
+        if grams.isEmpty():
+            continue
+        distinct = grams.select("gram").distinct().toArrow().column(0).to_numpy()  # bounded by the block
+        counts = settle(_document_counts(rows.select("text"), context.broadcast(np.sort(distinct))))
+        seeds = settle(_seeds(grams, counts, threshold))
+        reach = (
+            seeds.groupBy("gram")
+            .agg(F.max(F.col("at") + F.col("slack")).alias("back"), F.max(F.col("length") - F.col("at") + F.col("slack")).alias("on"))
+            .orderBy("gram").toArrow()
+        )
+        known, back, on = (context.broadcast(reach.column(c).to_numpy()) for c in ("gram", "back", "on"))
+        passages = rows.mapInArrow(
+            _cut(known, back, on),
+            "row bigint, doc_id bigint, start bigint, words string, hits array<struct<gram:bigint,place:bigint>>",
+        ).select("row", "doc_id", "start", "words", F.inline("hits"))
+        holder = F.struct("item", "at", "text")
+        holders = settle(
+            seeds.join(block, "item").groupBy("gram").agg(F.collect_list(holder).alias("holders"), F.max("docs").alias("docs"))
+        )
+        if fits(holders) is not None:
+            joined = passages.join(F.broadcast(holders.drop("docs")), "gram")
+        else:
+            total = rows.count()
+            joined = join_unique(passages, holders, "gram", "docs", total).filter("holders IS NOT NULL")
+        here = joined.select("row", "doc_id", "start", "words", "place", "holders").mapInArrow(
+            _aligned(threshold),
+            "row bigint, doc_id bigint, item bigint, score double, start_word bigint, end_word bigint",
         )
         result = here if result is None else result.unionByName(here)
     return result
 
 
-def drop_contaminated(df, benchmark, text="text", item_id="item_id", item_text="text",
-                      threshold=0.5, block_chars=2_000_000):
-    """``df`` without the rows in which an item is found; all columns stay."""
-    place = df.columns.index(text)
-    for _, items, seeds in _prepared(benchmark, item_id, item_text, block_chars):
+def _different(benchmark, item_id, text):
+    """Items as (number of the text, text, ids); the number is a hash of the text."""
+    rows = benchmark.select(F.col(item_id).cast("long").alias("item_id"), F.col(text).alias("text"))
+    counted = rows.filter("text IS NOT NULL").groupBy("text", "item_id").agg(F.count(F.lit(1)).alias("times"))
+    return settle(counted.withColumn("item", F.xxhash64("text")))
 
-        def run(batches, items=items, seeds=seeds):
-            machine = _automaton(seeds)
 
-            def clean(value):
-                return not seeds or next(_matches(value or "", machine, items, threshold), None) is None
+def contaminated(df, benchmark, doc_id="doc_id", text="text", item_id="item_id", item_text="text",
+                 threshold=0.5, block_chars=16_000_000):
+    """One row for each document and item found in it: score (0 to 1) and the words it covers.
+
+    Of several copies the best is given, of equal ones the first.
+    """
+    rows = df.select(F.col(doc_id).cast("long").alias("doc_id"), F.coalesce(text, F.lit("")).alias("text"))
+    named = _different(benchmark, item_id, item_text)
+    items = settle(named.select("item", "text").distinct())
+    copies = _copies(rows, items, threshold, block_chars)
+    schema = "doc_id bigint, item_id bigint, score double, start_word bigint, end_word bigint"
+    if copies is None:
+        return df.sparkSession.createDataFrame([], schema)
+    best = F.max_by(F.struct("start_word", "end_word"), F.struct("score", -F.col("start_word"))).alias("place")
+    found = copies.groupBy("row", "doc_id", "item").agg(F.max("score").alias("score"), best)
+    ids = named.select("item", "item_id", "times")
+    repeated = join_small(found, ids, "item").select("*", F.explode(F.sequence(F.lit(1), F.col("times"))))
+    return repeated.select("doc_id", "item_id", "score", "place.start_word", "place.end_word")
 
-            for batch in batches:
-                yield batch.filter(pa.array([clean(t) for t in batch.column(place).to_pylist()], pa.bool_()))
 
-        df = df.mapInArrow(run, df.schema)
-    return df
+def drop_contaminated(df, benchmark, text="text", item_id="item_id", item_text="text",
+                      threshold=0.5, block_chars=16_000_000):
+    """``df`` without the rows in which an item is found; all columns stay.
+
+    Rows are matched by a hash of their text, so equal texts go together.
+    """
+    items = settle(_different(benchmark, item_id, item_text).select("item", "text").distinct())
+    value = F.coalesce(F.col(text), F.lit(""))
+    rows = df.select(F.xxhash64(value).alias("doc_id"), value.alias("text"))
+    copies = _copies(rows, items, threshold, block_chars)
+    if copies is None:
+        return df
+    found = settle(copies.select(F.col("doc_id").alias("__hash")).distinct())
+    return join_small(df.withColumn("__hash", F.xxhash64(value)), found, "__hash", "left_anti").drop("__hash")
+

@@ -114,3 +114,62 @@ def test_every_fourth_word_replaced(spark, n, exact_copies):
     assert found[0] == slow_align(words(" ".join(item)), words(copy)) / (MATCH * n) > 0.5
     assert len(found) == 1 + exact_copies
     assert decontaminate.drop_contaminated(docs, bench).count() == 0
+
+
+@pytest.mark.parametrize("n", [12, 24, 48])
+def test_every_third_word_replaced(spark, n):
+    item = [f"i{i}" for i in range(n)]
+    copy = [f"x{i}" if i % 3 == 2 else w for i, w in enumerate(item)]
+    docs = spark.createDataFrame([(1, " ".join(["before"] * 40 + copy + ["after"] * 40))], "doc_id bigint, text string")
+    bench = spark.createDataFrame([(1, " ".join(item))], "item_id bigint, text string")
+    (found,) = decontaminate.contaminated(docs, bench).collect()
+    assert found["score"] == slow_align(item, copy) / (MATCH * n) >= 0.5
+
+
+def test_quotas_make_sure_of_a_seed():
+    """For any set of kept words and any errors that the threshold allows."""
+    rng = random.Random(4)
+    for _ in range(4_000):
+        n = rng.randrange(1, 40)
+        need = decontaminate.needed(n, 0.5)
+        words, pairs = decontaminate.quotas(n, 0.5)
+        kept, parted = [i for i in range(n) if rng.random() < 0.8], rng.random() < 0.3
+        runs = sum(1 for a, b in zip([-2, *kept], kept) if b != a + 1 or parted)
+        if MATCH * len(kept) - max(runs - 1, 0) < need:
+            continue
+        held = set() if parted else {i for i in kept if i + 1 in kept}
+        assert n - len(kept) < words or (pairs and n - 1 - len(held) < pairs)
+
+
+def test_recall_is_that_of_aligning_all_pairs(spark):
+    """Common words, repeated words, and copies with every kind of edit around the threshold."""
+    rng = random.Random(9)
+    vocabulary = [f"v{i}" for i in range(60)]
+    items = [[rng.choice(vocabulary) for _ in range(rng.choice([1, 3, 7, 12, 20]))] for _ in range(12)] + [["v1"] * 9]
+    texts = []
+    for _ in range(150):
+        body = [rng.choice(vocabulary) for _ in range(rng.randrange(40))]
+        copy = edited(rng.choice(items), rng, rng.choice([0.2, 0.6, 0.9, 1.2]))
+        if rng.random() < 0.3:
+            copy = [x for w in copy for x in (w, "odd")]
+        body[len(body) // 2 : len(body) // 2] = copy
+        texts.append(body)
+    want = {
+        (d, i)
+        for d, words in enumerate(texts)
+        for i, item in enumerate(items)
+        if slow_align(item, words) >= decontaminate.needed(len(item), 0.5)
+    }
+    docs = spark.createDataFrame([(d, " ".join(w)) for d, w in enumerate(texts)], "doc_id bigint, text string").repartition(3)
+    bench = spark.createDataFrame([(i, " ".join(w)) for i, w in enumerate(items)], "item_id bigint, text string")
+    found = decontaminate.contaminated(docs, bench).collect()
+    assert {(r["doc_id"], r["item_id"]) for r in found} == want and len(found) == len(want) > 100
+    for r in found:
+        assert r["score"] * MATCH * len(items[r["item_id"]]) == slow_align(items[r["item_id"]], texts[r["doc_id"]])
+
+
+def test_holders_beyond_a_broadcast(spark, tables, monkeypatch):
+    docs, bench, planted = tables
+    monkeypatch.setattr(decontaminate, "fits", lambda *_: None)
+    found = {(r["doc_id"], r["item_id"]) for r in decontaminate.contaminated(docs, bench).collect()}
+    assert found == {*planted.items(), (20, 2), (None, 3)}
