@@ -7,18 +7,22 @@ format and that number is permuted under a key, so the pseudonym is valid in the
 equal values get equal pseudonyms in every document and task, and who has the key can undo it.
 Names in e-mail addresses and access keys are permuted within their letter and digit pattern.
 
+A pseudonym depends on its value and the key alone. Where pseudonyms stand is listed with the text,
+and who has the key takes them back there; so it does not matter what the text around looks like then.
+
 Card numbers, IBANs and dates may stand beside other numbers, capitals and each other: at each start
-the possible lengths are tried from long to short until one is valid. Card numbers in one piece come
-first, then those in the usual groups, then any other grouping; a row of numbers passes the Luhn sum
-by chance in one of ten tries. What was tried in vain must stay invalid beside a pseudonym, or who has
-the key would find other values in its place; a value whose pseudonym breaks this takes the next
-pseudonym of its cycle, which is the one case where equal values differ.
+the possible lengths are tried from long to short until one is valid. IBANs have the length of their
+country. Card numbers that begin and are as long as those of the large issuers come first, in the
+usual groups, in one piece and in any grouping, so that a number before or after them is not taken for a
+part; then others in the same order, where a row of numbers passes the Luhn sum by chance in one of ten
+tries. Of two valid readings that are equal in all this the first counts. A phone number with a foreign country code has no check and takes all groups of
+digits that follow it.
 
 No table of pseudonyms is kept and nothing is shuffled.
 
 Edge cases: null texts stay null, with no values. Texts are read whole at any length. Repeated rows
-give equal results. An empty table gives an empty result. Columns of the input that bear a result's
-name are replaced.
+give equal results. Time is linear in the text and its values. An empty table gives an empty result.
+Columns of the input that bear a result's name are replaced.
 """
 
 import datetime
@@ -96,7 +100,9 @@ def _card(text, permute, back):
 
 def _iban(text, permute, back):
     plain = text.replace(" ", "")
-    if not 15 <= len(plain) <= 34 or _iban_remainder(plain) != 1:
+    if len(plain) != _IBAN_LENGTHS.get(plain[:2], len(plain)) or not 15 <= len(plain) <= 34:
+        return None
+    if _iban_remainder(plain) != 1:
         return None
     body = _by_class(plain[4:], permute, "iban", back)
     check = 98 - _iban_remainder(plain[:2] + "00" + body)
@@ -218,6 +224,26 @@ def _secret(text, permute, back):
     return lead + _by_class(body, permute, "secret", back)
 
 
+#: Lengths of IBANs by country.
+_IBAN_LENGTHS = {k: int(n) for k, n in (x.split(":") for x in (
+    "AD:24 AE:23 AL:28 AT:20 AZ:28 BA:20 BE:16 BG:22 BH:22 BR:29 BY:28 CH:21 CR:22 CY:28 CZ:24 DE:22 DK:18 "
+    "DO:28 EE:20 EG:29 ES:24 FI:18 FO:18 FR:27 GB:22 GE:22 GI:23 GL:18 GR:27 GT:28 HR:21 HU:28 IE:22 IL:23 "
+    "IQ:23 IS:26 IT:27 JO:30 KW:30 KZ:20 LB:28 LC:32 LI:21 LT:20 LU:20 LV:21 LY:25 MC:27 MD:24 ME:22 MK:19 "
+    "MR:27 MT:31 MU:30 NL:18 NO:15 PK:24 PL:28 PS:29 PT:25 QA:29 RO:24 RS:22 SA:24 SC:31 SD:18 SE:24 SI:19 "
+    "SK:24 SM:27 ST:25 SV:28 TL:23 TN:24 TR:26 UA:29 VA:22 VG:24 XK:20"
+).split())}
+
+#: Beginnings and lengths of card numbers of the large issuers.
+_ISSUED = re.compile(
+    r"4\d{15}|5[1-5]\d{14}|2(?:22[1-9]|2[3-9]\d|[3-6]\d\d|7[01]\d|720)\d{12}|3[47]\d{13}"
+    r"|6(?:011|5\d\d)\d{12}|35(?:2[89]|[3-8]\d)\d{12}|3(?:0[0-5]|[68]\d)\d{11}"
+)
+
+
+def _issued(text):
+    return _ISSUED.fullmatch(_digits(text)) is not None
+
+
 #: Forms of each kind, the first that fits and is valid counts. Lists are tried in turn,
 #: each at all lengths.
 _FORMS = {
@@ -225,7 +251,8 @@ _FORMS = {
     "date": ([r"(?<!\d)(?:\d{4}-\d{1,2}-\d{1,2}|\d{4}/\d{1,2}/\d{1,2}|\d{1,2}\.\d{1,2}\.\d{4}|\d{1,2}/\d{1,2}/\d{4})"], _date),
     "address": (r"(?<![\d.])\d{1,3}(?:\.\d{1,3}){3}(?![\d]|\.\d)", _address),
     "ssn": (r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])", _ssn),
-    "card": ([r"(?<!\d)\d{13,19}",
+    "card": ([(r"(?<!\d)(?:\d{4}([ -])\d{4}\1\d{4}\1\d{4}|\d{4}([ -])\d{6}\2\d{4,5})", _issued),
+              (r"(?<!\d)\d{13,19}", _issued), (r"(?<!\d)\d(?:[ -]?\d){12,18}", _issued), r"(?<!\d)\d{13,19}",
               r"(?<!\d)(?:\d{4}([ -])\d{4}\1\d{4}\1\d{4}(?:\1\d{1,3})?|\d{4}([ -])\d{6}\2\d{4,5})",
               r"(?<!\d)\d(?:[ -]?\d){12,18}"], _card),
     "phone": (r"(?<![\d+])(?:\+?1[ .-]?)?(?:\(\d{3}\) ?|\d{3}[ .-])\d{3}[ .-]\d{4}(?!\d)", _phone),
@@ -235,10 +262,6 @@ _FORMS = {
 }
 
 
-#: No form that can be invalid is longer.
-_LONGEST = 64
-
-
 def _is_valid(kind, text):
     return _FORMS[kind][1](text, lambda value, *_, **__: value, False) is not None
 
@@ -253,10 +276,11 @@ def _blank(text, spans):
 
 
 def _at_all_lengths(kind, forms, text):
-    """Valid values and invalid tries, as (start, end, kind)."""
-    spans, failed = [], []
-    for form in map(re.compile, forms):
-        at, here = 0, []
+    """Valid values, as (start, end, kind)."""
+    spans = []
+    for form in forms:
+        form, fits = form if isinstance(form, tuple) else (form, None)
+        form, at, here = re.compile(form), 0, []
         while m := form.search(text, at):
             start, longest = m.span()
             at = start + 1
@@ -266,80 +290,71 @@ def _at_all_lengths(kind, forms, text):
                     continue
                 if end < longest and not form.fullmatch(text, start, end):
                     continue
-                if _is_valid(kind, text[start:end]):
+                if (fits is None or fits(text[start:end])) and _is_valid(kind, text[start:end]):
                     here.append((start, end, kind))
                     at = end
                     break
-                failed.append((start, end, kind))
         text = _blank(text, here)
         spans += here
-    return spans, failed
+    return spans
 
 
 def _find(text, kinds):
-    """Valid values and invalid tries, as (start, end, kind).
+    """Valid values, as (start, end, kind) in order.
 
     Kinds are tried in turn; what one has taken no later kind touches.
     """
-    has_digit, has_at, done, failed = re.search(r"\d", text) is not None, "@" in text, [], []
+    has_digit, has_at, done = re.search(r"\d", text) is not None, "@" in text, []
     for kind in kinds:
         form = _FORMS[kind][0]
         if not (has_at if kind == "email" else has_digit or kind == "secret"):
             continue
         if isinstance(form, list):
-            found, tried = _at_all_lengths(kind, form, _blank(text, done) if done else text)
-            done += found
-            failed += tried
+            done = sorted(done + _at_all_lengths(kind, form, _blank(text, done) if done else text))
             continue
+        starts, more = [s[0] for s in done], []
         for m in re.finditer(form, text):
-            if any(m.start() < end and start < m.end() for start, end, _ in done):
-                continue
-            (done if _is_valid(kind, m.group()) else failed).append((*m.span(), kind))
-    return done, sorted(failed)
+            before = bisect_left(starts, m.end()) - 1  # spans do not overlap: the last that begins earlier
+            if (before < 0 or done[before][1] <= m.start()) and _is_valid(kind, m.group()):
+                more.append((*m.span(), kind))
+        done = sorted(done + more)
+    return done
 
 
-def replace(text, permute, kinds=tuple(_FORMS), back=False):
+def replace(text, permute, kinds=tuple(_FORMS), back=False, spans=None):
     """The text with pseudonyms, and (kind, start, end) of each in the new text.
 
-    Values are replaced one by one and brought back in the opposite order.
+    With ``back`` the pseudonyms at ``spans`` become values again. Without spans they are looked for,
+    which is right only where no pseudonym stands beside a number, capitals or another one.
     """
-    found, failed = _find(text, kinds)
-    chars, done = list(text) if failed else (), []
-    for start, end, kind in reversed(found) if back else found:
-        near = failed[bisect_left(failed, (start - _LONGEST,)) : bisect_left(failed, (end,))]
-        near = [w for w in near if w[1] > start]
-        new = text[start:end]
-        while True:
-            new = _FORMS[kind][1](new, permute, back)
-            if not near or len(new) != end - start:
-                break
-            chars[start:end] = new
-            if not any(_is_valid(k, "".join(chars[a:b])) for a, b, k in near):
-                break
-        done.append((start, end, kind, new))
-        if chars and len(new) == end - start:
-            chars[start:end] = new
-    parts, spans, at, length = [], [], 0, 0
-    for start, end, kind, new in sorted(done):
+    found = _find(text, kinds) if spans is None else sorted((a, b, k) for k, a, b in spans)
+    parts, made, at, length = [], [], 0, 0
+    for start, end, kind in found:
+        new = _FORMS[kind][1](text[start:end], permute, back)
         parts += [text[at:start], new]
         length += start - at
-        spans.append((kind, length, length + len(new)))
+        made.append((kind, length, length + len(new)))
         length += len(new)
         at = end
     parts.append(text[at:])
-    return "".join(parts), spans
+    return "".join(parts), made
 
 
 def pseudonymise(df, key, text="text", name="found", kinds=tuple(_FORMS), back=False):
     """``df`` with pseudonyms in ``text``; ``found`` lists kind, start and end of each.
 
-    ``key`` is bytes, at most 64 of them. With ``back`` true pseudonyms become values again.
+    ``key`` is bytes, at most 64 of them. With ``back`` true the pseudonyms that ``found`` lists become
+    values again, and ``found`` says where those stand.
     """
+    spans = F.col(name) if back else F.lit(None).cast("array<struct<kind:string,start:int,end:int>>")
 
     @F.pandas_udf("text string, found array<struct<kind:string,start:int,end:int>>")
-    def run(texts: pd.Series) -> pd.DataFrame:
+    def run(texts: pd.Series, places: pd.Series) -> pd.DataFrame:
         permute = Permutation(key)
-        rows = [(t, []) if t is None else replace(t, permute, kinds, back) for t in texts]
+        rows = []
+        for t, known in zip(texts, places):
+            known = None if known is None else [(k["kind"], k["start"], k["end"]) for k in known]
+            rows.append((t, []) if t is None else replace(t, permute, kinds, back, known if back else None))
         return pd.DataFrame(
             {
                 "text": [r[0] for r in rows],
@@ -347,5 +362,5 @@ def pseudonymise(df, key, text="text", name="found", kinds=tuple(_FORMS), back=F
             }
         )
 
-    made = df.withColumn("__made", run(F.col(text)))
+    made = df.withColumn("__made", run(F.col(text), spans))
     return made.withColumns({text: F.col("__made.text"), name: F.col("__made.found")}).drop("__made")

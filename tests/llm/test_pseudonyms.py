@@ -105,7 +105,7 @@ def test_values_beside_numbers_capitals_and_each_other(text, values):
     new, spans = replace(f"see {text}.", PERMUTE)
     assert not any(v in new for v in values)
     assert sorted(f"see {text}."[a:b] for _, a, b in spans) == sorted(values)
-    assert replace(new, PERMUTE, back=True)[0] == f"see {text}."
+    assert replace(new, PERMUTE, back=True, spans=spans)[0] == f"see {text}."
 
 
 def test_neighbours_of_all_kinds_come_back():
@@ -116,4 +116,70 @@ def test_neighbours_of_all_kinds_come_back():
                 for _ in range(rng.randrange(1, 12))]
         text = "".join(x + rng.choice([" ", " ", "-", "/", " EUR "]) for x in some)
         new, spans = replace(text, PERMUTE)
-        assert replace(new, PERMUTE, back=True)[0] == text
+        assert replace(new, PERMUTE, back=True, spans=spans)[0] == text
+
+
+def pseudonym_of(text, value):
+    """What stands where ``value`` stood, if exactly that was found."""
+    new, spans = replace(text, PERMUTE)
+    for (kind, a, b), (start, end, _) in zip(spans, pseudonyms._find(text, tuple(pseudonyms._FORMS))):
+        if text[start:end] == value:
+            return kind, new[a:b]
+
+
+def test_a_value_has_one_pseudonym_in_any_context():
+    rng = random.Random(8)
+    for value in ("4111 1111 1111 1111", "41111 11111 111111", CARD, "5500-0000-0000-0004"):
+        made = {pseudonym_of(f"a {value} {n:03d} b", value) for n in range(1_000)}
+        made |= {pseudonym_of(f"a {n:03d} {value} b", value) for n in range(1_000)}
+        made |= {pseudonym_of(f"{rng.randrange(999)} {value} {rng.randrange(99_999)}", value) for _ in range(1_000)}
+        assert len(made) == 1 and None not in made
+    letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789"
+    words = ["".join(rng.choices(letters, k=4)) for _ in range(1_000)]
+    made = {pseudonym_of(f"pay {IBAN} {word} now", IBAN) for word in words}
+    assert len(made) == 1 and None not in made
+
+
+def test_time_is_linear_in_the_values():
+    import time
+
+    values = [f"{i % 223 + 1}.{i // 7 % 256}.{i % 256}.9" for i in range(100_000)]
+    text = " and ".join(f"{v} of 2024-01-{i % 28 + 1:02d}" if i % 2 else v for i, v in enumerate(values))
+    begun = time.process_time()
+    new, spans = replace(text, PERMUTE)
+    assert len(spans) == 150_000 and time.process_time() - begun < 60
+    assert replace(new, PERMUTE, back=True, spans=spans)[0] == text
+
+
+def slow_find(text):
+    """Addresses, dates and plain cards by trying every substring between word ends."""
+    found = []
+    for a in range(len(text)):
+        for b in range(a + 1, min(len(text), a + 40) + 1):
+            piece = text[a:b]
+            if text[a - 1 : a].isdigit() or text[b : b + 1].isdigit():
+                continue
+            if piece.isdigit() and 13 <= len(piece) <= 19 and pseudonyms._luhn(piece) == 0:
+                found.append(("card", piece))
+            parts = piece.split(".")
+            if len(parts) == 4 and all(p.isdigit() and str(int(p)) == p and int(p) < 256 for p in parts):
+                if text[a - 1 : a] != "." and not (text[b : b + 1] == "." and text[b + 1 : b + 2].isdigit()):
+                    found.append(("address", piece))
+            if len(piece) == 10 and piece[4] == piece[7] == "-" and piece.replace("-", "").isdigit():
+                try:
+                    if 1900 <= datetime.date.fromisoformat(piece).year < 2100:
+                        found.append(("date", piece))
+                except ValueError:
+                    pass
+    return sorted(found)
+
+
+def test_finder_equals_brute_force():
+    rng = random.Random(12)
+    some = [CARD, "4257164578332674", "4257164578332675", "1.2.3.4", "1.2.3.04", "256.1.1.1", "1.2.3.4.5", "2024-02-29",
+            "2023-02-29", "1899-12-31", "12345678901234567890", "word", "7"]
+    for _ in range(400):
+        text = "".join(rng.choice(some) + rng.choice([" x ", ", ", "; "]) for _ in range(rng.randrange(1, 8)))
+        _, spans = replace(text, PERMUTE)
+        found = pseudonyms._find(text, tuple(pseudonyms._FORMS))
+        assert sorted((k, text[a:b]) for a, b, k in found) == slow_find(text), text
