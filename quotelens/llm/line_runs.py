@@ -11,17 +11,22 @@ lines with an empty key are never dropped.
 
 Edge cases: a null or empty text is one empty line, and comes back as an empty text. A line
 that a document repeats counts once for it; repeated rows count as a document each. An empty
-table gives an empty result. A very common line is counted before it is shuffled, and rows are
-matched by their own content, not by line. Columns of the input that bear a result's name are
-replaced.
+table gives an empty result. A very common line is counted before it is shuffled: a batch's counts
+are written before they meet the runs, so no join is moved below the count. When lines are dropped,
+closed lines are broadcast behind a check of their size; beyond it occurrences are shuffled by line,
+with lines that many documents share apart. Columns of the input that bear a result's name are replaced.
+
+Runs are sorted by hash in each of their files, which Spark does not know of plain Parquet, so a merge
+sorts them again; it exchanges counted lines only, never their occurrences.
 """
 
 import uuid
 
 from pyspark.sql import functions as F
 
-from ..operators.joins import join_small
-from ..session import shared_folder
+from ..operators.joins import fits
+from ..session import settle, shared_folder
+from .graph import join_unique
 from .text import SPACES, digest, lower_ascii, whole
 
 KEY = ["h1", "h2"]
@@ -102,19 +107,31 @@ class LineRuns:
         return self._merged([path for level in self.levels for path in level])
 
     def closed(self):
-        """Lines found in at least ``min_docs`` documents."""
-        return self.counts().filter(F.col("docs") >= self.min_docs).select(*KEY)
+        """Lines found in at least ``min_docs`` documents, with a number of documents (``docs``)."""
+        return self.counts().filter(F.col("docs") >= self.min_docs)
 
     def add(self, texts, column="text"):
         """Count the lines of a batch of documents and keep them as a run."""
         found = texts.select(F.explode(line_hashes(F.col(column))).alias("line"))
         counts = found.groupBy("line.h1", "line.h2").agg(F.count(F.lit(1)).alias("docs"))
         if any(self.levels):
-            counts = counts.join(self.closed().hint("merge"), KEY, "left_anti")
+            counts = settle(counts)
+            counts = counts.join(self.closed().select(*KEY).hint("merge"), KEY, "left_anti")
         self._write(counts, 0)
         self._publish()
 
 
+def _held(found, closed):
+    """Those of the lines ``found`` that are closed."""
+    if fits(closed) is not None:
+        return found.join(F.broadcast(closed.select(*KEY)), KEY)
+    closed = settle(closed.select(*KEY, "docs", F.lit(True).alias("__is")))
+    # Counted documents of a line stop when it is closed, so this is a lower bound of all, as is
+    # their sum: lines that stand out in it are those that stand out in the occurrences.
+    total = closed.agg(F.sum("docs")).first()[0]
+    return join_unique(found, closed, KEY, "docs", total).filter("__is").drop("__is")
+
+
 def drop_lines(df, closed, doc_id="doc_id", text="text"):
     """``df`` without the closed lines; adds ``n_lines`` (before) and ``n_dropped``."""
     row = digest(F.col(doc_id), F.col(text))
@@ -126,7 +143,7 @@ def drop_lines(df, closed, doc_id="doc_id", text="text"):
         F.col("__line.h1").alias("h1"),
         F.col("__line.h2").alias("h2"),
     )
-    held = join_small(found, closed, KEY, "inner")
+    held = _held(found, closed)
     per_row = held.groupBy("__r1", "__r2").agg(
         F.collect_set(F.struct(*KEY)).alias("__closed")
     )

@@ -80,14 +80,14 @@ LOWER_SQL = f"translate({{0}}, '{string.ascii_uppercase}', '{string.ascii_lowerc
 @query(
     "op8_line_runs",
     f"""
-    WITH split AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents),
-    placed AS (SELECT doc_id, unnest(lines) AS line, unnest(range(len(lines))) AS pos FROM split),
+    WITH split AS (SELECT row_number() OVER () AS r, doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents),
+    placed AS (SELECT r, doc_id, unnest(lines) AS line, unnest(range(len(lines))) AS pos FROM split),
     keyed AS (SELECT *, {LOWER_SQL.format(f'trim(line, {SPACES_SQL})')} AS key FROM placed),
-    common AS (SELECT key FROM keyed WHERE key <> '' GROUP BY key HAVING count(DISTINCT doc_id) >= 10)
+    common AS (SELECT key FROM keyed WHERE key <> '' GROUP BY key HAVING count(DISTINCT r) >= 10)
     SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE common.key IS NOT NULL) AS n_dropped,
            sha256(coalesce(string_agg(line, chr(10) ORDER BY pos)
                            FILTER (WHERE common.key IS NULL), '')) AS kept_sha256
-    FROM keyed LEFT JOIN common ON keyed.key = common.key GROUP BY doc_id""",
+    FROM keyed LEFT JOIN common ON keyed.key = common.key GROUP BY r, doc_id""",
 )
 def op8(spark, folder):
     """All documents without the lines that ten or more of them share."""

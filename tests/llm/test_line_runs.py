@@ -75,3 +75,42 @@ def test_a_store_is_opened_as_its_last_batch_left_it(spark, tmp_path):
 def test_empty(spark):
     df = spark.createDataFrame([], "doc_id bigint, text string")
     assert line_runs.dedup_lines(df).collect() == []
+
+
+@pytest.mark.parametrize("hot_keys", [1, 5_000])
+def test_closed_lines_beyond_a_broadcast(spark, monkeypatch, hot_keys):
+    """Lines that stand out are joined apart from the others (all of them, or only some)."""
+    from quotelens.llm import graph
+
+    monkeypatch.setattr(line_runs, "fits", lambda *_: None)
+    monkeypatch.setattr(graph, "HOT_KEYS", hot_keys)
+    df = spark.createDataFrame(ROWS, "doc_id bigint, text string")
+    out = line_runs.dedup_lines(df, min_docs=3).collect()
+    assert Counter((r["doc_id"], r["text"], r["n_lines"], r["n_dropped"]) for r in out) == brute(ROWS, 3)
+
+
+def test_only_counted_lines_meet_the_runs(spark, monkeypatch):
+    """The anti-join of a batch reads stored counts; no occurrences are below it."""
+    plans = []
+    write = line_runs.LineRuns._write
+    monkeypatch.setattr(line_runs.LineRuns, "_write", lambda self, counts, level: (
+        plans.append(counts._jdf.queryExecution().optimizedPlan().toString()), write(self, counts, level)))
+    store = line_runs.LineRuns(spark, min_docs=2, fanout=9)
+    for _ in range(2):
+        store.add(spark.createDataFrame([("a\nb",), ("a",)], "text string"))
+    assert "LeftAnti" in plans[1] and "Generate" not in plans[1].split("LeftAnti")[1]
+    assert "Generate" in plans[0]
+
+
+def test_sql_counts_rows_as_the_operator_does(spark):
+    import duckdb
+
+    from quotelens.llm.queries import SQL
+
+    rows = [(1, "again\nown")] * 10 + [(2, "again")]
+    con = duckdb.connect()
+    con.execute("CREATE TABLE documents (doc_id BIGINT, text VARCHAR)")
+    con.executemany("INSERT INTO documents VALUES (?, ?)", rows)
+    want = sorted(r[1:3] for r in con.execute(SQL["op8_line_runs"]).fetchall())
+    out = line_runs.dedup_lines(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()
+    assert sorted((r["n_lines"], r["n_dropped"]) for r in out) == want == [(1, 1)] + [(2, 2)] * 10
