@@ -7,14 +7,15 @@
    of any L - m + 1 words is there. Otherwise few errors are left, they cut the copy into few runs, and
    so many pairs survive that one of the rarest L - 1 - survivors + 1 pairs is there. Seeds that no
    document has are left out afterwards: they cannot be the ones that survive.
-3. One pass over the documents cuts out the passages around seeds, as wide as a copy can be. They are
-   joined to the items by seed, and each passage that has enough of an item's words is aligned with
-   the whole item by Smith-Waterman over words. The score is the best local alignment over that of
-   the item with itself. Nothing that reaches the threshold is lost.
-
-Seeds are looked up as 64-bit hashes in a sorted array that is broadcast; ``block_chars`` characters
-of items at a time bound it. The items that hold a seed are broadcast behind a check of their size,
-otherwise passages are shuffled by seed, with frequent seeds apart. Documents are never shuffled.
+3. One pass over the documents joins their words and pairs to the items by seed, and cuts out the
+   passages where a copy may lie, as wide as a copy can be, if they have enough of that item's words.
+   Each passage is aligned with the whole item by Smith-Waterman over words. The score is the best
+   local alignment over that of the item with itself. Nothing that reaches the threshold is lost.
+
+Seeds, their items and the items' words are arrays of 64-bit hashes that are broadcast; items are
+taken ``block_chars`` characters at a time, which bounds them (about 20 bytes a word). Documents are
+never shuffled, so no frequent seed meets in one task; passages meet their item's text in a join that
+broadcasts the items behind a check of their size, and beyond it parts frequent items.
 Words are lower-cased, ASCII punctuation is white space. A score is at least that of ``LEAST`` words,
 or of the whole item if it is shorter, so that a single shared word is no copy of a short item.
 
@@ -96,11 +97,6 @@ def _numbers(item, words):
     )
 
 
-def _slack(n, threshold):
-    """Words that a copy may have beside those of the item."""
-    return MATCH * n - needed(n, threshold)
-
-
 def _ranges(starts, length, slack, n):
     """Ranges of words where copies may lie that begin at ``starts``; overlapping ones are joined."""
     ranges = []
@@ -113,22 +109,11 @@ def _ranges(starts, length, slack, n):
     return ranges
 
 
-def best_copy(item, words, starts, threshold):
-    """Score, start and end of the best copy of ``item`` near ``starts``, or None."""
-    slack, wanted, best = _slack(len(item), threshold), set(item), (0, 0, 0)
-    need = needed(len(item), threshold)
-    for low, high in _ranges(starts, len(item), slack, len(words)):
-        held = [w in wanted for w in words[low:high]]
-        if MATCH * sum(held) < need:
-            continue  # a score is MATCH a shared word at most
-        a, b = _numbers(item, words[low:high])
-        score, end = align(a, b)
-        if score > best[0]:
-            best = score, low, low + end
-    score, low, end = best
-    if score < need:
-        return None
-    a, b = _numbers(item, words[low:end])
+def best_copy(item, words):
+    """Score, start and end of the best copy of ``item`` in ``words``; of equal ones the first."""
+    a, b = _numbers(item, words)
+    score, end = align(a, b)
+    a, b = _numbers(item, words[:end])
     return score, end - align(a[::-1], b[::-1])[1], end
 
 
@@ -179,75 +164,95 @@ def _seeds(grams, counts, threshold):
     rank = F.row_number().over(Window.partitionBy("item", "n").orderBy(F.coalesce("docs", F.lit(0)), "at"))
     lengths = [r["length"] for r in grams.select("length").distinct().collect()]  # small: different lengths
     allowed = F.create_map(*[
-        F.lit(x) for n in lengths for x in (n, [*quotas(n, threshold), _slack(n, threshold)])
+        F.lit(x) for n in lengths for x in (n, list(quotas(n, threshold)))
     ]) if lengths else F.create_map().cast("map<int,array<int>>")
     mine = F.element_at(allowed, F.col("length"))
-    ranked = grams.join(counts, "gram", "left").withColumns({"rank": rank, "slack": F.element_at(mine, 3)})
+    ranked = grams.join(counts, "gram", "left").withColumn("rank", rank)
     return ranked.filter(F.col("docs").isNotNull() & (F.col("rank") <= F.element_at(mine, F.col("n"))))
 
 
-def _cut(known, before, after):
-    """Cuts passages around seeds out of documents, one row each with its seeds and their places."""
-    schema = pa.schema([("row", pa.int64()), ("doc_id", pa.int64()), ("start", pa.int64()), ("words", pa.string()),
-                        ("hits", pa.list_(pa.struct([("gram", pa.int64()), ("place", pa.int64())])))])
+def _index(seeds, grams, threshold):
+    """Arrays that find the items of a seed, and the words of an item; bounded by the block."""
+    held = seeds.select("gram", "item", "at").orderBy("gram", "item", "at").toArrow()
+    words = grams.filter("n = 1").select("item", "gram").orderBy("item", "gram").toArrow()
+    items, first, sizes = np.unique(words.column("item").to_numpy(), return_index=True, return_counts=True)
+    known, begin = np.unique(held.column("gram").to_numpy(), return_index=True)
+    return {
+        "known": known,
+        "begin": np.append(begin, held.num_rows),
+        "holder": np.searchsorted(items, held.column("item").to_numpy()).astype(np.int32),
+        "at": held.column("at").to_numpy().astype(np.int32),
+        "items": items,
+        "first": first,
+        "sizes": sizes,
+        "need": np.array([needed(int(n), threshold) for n in sizes], np.int64),
+        "words": words.column("gram").to_numpy(),  # sorted within an item
+    }
+
+
+def _shared(item_words, window):
+    """Words that the sorted ``item_words`` and a window have in common, repeats matched one to one."""
+    different, counts = np.unique(item_words, return_counts=True)
+    hits = _find(window, different)[1]
+    return int(np.minimum(np.bincount(hits, minlength=len(different)), counts).sum())
+
+
+def _candidates(words, index):
+    """(item, low, high): ranges of a document's words that may hold a copy of an item."""
+    one, two = _hashes(words)
+    places, which = (np.concatenate(x) for x in zip(*(_find(g, index["known"]) for g in (one, two))))
+    if not len(places):
+        return
+    begin, end = index["begin"][which], index["begin"][which + 1]
+    of = np.repeat(np.arange(len(places)), end - begin)
+    at = np.arange(len(of)) - np.repeat(np.cumsum(end - begin) - (end - begin), end - begin) + begin[of]
+    holder, start = index["holder"][at], places[of] - index["at"][at]
+    order = np.lexsort((start, holder))
+    holder, start = holder[order], start[order]
+    for members in np.split(np.arange(len(order)), np.flatnonzero(np.diff(holder)) + 1):
+        i = int(holder[members[0]])
+        n, need = int(index["sizes"][i]), int(index["need"][i])
+        mine = index["words"][index["first"][i] : index["first"][i] + n]
+        for low, high in _ranges(start[members].tolist(), n, MATCH * n - need, len(words)):
+            if MATCH * _shared(mine, one[low:high]) >= need:  # a score is MATCH a shared word at most
+                yield int(index["items"][i]), low, high
+
+
+def _cut(index):
+    """Passages of documents that may hold a copy of an item, one row each."""
+    schema = pa.schema([("row", pa.int64()), ("doc_id", pa.int64()), ("item", pa.int64()), ("first", pa.int64()),
+                        ("words", pa.string())])
 
     def run(batches):
         from pyspark import TaskContext
 
-        row = TaskContext.get().partitionId() << 33
-        seeds, back, on = known.value, before.value, after.value
+        row, known = TaskContext.get().partitionId() << 33, index.value
         for batch in batches:
             for doc, text in zip(*(c.to_pylist() for c in batch.columns)):
                 row += 1
                 words = plain_words(text)
-                places, which = (np.concatenate(x) for x in zip(*(_find(g, seeds) for g in _hashes(words))))
-                if not len(places):
-                    continue
-                low, high = np.maximum(places - back[which], 0), np.minimum(places + on[which], len(words))
-                order = np.argsort(low, kind="stable")
-                reach = np.maximum.accumulate(high[order])
-                cuts = np.flatnonzero(np.append(True, low[order][1:] > reach[:-1]))
-                out = []
-                for members in np.split(order, cuts[1:]):
-                    first, last = int(low[members].min()), int(high[members].max())
-                    hits = [{"gram": int(seeds[w]), "place": int(p) - first} for p, w in zip(places[members], which[members])]
-                    out.append((row, doc, first, " ".join(words[first:last]), hits))
-                columns = zip(*out)
-                yield pa.record_batch([pa.array(c, f.type) for c, f in zip(columns, schema)], schema=schema)
+                out = [(row, doc, i, low, " ".join(words[low:high])) for i, low, high in _candidates(words, known)]
+                if out:
+                    yield pa.record_batch([pa.array(c, f.type) for c, f in zip(zip(*out), schema)], schema=schema)
 
     return run
 
 
 def _aligned(threshold):
-    """Best copy of each item in each passage. Rows of a passage that follow each other are aligned
-    together; where a shuffle has parted them, they are aligned more often, with the same best."""
+    """The best copy of an item in a passage, where it reaches the threshold."""
     schema = pa.schema([("row", pa.int64()), ("doc_id", pa.int64()), ("item", pa.int64()), ("score", pa.float64()),
                         ("start_word", pa.int64()), ("end_word", pa.int64())])
 
-    def found(key, words, items):
-        row, doc, first = key
-        for item, (text, starts) in items.items():
-            target = plain_words(text)
-            copy = best_copy(target, words, starts, threshold)
-            if copy:
-                score, low, high = copy
-                yield row, doc, item, score / (MATCH * len(target)), first + low, first + high
-
     def run(batches):
-        key, words, items, out = None, None, {}, []
         for batch in batches:
-            for row, doc, first, text, place, holders in zip(*(c.to_pylist() for c in batch.columns)):
-                if (row, doc, first) != key:
-                    out += found(key, words, items) if items else ()
-                    key, words, items = (row, doc, first), text.split(" "), {}
-                for h in holders:
-                    items.setdefault(h["item"], (h["text"], []))[1].append(place - h["at"])
+            out = []
+            for row, doc, item, first, words, text in zip(*(c.to_pylist() for c in batch.columns)):
+                target = plain_words(text)
+                score, low, high = best_copy(target, words.split(" "))
+                if score >= needed(len(target), threshold):
+                    out.append((row, doc, item, score / (MATCH * len(target)), first + low, first + high))
             if out:
                 yield pa.record_batch([pa.array(c, f.type) for c, f in zip(zip(*out), schema)], schema=schema)
-                out = []
-        out += found(key, words, items) if items else ()
-        if out:
-            yield pa.record_batch([pa.array(c, f.type) for c, f in zip(zip(*out), schema)], schema=schema)
 
     return run
 
@@ -273,26 +278,17 @@ def _copies(rows, items, threshold, block_chars):
         distinct = grams.select("gram").distinct().toArrow().column(0).to_numpy()  # bounded by the block
         counts = settle(_document_counts(rows.select("text"), context.broadcast(np.sort(distinct))))
         seeds = settle(_seeds(grams, counts, threshold))
-        reach = (
-            seeds.groupBy("gram")
-            .agg(F.max(F.col("at") + F.col("slack")).alias("back"), F.max(F.col("length") - F.col("at") + F.col("slack")).alias("on"))
-            .orderBy("gram").toArrow()
-        )
-        known, back, on = (context.broadcast(reach.column(c).to_numpy()) for c in ("gram", "back", "on"))
-        passages = rows.mapInArrow(
-            _cut(known, back, on),
-            "row bigint, doc_id bigint, start bigint, words string, hits array<struct<gram:bigint,place:bigint>>",
-        ).select("row", "doc_id", "start", "words", F.inline("hits"))
-        holder = F.struct("item", "at", "text")
-        holders = settle(
-            seeds.join(block, "item").groupBy("gram").agg(F.collect_list(holder).alias("holders"), F.max("docs").alias("docs"))
-        )
-        if fits(holders) is not None:
-            joined = passages.join(F.broadcast(holders.drop("docs")), "gram")
+        index = context.broadcast(_index(seeds, grams, threshold))
+        passages = rows.mapInArrow(_cut(index), "row bigint, doc_id bigint, item bigint, first bigint, words string")
+        if fits(block) is not None:
+            joined = passages.join(F.broadcast(block.select("item", "text")), "item")
         else:
-            total = rows.count()
-            joined = join_unique(passages, holders, "gram", "docs", total).filter("holders IS NOT NULL")
-        here = joined.select("row", "doc_id", "start", "words", "place", "holders").mapInArrow(
+            passages = settle(passages)
+            held = passages.groupBy("item").agg(F.count(F.lit(1)).alias("held"))
+            counted = block.select("item", "text").join(held, "item")
+            total = passages.count()
+            joined = join_unique(passages, counted, "item", "held", total)
+        here = joined.select("row", "doc_id", "item", "first", "words", "text").mapInArrow(
             _aligned(threshold),
             "row bigint, doc_id bigint, item bigint, score double, start_word bigint, end_word bigint",
         )
@@ -308,7 +304,7 @@ def _different(benchmark, item_id, text):
 
 
 def contaminated(df, benchmark, doc_id="doc_id", text="text", item_id="item_id", item_text="text",
-                 threshold=0.5, block_chars=16_000_000):
+                 threshold=0.5, block_chars=8_000_000):
     """One row for each document and item found in it: score (0 to 1) and the words it covers.
 
     Of several copies the best is given, of equal ones the first.
@@ -328,7 +324,7 @@ def contaminated(df, benchmark, doc_id="doc_id", text="text", item_id="item_id",
 
 
 def drop_contaminated(df, benchmark, text="text", item_id="item_id", item_text="text",
-                      threshold=0.5, block_chars=16_000_000):
+                      threshold=0.5, block_chars=8_000_000):
     """``df`` without the rows in which an item is found; all columns stay.
 
     Rows are matched by a hash of their text, so equal texts go together.

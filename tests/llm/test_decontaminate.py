@@ -168,7 +168,7 @@ def test_recall_is_that_of_aligning_all_pairs(spark):
         assert r["score"] * MATCH * len(items[r["item_id"]]) == slow_align(items[r["item_id"]], texts[r["doc_id"]])
 
 
-def test_holders_beyond_a_broadcast(spark, tables, monkeypatch):
+def test_items_beyond_a_broadcast(spark, tables, monkeypatch):
     docs, bench, planted = tables
     monkeypatch.setattr(decontaminate, "fits", lambda *_: None)
     found = {(r["doc_id"], r["item_id"]) for r in decontaminate.contaminated(docs, bench).collect()}
