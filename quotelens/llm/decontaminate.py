@@ -1,7 +1,8 @@
 """Benchmark passages in training documents, also when edited or paraphrased.
 
 1. Words and word pairs of the items are counted over all documents: in how many does each occur?
-2. Each item gets the rarest of them as seeds, as many as make sure that a copy holds one. A copy
+2. Each item gets the rarest of them as seeds, as many as make sure that a copy holds one; with one
+   more it holds two, which few other texts do. A copy
    whose alignment reaches the threshold has m of the item's L words, and 2 m less its errors is at
    least the score that is needed. If m is large (``MANY`` of L), only L - m words are missing, so one
    of any L - m + 1 words is there. Otherwise few errors are left, they cut the copy into few runs, and
@@ -97,6 +98,16 @@ def _numbers(item, words):
     )
 
 
+def chosen(n, threshold):
+    """Seeds among an item's words and pairs, and how many of each a copy holds at least.
+
+    One more than :func:`quotas` says where there are so many: then a copy holds two.
+    """
+    words, pairs = quotas(n, threshold)
+    many_words, many_pairs = min(words + 1, n), min(pairs + 1, n - 1) if pairs else 0
+    return many_words, many_pairs, many_words - words + 1, many_pairs - pairs + 1
+
+
 def _ranges(starts, length, slack, n):
     """Ranges of words where copies may lie that begin at ``starts``; overlapping ones are joined."""
     ranges = []
@@ -130,25 +141,33 @@ def _item_grams(batches):
                 yield pa.record_batch([pa.array(c, f.type) for c, f in zip(columns, schema)], schema=schema)
 
 
-def _find(grams, known):
+def _bitmap(known):
+    """Marks the low bits of the known grams, so that most others need no search."""
+    marks = np.zeros(1 << max(10, (16 * len(known)).bit_length()), bool)
+    marks[known & (len(marks) - 1)] = True
+    return marks
+
+
+def _find(grams, known, marks):
     """Places of ``grams`` that are in the sorted array ``known``, and where they are in it."""
-    if not len(known) or not len(grams):
+    if not len(known):
         return np.zeros(0, np.int64), np.zeros(0, np.int64)
-    at = np.searchsorted(known, grams)
+    maybe = np.flatnonzero(marks[grams & (len(marks) - 1)])
+    at = np.searchsorted(known, grams[maybe])
     at[at == len(known)] = 0
-    hits = np.flatnonzero(known[at] == grams)
-    return hits, at[hits]
+    right = known[at] == grams[maybe]
+    return maybe[right], at[right]
 
 
 def _document_counts(texts, known):
     """Documents that hold each of the known grams, summed before they leave a task."""
 
     def run(batches):
-        counts = np.zeros(len(known.value), np.int64)
+        counts, marks = np.zeros(len(known.value), np.int64), _bitmap(known.value)
         for batch in batches:
             for text in batch.column(0).to_pylist():
                 for grams in _hashes(plain_words(text)):
-                    counts[np.unique(_find(grams, known.value)[1])] += 1
+                    counts[np.unique(_find(grams, known.value, marks)[1])] += 1
         held = np.flatnonzero(counts)
         yield pa.record_batch([known.value[held], counts[held]], names=["gram", "docs"])
 
@@ -164,7 +183,7 @@ def _seeds(grams, counts, threshold):
     rank = F.row_number().over(Window.partitionBy("item", "n").orderBy(F.coalesce("docs", F.lit(0)), "at"))
     lengths = [r["length"] for r in grams.select("length").distinct().collect()]  # small: different lengths
     allowed = F.create_map(*[
-        F.lit(x) for n in lengths for x in (n, list(quotas(n, threshold)))
+        F.lit(x) for n in lengths for x in (n, list(chosen(n, threshold)))
     ]) if lengths else F.create_map().cast("map<int,array<int>>")
     mine = F.element_at(allowed, F.col("length"))
     ranked = grams.join(counts, "gram", "left").withColumn("rank", rank)
@@ -173,48 +192,64 @@ def _seeds(grams, counts, threshold):
 
 def _index(seeds, grams, threshold):
     """Arrays that find the items of a seed, and the words of an item; bounded by the block."""
-    held = seeds.select("gram", "item", "at").orderBy("gram", "item", "at").toArrow()
-    words = grams.filter("n = 1").select("item", "gram").orderBy("item", "gram").toArrow()
+    held = seeds.select("gram", "n", "item", "at").orderBy("gram", "item", "at").toArrow()
+    words = grams.filter("n = 1").groupBy("item", "gram").agg(F.count(F.lit(1)).alias("times"))
+    words = words.orderBy("item", "gram").toArrow()
     items, first, sizes = np.unique(words.column("item").to_numpy(), return_index=True, return_counts=True)
     known, begin = np.unique(held.column("gram").to_numpy(), return_index=True)
+    times = words.column("times").to_numpy()
+    lengths = np.add.reduceat(times, first)
+    least = [(needed(int(n), threshold), *chosen(int(n), threshold)[2:]) for n in lengths]
     return {
         "known": known,
+        "marks": _bitmap(known),
         "begin": np.append(begin, held.num_rows),
         "holder": np.searchsorted(items, held.column("item").to_numpy()).astype(np.int32),
         "at": held.column("at").to_numpy().astype(np.int32),
+        "pair": held.column("n").to_numpy() == 2,
         "items": items,
-        "first": first,
-        "sizes": sizes,
-        "need": np.array([needed(int(n), threshold) for n in sizes], np.int64),
-        "words": words.column("gram").to_numpy(),  # sorted within an item
+        "lengths": lengths,
+        "least": np.array(least, np.int64).reshape(-1, 3),  # score, word seeds, pair seeds
+        "first": np.append(first, words.num_rows),
+        "words": words.column("gram").to_numpy(),  # different and sorted within an item
+        "times": times,
     }
 
 
-def _shared(item_words, window):
-    """Words that the sorted ``item_words`` and a window have in common, repeats matched one to one."""
-    different, counts = np.unique(item_words, return_counts=True)
-    hits = _find(window, different)[1]
-    return int(np.minimum(np.bincount(hits, minlength=len(different)), counts).sum())
+def _shared(different, times, window):
+    """Words that an item (sorted, with repeats) and a window have in common, matched one to one."""
+    at = np.searchsorted(different, window)
+    at[at == len(different)] = 0
+    held = np.bincount(at[different[at] == window], minlength=len(different))
+    return int(np.minimum(held, times).sum())
 
 
 def _candidates(words, index):
     """(item, low, high): ranges of a document's words that may hold a copy of an item."""
     one, two = _hashes(words)
-    places, which = (np.concatenate(x) for x in zip(*(_find(g, index["known"]) for g in (one, two))))
+    found = (_find(g, index["known"], index["marks"]) for g in (one, two))
+    places, which = (np.concatenate(x) for x in zip(*found))
     if not len(places):
         return
-    begin, end = index["begin"][which], index["begin"][which + 1]
-    of = np.repeat(np.arange(len(places)), end - begin)
-    at = np.arange(len(of)) - np.repeat(np.cumsum(end - begin) - (end - begin), end - begin) + begin[of]
-    holder, start = index["holder"][at], places[of] - index["at"][at]
-    order = np.lexsort((start, holder))
-    holder, start = holder[order], start[order]
-    for members in np.split(np.arange(len(order)), np.flatnonzero(np.diff(holder)) + 1):
-        i = int(holder[members[0]])
-        n, need = int(index["sizes"][i]), int(index["need"][i])
-        mine = index["words"][index["first"][i] : index["first"][i] + n]
-        for low, high in _ranges(start[members].tolist(), n, MATCH * n - need, len(words)):
-            if MATCH * _shared(mine, one[low:high]) >= need:  # a score is MATCH a shared word at most
+    begin, n = index["begin"][which], index["begin"][which + 1] - index["begin"][which]
+    of = np.repeat(np.arange(len(places)), n)
+    at = np.arange(len(of)) - np.repeat(np.cumsum(n) - n, n) + begin[of]
+    holder, start, pair = index["holder"][at], places[of] - index["at"][at], index["pair"][at]
+    order = np.argsort(holder, kind="stable")
+    holder, start, pair = holder[order], start[order], pair[order]
+    groups = np.flatnonzero(np.append(True, holder[1:] != holder[:-1]))
+    pairs = np.add.reduceat(pair.astype(np.int64), groups)
+    hits = np.diff(np.append(groups, len(holder)))
+    _, least_words, least_pairs = index["least"][holder[groups]].T
+    enough = (hits - pairs >= least_words) | ((pairs >= least_pairs) & (pairs > 0))
+    ends = np.append(groups, len(holder))
+    for g in np.flatnonzero(enough):
+        i = int(holder[ends[g]])
+        n, need = int(index["lengths"][i]), int(index["least"][i, 0])
+        mine = slice(index["first"][i], index["first"][i + 1])
+        for low, high in _ranges(start[ends[g] : ends[g + 1]].tolist(), n, MATCH * n - need, len(words)):
+            # a score is MATCH a shared word at most
+            if MATCH * _shared(index["words"][mine], index["times"][mine], one[low:high]) >= need:
                 yield int(index["items"][i]), low, high
 
 
