@@ -21,19 +21,6 @@ def match_reference(reference, predicted, doc="document_id", order=("position",)
     return predicted.join(first, [doc, "hypothesis_id"], "left")
 
 
-def match_lists(reference, predicted):
-    """The same for two answer lists of one row: array of predicted, reference."""
-    return F.transform(
-        predicted,
-        lambda p: F.struct(
-            p.alias("predicted"),
-            F.get(
-                F.filter(reference, lambda r: r["hypothesis_id"] == p["hypothesis_id"]), F.lit(0)
-            ).alias("reference"),
-        ),
-    )
-
-
 def default_legend(spark):
     return spark.createDataFrame(list(DEFAULT_LEGEND), LEGEND)
 
