@@ -5,8 +5,10 @@ hashed words and from shares of characters and repeats; a gated attention weight
 counts, and the weighted mean of the encodings gives the score. Only documents are labelled, so
 the weights are learned from document labels alone.
 
-Training takes a bounded sample of labelled rows (``sample_docs``, of each at most
-``sample_passages`` evenly spaced passages); scoring reads every passage of every text.
+Training takes a bounded sample of labelled rows, each with every passage of its text: at most
+``sample_docs`` of them, and together at most ``sample_passages`` passages (568 bytes each, on the
+driver). A text that does not fit into what is left of the passages is passed over as a row, never
+cut. Scoring reads every passage of every text.
 
 Edge cases: a null or empty text is one empty passage. Very long texts have many passages and one
 score. Repeated labels of a document are averaged, null labels are not used; without labels every
@@ -135,10 +137,11 @@ def fit(bags, targets, hidden=24, attention=12, steps=960, batch=128, rate=4e-3,
 
 
 def train(df, labels, label="quality", doc_id="doc_id", text="text", passage_words=64,
-          sample_docs=4_000, sample_passages=48, folds=5, held_fold=0):
+          sample_docs=4_000, sample_passages=100_000, folds=5, held_fold=0):
     """A model from the labelled documents outside the held-out fold.
 
-    The sample is the ``sample_docs`` labelled ids with the smallest hashes.
+    The sample is the ``sample_docs`` labelled ids with the smallest hashes, in that order as long
+    as their passages fit into ``sample_passages``.
     """
     usable = labels.filter(F.col(label).isNotNull() & (remainder(doc_id, folds) != held_fold))
     sample = (
@@ -147,22 +150,31 @@ def train(df, labels, label="quality", doc_id="doc_id", text="text", passage_wor
         .orderBy(F.xxhash64(doc_id), doc_id)
         .limit(sample_docs)
     )
+    labelled = df.join(F.broadcast(sample), doc_id).select(
+        F.col(doc_id).cast("long").alias("id"),
+        F.coalesce(text, F.lit("")).alias("text"),
+        F.col("__target").alias("target"),
+    )
+    words = F.regexp_count("text", F.lit(r"[^\x20\x09-\x0D]+"))
+    sizes = labelled.groupBy("id").agg(
+        F.max(F.greatest(F.ceil(words / passage_words), F.lit(1))).alias("n"),
+        F.first(F.xxhash64(F.col("id"))).alias("rank"),
+    )
+    left, chosen = sample_passages, []
+    for row in sorted(sizes.collect(), key=lambda r: (r["rank"], r["id"])):
+        if row["n"] <= left:
+            left -= row["n"]
+            chosen.append((row["id"],))
 
     def encode(batches):
         for batch in batches:
-            bags = []
-            for t in batch["text"]:
-                x = encode_passages(t, passage_words)
-                bags.append(x[:: -(-len(x) // sample_passages)].ravel().tobytes())
+            bags = [encode_passages(t, passage_words).ravel().tobytes() for t in batch["text"]]
             yield pd.DataFrame({"id": batch["id"], "target": batch["target"], "bag": bags})
 
+    taken = df.sparkSession.createDataFrame(chosen, "id bigint")
     rows = (
-        df.join(F.broadcast(sample), doc_id)
-        .select(
-            F.col(doc_id).cast("long").alias("id"),
-            F.coalesce(text, F.lit("")).alias("text"),
-            F.col("__target").alias("target"),
-        )
+        labelled.join(F.broadcast(taken), "id")
+        .select("id", "text", "target")
         .mapInPandas(encode, "id bigint, target double, bag binary")
         .groupBy("id")  # rows that repeat an id count once, so the sample stays bounded
         .agg(F.max("target").alias("target"), F.max("bag").alias("bag"))

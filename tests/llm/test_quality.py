@@ -72,6 +72,25 @@ def test_held_out_labels_are_not_read(spark):
     assert all(np.array_equal(models[0][k], models[1][k]) for k in models[0])
 
 
+def test_fit_takes_whole_texts_within_its_bounds(spark, monkeypatch):
+    rng, held = np.random.default_rng(5), []
+    texts = {i: good(rng, 64 * n) for i, n in enumerate([3, 1, 90, 2, 4, 1, 7, 2])}
+    docs = spark.createDataFrame([*texts.items(), (1, texts[1])], "doc_id bigint, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in texts], "doc_id bigint, quality int")
+    monkeypatch.setattr(quality, "fit", lambda bags, targets: held.append((bags, targets)))
+    used = [i for i in texts if zlib.crc32(str(i).encode()) % 5]
+    bags = {i: quality.encode_passages(texts[i], 64) for i in used}
+    for limit in (100_000, 20, 3):
+        quality.train(docs, labels, sample_passages=limit)
+        got, targets = held.pop()
+        assert sum(map(len, got)) <= limit
+        ids = [next(i for i in used if np.array_equal(bags[i], g)) for g in got]  # none is cut
+        assert ids == sorted(ids) and targets == [float(i % 2) for i in ids]
+        left = limit - sum(map(len, got))
+        assert all(len(bags[i]) > left for i in used if i not in ids)
+    assert 2 in used and len(bags[2]) == 90
+
+
 def test_edges(spark):
     rows = [(1, None), (2, ""), (3, "a"), (3, "a"), (None, "a"), (4, "word " * 200_000), (5, " \n ")]
     docs = spark.createDataFrame(rows, "doc_id bigint, text string")
