@@ -5,6 +5,7 @@ from pyspark.sql import functions as F, types as T
 from ...functions import chat
 from ...operators import prepare as prep, runs
 from ...sources import appends, readers, writers
+from ...streaming import live
 from .. import jobs
 from . import standins as st
 from .registry import PRECISION, query, r6, scratch, sql_scores, table, texts
@@ -154,6 +155,12 @@ def prompts_round_trip(spark, folder):
 )
 def request_log_scan(spark, folder):
     """Events written as log blocks and read back."""
+    path = scratch(spark)
+    _log_blocks(table(spark, folder, "events")).write.text(path)
+    return readers.read_request_log(spark, path).select("ts_ms", "input", "output")
+
+
+def _log_blocks(events):
     block = F.concat(
         F.lit("timestamp: "),
         F.unix_millis(F.col("ts").cast("timestamp")).cast("string"),
@@ -163,9 +170,28 @@ def request_log_scan(spark, folder):
         F.when(F.col("event_type") == "error", "").otherwise(F.col("props")),
         F.lit("\n"),
     )
+    return events.select(block.alias("value"))
+
+
+@query(
+    "request_log_blocks",
+    """SELECT epoch_us(ts) // 1000 AS ts_ms, '{"inputs": "' || event_type || '"}' AS input,
+      CASE WHEN event_type = 'error' THEN '' ELSE props END AS output, way
+    FROM events, (VALUES ('batch'), ('stream')) ways(way)""",
+)
+def request_log_blocks(spark, folder):
+    """The log in byte ranges, once read whole and once as a stream over two arrivals."""
     path = scratch(spark)
-    table(spark, folder, "events").select(block.alias("value")).write.text(path)
-    return readers.read_request_log(spark, path).select("ts_ms", "input", "output")
+    events = table(spark, folder, "events")
+    late = F.col("event_id") % 3 == 0
+    log = None
+    for arrival in (events.filter(~late), events.filter(late)):
+        _log_blocks(arrival).write.mode("append").text(f"{path}/log")
+        log = log or readers.stream_request_blocks(spark, f"{path}/log", range_bytes=1 << 20)
+        streamed = live.run_to_table(log, f"{path}/out", f"{path}/state")
+    whole = readers.read_request_blocks(spark, f"{path}/log", range_bytes=1 << 20)
+    ways = whole.withColumn("way", F.lit("batch")).union(streamed.withColumn("way", F.lit("stream")))
+    return ways.select("ts_ms", "input", "output", "way")
 
 
 @query(

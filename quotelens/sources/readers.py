@@ -4,6 +4,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F, types as T
 
 from ..schemas import BENCH_SUMMARY, PROMPT_PAYLOAD, RAW_NLI, TRAINING_LOG
+from . import block_log
 
 SPLITS = ("train", "validation", "test")
 
@@ -126,18 +127,35 @@ def read_splits(spark, root, key, tag="latest"):
 def read_request_log(spark, path):
     """Request log blocks: client (file number), ts_ms, input and output text."""
     blocks = spark.read.option("lineSep", "\n\n").text(path)
+    return _request_fields(blocks, F.col("_metadata.file_name"))
 
+
+def _request_fields(blocks, file):
     def field(name, pattern):
         return F.regexp_extract("value", rf"(?:^|\n){name}: ?({pattern})", 1)
 
     return blocks.filter(F.col("value").contains("timestamp: ")).select(
-        F.regexp_extract(F.col("_metadata.file_name"), r"(\d+)$", 1).alias("client"),
+        F.regexp_extract(file, r"(\d+)$", 1).alias("client"),
         field("timestamp", r"\d+").cast("long").alias("ts_ms"),
         field("input", r"[^\n]*").alias("input"),
         field("output", r"[^\n]*").alias("output"),
     )
 
 
+def read_request_blocks(spark, path, range_bytes=64 << 20):
+    """As ``read_request_log``, in byte ranges that end at block borders (``block_log``)."""
+    block_log.register(spark)
+    blocks = spark.read.format("block_log").options(path=path, range_bytes=range_bytes).load()
+    return _request_fields(blocks, F.col("file"))
+
+
+def stream_request_blocks(spark, path, range_bytes=64 << 20, final=False):
+    """The same rows as a stream that follows files while they grow."""
+    block_log.register(spark)
+    options = {"path": path, "range_bytes": range_bytes, "final": final}
+    return _request_fields(spark.readStream.format("block_log").options(**options).load(), F.col("file"))
+
+
 def read_bench_summary(spark, path):
     """Load-test summaries, one file each; anything before the first brace is noise."""
     whole = spark.read.text(path, wholetext=True)
