@@ -170,24 +170,30 @@ def map_rows(df, fn, schema):
             return {**failed, "error": f"{type(problem).__name__}: {problem}"}
 
     def batches(record_batches):
-        import pyarrow as pa
         from pyspark.sql.pandas.types import to_arrow_schema
 
         arrow_schema = to_arrow_schema(out)
-        def typed(row):
-            """The row as it is, or marked as failed if its values have the wrong types."""
-            try:
-                return pa.RecordBatch.from_pylist([row], arrow_schema)
-            except (pa.ArrowException, TypeError, ValueError, OverflowError) as problem:
-                failed = {**row, **dict.fromkeys(names), "status": "failed"}
-                failed["error"] = f"{type(problem).__name__}: {problem}"
-                return pa.RecordBatch.from_pylist([failed], arrow_schema)
-
         for batch in record_batches:
-            rows = [call(r) for r in batch.to_pylist()]
-            try:
-                yield pa.RecordBatch.from_pylist(rows, arrow_schema)
-            except (pa.ArrowException, TypeError, ValueError, OverflowError):
-                yield from map(typed, rows)
+            yield from typed_batches([call(r) for r in batch.to_pylist()], arrow_schema, names)
 
     return df.mapInArrow(batches, out)
+
+
+def typed_batches(rows, schema, names):
+    """Rows as Arrow batches; one whose ``names`` have the wrong types is marked as failed."""
+    import pyarrow as pa
+
+    wrong = (pa.ArrowException, TypeError, ValueError, OverflowError)
+
+    def typed(row):
+        try:
+            return pa.RecordBatch.from_pylist([row], schema)
+        except wrong as problem:
+            failed = {**row, **dict.fromkeys(names), "status": "failed"}
+            failed["error"] = f"{type(problem).__name__}: {problem}"
+            return pa.RecordBatch.from_pylist([failed], schema)
+
+    try:
+        yield pa.RecordBatch.from_pylist(rows, schema)
+    except wrong:
+        yield from map(typed, rows)

@@ -3,9 +3,9 @@
 from pyspark.sql import functions as F
 
 from ...functions import chat
-from ...operators import answers as ans, curate as cur, evaluate as ev, explore
+from ...operators import answers as ans, calls, curate as cur, evaluate as ev, explore
 from . import standins as st
-from .registry import TOKENS, query, table
+from .registry import TOKENS, query, table, texts
 
 
 def _responses(spark, folder):
@@ -138,6 +138,40 @@ def mapped_rows(spark, folder):
     )
 
 
+@query(
+    "called_rows",
+    """SELECT doc_id, CASE WHEN doc_id % 7 = 0 THEN -1 ELSE coalesce(length(text), 0) END AS letters,
+           CASE WHEN doc_id % 7 = 0 THEN 'failed' ELSE 'ok' END AS status,
+           CASE WHEN doc_id % 7 = 0 THEN 3 WHEN doc_id % 5 = 0 THEN 2 ELSE 1 END AS attempts,
+           CASE WHEN doc_id % 7 = 0 THEN 'ConnectionError' END AS error FROM documents""",
+)
+def called_rows(spark, folder):
+    """Every document sent to a service that refuses some and answers others at the second call."""
+
+    def service():
+        seen = set()
+
+        def call(row):
+            first = row["doc_id"] not in seen
+            seen.add(row["doc_id"])
+            if row["doc_id"] % 7 == 0 or (row["doc_id"] % 5 == 0 and first):
+                raise ConnectionError("busy")
+            return {"letters": len(row["text"] or "")}
+
+        return call
+
+    called = calls.call_rows(
+        texts(spark, folder, "text"), service, "letters bigint", at_once=16, time_limit=600, backoff=0.001
+    )
+    return called.select(
+        "doc_id",
+        F.coalesce("letters", F.lit(-1)).alias("letters"),
+        "status",
+        "attempts",
+        F.substring_index("error", ":", 1).alias("error"),
+    )
+
+
 @query(
     "legend_mismatches",
     f"""WITH {st.RAW_SQL}, legend AS (
