@@ -3,9 +3,12 @@
 from pyspark.sql import functions as F
 
 from ...functions import text as tx
-from ...operators import runs
+from ...operators import runs, sketches
+from ...operators.joins import join_small
+from ...streaming import live
 from . import standins as st
-from .registry import TOKENS, query, r6, texts
+from .monitoring import _arrivals, _arriving, _ended
+from .registry import TOKENS, query, r6, scratch, table, texts
 
 _COUNTS = ("totalRequests", "failedRequests", "concurrentClients", "totalTokens", "tokenPerRequest")
 _NUMBERS = (
@@ -59,6 +62,82 @@ def load_summary_by_endpoint(spark, folder):
     return _summary(spark, folder, ("endpoint",))
 
 
+_LATENCIES = ("latency_ms", "first_byte_ms")
+
+
+def _sketch_sql(sets):
+    shown = ", ".join(
+        f"count({c}) AS {c}_count, round(min({c}), 6) AS p0_{c}, round(max({c}), 6) AS p100_{c}, true AS {c}_within"
+        for c in _LATENCIES
+    )
+    return f"""WITH {st.REQUESTS_SQL}, daily AS (SELECT *, start_ms // 86400000 AS day FROM requests)
+      SELECT endpoint, day, {shown} FROM daily GROUP BY GROUPING SETS ({sets})"""
+
+
+def _timed(requests):
+    return requests.withColumn("ts", F.timestamp_millis("start_ms"))
+
+
+def _against_exact(found, requests, marks=(0.5, 0.9, 0.99)):
+    """Counts, extremes and whether each percentile has its rank, within three times the bound of 99 %.
+
+    ``found`` has few rows (endpoints and days); its ranks are counted over all requests.
+    """
+    bound = 3 * sketches.rank_error()
+    same = [F.equal_null("r.endpoint", "f.endpoint"), F.coalesce(F.col("day") == F.col("at"), F.lit(True))]
+    dated = requests.withColumn("at", _day(F.timestamp_millis("start_ms")))
+    both = join_small(dated.alias("r"), found.alias("f"), same)
+
+    def held(c, p):
+        value, asked = F.col(f"p{100 * p:g}_{c}"), F.max(F.col(f"{c}_count")) * p
+        slack = F.max(F.col(f"{c}_count")) * bound
+        below, upto = F.count_if(F.col(f"r.{c}") < value), F.count_if(F.col(f"r.{c}") <= value)
+        return (below <= asked + slack) & (upto >= asked - slack)
+
+    checks = []
+    for c in _LATENCIES:
+        checks.append(F.max(f"{c}_count").alias(f"{c}_count"))
+        checks += [r6(F.max(f"{e}_{c}"), f"{e}_{c}") for e in ("p0", "p100")]
+        within = held(c, marks[0])
+        for p in marks[1:]:
+            within = within & held(c, p)
+        checks.append(within.alias(f"{c}_within"))
+    return both.groupBy("f.endpoint", "day").agg(*checks)
+
+
+def _day(time):
+    return F.floor(F.unix_seconds(time) / 86400).alias("day")
+
+
+def _asked(hours, period):
+    merged = sketches.merged(hours, _LATENCIES, ["endpoint"], period)
+    found = sketches.percentiles(merged, _LATENCIES, (0, 0.5, 0.9, 0.99, 1))
+    day = _day(F.col("period")) if period else F.lit(None).cast("long").alias("day")
+    return found.select("endpoint", day, *[c for c in found.columns if c not in ("endpoint", "period")])
+
+
+@query("latency_sketches", _sketch_sql("(endpoint, day), (endpoint)"))
+def latency_sketches(spark, folder):
+    """Sketches stored by the hour, merged by day and over all days, against exact ranks."""
+    requests, path = st.requests(spark, folder), scratch(spark)
+    sketches.sketched(_timed(requests), _LATENCIES, ["endpoint"]).write.parquet(path)
+    hours = spark.read.parquet(path)
+    return _against_exact(_asked(hours, "1 day").union(_asked(hours, None)), requests)
+
+
+@query("live_latency_sketches", _sketch_sql("(endpoint, day)"))
+def live_latency_sketches(spark, folder):
+    """Hourly sketches appended by a stream over several arrivals, merged by day."""
+    events = table(spark, folder, "events").withColumn("ts", F.col("ts").cast("timestamp"))
+    path, stream, arrive = _arriving(spark, events, [*_arrivals(events), _ended(events)])
+    timed = _timed(st.requests_of(stream)).withWatermark("ts", "1 hour")
+    hours = sketches.sketched(timed, _LATENCIES, ["endpoint"])
+    for arrival in arrive:
+        arrival()
+        done = live.run_to_table(hours, f"{path}/out", f"{path}/state")
+    return _against_exact(_asked(done.filter("endpoint <> 'end'"), "1 day"), st.requests(spark, folder))
+
+
 @query(
     "request_gaps",
     f"""WITH {st.REQUESTS_SQL} SELECT event_id, client,

@@ -135,7 +135,11 @@ PAIRS_SQL = f"""pairs AS (
 
 def requests(spark, folder):
     """Events as requests: the user is the client, the value its latency."""
-    return table(spark, folder, "events").select(
+    return requests_of(table(spark, folder, "events"))
+
+
+def requests_of(events):
+    return events.select(
         "event_id",
         F.col("event_type").alias("endpoint"),
         F.col("user_id").alias("client"),
