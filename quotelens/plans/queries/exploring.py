@@ -2,8 +2,8 @@
 
 import random
 
-from ...operators import explore
-from .registry import query, table
+from ...operators import explore, positions
+from .registry import query, scratch, table
 
 
 @query(
@@ -69,3 +69,34 @@ def sampled_slice(spark, folder):
     """Five documents in a row from a random start."""
     docs = table(spark, folder, "documents").select("doc_id", "source")
     return explore.sample_slice(docs, 5, _SEED, ["doc_id"])
+
+
+def _stored(spark, folder):
+    """Documents stored in the order of their ids, in several files, and the index of the files."""
+    path = scratch(spark)
+    docs = table(spark, folder, "documents").select("doc_id", "source")
+    docs.repartitionByRange(8, "doc_id").sortWithinPartitions("doc_id").write.parquet(path)
+    stored = spark.read.schema(docs.schema).parquet(path)
+    return stored, positions.index(stored)
+
+
+@query(
+    "stored_batches",
+    "SELECT doc_id, (row_number() OVER (ORDER BY doc_id) - 1) // 7 + 1 AS batch FROM documents",
+)
+def stored_batches(spark, folder):
+    """Batch numbers from file and row counts, no row moved."""
+    stored, files = _stored(spark, folder)
+    return positions.batches(stored.select("doc_id"), files, 7)
+
+
+@query(
+    "stored_slice",
+    f"""WITH placed AS (SELECT doc_id, source, row_number() OVER (ORDER BY doc_id) - 1 AS position,
+      floor({random.Random(_SEED).random()!r}::DOUBLE * (count(*) OVER () - 4)) AS start FROM documents)
+    SELECT doc_id, source, position FROM placed WHERE position BETWEEN start AND start + 4""",
+)
+def stored_slice(spark, folder):
+    """Five stored documents in a row from a random start; only their files are opened."""
+    stored, files = _stored(spark, folder)
+    return positions.sample(stored, files, 5, _SEED)
