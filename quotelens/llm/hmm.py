@@ -1,16 +1,21 @@
 """A hidden Markov language model: Baum-Welch on Spark, scores by the forward recursion.
 
 A text is its words, lower-cased in A-Z, and one end. The chain emits word classes: the end, the
-``own`` commonest training words each by itself, and ``groups`` classes of the other words by
-their last three bytes. Within a class a word has its add-one smoothed share of the training
+commonest training words each by itself, and classes of the other words by their last three bytes.
+There are ``spread`` times the square root of the vocabulary of either kind, so what the states
+learn grows with the corpus, slowly enough for one table (100 million different words: 320,000 classes,
+20 MB with 8 states). Within a class a word has its add-one smoothed share of the training
 tokens, one share being left for unknown words, so probabilities of texts sum to one. What the
 states learn is which classes go together, such as the words of a language.
 
 - Word counts cover every training text. The commonest words (at most ``held``) are broadcast;
   rarer ones are joined by hash, which is done at every size.
-- Baum-Welch reads the classes of every training text in segments of ``segment`` tokens; each
-  task sums expected counts, which Spark adds up to one table of states by classes.
-- A score runs the scaled forward recursion over the whole text.
+- Baum-Welch reads the classes of every training text whole; each task sums expected counts, which
+  Spark adds up to one table of states by classes.
+- A score is the scaled forward recursion over the whole text.
+- A text of more than ``SEGMENT`` tokens is worked on in pieces at the same time, without a cut: the
+  matrix that takes state probabilities over a piece gives what enters each piece from the left and
+  from the right, and with these the recursions inside the pieces are those of the whole text.
 
 Edge cases: a null or empty text is the end alone. Texts of any length are scored whole. Repeated
 rows count and score each. Null ids are kept. Without training texts every class is as likely as
@@ -32,6 +37,7 @@ from ..session import settle
 from .text import lower_words
 
 FLUSH, BLOCK = 400_000, 200_000
+SEGMENT, TOKENS = 512, 400_000  # of a piece, and of the pieces held at once
 
 
 def count_words(texts):
@@ -76,14 +82,17 @@ def _common_cut(counts, most):
 class Vocabulary:
     """Training counts, and what tasks need of them: all parts have a bounded size."""
 
-    def __init__(self, texts, own=1_000, groups=1_000, held=500_000):
+    def __init__(self, texts, own=None, groups=None, held=500_000, spread=16):
         self.counts = settle(count_words(texts).withColumn("h", F.xxhash64("word")))
         self.texts = texts.count()
         words, known = self.counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count(F.lit(1))).first()
         self.tokens = words + self.texts
         self.types = known + (self.texts > 0)
         self.cut = _common_cut(self.counts, held)
+        size = math.ceil(spread * math.sqrt(known)) + 1
+        own, groups = size if own is None else own, size if groups is None else groups
         common = self.counts.filter(F.col("c") >= self.cut)
+        self.code = "<u2" if 1 + own + groups <= 1 << 16 else "<u4"
         top = common.orderBy(F.desc("c"), "word").limit(own).select("word", "c").collect()
         self.own, self.groups = own, groups
         self.own_class = {r["word"].encode(): i + 1 for i, r in enumerate(top)}
@@ -116,6 +125,7 @@ class Vocabulary:
         """
         held = texts.sparkSession.sparkContext.broadcast((self.hashes, self.common))
         own_class, own, groups, share = self.own_class, self.own, self.groups, self.share
+        code_type = np.dtype(self.code)
         total = math.log10(self.tokens + self.types + 1)
         ends = self.texts
         schema = pa.schema(
@@ -129,7 +139,7 @@ class Vocabulary:
             hashes, common = held.value
             row = TaskContext.get().partitionId() << 33
             seen, size = {}, 1 << 16
-            code, count, key = (np.zeros(size, t) for t in (np.uint16, np.int64, np.int64))
+            code, count, key = (np.zeros(size, t) for t in (code_type, np.int64, np.int64))
 
             def learn(words):
                 """Class, count (-1: not in memory) and hash of words not met yet."""
@@ -166,7 +176,7 @@ class Vocabulary:
                 told, alone = total_of(logs), total_of(np.where(grouped, 0, logs))
                 shares = total_of(np.where(grouped, share[classes], 0))
                 stops = np.cumsum(lengths + 1)
-                filled = np.zeros(stops[-1], "<u2")
+                filled = np.zeros(stops[-1], code_type)
                 filled[np.arange(len(words)) + doc] = classes
                 rare = np.flatnonzero(c < 0)
                 rare = rare[np.lexsort((key[at[rare]], doc[rare]))]
@@ -185,7 +195,7 @@ class Vocabulary:
                     told - alone - shares,
                     pa.Array.from_buffers(
                         pa.binary(), n,
-                        [None, pa.py_buffer(np.append(0, 2 * stops).astype(np.int32)), pa.py_buffer(filled)],
+                        [None, pa.py_buffer(np.append(0, code_type.itemsize * stops).astype(np.int32)), pa.py_buffer(filled)],
                     ),
                     pa.ListArray.from_arrays(
                         np.searchsorted(d[first], np.arange(n + 1)).astype(np.int32), pairs
@@ -229,11 +239,11 @@ class Vocabulary:
 class Chain:
     """Start, transition and emission probabilities."""
 
-    def __init__(self, start, middle, move, emit):
-        self.start, self.middle, self.move, self.emit = start, middle, move, emit
+    def __init__(self, start, move, emit):
+        self.start, self.move, self.emit = start, move, emit
 
     def tables(self):
-        return self.start, self.middle, self.move, self.emit
+        return self.start, self.move, self.emit
 
     @classmethod
     def initial(cls, class_tokens, states, seed):
@@ -241,121 +251,206 @@ class Chain:
         rng = np.random.default_rng(seed)
         common = (class_tokens + 1) / (class_tokens + 1).sum()
         emit = common[:, None] * np.exp(rng.normal(0, 0.5, (len(common), states)))
-        even = np.full(states, 1 / states)
-        return cls(even, even, 0.95 * np.eye(states) + 0.05 / states, emit / emit.sum(0))
+        return cls(np.full(states, 1 / states), 0.95 * np.eye(states) + 0.05 / states, emit / emit.sum(0))
 
     @classmethod
-    def from_counts(cls, counts, class_tokens, states):
-        """Maximisation, with a little of the common emission in every state."""
+    def from_counts(cls, counts, class_tokens):
+        """Maximisation, with a little of the common emission in every state.
+
+        ``counts`` has a row for the start, one for each state left, and one for each class.
+        """
+        states = counts.shape[1]
         common = (class_tokens + 1) / (class_tokens + 1).sum()
-        start, middle, rest = counts[:states], counts[states : 2 * states], counts[2 * states :]
-        move = rest[: states * states].reshape(states, states) + 0.1
-        emit = rest[states * states :].reshape(-1, states) + 5 * common[:, None]
-        return cls(
-            (start + 0.1) / (start + 0.1).sum(),
-            (middle + 0.1) / (middle + 0.1).sum(),
-            move / move.sum(1, keepdims=True),
-            emit / emit.sum(0),
-        )
+        start, move = counts[0] + 0.1, counts[1 : 1 + states] + 0.1
+        emit = counts[1 + states :] + 5 * common[:, None]
+        return cls(start / start.sum(), move / move.sum(1, keepdims=True), emit / emit.sum(0))
 
 
-def _by_length(sequences):
-    """Order from long to short, flat classes, starts, and the sequences longer than each step."""
-    lengths = np.array([len(s) for s in sequences])
-    order = np.argsort(-lengths, kind="stable")
-    flat = np.concatenate([sequences[i] for i in order])
-    lengths = lengths[order]
-    starts = np.cumsum(lengths) - lengths
-    return order, flat, starts, np.searchsorted(-lengths, -np.arange(lengths[0]), side="left")
+class _Steps:
+    """Pieces from long to short, their classes step by step: step t has the first ``active[t]``."""
+
+    def __init__(self, pieces):
+        lengths = np.array([len(p) for p in pieces])
+        self.order = np.argsort(-lengths, kind="stable")
+        self.lengths = lengths[self.order]
+        self.active = np.searchsorted(-self.lengths, -np.arange(self.lengths[0]), side="left")
+        self.first = np.cumsum(self.active) - self.active
+        rank = np.repeat(np.arange(len(pieces)), self.lengths)
+        step = np.arange(len(rank)) - np.repeat(np.cumsum(self.lengths) - self.lengths, self.lengths)
+        self.classes = np.empty(len(rank), np.int64)
+        self.classes[self.first[step] + rank] = np.concatenate([pieces[i] for i in self.order])
+
+    def __iter__(self):
+        return zip(self.active.tolist(), (slice(a, a + n) for a, n in zip(self.first.tolist(), self.active.tolist())))
+
+    def ends(self):
+        """Where the last token of each piece is."""
+        return self.first[self.lengths - 1] + np.arange(len(self.lengths))
+
+
+def _blocks(sequences, tokens):
+    """Ranges of neighbouring sequences with about ``tokens`` tokens each."""
+    held = (np.cumsum([len(s) for s in sequences]) - 1) // tokens
+    at = np.flatnonzero(np.append(True, held[1:] != held[:-1]))
+    return zip(at.tolist(), np.append(at[1:], len(sequences)).tolist())
+
+
+def _across(chain, pieces):
+    """For each piece the matrix from the state before its first word to its last state, and its log10 scale."""
+    steps, states = _Steps(pieces), len(chain.start)
+    across = np.broadcast_to(np.eye(states), (len(pieces), states, states)).copy()
+    logs = np.zeros(len(pieces))
+    for t, (n, at) in enumerate(steps):
+        before = across[:n] if t == 0 else (across[:n].reshape(-1, states) @ chain.move).reshape(n, states, states)
+        across[:n] = before * chain.emit[steps.classes[at], None, :]
+        if t % 8 == 7 or t + 1 == len(steps.active):
+            scale = across.sum((1, 2))
+            across /= scale[:, None, None]
+            logs += np.log10(scale)
+    back = np.argsort(steps.order)
+    return across[back], logs[back]
 
 
-def log10_likelihood(chain, sequences):
+def _cut(sequence, segment):
+    return [sequence[i : i + segment] for i in range(0, len(sequence), segment)]
+
+
+def _borders(chain, sequences, segment):
+    """Of each sequence: its pieces, what enters each from the left and the right, and its log10 likelihood.
+
+    From the left comes the state at the last token before the piece, from the right the likelihood of
+    all behind it by the state at its last token, to scale.
+    """
+    pieces = [_cut(s, segment) for s in sequences]
+    every = [p for mine in pieces for p in mine]
+    blocks = [_across(chain, every[a:b]) for a, b in _blocks(every, TOKENS)]
+    across, logs = (np.concatenate(x) for x in zip(*blocks))
+    at = 0
+    for mine in pieces:
+        matrices, total = across[at : at + len(mine)], logs[at : at + len(mine)].sum()
+        at += len(mine)
+        left, right = np.empty((2, len(mine), len(chain.start)))
+        before, state = chain.start, np.zeros_like(chain.start)
+        for i, matrix in enumerate(matrices):
+            left[i] = state
+            state = before @ matrix
+            total += math.log10(state.sum())
+            state = state / state.sum()
+            before = state @ chain.move
+        behind = np.ones_like(chain.start)
+        for i in range(len(mine) - 1, -1, -1):
+            right[i] = behind
+            behind = chain.move @ (matrices[i] @ behind)
+            behind /= behind.sum()
+        yield mine, left, right, total
+
+
+def log10_likelihood(chain, sequences, segment=SEGMENT):
     """Exact log10 probability of each class sequence."""
-    order, flat, starts, active = _by_length(sequences)
-    total = np.zeros(len(order))
-    state = None
-    for t, n in enumerate(active):
-        reached = chain.start if t == 0 else state[:n] @ chain.move
-        state = reached * chain.emit[flat[starts[:n] + t]]
-        scale = state.sum(1)
-        state /= scale[:, None]
-        total[:n] += np.log10(scale)
-    result = np.empty(len(order))
-    result[order] = total
+    lengths = np.array([len(s) for s in sequences])
+    result = np.zeros(len(sequences))
+    long = np.flatnonzero(lengths > segment)
+    if len(long):
+        result[long] = [total for *_, total in _borders(chain, [sequences[i] for i in long], segment)]
+    short = np.flatnonzero(lengths <= segment)
+    if len(short):
+        steps = _Steps([sequences[i] for i in short])
+        total, state = np.zeros(len(short)), None
+        for t, (n, at) in enumerate(steps):
+            reached = chain.start if t == 0 else state[:n] @ chain.move
+            state = reached * chain.emit[steps.classes[at]]
+            scale = state.sum(1)
+            state /= scale[:, None]
+            total[:n] += np.log10(scale)
+        result[short[steps.order]] = total
     return result
 
 
-def expected_counts(chain, segments, opening):
-    """Forward and backward over segments; ``opening`` marks those that start a text."""
-    order, flat, starts, active = _by_length(segments)
-    opening = np.asarray(opening)[order]
-    steps, width, states = len(active), len(order), len(chain.start)
-    alpha, scale = np.empty((steps, width, states)), np.empty((steps, width))
-    for t, n in enumerate(active):
-        before = (
-            np.where(opening[:, None], chain.start, chain.middle)
-            if t == 0
-            else alpha[t - 1, :n] @ chain.move
-        )
-        here = before * chain.emit[flat[starts[:n] + t]]
-        scale[t, :n] = here.sum(1)
-        alpha[t, :n] = here / scale[t, :n, None]
-    beta = np.ones((width, states))
-    move = np.zeros((states, states))
-    share = np.empty((len(flat), states))
-    for t in range(steps - 1, -1, -1):
-        n, at = active[t], starts[: active[t]] + t
-        share[at] = alpha[t, :n] * beta[:n]
+def _piece_counts(chain, pieces, opening, left, right):
+    """Expected counts of pieces, given what enters them; ``opening`` marks those that start a text."""
+    steps, states = _Steps(pieces), len(chain.start)
+    opening, left, beta = opening[steps.order], left[steps.order], right[steps.order]
+    emitted = chain.emit[steps.classes]
+    alpha, scale = np.empty_like(emitted), np.empty((len(emitted), 1))
+    before = np.where(opening[:, None], chain.start, left @ chain.move)
+    for n, at in steps:
+        here = before[:n] * emitted[at]
+        scale[at] = here.sum(1, keepdims=True)
+        alpha[at] = here / scale[at]
+        before = alpha[at] @ chain.move
+    emitted /= scale
+    beta /= (alpha[steps.ends()] * beta).sum(1, keepdims=True)
+    move, back = np.zeros((states, states)), chain.move.T.copy()
+    for t in range(len(steps.active) - 1, -1, -1):
+        n = steps.active[t]
+        at = slice(steps.first[t], steps.first[t] + n)
+        ahead = emitted[at] * beta[:n]
         if t:
-            ahead = chain.emit[flat[at]] * beta[:n] / scale[t, :n, None]
-            move += alpha[t - 1, :n].T @ ahead
-            beta[:n] = ahead @ chain.move.T
-    first = share[starts]
+            move += alpha[steps.first[t - 1] : steps.first[t - 1] + n].T @ ahead
+        else:
+            move += left[~opening].T @ ahead[~opening]
+        alpha[at] *= beta[:n]  # from here on the probability of each state
+        beta[:n] = ahead @ back
+    start = alpha[: len(pieces)][opening].sum(0)
     emit = np.stack(
-        [np.bincount(flat, share[:, k], len(chain.emit)) for k in range(states)], axis=1
+        [np.bincount(steps.classes, alpha[:, k], len(chain.emit)) for k in range(states)], axis=1
     )
-    return np.concatenate(
-        [first[opening].sum(0), first[~opening].sum(0), (move * chain.move).ravel(), emit.ravel()]
-    )
-
-
-def train(rows, vocabulary, states=8, rounds=6, segment=256, seed=0, width=1_024):
+    return np.concatenate([start[None], move * chain.move, emit])
+
+
+def expected_counts(chain, sequences, segment=SEGMENT):
+    """Forward and backward over whole sequences: rows for the start, the states left and the classes."""
+    states = len(chain.start)
+    none, even = np.zeros((1, states)), np.ones((1, states))
+    parts = [([s], none, even) for s in sequences if len(s) <= segment]
+    long = [s for s in sequences if len(s) > segment]
+    if long:
+        parts += [x[:3] for x in _borders(chain, long, segment)]
+    pieces = [p for mine, _, _ in parts for p in mine]
+    opening = np.concatenate([np.arange(len(mine)) == 0 for mine, _, _ in parts])
+    left, right = (np.concatenate([x[i] for x in parts]) for i in (1, 2))
+    total = np.zeros((1 + states + len(chain.emit), states))
+    for a, b in _blocks(pieces, TOKENS):
+        total += _piece_counts(chain, pieces[a:b], opening[a:b], left[a:b], right[a:b])
+    return total
+
+
+def train(rows, vocabulary, states=8, rounds=6, segment=SEGMENT, seed=0):
     """Baum-Welch over the classes of all training rows."""
     classes = rows.filter("NOT held_out").select("classes")
     chain = Chain.initial(vocabulary.class_tokens, states, seed)
-    session = rows.sparkSession
+    context, code = rows.sparkSession.sparkContext, vocabulary.code
+    names = [f"n{k}" for k in range(states)]
     for _ in range(rounds):
-        shared = session.sparkContext.broadcast(chain.tables())
+        shared = context.broadcast(chain.tables())
 
         def expect(batches, shared=shared):
             chain = Chain(*shared.value)
-            total = np.zeros(2 * states + states * states + chain.emit.size)
-            waiting, opening = [], []
+            total = np.zeros((1 + states + len(chain.emit), states))
+            waiting, tokens = [], 0
             for batch in batches:
                 for value in batch.column(0).to_pylist():
-                    whole = np.frombuffer(value, "<u2")
-                    for start in range(0, len(whole), segment):
-                        waiting.append(whole[start : start + segment])
-                        opening.append(start == 0)
-                    while len(waiting) >= width:
-                        total += expected_counts(chain, waiting[:width], opening[:width])
-                        del waiting[:width], opening[:width]
+                    waiting.append(np.frombuffer(value, code))
+                    tokens += len(waiting[-1])
+                    if tokens > TOKENS:
+                        total += expected_counts(chain, waiting, segment)
+                        waiting, tokens = [], 0
             if waiting:
-                total += expected_counts(chain, waiting, opening)
-            at = np.flatnonzero(total)
-            yield pa.record_batch([pa.array(at, pa.int32()), pa.array(total[at])], ["at", "n"])
-
-        sums = (
-            classes.mapInArrow(expect, "at int, n double").groupBy("at").agg(F.sum("n").alias("n"))
-        ).toArrow()
-        counts = np.zeros(2 * states + states * states + chain.emit.size)
-        counts[sums["at"].to_numpy()] = sums["n"].to_numpy()
-        chain = Chain.from_counts(counts, vocabulary.class_tokens, states)
+                total += expected_counts(chain, waiting, segment)
+            at = np.flatnonzero(total.any(1))
+            columns = [pa.array(at, pa.int32()), *(pa.array(total[at, k]) for k in range(states))]
+            yield pa.record_batch(columns, ["at", *names])
+
+        found = classes.mapInArrow(expect, ", ".join(["at int", *(f"{n} double" for n in names)]))
+        sums = found.groupBy("at").agg(*(F.sum(n).alias(n) for n in names)).toArrow()
+        counts = np.zeros((1 + states + len(chain.emit), states))
+        counts[sums["at"].to_numpy()] = np.stack([sums[n].to_numpy() for n in names], axis=1)
+        chain = Chain.from_counts(counts, vocabulary.class_tokens)
         shared.unpersist()
     return chain
 
 
-def likelihoods(rows, chain, block=2_000_000):
+def likelihoods(rows, chain, code, block=2_000_000):
     """(row, chain_score): the forward recursion over the classes of each row."""
     shared = rows.sparkSession.sparkContext.broadcast(chain.tables())
 
@@ -372,7 +467,7 @@ def likelihoods(rows, chain, block=2_000_000):
         for batch in batches:
             for row, value in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 ids.append(row)
-                sequences.append(np.frombuffer(value, "<u2"))
+                sequences.append(np.frombuffer(value, code))
                 tokens += len(sequences[-1])
                 if tokens > block:
                     yield out()
@@ -397,7 +492,7 @@ def score_texts(df, held_out, doc_id="doc_id", text="text", vocabulary=None, **t
     words = Vocabulary(texts.filter("NOT held_out").select("text"), **(vocabulary or {}))
     rows = words.encoded(texts)
     chain = train(rows, words, **training)
-    scored = likelihoods(rows, chain)
+    scored = likelihoods(rows, chain, words.code)
     parts = rows.drop("classes", "rare").join(scored, "row").join(words.rare_sums(rows), "row", "left")
     more = F.coalesce("more", F.lit(0.0))
     return parts.select(

@@ -1,5 +1,6 @@
 import itertools
 import math
+import time
 import zlib
 from collections import Counter
 
@@ -16,15 +17,15 @@ def chain(states=3, classes=4, seed=0):
     emit = rng.random((classes, states))
     move = rng.random((states, states))
     return hmm.Chain(
-        np.array([0.5, 0.3, 0.2]), np.array([0.1, 0.6, 0.3]),
+        np.array([0.5, 0.3, 0.2]),
         move / move.sum(1, keepdims=True), emit / emit.sum(0),
     )
 
 
-def paths(model, sequence, opening=True):
+def paths(model, sequence):
     """Every state path with its joint probability."""
     for path in itertools.product(range(len(model.start)), repeat=len(sequence)):
-        p = (model.start if opening else model.middle)[path[0]] * model.emit[sequence[0], path[0]]
+        p = model.start[path[0]] * model.emit[sequence[0], path[0]]
         for t in range(1, len(path)):
             p *= model.move[path[t - 1], path[t]] * model.emit[sequence[t], path[t]]
         yield path, p
@@ -40,19 +41,42 @@ def test_forward_equals_the_sum_over_all_paths():
         assert value == pytest.approx(math.log10(sum(p for _, p in paths(model, sequence))))
 
 
-def test_expected_counts_equal_the_sum_over_all_paths():
-    model, opening = chain(), [True, False, False, True]
-    start, middle, move, emit = np.zeros(3), np.zeros(3), np.zeros((3, 3)), np.zeros((4, 3))
-    for sequence, first in zip(SEQUENCES, opening):
-        whole = sum(p for _, p in paths(model, sequence, first))
-        for path, p in paths(model, sequence, first):
-            (start if first else middle)[path[0]] += p / whole
+@pytest.mark.parametrize("segment", [1, 2, 3, 100])
+def test_expected_counts_equal_the_sum_over_all_paths(segment):
+    model = chain()
+    start, move, emit = np.zeros(3), np.zeros((3, 3)), np.zeros((4, 3))
+    for sequence in SEQUENCES:
+        whole = sum(p for _, p in paths(model, sequence))
+        for path, p in paths(model, sequence):
+            start[path[0]] += p / whole
             for a, b in zip(path, path[1:]):
                 move[a, b] += p / whole
             for word, state in zip(sequence, path):
                 emit[word, state] += p / whole
-    want = np.concatenate([start, middle, move.ravel(), emit.ravel()])
-    assert np.allclose(hmm.expected_counts(model, SEQUENCES, opening), want)
+    want = np.concatenate([start[None], move, emit])
+    assert np.allclose(hmm.expected_counts(model, SEQUENCES, segment), want)
+    found = hmm.log10_likelihood(model, SEQUENCES, segment)
+    assert np.allclose(found, [math.log10(sum(p for _, p in paths(model, s))) for s in SEQUENCES])
+
+
+def test_pieces_of_a_long_text_give_the_counts_of_the_whole(monkeypatch):
+    rng, model = np.random.default_rng(5), chain(classes=50, seed=2)
+    data = [rng.integers(0, 50, n) for n in (5_000, 1, 700, 64, 65, 3)]
+    whole = hmm.expected_counts(model, data, 10_000)
+    monkeypatch.setattr(hmm, "TOKENS", 900)  # several blocks of pieces
+    for segment in (7, 64, 512):
+        assert np.allclose(hmm.expected_counts(model, data, segment), whole)
+        assert np.allclose(hmm.log10_likelihood(model, data, segment), hmm.log10_likelihood(model, data, 10_000))
+    assert whole[1:4].sum() == pytest.approx(sum(len(s) - 1 for s in data))  # no transition is left out
+    assert whole[4:].sum() == pytest.approx(sum(map(len, data)))
+
+
+def test_a_very_long_text_takes_steps_of_a_piece_not_of_the_text():
+    rng, model = np.random.default_rng(5), chain(classes=50, seed=2)
+    text = rng.integers(0, 50, 1_000_000)
+    began = time.monotonic()
+    counts = hmm.expected_counts(model, [text])
+    assert counts[4:].sum() == pytest.approx(len(text)) and time.monotonic() - began < 20
 
 
 def test_baum_welch_never_loses_likelihood():
@@ -62,8 +86,8 @@ def test_baum_welch_never_loses_likelihood():
     model, seen = hmm.Chain.initial(tokens, 3, 0), []
     for _ in range(6):
         seen.append(hmm.log10_likelihood(model, data).sum())
-        counts = hmm.expected_counts(model, data, [True] * len(data))
-        model = hmm.Chain.from_counts(counts, tokens, 3)
+        counts = hmm.expected_counts(model, data)
+        model = hmm.Chain.from_counts(counts, tokens)
     assert all(b > a - 2 for a, b in zip(seen, seen[1:])) and seen[-1] > seen[0] + 50
 
 
@@ -115,3 +139,13 @@ def test_no_rows_and_no_training_rows(spark):
     one = spark.createDataFrame([(1, "word")], "doc_id bigint, text string")
     (row,) = hmm.score_texts(one, F.lit(True), rounds=1).collect()
     assert (row["n_known"], row["train_tokens"], row["base_score"]) == (0, 0, 0.0)
+
+
+@pytest.mark.parametrize("spread, code", [(1, "<u2"), (20_000, "<u4")])
+def test_classes_follow_the_vocabulary(spark, spread, code):
+    rows = [(i, f"w{i % 9} x{i}", i > 80) for i in range(90)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, out boolean")
+    words = hmm.Vocabulary(df.filter("NOT out").select("text"), spread=spread)
+    assert (words.own, words.code) == (math.ceil(spread * math.sqrt(90)) + 1, code)
+    scored = hmm.score_texts(df, F.col("out"), vocabulary={"spread": spread}, states=2, rounds=2).collect()
+    assert len(scored) == 90 and all(r["score"] < 0 for r in scored)
