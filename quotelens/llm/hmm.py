@@ -37,7 +37,7 @@ from ..session import settle
 from .text import lower_words
 
 FLUSH, BLOCK = 400_000, 200_000
-SEGMENT, TOKENS = 512, 400_000  # of a piece, and of the pieces held at once
+SEGMENT, TOKENS = 1_024, 400_000  # of a piece, and of the pieces held at once
 
 
 def count_words(texts):
@@ -297,18 +297,20 @@ def _blocks(sequences, tokens):
 
 def _across(chain, pieces):
     """For each piece the matrix from the state before its first word to its last state, and its log10 scale."""
-    steps, states = _Steps(pieces), len(chain.start)
-    across = np.broadcast_to(np.eye(states), (len(pieces), states, states)).copy()
+    steps, states, forth = _Steps(pieces), len(chain.start), chain.move.T.copy()
+    across = np.repeat(np.eye(states)[:, :, None], len(pieces), axis=2)  # last state, state before, piece
     logs = np.zeros(len(pieces))
     for t, (n, at) in enumerate(steps):
-        before = across[:n] if t == 0 else (across[:n].reshape(-1, states) @ chain.move).reshape(n, states, states)
-        across[:n] = before * chain.emit[steps.classes[at], None, :]
+        before = across[:, :, :n]
+        if t:
+            before = (forth @ before.reshape(states, -1)).reshape(states, states, n)
+        np.multiply(before, chain.emit[steps.classes[at]].T[:, None, :], out=across[:, :, :n])
         if t % 8 == 7 or t + 1 == len(steps.active):
-            scale = across.sum((1, 2))
-            across /= scale[:, None, None]
+            scale = across.sum((0, 1))
+            across /= scale
             logs += np.log10(scale)
     back = np.argsort(steps.order)
-    return across[back], logs[back]
+    return across.transpose(2, 1, 0)[back], logs[back]
 
 
 def _cut(sequence, segment):
@@ -354,47 +356,49 @@ def log10_likelihood(chain, sequences, segment=SEGMENT):
         result[long] = [total for *_, total in _borders(chain, [sequences[i] for i in long], segment)]
     short = np.flatnonzero(lengths <= segment)
     if len(short):
-        steps = _Steps([sequences[i] for i in short])
-        total, state = np.zeros(len(short)), None
-        for t, (n, at) in enumerate(steps):
-            reached = chain.start if t == 0 else state[:n] @ chain.move
-            state = reached * chain.emit[steps.classes[at]]
-            scale = state.sum(1)
-            state /= scale[:, None]
+        steps, forth = _Steps([sequences[i] for i in short]), chain.move.T.copy()
+        total, reached = np.zeros(len(short)), np.repeat(chain.start[:, None], len(short), axis=1)
+        for n, at in steps:
+            state = reached[:, :n] * chain.emit[steps.classes[at]].T
+            scale = state.sum(0)
+            state /= scale
             total[:n] += np.log10(scale)
+            reached = forth @ state
         result[short[steps.order]] = total
     return result
 
 
 def _piece_counts(chain, pieces, opening, left, right):
-    """Expected counts of pieces, given what enters them; ``opening`` marks those that start a text."""
-    steps, states = _Steps(pieces), len(chain.start)
-    opening, left, beta = opening[steps.order], left[steps.order], right[steps.order]
-    emitted = chain.emit[steps.classes]
-    alpha, scale = np.empty_like(emitted), np.empty((len(emitted), 1))
-    before = np.where(opening[:, None], chain.start, left @ chain.move)
+    """Expected counts of pieces, given what enters them; ``opening`` marks those that start a text.
+
+    Arrays hold a row for each state, so that every operation runs along the tokens of a step.
+    """
+    steps, forth = _Steps(pieces), chain.move.T.copy()
+    opening, left, beta = opening[steps.order], left[steps.order].T.copy(), right[steps.order].T.copy()
+    emitted = chain.emit[steps.classes].T.copy()
+    alpha = np.empty_like(emitted)
+    before = np.where(opening, chain.start[:, None], forth @ left)
     for n, at in steps:
-        here = before[:n] * emitted[at]
-        scale[at] = here.sum(1, keepdims=True)
-        alpha[at] = here / scale[at]
-        before = alpha[at] @ chain.move
-    emitted /= scale
-    beta /= (alpha[steps.ends()] * beta).sum(1, keepdims=True)
-    move, back = np.zeros((states, states)), chain.move.T.copy()
+        here = before[:, :n] * emitted[:, at]
+        scale = here.sum(0)
+        here /= scale
+        emitted[:, at] /= scale
+        alpha[:, at] = here
+        before = forth @ here
+    beta /= (alpha[:, steps.ends()] * beta).sum(0)
+    move = np.zeros_like(chain.move)
     for t in range(len(steps.active) - 1, -1, -1):
         n = steps.active[t]
         at = slice(steps.first[t], steps.first[t] + n)
-        ahead = emitted[at] * beta[:n]
+        ahead = emitted[:, at] * beta[:, :n]
         if t:
-            move += alpha[steps.first[t - 1] : steps.first[t - 1] + n].T @ ahead
+            move += alpha[:, steps.first[t - 1] : steps.first[t - 1] + n] @ ahead.T
         else:
-            move += left[~opening].T @ ahead[~opening]
-        alpha[at] *= beta[:n]  # from here on the probability of each state
-        beta[:n] = ahead @ back
-    start = alpha[: len(pieces)][opening].sum(0)
-    emit = np.stack(
-        [np.bincount(steps.classes, alpha[:, k], len(chain.emit)) for k in range(states)], axis=1
-    )
+            move += left[:, ~opening] @ ahead[:, ~opening].T
+        alpha[:, at] *= beta[:, :n]  # from here on the probability of each state
+        beta[:, :n] = chain.move @ ahead
+    start = alpha[:, : len(pieces)][:, opening].sum(1)
+    emit = np.stack([np.bincount(steps.classes, row, len(chain.emit)) for row in alpha], axis=1)
     return np.concatenate([start[None], move * chain.move, emit])
 
 
