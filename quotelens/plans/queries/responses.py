@@ -1,9 +1,9 @@
 """Model responses: parsing, status, validation, chat text."""
 
-from pyspark.sql import functions as F
+from pyspark.sql import Window, functions as F
 
 from ...functions import chat
-from ...operators import answers as ans, calls, curate as cur, evaluate as ev, explore
+from ...operators import answers as ans, calls, curate as cur, evaluate as ev, explore, near
 from . import standins as st
 from .registry import TOKENS, query, table, texts
 
@@ -191,6 +191,71 @@ def legend_mismatches(spark, folder):
     )
 
 
+# Answers to statements of their own conversation: each fourth right, the others the next one's text,
+# the text without its last word, or one sentence for several statements.
+_NEAR_WORDS = "list_distinct(regexp_extract_all(lower({0}), '[a-z0-9]+'))"
+_NEAR_SQL = f"""legend AS (
+      SELECT conv_id * 1000 + turn AS hypothesis_id, min(text) AS hypothesis FROM conversations GROUP BY 1),
+    given AS (
+      SELECT conv_id AS document_id, conv_id * 1000 + turn AS hypothesis_id,
+             CASE (conv_id + turn) % 4 WHEN 0 THEN text WHEN 1 THEN lead(text) OVER w
+               WHEN 2 THEN regexp_replace(text, ' [^ ]+$', '') ELSE 'See ' || min(text) OVER c END AS hypothesis
+      FROM conversations
+      WINDOW w AS (PARTITION BY conv_id ORDER BY turn, text), c AS (PARTITION BY conv_id)),
+    wrong AS (
+      SELECT given.*, legend.hypothesis AS expected FROM given LEFT JOIN legend USING (hypothesis_id)
+      WHERE given.hypothesis IS DISTINCT FROM legend.hypothesis),
+    mine AS (
+      SELECT hypothesis AS text, {_NEAR_WORDS.format('hypothesis')} AS words
+      FROM wrong WHERE hypothesis IS NOT NULL GROUP BY ALL),
+    theirs AS (
+      SELECT hypothesis AS other, min(hypothesis_id) AS near_id, {_NEAR_WORDS.format('hypothesis')} AS others
+      FROM legend WHERE hypothesis IS NOT NULL GROUP BY hypothesis),
+    sized AS (
+      SELECT text, other, near_id, len(list_intersect(words, others)) AS shared,
+             len(list_distinct(list_concat(words, others))) AS together
+      FROM mine CROSS JOIN theirs),
+    alike AS (
+      SELECT *, CASE WHEN text = other THEN 2.0 ELSE shared / together END AS closeness
+      FROM sized WHERE text = other OR (shared > 0 AND shared * 100 >= together * 80)),
+    best AS (
+      SELECT * FROM alike QUALIFY row_number() OVER (PARTITION BY text ORDER BY closeness DESC, near_id) = 1),
+    times AS (SELECT document_id, hypothesis, count(*) AS times FROM given GROUP BY 1, 2),
+    near AS (
+      SELECT wrong.*, CASE WHEN best.closeness = 2 THEN 'swapped' WHEN times.times > 1 THEN 'repeated'
+               WHEN own.text IS NOT NULL THEN 'edited' WHEN best.text IS NOT NULL THEN 'near_other'
+               ELSE 'unknown' END AS kind,
+             CASE WHEN own.closeness = best.closeness THEN wrong.hypothesis_id ELSE best.near_id END AS near_id,
+             CASE WHEN own.closeness = best.closeness THEN own.shared ELSE best.shared END AS shared,
+             CASE WHEN own.closeness = best.closeness THEN own.together ELSE best.together END AS together
+      FROM wrong LEFT JOIN times USING (document_id, hypothesis)
+      LEFT JOIN best ON best.text = wrong.hypothesis
+      LEFT JOIN alike own ON own.text = wrong.hypothesis AND own.other = wrong.expected)"""
+
+
+@query(
+    "explained_mismatches",
+    f"""WITH {_NEAR_SQL}
+    SELECT document_id, hypothesis_id, kind, near_id, shared, together FROM near""",
+)
+def explained_mismatches(spark, folder):
+    rows = table(spark, folder, "conversations")
+    key = (F.col("conv_id") * 1000 + F.col("turn")).alias("hypothesis_id")
+    legend = rows.groupBy(key).agg(F.min("text").alias("hypothesis"))
+    mine = Window.partitionBy("conv_id")
+    case = (F.col("conv_id") + F.col("turn")) % 4
+    given = (
+        F.when(case == 0, F.col("text"))
+        .when(case == 1, F.lead("text").over(mine.orderBy("turn", "text")))
+        .when(case == 2, F.regexp_replace("text", " [^ ]+$", ""))
+        .otherwise(F.concat(F.lit("See "), F.min("text").over(mine)))
+    )
+    answers = rows.select(F.col("conv_id").alias("document_id"), key, given.alias("hypothesis"))
+    found = near.explain_mismatches(answers, legend)
+    counts = [F.col(c).cast("long").alias(c) for c in ("shared", "together")]
+    return found.select("document_id", "hypothesis_id", "kind", "near_id", *counts)
+
+
 _CHAT = (
     "'<|im_start|>system' || chr(10) || source || '<|im_end|>' || chr(10) || '<|im_start|>user' || chr(10) "
     "|| text || '<|im_end|>' || chr(10) || '<|im_start|>assistant' || chr(10)"
