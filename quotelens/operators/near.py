@@ -13,6 +13,7 @@ Repeated rows are classified each and compared once. An empty table or legend gi
 from pyspark.sql import functions as F
 
 from ..functions import text as tx
+from ..session import settle
 from .evaluate import legend_mismatch
 from .joins import join_small
 
@@ -66,13 +67,13 @@ def explain_mismatches(answers, legend, doc="document_id", least=80):
     ids = legend.filter("hypothesis IS NOT NULL").groupBy(F.col("hypothesis").alias("other"))
     named = ids.agg(F.min("hypothesis_id").alias("near_id"))
     texts = wrong.select(F.col("hypothesis").alias("text"))
-    alike = similar_texts(texts, named.select(F.col("other").alias("text")), least)
+    alike = settle(similar_texts(texts, named.select(F.col("other").alias("text")), least))
     same = texts.filter("text IS NOT NULL").distinct().select("text", F.col("text").alias("other"))
     exact = join_small(same, named.select("other"), "other", "left_semi")
     exact = exact.join(alike, ["text", "other"], "left_anti")  # texts without words
     zero = exact.select("text", "other", F.lit(0).alias("shared"), F.lit(0).alias("together"))
     far = -F.when(F.col("text") == F.col("other"), 2.0).otherwise(F.col("shared") / F.col("together"))
-    every = alike.unionByName(zero).select("text", "other", "shared", "together", far.alias("far"))
+    every = settle(alike.unionByName(zero).select("text", "other", "shared", "together", far.alias("far")))
     top = join_small(every, named, "other").groupBy("text").agg(
         F.min(F.struct("far", "near_id", "shared", "together")).alias("__top")
     )
