@@ -2,6 +2,7 @@ import random
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 from quotelens.operators import near
 
@@ -28,6 +29,22 @@ def test_pairs_equal_all_pairs(spark, least):
     assert len(found) == len(set(found)) and set(found) == want and want
 
 
+def test_common_words_make_few_candidates(spark):
+    """Texts of common words meet often; what leaves the join is numbers, and hardly more than is alike."""
+    rng = random.Random(7)
+    texts = [" ".join(rng.sample([f"w{i}" for i in range(60)], 20)) for _ in range(300)]
+    texts += [f"{t} more" for t in texts[:20]]
+    sets = near._word_sets(spark.createDataFrame([(t,) for t in texts], "text string"))
+    counts = sets.selectExpr("explode(words) AS word").groupBy("word").agg(F.count(F.lit(1)).alias("held"))
+    rows = near._prefixes(sets, counts, 80)
+    assert "text" not in rows.columns
+    met = sum(r["count"] ** 2 for r in rows.groupBy("word").count().collect())
+    pairs = {tuple(r) for r in near._candidates(sets, sets, 80).collect()}
+    held = {r["id"]: set(r["words"]) for r in sets.collect()}
+    alike = {(a, b) for a, x in held.items() for b, y in held.items() if 100 * len(x & y) >= 80 * len(x | y)}
+    assert alike <= pairs and len(pairs) <= 2 * len(alike) < met / 10
+
+
 def test_kinds(spark):
     legend = spark.createDataFrame(
         [("a", "one two three four five"), ("b", "six seven eight nine ten"), ("c", "??")],
