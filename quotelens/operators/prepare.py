@@ -4,10 +4,12 @@ from pyspark.sql import Window, functions as F
 
 from ..functions import arrays, chat, text as tx
 from ..schemas import IGNORED_LABEL, MAX_PROMPT_TOKENS, MAX_SEQUENCE, PAD_MULTIPLE
+from ..session import settle
 from .joins import BROADCAST_ROWS, fits
 from .ordered import row_numbers
 
 LONG_TOKEN = 256
+CHUNK_ROWS = 1024  # rows that ask for their tokens together
 
 
 def fit_vocab(df, tokens="tokens", first_id=1):
@@ -23,16 +25,52 @@ def fit_vocab(df, tokens="tokens", first_id=1):
     )
 
 
-def _joined_ids(positions, vocab, key, unknown_id):
-    """Rows of key, position and token to one ordered list of (position, id) per key."""
+def _joined_ids(rare, vocab, key, unknown_id):
+    """Rows of key, positions and their tokens to one ordered list of (position, id) per key.
+
+    A chunk of rows asks for each of its tokens once. So what is joined by token are the different
+    tokens of the chunks, and a frequent token has no more rows than there are chunks.
+    """
     missing = (
         F.raise_error(F.concat(F.lit("token not in vocabulary: "), F.col("token"))).cast("int")
         if unknown_id is None
         else F.lit(unknown_id)
     )
-    known = positions.join(vocab.select("token", "token_id"), "token", "left")
-    entry = F.struct("_pos", F.coalesce("token_id", missing).alias("_id"))
-    return known.groupBy(key).agg(F.array_sort(F.collect_list(entry)).alias("_at"))
+    chunk = F.expr(f"monotonically_increasing_id() div {CHUNK_ROWS}").alias("_chunk")
+    rows = settle(rare.select(chunk, F.col(key).alias("_key"), "_pos", "_tokens"))
+    wanted = rows.select(F.col("_chunk").alias("_asker"), F.explode("_tokens").alias("token")).distinct()
+    known = wanted.join(vocab.select("token", "token_id"), "token", "left")
+    known = known.select("_asker", "token", F.coalesce("token_id", missing).cast("int").alias("_id"))
+    schema = f"_key {rows.schema['_key'].dataType.simpleString()}, _at array<struct<_pos: int, _id: int>>"
+    found = rows.groupBy("_chunk").cogroup(known.groupBy("_asker")).applyInArrow(_ids_of_chunk, schema)
+    return found.groupBy(F.col("_key").alias(key)).agg(F.sort_array(F.flatten(F.collect_list("_at"))).alias("_at"))
+
+
+def _ids_of_chunk(rows, known):
+    import pyarrow as pa
+    import pyarrow.compute as pc
+
+    rows, known = rows.combine_chunks(), known.combine_chunks()
+    tokens, positions, words, ids = (
+        t[c].combine_chunks() for t, c in ((rows, "_tokens"), (rows, "_pos"), (known, "token"), (known, "_id"))
+    )
+    found = ids.take(pc.index_in(tokens.flatten(), value_set=words))
+    entries = pa.StructArray.from_arrays([positions.flatten(), found], ["_pos", "_id"])
+    return pa.table({"_key": rows["_key"], "_at": _lists(_ends(tokens), entries)})
+
+
+def _ends(lists):
+    """Where the lists of an Arrow array without nulls begin and end in its flat values."""
+    import numpy as np
+    import pyarrow.compute as pc
+
+    return np.concatenate([[0], np.cumsum(pc.list_value_length(lists).to_numpy(zero_copy_only=False))])
+
+
+def _lists(ends, values):
+    import pyarrow as pa
+
+    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), values)
 
 
 def encode(df, vocab, key, tokens="tokens", name="ids", unknown_id=None, limit=BROADCAST_ROWS):
@@ -48,54 +86,59 @@ def encode(df, vocab, key, tokens="tokens", name="ids", unknown_id=None, limit=B
     whole = fits(vocab, limit) is not None and vocab.filter(~short).isEmpty()
     first = vocab if whole else vocab.filter(short).orderBy("token_id").limit(limit)
     listed = df.withColumn(tokens, F.coalesce(tokens, F.array().cast("array<string>")))
-    found = listed.withColumn(name, _memory_ids(first)(tokens))
-    positions = F.transform(tokens, lambda t, i: F.struct(i.alias("_pos"), t.alias("token")))
-    rare = F.filter(positions, lambda p: F.get(F.col(name), p["_pos"]).isNull())
+    found = listed.withColumn("_found", _memory_ids(first)(tokens)).withColumn(name, F.col("_found.ids"))
+    rare = F.col("_found._tokens")
     if whole:
         fallback = (
-            F.raise_error(F.concat(F.lit("token not in vocabulary: "), F.get(rare, F.lit(0))["token"]))
+            F.raise_error(F.concat(F.lit("token not in vocabulary: "), F.get(rare, F.lit(0))))
             if unknown_id is None
             else F.transform(name, lambda t: F.coalesce(t, F.lit(unknown_id)))
         )
-        gap = F.exists(name, lambda t: t.isNull())
-        return found.withColumn(name, F.when(gap, fallback.cast("array<int>")).otherwise(F.col(name)))
-    left = found.select(key, F.inline(rare))
+        ids = F.when(F.size(rare) > 0, fallback.cast("array<int>")).otherwise(F.col(name))
+        return found.withColumn(name, ids).drop("_found")
+    left = found.filter(F.size(rare) > 0).select(key, "_found._pos", "_found._tokens")
     lists = _joined_ids(left, vocab, key, unknown_id)
     memory = F.filter(
         F.transform(name, lambda t, i: F.struct(i.alias("_pos"), t.alias("_id"))),
         lambda p: p["_id"].isNotNull(),
     )
-    merged = F.array_sort(F.concat(memory, F.col("_at")))["_id"]
+    merged = F.sort_array(F.concat(memory, F.col("_at")))["_id"]
     return (
         found.join(lists, key, "left")
         .withColumn(name, F.when(F.col("_at").isNull(), F.col(name)).otherwise(merged))
-        .drop("_at")
+        .drop("_at", "_found")
     )
 
 
 def _memory_ids(vocab):
-    """Arrow function from token lists to id lists, null for a token it does not hold."""
-    table = vocab.select("token", "token_id").toPandas()
-    shared = vocab.sparkSession.sparkContext.broadcast(
-        (table["token"].to_numpy(), table["token_id"].to_numpy("int32"))
-    )
+    """Arrow function from token lists to id lists, and what is not held: positions and tokens.
+
+    Ids are null there. Tokens stay in Arrow's buffers; no Python object is made of any.
+    """
+    table = vocab.select("token", "token_id").toArrow().combine_chunks()
+    held = [table[c].combine_chunks() for c in table.column_names]
+    shared = vocab.sparkSession.sparkContext.broadcast((held[0], held[1].cast("int32")))
 
     def lookup(batches):
         import numpy as np
-        import pandas as pd
+        import pyarrow as pa
+        import pyarrow.compute as pc
 
         words, ids = shared.value
-        index = pd.Index(words)
         for lists in batches:
-            lists = lists.map(lambda x: [] if x is None else x)
-            ends = np.cumsum(lists.map(len).to_numpy())
-            flat = np.concatenate([*lists, np.empty(0, dtype=object)])
-            at = index.get_indexer(flat)
-            found = np.append(ids, np.int32(0))[at]  # the end stands in for what is not held
-            values = np.where(at < 0, None, found) if (at < 0).any() else found
-            yield pd.Series(np.split(values, ends[:-1]))
+            flat, ends = lists.flatten(), _ends(lists)
+            found = ids.take(pc.index_in(flat, value_set=words))
+            at = np.flatnonzero(found.is_null().to_numpy(zero_copy_only=False))
+            row = np.searchsorted(ends, at, "right") - 1
+            rare = np.searchsorted(at, ends)
+            columns = {
+                "ids": _lists(ends, found),
+                "_pos": _lists(rare, pa.array(at - ends[row], pa.int32())),
+                "_tokens": _lists(rare, flat.take(pa.array(at))),
+            }
+            yield pa.StructArray.from_arrays([*columns.values()], [*columns])
 
-    return _series_udf(lookup)
+    return _arrow_udf(lookup, "ids array<int>, _pos array<int>, _tokens array<string>")
 
 
 def encode_with(df, tokenize, text="text", name="ids"):
@@ -119,6 +162,15 @@ def _series_udf(fn):
     return F.pandas_udf(fn, "array<int>")
 
 
+def _arrow_udf(fn, kind):
+    from collections.abc import Iterator
+
+    import pyarrow as pa
+
+    fn.__annotations__ = {"batches": Iterator[pa.Array], "return": Iterator[pa.Array]}
+    return F.arrow_udf(fn, kind)
+
+
 def chat_texts(df, system, answers="inference", text="text", wrap=False):
     """Add ``prompt_text`` and ``full_text``, the rendered conversation without and with answers."""
     turn = chat.answers_json(F.col(answers), wrap)

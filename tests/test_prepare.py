@@ -56,6 +56,21 @@ def test_outside_tokenizer(spark):
     assert [r.ids for r in got] == [[97, 98], []]
 
 
+def test_memory_lookup_stays_in_arrow(tokens, spark):
+    """Ids come with the positions and tokens that are not held; a chunk asks once for a token."""
+    vocab = prep.fit_vocab(tokens)
+    ids = {r.token: r.token_id for r in vocab.collect()}
+    held = prep._memory_ids(vocab.filter("token_id <= 2"))
+    for r in tokens.select("tokens", held("tokens").alias("f")).collect():
+        want = [ids[t] if ids[t] <= 2 else None for t in r.tokens]
+        assert r.f.ids == want and r.f._pos == [i for i, v in enumerate(want) if v is None]
+        assert r.f._tokens == [r.tokens[i] for i in r.f._pos]
+    many = spark.createDataFrame([(i, ["often"] * 50) for i in range(100)], tokens.schema).coalesce(1)
+    rare = many.select("i", F.sequence(F.lit(0), F.lit(49)).alias("_pos"), F.col("tokens").alias("_tokens"))
+    lists = prep._joined_ids(rare, prep.fit_vocab(many), "i", None)
+    assert all(r._at == [(p, 1) for p in range(50)] for r in lists.collect()) and lists.count() == 100
+
+
 def test_prompt_limit_is_inclusive(spark):
     df = spark.range(8999, 9002).select(F.array_repeat(F.lit(1), F.col("id").cast("int")).alias("prompt_ids"))
     assert sorted(len(r.prompt_ids) for r in prep.filter_prompt_len(df).collect()) == [8999, 9000]
