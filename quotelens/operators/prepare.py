@@ -10,6 +10,7 @@ from .ordered import row_numbers
 
 LONG_TOKEN = 256
 CHUNK_ROWS = 1024  # rows that ask for their tokens together
+CALL_BYTES = 1 << 20  # text handed to an outside tokenizer at once
 
 
 def fit_vocab(df, tokens="tokens", first_id=1):
@@ -142,24 +143,33 @@ def _memory_ids(vocab):
 
 
 def encode_with(df, tokenize, text="text", name="ids"):
-    """Ids from an outside tokenizer: ``tokenize`` maps a list of texts to lists of ids."""
+    """Ids from an outside tokenizer: ``tokenize`` maps a list of texts to lists of ids.
+
+    It is called with ``CALL_BYTES`` of text at a time, or with one longer text.
+    """
 
     def run(batches):
-        import pandas as pd
+        import pyarrow as pa
 
         for texts in batches:
-            yield pd.Series(list(tokenize(texts.tolist())))
+            for some in _slices(texts, CALL_BYTES):
+                yield pa.array(list(tokenize(some.to_pylist())), pa.list_(pa.int32()), from_pandas=True)
 
-    return df.withColumn(name, _series_udf(run)(text))
+    return df.withColumn(name, _arrow_udf(run, "array<int>")(text))
 
 
-def _series_udf(fn):
-    from collections.abc import Iterator
-
-    import pandas as pd
+def _slices(texts, most):
+    """Parts of an Arrow array of texts, in order, of at most ``most`` bytes or one text."""
+    import pyarrow.compute as pc
 
-    fn.__annotations__ = {"batches": Iterator[pd.Series], "return": Iterator[pd.Series]}
-    return F.pandas_udf(fn, "array<int>")
+    start, held = 0, 0
+    for i, n in enumerate(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False)):
+        if i > start and held + n > most:
+            yield texts.slice(start, i - start)
+            start, held = i, 0
+        held += n
+    if len(texts) > start:
+        yield texts.slice(start)
 
 
 def _arrow_udf(fn, kind):

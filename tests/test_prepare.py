@@ -56,6 +56,19 @@ def test_outside_tokenizer(spark):
     assert [r.ids for r in got] == [[97, 98], []]
 
 
+def test_outside_tokenizer_gets_little_at_once(spark):
+    texts = ["", None, "x" * 700_000, "y" * 700_000, "z" * (3 << 20), "é"] + ["w" * 1000] * 5000
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, text string").coalesce(1)
+
+    def tokenize(some):  # the bytes of the call, for each text
+        size = sum(len((t or "").encode()) for t in some)
+        return [None if t is None else [len(t), size, len(some)] for t in some]
+
+    got = {r.i: r.ids for r in prep.encode_with(df, tokenize).collect()}
+    assert [got[i] and got[i][0] for i in range(len(texts))] == [t if t is None else len(t) for t in texts]
+    assert all(ids is None or ids[1] <= prep.CALL_BYTES or ids[2] == 1 for ids in got.values())
+
+
 def test_memory_lookup_stays_in_arrow(tokens, spark):
     """Ids come with the positions and tokens that are not held; a chunk asks once for a token."""
     vocab = prep.fit_vocab(tokens)
