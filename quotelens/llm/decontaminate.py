@@ -38,6 +38,7 @@ from .graph import join_unique
 
 MATCH, MISMATCH, GAP = 2, -1, -1
 MANY, LEAST = 0.78, 6
+TOGETHER = 500_000  # characters of texts that are hashed and looked up together
 _PLAIN = bytes.maketrans(string.punctuation.encode(), b" " * len(string.punctuation))
 
 
@@ -55,6 +56,33 @@ def _hashes(words):
     return one.view(np.int64), two.view(np.int64)
 
 
+def _together(texts):
+    """Lists of the words of consecutive texts, ``TOGETHER`` characters or one text at a time."""
+    held, size = [], 0
+    for text in texts:
+        if held and size + len(text) > TOGETHER:
+            yield held
+            held, size = [], 0
+        held.append(plain_words(text))
+        size += len(text)
+    if held:
+        yield held
+
+
+def _found(lists, known, marks):
+    """Known grams of several texts at once: all words' hashes, where each text begins and ends in
+    them, and for words and for pairs the places, the grams' numbers and the texts they are in."""
+    one, two = _hashes([w for words in lists for w in words])
+    sizes = [len(words) for words in lists]
+    row = np.repeat(np.arange(len(lists)), sizes)
+    hits = []
+    for n, grams in enumerate((one, two)):
+        places, which = _find(grams, known, marks)
+        own = row[places] == row[places + n]  # no pair of the words of two texts
+        hits.append((places[own], which[own], row[places[own]]))
+    return one, np.concatenate([[0], np.cumsum(sizes, dtype=np.int64)]), hits
+
+
 def needed(n, threshold):
     """Least score of a copy of an item of ``n`` words."""
     return max(math.ceil(threshold * MATCH * n), MATCH * min(n, LEAST))
@@ -165,9 +193,10 @@ def _document_counts(texts, known):
     def run(batches):
         counts, marks = np.zeros(len(known.value), np.int64), _bitmap(known.value)
         for batch in batches:
-            for text in batch.column(0).to_pylist():
-                for grams in _hashes(plain_words(text)):
-                    counts[np.unique(_find(grams, known.value, marks)[1])] += 1
+            for lists in _together(batch.column(0).to_pylist()):
+                for _, which, row in _found(lists, known.value, marks)[2]:
+                    gram, docs = np.unique(np.unique(which * len(lists) + row) // len(lists), return_counts=True)
+                    counts[gram] += docs
         held = np.flatnonzero(counts)
         yield pa.record_batch([known.value[held], counts[held]], names=["gram", "docs"])
 
@@ -224,13 +253,11 @@ def _shared(different, times, window):
     return int(np.minimum(held, times).sum())
 
 
-def _candidates(words, index):
-    """(item, low, high): ranges of a document's words that may hold a copy of an item."""
-    one, two = _hashes(words)
-    found = (_find(g, index["known"], index["marks"]) for g in (one, two))
-    places, which = (np.concatenate(x) for x in zip(*found))
-    if not len(places):
-        return
+def _candidates(one, places, which, index):
+    """(item, low, high): ranges of a document's words that may hold a copy of an item.
+
+    ``one`` has the hashes of its words; at ``places`` begin the seeds numbered ``which``.
+    """
     begin, n = index["begin"][which], index["begin"][which + 1] - index["begin"][which]
     of = np.repeat(np.arange(len(places)), n)
     at = np.arange(len(of)) - np.repeat(np.cumsum(n) - n, n) + begin[of]
@@ -247,7 +274,7 @@ def _candidates(words, index):
         i = int(holder[ends[g]])
         n, need = int(index["lengths"][i]), int(index["least"][i, 0])
         mine = slice(index["first"][i], index["first"][i + 1])
-        for low, high in _ranges(start[ends[g] : ends[g + 1]].tolist(), n, MATCH * n - need, len(words)):
+        for low, high in _ranges(start[ends[g] : ends[g + 1]].tolist(), n, MATCH * n - need, len(one)):
             # a score is MATCH a shared word at most
             if MATCH * _shared(index["words"][mine], index["times"][mine], one[low:high]) >= need:
                 yield int(index["items"][i]), low, high
@@ -263,10 +290,22 @@ def _cut(index):
 
         row, known = TaskContext.get().partitionId() << 33, index.value
         for batch in batches:
-            for doc, text in zip(*(c.to_pylist() for c in batch.columns)):
-                row += 1
-                words = plain_words(text)
-                out = [(row, doc, i, low, " ".join(words[low:high])) for i, low, high in _candidates(words, known)]
+            docs, texts = (c.to_pylist() for c in batch.columns)
+            docs = iter(docs)
+            for lists in _together(texts):
+                one, ends, hits = _found(lists, known["known"], known["marks"])
+                places, which, text = (np.concatenate(x) for x in zip(*hits))
+                order = np.argsort(text, kind="stable")
+                places, which = places[order], which[order]
+                cuts = np.searchsorted(text[order], np.arange(len(lists) + 1))
+                out = []
+                for k, (words, doc) in enumerate(zip(lists, docs)):
+                    row += 1
+                    mine, begin = slice(cuts[k], cuts[k + 1]), ends[k]
+                    if cuts[k] == cuts[k + 1]:
+                        continue
+                    ranges = _candidates(one[begin : ends[k + 1]], places[mine] - begin, which[mine], known)
+                    out += [(row, doc, i, low, " ".join(words[low:high])) for i, low, high in ranges]
                 if out:
                     yield pa.record_batch([pa.array(c, f.type) for c, f in zip(zip(*out), schema)], schema=schema)
 
