@@ -54,6 +54,18 @@ def test_gap_comes_in_bounded_steps_and_key_is_forgotten(spark, tmp_path):
     assert a[9_999][3] == "ALARM" and a[10_000][3] == "OK"
 
 
+def test_long_gap_and_many_periods_come_whole(spark, tmp_path, monkeypatch):
+    """Nothing waits for a later run: neither a gap nor more periods than a frame holds."""
+    monkeypatch.setattr(silence, "FRAME", 5_000)
+    many = [("b", m, 0.1 if m % 7 else 0.9) for m in range(0, 60_000, 5)]
+    batches = [[("a", 0, 0.1), *many[:3]], [*many[:2:-1], ("a", 60_000, 0.9)]]
+    *_, last = states(spark, tmp_path, batches, n=3, m=2, missing="breaching")
+    a, b = ([r[1:] for r in last if r[0] == k] for k in "ab")
+    assert a == [(0, 0.1, "OK"), *((m, None, "ALARM") for m in range(5, 60_000, 5)), (60_000, 0.9, "ALARM")]
+    low = [v <= 0.7 for _, _, v in many]
+    assert b == [(m, v, "ALARM" if sum(low[max(0, i - 2) : i + 1]) >= 2 else "OK") for i, (_, m, v) in enumerate(many)]
+
+
 def test_retired_key(spark, tmp_path):
     batches = [[("a", 0, 0.1)], [("z", 100, 0.9)], [("z", 200, 0.9)], [("a", 205, 0.9), ("z", 210, 0.9)]]
     *_, last = states(spark, tmp_path, batches, missing="missing", retire=3)
