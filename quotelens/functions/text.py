@@ -127,6 +127,28 @@ def rouge_n(target, prediction, n=3):
     )
 
 
+def _wanted_occurrences(grams, wanted):
+    """The members of ``wanted``, a set of numbered occurrences, that the grams of a text have.
+
+    Only grams that ``wanted`` has more than once have to be numbered, so the text's own grams are
+    neither sorted nor counted.
+    """
+    again = F.transform(F.filter(wanted, lambda g: g.contains("#")), lambda g: F.substring_index(g, "#", 1))
+
+    def matched(all_grams):
+        once = F.array_intersect(all_grams, wanted)
+        more = bind(
+            F.array_distinct(again),
+            lambda names: F.array_intersect(
+                distinct_occurrences(F.filter(all_grams, lambda g: F.array_contains(names, g))), wanted
+            ),
+        )
+        # The first occurrences are in both.
+        return F.when(F.exists(wanted, lambda g: g.contains("#")), F.array_union(once, more)).otherwise(once)
+
+    return bind(grams, matched)
+
+
 def quote_precisions(contract, quotes, n=3):
     """Precision of every quote of an array against one contract text.
 
@@ -136,7 +158,7 @@ def quote_precisions(contract, quotes, n=3):
 
     def against(sets):
         return bind(
-            F.array_intersect(F.flatten(sets), gram_set(contract, n)),
+            bind(F.flatten(sets), lambda wanted: _wanted_occurrences(ngrams(rouge_tokens(contract), n), wanted)),
             lambda found: F.transform(
                 sets,
                 lambda s: F.size(F.array_intersect(s, found)) / F.greatest(F.size(s), F.lit(1)),

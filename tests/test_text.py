@@ -104,6 +104,23 @@ def test_quote_precisions_of_many_quotes(spark):
     assert got == [brute(contract, q)[0] for q in quotes]
 
 
+def test_wanted_occurrences_are_those_of_the_whole_text(spark):
+    """Random texts with many repeats, against the numbered grams of the whole text."""
+    rng = random.Random(3)
+    draw = lambda most: " ".join(rng.choice("ab") for _ in range(rng.randint(0, most)))
+    rows = [(draw(60), [draw(12) for _ in range(rng.randint(0, 4))]) for _ in range(80)] + [(None, ["a b a"]), ("a b a b a", [None])]
+    df = spark.createDataFrame(rows, "c string, q array<string>")
+    wanted = F.array_distinct(F.flatten(F.transform("q", lambda q: tx.gram_set(q))))
+    grams = tx.ngrams(tx.rouge_tokens(F.col("c")))
+    for r in df.select(
+        "c", "q", F.array_sort(F.array_intersect(tx.gram_set(F.col("c")), wanted)).alias("whole"),
+        F.array_sort(tx.bind(wanted, lambda w: tx._wanted_occurrences(grams, w))).alias("found"),
+        tx.quote_precisions(F.col("c"), F.col("q")).alias("precisions"),
+    ).collect():
+        assert r.found == r.whole
+        assert r.precisions == [brute(r.c, q)[0] for q in r.q]
+
+
 def test_crowds_without_a_key_or_with_one_quote_id_are_split(spark):
     """Null keys are scored where they are, and equal quote ids do not hold quotes together."""
     texts = spark.createDataFrame([("k", "a b c d e f g h")], "k string, text string")
