@@ -24,38 +24,55 @@ any other. An empty table gives an empty result. Other columns of the input are
 
 import math
 import zlib
-from collections import Counter
-from itertools import chain as chained
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark import TaskContext
 from pyspark.sql import functions as F
 
 from ..session import settle
-from .text import lower_words
 
-FLUSH, BLOCK = 400_000, 200_000
-SEGMENT, TOKENS = 1_024, 400_000  # of a piece, and of the pieces held at once
+FLUSH, BLOCK, COUNTED = 400_000, 2 << 20, 32 << 20  # words remembered; bytes of texts, of words counted at once
+SEGMENT, TOKENS = 1_024, 800_000  # of a piece, and of the pieces held at once
+
+
+def _words(texts):
+    """Words of an array of texts, A-Z in lower case, one after the other, and how many each text has."""
+    split = pc.ascii_split_whitespace(pc.ascii_lower(texts))
+    words, full = split.flatten(), pc.greater(pc.binary_length(split.flatten()), 0)
+    rows = pc.list_parent_indices(split).filter(full).to_numpy()
+    return words.filter(full), np.bincount(rows, minlength=len(texts))
+
+
+def _parts(batch, column, most=BLOCK):
+    """Slices of a batch with about ``most`` bytes in a text column each."""
+    sizes = np.cumsum(pc.binary_length(batch.column(column)).to_numpy(zero_copy_only=False))
+    at = np.flatnonzero(np.diff(sizes // most, prepend=-1))
+    for a, b in zip(at.tolist(), [*at[1:].tolist(), len(sizes)]):
+        yield batch.slice(a, b - a)
 
 
 def count_words(texts):
     """(word, c) over all rows of ``texts``, column ``text``."""
 
     def run(batches):
-        counts = Counter()
+        waiting, held = [], 0
 
         def out():
-            words, numbers = list(counts), list(counts.values())
-            counts.clear()
-            return pa.record_batch([pa.array(words, pa.string()), pa.array(numbers, pa.int64())], ["word", "c"])
+            found = pa.chunked_array(waiting, pa.string()).value_counts()
+            waiting.clear()
+            return pa.RecordBatch.from_arrays([found.field("values"), found.field("counts")], ["word", "c"])
 
         for batch in batches:
-            for text in batch.column(0).to_pylist():
-                counts.update(lower_words(text))
-                if len(counts) > FLUSH:
+            for part in _parts(batch, 0):
+                words, _ = _words(part.column(0))
+                waiting.append(words)
+                held += words.nbytes
+                if held > COUNTED:
                     yield out()
+                    held = 0
         yield out()
 
     found = texts.mapInArrow(run, "word string, c bigint")
@@ -139,45 +156,47 @@ class Vocabulary:
             hashes, common = held.value
             row = TaskContext.get().partitionId() << 33
             seen, size = {}, 1 << 16
-            code, count, key = (np.zeros(size, t) for t in (code_type, np.int64, np.int64))
+            code, count, key, told, inner = (
+                np.zeros(size, t) for t in (code_type, np.int64, np.int64, np.float64, np.float64)
+            )
 
             def learn(words):
                 """Class, count (-1: not in memory) and hash of words not met yet."""
-                nonlocal size, code, count, key
+                nonlocal size, code, count, key, told, inner
                 new = slice(len(seen), len(seen) + len(words))
                 while new.stop > size:
                     size *= 2
-                    code, count, key = (np.resize(x, size) for x in (code, count, key))
+                    code, count, key, told, inner = (np.resize(x, size) for x in (code, count, key, told, inner))
                 h = np.array([xxhash.xxh64_intdigest(w, 42) for w in words], np.uint64).view(np.int64)
                 at = np.minimum(np.searchsorted(hashes, h), max(0, len(hashes) - 1))
                 found = hashes[at] == h if len(hashes) else np.zeros(len(h), bool)
                 key[new], count[new] = h, -1
                 count[new][found] = common[at[found]]
                 code[new] = [own_class.get(w) or _group(w, own, groups) for w in words]
+                told[new] = np.log10(np.maximum(count[new], 0) + 1)
+                # Within a class of its own a word is certain: its share cancels out.
+                inner[new] = np.where(code[new] > own, told[new] - share[code[new]], 0)
                 seen.update(zip(words, range(new.start, new.stop)))
 
-            def out(docs, lists):
+            def out(part):
                 nonlocal row
-                lengths = np.array([len(w) for w in lists])
-                words = list(chained.from_iterable(lists))
+                words, lengths = _words(part.column(1))
+                coded = words.dictionary_encode()
+                different = coded.dictionary.cast(pa.binary()).to_numpy(zero_copy_only=False).tolist()
                 if len(seen) > FLUSH:
                     seen.clear()
-                learn([w for w in set(words) if w not in seen])
-                at = np.fromiter(map(seen.__getitem__, words), np.int64, len(words))
-                n, c, classes = len(docs), count[at], code[at]
+                learn([w for w in different if w not in seen])
+                at = np.fromiter(map(seen.__getitem__, different), np.int64, len(different))
+                at = at[coded.indices.to_numpy()]
+                n, c, classes = part.num_rows, count[at], code[at]
                 doc = np.repeat(np.arange(n), lengths)
-                logs = np.log10(np.maximum(c, 0) + 1)
-                grouped = classes > own
 
                 def total_of(values):
                     return np.bincount(doc, values, n)
 
-                # Within a class of its own a word is certain: its share cancels out.
-                told, alone = total_of(logs), total_of(np.where(grouped, 0, logs))
-                shares = total_of(np.where(grouped, share[classes], 0))
                 stops = np.cumsum(lengths + 1)
                 filled = np.zeros(stops[-1], code_type)
-                filled[np.arange(len(words)) + doc] = classes
+                filled[np.arange(len(at)) + doc] = classes
                 rare = np.flatnonzero(c < 0)
                 rare = rare[np.lexsort((key[at[rare]], doc[rare]))]
                 h, d = key[at[rare]], doc[rare]
@@ -187,12 +206,12 @@ class Vocabulary:
                 )
                 columns = [
                     np.arange(row, row + n),
-                    pa.array([x for x, _ in docs], pa.int64()),
-                    pa.array([x for _, x in docs], pa.bool_()),
+                    part.column(0),
+                    part.column(2),
                     lengths + 1,
                     total_of(c > 0).astype(np.int64) + (ends > 0),
-                    told - total * lengths + math.log10(ends + 1) - total,
-                    told - alone - shares,
+                    total_of(told[at]) - total * lengths + math.log10(ends + 1) - total,
+                    total_of(inner[at]),
                     pa.Array.from_buffers(
                         pa.binary(), n,
                         [None, pa.py_buffer(np.append(0, code_type.itemsize * stops).astype(np.int32)), pa.py_buffer(filled)],
@@ -206,17 +225,9 @@ class Vocabulary:
                     [pa.array(x).cast(f.type) for x, f in zip(columns, schema)], schema=schema
                 )
 
-            docs, lists, tokens = [], [], 0
             for batch in batches:
-                for doc, text, out_of in zip(*(batch.column(i).to_pylist() for i in range(3))):
-                    docs.append((doc, out_of))
-                    lists.append(lower_words(text))
-                    tokens += len(lists[-1])
-                    if tokens > BLOCK:
-                        yield out(docs, lists)
-                        docs, lists, tokens = [], [], 0
-            if docs:
-                yield out(docs, lists)
+                for part in _parts(batch, 1):
+                    yield out(part)
 
         return settle(
             texts.select("doc_id", "text", "held_out").mapInArrow(
@@ -241,6 +252,11 @@ class Chain:
 
     def __init__(self, start, move, emit):
         self.start, self.move, self.emit = start, move, emit
+        self.by_state = np.ascontiguousarray(emit.T)
+
+    def emitted(self, classes):
+        """Emission probabilities, a row for each state."""
+        return self.by_state.take(classes, axis=1)
 
     def tables(self):
         return self.start, self.move, self.emit
@@ -304,7 +320,7 @@ def _across(chain, pieces):
         before = across[:, :, :n]
         if t:
             before = (forth @ before.reshape(states, -1)).reshape(states, states, n)
-        np.multiply(before, chain.emit[steps.classes[at]].T[:, None, :], out=across[:, :, :n])
+        np.multiply(before, chain.emitted(steps.classes[at])[:, None, :], out=across[:, :, :n])
         if t % 8 == 7 or t + 1 == len(steps.active):
             scale = across.sum((0, 1))
             across /= scale
@@ -313,37 +329,78 @@ def _across(chain, pieces):
     return across.transpose(2, 1, 0)[back], logs[back]
 
 
+def _sweep(chain, pieces, first, matrix):
+    """Of each piece the scaled vector after its last word, and its log10 scale.
+
+    ``first`` goes into the first word, ``matrix`` takes a vector from a word to the next.
+    """
+    steps = _Steps(pieces)
+    reached = np.repeat(first[:, None], len(pieces), axis=1)
+    last, scales = np.empty_like(reached), np.empty(len(steps.classes))
+    going_on = [*steps.active[1:].tolist(), 0]
+    for (n, at), more in zip(steps, going_on):
+        state = reached[:, :n] * chain.emitted(steps.classes[at])
+        scale = state.sum(0, out=scales[at])
+        state /= scale
+        if more < n:
+            last[:, more:n] = state[:, more:]
+        reached = matrix @ state
+    place = np.arange(len(scales)) - np.repeat(steps.first, steps.active)
+    total = np.bincount(place, np.log10(scales), len(pieces))
+    back = np.argsort(steps.order)
+    return last.T[back], total[back]
+
+
+def _forward(chain, pieces):
+    """For pieces that begin a text the state at the last word."""
+    return _sweep(chain, pieces, chain.start, chain.move.T.copy())
+
+
+def _backward(chain, pieces):
+    """For pieces that end a text its likelihood by the state at the first word."""
+    return _sweep(chain, [p[::-1] for p in pieces], np.ones_like(chain.start), chain.move)
+
+
+def _in_blocks(work, chain, pieces):
+    blocks = [work(chain, pieces[a:b]) for a, b in _blocks(pieces, TOKENS)] if pieces else []
+    return [np.concatenate(x) for x in zip(*blocks)] if blocks else [np.empty(0)] * 2
+
+
 def _cut(sequence, segment):
     return [sequence[i : i + segment] for i in range(0, len(sequence), segment)]
 
 
 def _borders(chain, sequences, segment):
-    """Of each sequence: its pieces, what enters each from the left and the right, and its log10 likelihood.
+    """Of each sequence of several pieces: these, what enters each from the left and the right, and its log10 likelihood.
 
     From the left comes the state at the last token before the piece, from the right the likelihood of
-    all behind it by the state at its last token, to scale.
+    all behind it by the state at its last token, to scale. Only pieces with others on both sides need
+    a matrix; through the first and the last goes one vector.
     """
     pieces = [_cut(s, segment) for s in sequences]
-    every = [p for mine in pieces for p in mine]
-    blocks = [_across(chain, every[a:b]) for a, b in _blocks(every, TOKENS)]
-    across, logs = (np.concatenate(x) for x in zip(*blocks))
+    heads, head_logs = _in_blocks(_forward, chain, [mine[0] for mine in pieces])
+    tails, tail_logs = _in_blocks(_backward, chain, [mine[-1] for mine in pieces])
+    across, logs = _in_blocks(_across, chain, [p for mine in pieces for p in mine[1:-1]])
     at = 0
-    for mine in pieces:
-        matrices, total = across[at : at + len(mine)], logs[at : at + len(mine)].sum()
-        at += len(mine)
-        left, right = np.empty((2, len(mine), len(chain.start)))
-        before, state = chain.start, np.zeros_like(chain.start)
-        for i, matrix in enumerate(matrices):
+    for mine, state, total, tail, tail_log in zip(pieces, heads, head_logs, tails, tail_logs):
+        inside = len(mine) - 2
+        matrices = across[at : at + inside]
+        total = total + tail_log + logs[at : at + inside].sum()
+        at += inside
+        left, right = np.zeros((2, len(mine), len(chain.start)))
+        for i, matrix in enumerate(matrices, 1):
             left[i] = state
-            state = before @ matrix
+            state = state @ chain.move @ matrix
             total += math.log10(state.sum())
             state = state / state.sum()
-            before = state @ chain.move
-        behind = np.ones_like(chain.start)
-        for i in range(len(mine) - 1, -1, -1):
+        left[-1], right[-1] = state, 1
+        total += math.log10(state @ chain.move @ tail)
+        behind = chain.move @ tail
+        for i in range(inside, -1, -1):
+            behind = behind / behind.sum()
             right[i] = behind
-            behind = chain.move @ (matrices[i] @ behind)
-            behind /= behind.sum()
+            if i:
+                behind = chain.move @ (matrices[i - 1] @ behind)
         yield mine, left, right, total
 
 
@@ -356,15 +413,7 @@ def log10_likelihood(chain, sequences, segment=SEGMENT):
         result[long] = [total for *_, total in _borders(chain, [sequences[i] for i in long], segment)]
     short = np.flatnonzero(lengths <= segment)
     if len(short):
-        steps, forth = _Steps([sequences[i] for i in short]), chain.move.T.copy()
-        total, reached = np.zeros(len(short)), np.repeat(chain.start[:, None], len(short), axis=1)
-        for n, at in steps:
-            state = reached[:, :n] * chain.emit[steps.classes[at]].T
-            scale = state.sum(0)
-            state /= scale
-            total[:n] += np.log10(scale)
-            reached = forth @ state
-        result[short[steps.order]] = total
+        result[short] = _forward(chain, [sequences[i] for i in short])[1]
     return result
 
 
@@ -375,15 +424,14 @@ def _piece_counts(chain, pieces, opening, left, right):
     """
     steps, forth = _Steps(pieces), chain.move.T.copy()
     opening, left, beta = opening[steps.order], left[steps.order].T.copy(), right[steps.order].T.copy()
-    emitted = chain.emit[steps.classes].T.copy()
-    alpha = np.empty_like(emitted)
+    emitted = chain.emitted(steps.classes)
+    alpha, inverse = np.empty_like(emitted), np.empty(len(steps.classes))
     before = np.where(opening, chain.start[:, None], forth @ left)
     for n, at in steps:
-        here = before[:, :n] * emitted[:, at]
-        scale = here.sum(0)
-        here /= scale
-        emitted[:, at] /= scale
-        alpha[:, at] = here
+        here, scale = alpha[:, at], inverse[at]
+        np.multiply(before[:, :n], emitted[:, at], out=here)
+        np.divide(1, here.sum(0), out=scale)
+        here *= scale
         before = forth @ here
     beta /= (alpha[:, steps.ends()] * beta).sum(0)
     move = np.zeros_like(chain.move)
@@ -391,6 +439,7 @@ def _piece_counts(chain, pieces, opening, left, right):
         n = steps.active[t]
         at = slice(steps.first[t], steps.first[t] + n)
         ahead = emitted[:, at] * beta[:, :n]
+        ahead *= inverse[at]
         if t:
             move += alpha[:, steps.first[t - 1] : steps.first[t - 1] + n] @ ahead.T
         else:

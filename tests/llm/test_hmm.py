@@ -149,3 +149,37 @@ def test_classes_follow_the_vocabulary(spark, spread, code):
     assert (words.own, words.code) == (math.ceil(spread * math.sqrt(90)) + 1, code)
     scored = hmm.score_texts(df, F.col("out"), vocabulary={"spread": spread}, states=2, rounds=2).collect()
     assert len(scored) == 90 and all(r["score"] < 0 for r in scored)
+
+
+def test_words_and_counts_are_those_of_whole_texts(spark):
+    """Arrow's words against the plain ones, and counts over batches that are cut and flushed."""
+    import random
+
+    import pyarrow as pa
+
+    rng = random.Random(5)
+    chars = [chr(i) for i in range(128)] + list("éÜß\u0085 　漢𝒳")
+    texts = ["".join(rng.choice(chars) for _ in range(rng.randint(0, 30))) for _ in range(500)] + ["", " ", "a" * 99]
+    words, lengths = hmm._words(pa.array(texts))
+    plain = [lower_words(t) for t in texts]
+    assert [w.encode() for w in words.to_pylist()] == [w for found in plain for w in found]
+    assert lengths.tolist() == [len(found) for found in plain]
+    batch = pa.record_batch([pa.array(texts)], ["text"])
+    parts = list(hmm._parts(batch, 0, 100))
+    assert len(parts) > 50 and pa.Table.from_batches(parts)["text"].to_pylist() == texts
+    assert list(hmm._parts(batch.slice(0, 0), 0)) == []
+    counted = hmm.count_words(spark.createDataFrame([(t,) for t in texts], "text string").repartition(3))
+    assert {r["word"].encode(): r["c"] for r in counted.collect()} == Counter(w for found in plain for w in found)
+
+
+def test_only_pieces_between_others_need_a_matrix(monkeypatch):
+    rng = np.random.default_rng(1)
+    model, found = chain(), []
+    sequences = [rng.integers(0, 4, n) for n in (5, 10, 11, 20, 31)]
+    whole = hmm.expected_counts(model, sequences, 100), hmm.log10_likelihood(model, sequences, 100)
+    across = hmm._across
+    monkeypatch.setattr(hmm, "_across", lambda c, pieces: found.append(len(pieces)) or across(c, pieces))
+    monkeypatch.setattr(hmm, "TOKENS", 15)
+    assert np.allclose(hmm.expected_counts(model, sequences, 10), whole[0])
+    assert sum(found) == 2
+    assert np.allclose(hmm.log10_likelihood(model, sequences, 10), whole[1])
