@@ -25,11 +25,12 @@ def chatml(system, user, assistant=None):
 
 def split_chatml(prompt):
     """System and user sections of a rendered prompt; nulls when it is not one."""
-    found = prompt.rlike(CHAT_PATTERN)
-    return F.struct(
-        F.when(found, F.regexp_extract(prompt, CHAT_PATTERN, 1)).alias("system"),
-        F.when(found, F.regexp_extract(prompt, CHAT_PATTERN, 2)).alias("user"),
-    )
+
+    def section(group):
+        # The match goes on to the end, so there is one at most and the prompt is searched once.
+        return F.get(F.regexp_extract_all(prompt, F.lit(f"{CHAT_PATTERN}.*"), F.lit(group)), 0)
+
+    return F.struct(section(1).alias("system"), section(2).alias("user"))
 
 
 def messages(system, user, assistant=None):

@@ -26,10 +26,13 @@ def no_strings():
     return F.array().cast("array<string>")
 
 
+def _lowered(text):
+    return F.lower(F.coalesce(text, F.lit("")))
+
+
 def rouge_tokens(text):
     """Lowercased runs of letters a-z and digits; null text has no tokens."""
-    lowered = F.lower(F.coalesce(text, F.lit("")))
-    return F.regexp_extract_all(lowered, F.lit(TOKEN_PATTERN), F.lit(0))
+    return F.regexp_extract_all(_lowered(text), F.lit(TOKEN_PATTERN), F.lit(0))
 
 
 def chat_pieces(text):
@@ -149,6 +152,40 @@ def _wanted_occurrences(grams, wanted):
     return bind(grams, matched)
 
 
+def _quoted_grams(contract, quotes, n):
+    """The n-grams of the contract that a quote has too, in order and with all repeats.
+
+    Most grams of a contract are in no quote. Arrow hands over the texts, so those grams are never
+    made into strings.
+    """
+    import pyarrow as pa
+
+    pattern = TOKEN_PATTERN
+
+    def run(texts, others):
+        import re
+
+        import pyarrow as pa
+
+        words = re.compile(pattern).findall
+
+        def grams(text):
+            tokens = words(text)
+            return zip(*(tokens[i:] for i in range(n)))
+
+        def quoted(text, rest):
+            wanted = {g for q in rest or () for g in grams(q)}
+            return [" ".join(g) for g in grams(text) if g in wanted] if wanted else []
+
+        found = []
+        for at in range(0, len(texts), 256):
+            found += map(quoted, texts.slice(at, 256).to_pylist(), others.slice(at, 256).to_pylist())
+        return pa.array(found, pa.list_(pa.string()))
+
+    run.__annotations__ = {"texts": pa.Array, "others": pa.Array, "return": pa.Array}
+    return F.arrow_udf(run, "array<string>")(_lowered(contract), F.transform(quotes, _lowered))
+
+
 def quote_precisions(contract, quotes, n=3):
     """Precision of every quote of an array against one contract text.
 
@@ -156,13 +193,14 @@ def quote_precisions(contract, quotes, n=3):
     not grow with the number of quotes.
     """
 
-    def against(sets):
+    def against(row):
         return bind(
-            bind(F.flatten(sets), lambda wanted: _wanted_occurrences(ngrams(rouge_tokens(contract), n), wanted)),
+            bind(F.flatten(row["sets"]), lambda wanted: _wanted_occurrences(row["grams"], wanted)),
             lambda found: F.transform(
-                sets,
+                row["sets"],
                 lambda s: F.size(F.array_intersect(s, found)) / F.greatest(F.size(s), F.lit(1)),
             ),
         )
 
-    return bind(F.transform(quotes, lambda q: gram_set(q, n)), against)
+    sets = F.transform(quotes, lambda q: gram_set(q, n))
+    return bind(F.struct(sets.alias("sets"), _quoted_grams(contract, quotes, n).alias("grams")), against)

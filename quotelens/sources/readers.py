@@ -131,8 +131,11 @@ def read_request_log(spark, path):
 
 
 def _request_fields(blocks, file):
+    # With a line end before the first line too, a name is found as a fixed text.
+    lines = F.concat(F.lit("\n"), "value")
+
     def field(name, pattern):
-        return F.regexp_extract("value", rf"(?:^|\n){name}: ?({pattern})", 1)
+        return F.regexp_extract(lines, rf"\n{name}: ?({pattern})", 1)
 
     return blocks.filter(F.col("value").contains("timestamp: ")).select(
         F.regexp_extract(file, r"(\d+)$", 1).alias("client"),

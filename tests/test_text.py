@@ -121,6 +121,30 @@ def test_wanted_occurrences_are_those_of_the_whole_text(spark):
         assert r.precisions == [brute(r.c, q)[0] for q in r.q]
 
 
+def test_only_quoted_grams_of_a_contract_are_built(spark):
+    """In order and with repeats; missing texts, other scripts and signs whose small letter is one of a to z."""
+    rows = [
+        ("A b, c d a B c x a b c d", ["c d a", "b cİ b"]),
+        ("K İ É k I İ k", ["k i k", "k i k i"]),
+        ("a b c", []),
+        ("a b c", ["a b", None, ""]),
+        ("", ["a b c"]),
+        (None, ["a b c"]),
+        ("a b c", None),
+    ]
+    df = spark.createDataFrame(rows, "c string, q array<string>")
+    c, q = F.col("c"), F.col("q")
+    wanted = F.flatten(F.transform(q, lambda x: tx.ngrams(tx.rouge_tokens(x))))
+    every = tx.bind(wanted, lambda w: F.filter(tx.ngrams(tx.rouge_tokens(c)), lambda g: F.array_contains(w, g)))
+    got = df.select(
+        tx._quoted_grams(c, q, 3).alias("grams"), every.alias("every"), tx.quote_precisions(c, q).alias("precisions")
+    ).collect()
+    assert got[0].grams == ["c d a"] and got[0].precisions == [1.0, 0.0]
+    assert [r.grams for r in got] == [r.every or [] for r in got]
+    assert got[2].precisions == [] and got[3].precisions == [0.0, 0.0, 0.0]
+    assert got[5].precisions == [0.0] and got[6].precisions is None
+
+
 def test_crowds_without_a_key_or_with_one_quote_id_are_split(spark):
     """Null keys are scored where they are, and equal quote ids do not hold quotes together."""
     texts = spark.createDataFrame([("k", "a b c d e f g h")], "k string, text string")
