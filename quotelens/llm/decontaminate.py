@@ -15,8 +15,10 @@
 
 Seeds, their items and the items' words are arrays of 64-bit hashes that are broadcast; items are
 taken ``block_chars`` characters at a time, which bounds them (about 20 bytes a word). Documents are
-never shuffled, so no frequent seed meets in one task; passages meet their item's text in a join that
-broadcasts the items behind a check of their size, and beyond it parts frequent items.
+never shuffled, so no frequent seed meets in one task. Behind a check of their size the items' texts are
+broadcast too, and passages are aligned where they are cut, by the same Python worker: two in a row would
+double the workers of an executor, and they stay. Beyond it passages are stored and meet their item's
+text in a join that parts frequent items.
 Words are lower-cased, ASCII punctuation is white space. A score is at least that of ``LEAST`` words,
 or of the whole item if it is shorter, so that a single shared word is no copy of a short item.
 
@@ -39,6 +41,7 @@ from .graph import join_unique
 MATCH, MISMATCH, GAP = 2, -1, -1
 MANY, LEAST = 0.78, 6
 TOGETHER = 500_000  # characters of texts that are hashed and looked up together
+SLICE = 256
 _PLAIN = bytes.maketrans(string.punctuation.encode(), b" " * len(string.punctuation))
 
 
@@ -56,6 +59,12 @@ def _hashes(words):
     return one.view(np.int64), two.view(np.int64)
 
 
+def _texts(column):
+    """Texts of an Arrow column; only ``SLICE`` of them are Python's at a time."""
+    for at in range(0, len(column), SLICE):
+        yield from column.slice(at, SLICE).to_pylist()
+
+
 def _together(texts):
     """Lists of the words of consecutive texts, ``TOGETHER`` characters or one text at a time."""
     held, size = [], 0
@@ -193,7 +202,7 @@ def _document_counts(texts, known):
     def run(batches):
         counts, marks = np.zeros(len(known.value), np.int64), _bitmap(known.value)
         for batch in batches:
-            for lists in _together(batch.column(0).to_pylist()):
+            for lists in _together(_texts(batch.column(0))):
                 for _, which, row in _found(lists, known.value, marks)[2]:
                     gram, docs = np.unique(np.unique(which * len(lists) + row) // len(lists), return_counts=True)
                     counts[gram] += docs
@@ -290,9 +299,8 @@ def _cut(index):
 
         row, known = TaskContext.get().partitionId() << 33, index.value
         for batch in batches:
-            docs, texts = (c.to_pylist() for c in batch.columns)
-            docs = iter(docs)
-            for lists in _together(texts):
+            docs = iter(batch.column(0).to_pylist())
+            for lists in _together(_texts(batch.column(1))):
                 one, ends, hits = _found(lists, known["known"], known["marks"])
                 places, which, text = (np.concatenate(x) for x in zip(*hits))
                 order = np.argsort(text, kind="stable")
@@ -331,6 +339,22 @@ def _aligned(threshold):
     return run
 
 
+def _cut_aligned(index, texts, threshold):
+    """:func:`_aligned` after :func:`_cut`; ``texts`` has the items' numbers, sorted, and their texts."""
+    cut, aligned = _cut(index), _aligned(threshold)
+
+    def run(batches):
+        numbers, words = texts.value
+        passages = cut(batches)
+        yield from aligned(
+            pa.record_batch([*p.columns, words.take(pa.array(np.searchsorted(numbers, p.column("item").to_numpy())))],
+                            names=[*p.schema.names, "text"])
+            for p in passages
+        )
+
+    return run
+
+
 def _item_blocks(items, block_chars):
     """Different item texts with their number, block by block; blocks follow their total length."""
     total = items.agg(F.coalesce(F.sum(F.length("text")), F.lit(0))).first()[0]
@@ -353,19 +377,21 @@ def _copies(rows, items, threshold, block_chars):
         counts = settle(_document_counts(rows.select("text"), context.broadcast(np.sort(distinct))))
         seeds = settle(_seeds(grams, counts, threshold))
         index = context.broadcast(_index(seeds, grams, threshold))
-        passages = rows.mapInArrow(_cut(index), "row bigint, doc_id bigint, item bigint, first bigint, words string")
+        found = "row bigint, doc_id bigint, item bigint, score double, start_word bigint, end_word bigint"
         if fits(block) is not None:
-            joined = passages.join(F.broadcast(block.select("item", "text")), "item")
+            texts = block.select("item", "text").orderBy("item").toArrow().combine_chunks()  # bounded by the block
+            texts = texts.column("item").to_numpy(), texts.column("text").combine_chunks()
+            here = rows.mapInArrow(_cut_aligned(index, context.broadcast(texts), threshold), found)
         else:
-            passages = settle(passages)
+            passages = "row bigint, doc_id bigint, item bigint, first bigint, words string"
+            passages = settle(rows.mapInArrow(_cut(index), passages))
             held = passages.groupBy("item").agg(F.count(F.lit(1)).alias("held"))
             counted = block.select("item", "text").join(held, "item")
             total = passages.count()
             joined = join_unique(passages, counted, "item", "held", total)
-        here = joined.select("row", "doc_id", "item", "first", "words", "text").mapInArrow(
-            _aligned(threshold),
-            "row bigint, doc_id bigint, item bigint, score double, start_word bigint, end_word bigint",
-        )
+            here = joined.select("row", "doc_id", "item", "first", "words", "text").mapInArrow(
+                _aligned(threshold), found
+            )
         result = here if result is None else result.unionByName(here)
     return result
 
