@@ -84,9 +84,10 @@ def _buckets(prints, radius):
             for t, mask in enumerate(masks(radius))
         ]
     )
+    # Spark sizes what it inlines like the fingerprints, without the tables: it would broadcast it.
     rows = prints.select("f", F.inline(tables))
     shared = rows.groupBy("t", "k").agg(F.count(F.lit(1)).alias("n"), F.min("f").alias("pivot"))
-    return rows.join(shared.filter("n > 1").drop("n"), ["t", "k"])
+    return rows.join(shared.filter("n > 1").drop("n").hint("merge"), ["t", "k"])
 
 
 def _crossing(members, known, radius, piece):

@@ -7,6 +7,7 @@ import xxhash
 
 from quotelens.llm import graph, simhash
 from quotelens.llm.text import lower_words
+from quotelens.session import settle
 
 
 def slow_fingerprint(text, shingle=4, seed=42):
@@ -117,3 +118,10 @@ def test_documents(spark):
     assert [r["component_id"] for r in simhash.near_duplicates(alone).collect()] == [None, None]
     assert simhash.near_duplicates(df.limit(0)).collect() == []
     assert simhash.drop_near_duplicates(df.limit(0)).collect() == []
+
+
+def test_inlined_tables_are_not_broadcast(spark):
+    """Spark sizes them like the fingerprints alone, which are few bytes."""
+    stored = settle(prints(spark, range(100)).select("f"))
+    plan = simhash._buckets(stored, 4)._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
