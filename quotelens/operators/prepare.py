@@ -11,6 +11,7 @@ from .ordered import row_numbers
 LONG_TOKEN = 256
 CHUNK_ROWS = 1024  # rows that ask for their tokens together
 CALL_BYTES = 1 << 20  # text handed to an outside tokenizer at once
+BATCH_BYTES = 8 << 20  # token lists handed to a worker at once
 
 
 def fit_vocab(df, tokens="tokens", first_id=1):
@@ -26,6 +27,10 @@ def fit_vocab(df, tokens="tokens", first_id=1):
     )
 
 
+def _chunk():
+    return F.expr(f"monotonically_increasing_id() div {CHUNK_ROWS}")
+
+
 def _joined_ids(rare, vocab, key, unknown_id):
     """Rows of key, positions and their tokens to one ordered list of (position, id) per key.
 
@@ -37,8 +42,8 @@ def _joined_ids(rare, vocab, key, unknown_id):
         if unknown_id is None
         else F.lit(unknown_id)
     )
-    chunk = F.expr(f"monotonically_increasing_id() div {CHUNK_ROWS}").alias("_chunk")
-    rows = settle(rare.select(chunk, F.col(key).alias("_key"), "_pos", "_tokens"))
+    rows = rare if "_chunk" in rare.columns else settle(rare.withColumn("_chunk", _chunk()))
+    rows = rows.select("_chunk", F.col(key).alias("_key"), "_pos", "_tokens")
     wanted = rows.select(F.col("_chunk").alias("_asker"), F.explode("_tokens").alias("token")).distinct()
     known = wanted.join(vocab.select("token", "token_id"), "token", "left")
     known = known.select("_asker", "token", F.coalesce("token_id", missing).cast("int").alias("_id"))
@@ -81,7 +86,8 @@ def encode(df, vocab, key, tokens="tokens", name="ids", unknown_id=None, limit=B
     with its most frequent tokens, so the positions that are left for the join are few and no
     token is hot; one that fits whole needs no shuffle. Tokens of more than ``LONG_TOKEN`` bytes
     are always joined, so the memory is bounded. A token outside the vocabulary gets
-    ``unknown_id`` or fails; a null list has no ids.
+    ``unknown_id`` or fails; a null list has no ids. Where tokens are joined, what memory gives is
+    stored first, with ``df``.
     """
     short = F.octet_length("token") <= LONG_TOKEN
     whole = fits(vocab, limit) is not None and vocab.filter(~short).isEmpty()
@@ -97,7 +103,9 @@ def encode(df, vocab, key, tokens="tokens", name="ids", unknown_id=None, limit=B
         )
         ids = F.when(F.size(rare) > 0, fallback.cast("array<int>")).otherwise(F.col(name))
         return found.withColumn(name, ids).drop("_found")
-    left = found.filter(F.size(rare) > 0).select(key, "_found._pos", "_found._tokens")
+    stored = found.select("*", "_found._pos", "_found._tokens", _chunk().alias("_chunk"))
+    found = _settle_in_batches(stored.drop("_found"))
+    left = found.filter(F.size("_pos") > 0).select("_chunk", key, "_pos", "_tokens")
     lists = _joined_ids(left, vocab, key, unknown_id)
     memory = F.filter(
         F.transform(name, lambda t, i: F.struct(i.alias("_pos"), t.alias("_id"))),
@@ -107,10 +115,24 @@ def encode(df, vocab, key, tokens="tokens", name="ids", unknown_id=None, limit=B
     return (
         found.join(lists, key, "left")
         .withColumn(name, F.when(F.col("_at").isNull(), F.col(name)).otherwise(merged))
-        .drop("_at", "_found")
+        .drop("_at", "_pos", "_tokens", "_chunk")
     )
 
 
+def _settle_in_batches(df):
+    """``df`` settled while Arrow batches end at ``BATCH_BYTES``; by rows alone, 10,000 lists make one.
+
+    Executors hold a batch several times, outside their heap and in the worker.
+    """
+    conf, name = df.sparkSession.conf, "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = conf.get(name, None)
+    conf.set(name, str(BATCH_BYTES))
+    try:
+        return settle(df, compression="zstd")
+    finally:
+        conf.unset(name) if before is None else conf.set(name, before)
+
+
 def _memory_ids(vocab):
     """Arrow function from token lists to id lists, and what is not held: positions and tokens.
 

@@ -84,6 +84,32 @@ def test_memory_lookup_stays_in_arrow(tokens, spark):
     assert all(r._at == [(p, 1) for p in range(50)] for r in lists.collect()) and lists.count() == 100
 
 
+def test_workers_get_little_at_once(spark, monkeypatch):
+    """3,000 lists of 800 tokens are 30 MB, and fewer rows than an Arrow batch may have."""
+    plain = prep._arrow_udf
+
+    def watched(fn, kind):
+        def run(batches):
+            def small():
+                for lists in batches:
+                    assert lists.nbytes < 16 << 20
+                    yield lists
+
+            yield from fn(small())
+
+        return plain(run, kind)
+
+    monkeypatch.setattr(prep, "_arrow_udf", watched)
+    conf, name = spark.conf, "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = conf.get(name)
+    words = F.transform(F.sequence(F.lit(1), F.lit(800)), lambda n: F.concat(F.lit("token"), n.cast("string")))
+    df = spark.range(3000).select("id", words.alias("tokens")).coalesce(1)
+    vocab = spark.range(1, 801).select(F.expr("concat('token', id)").alias("token"), F.col("id").cast("int").alias("token_id"))
+    coded = prep.encode(df, vocab, "id", limit=2)
+    assert coded.filter(F.col("ids") == F.sequence(F.lit(1), F.lit(800))).count() == 3000
+    assert conf.get(name) == before and coded.columns == ["id", "tokens", "ids"]
+
+
 def test_prompt_limit_is_inclusive(spark):
     df = spark.range(8999, 9002).select(F.array_repeat(F.lit(1), F.col("id").cast("int")).alias("prompt_ids"))
     assert sorted(len(r.prompt_ids) for r in prep.filter_prompt_len(df).collect()) == [8999, 9000]
