@@ -125,3 +125,11 @@ def test_inlined_tables_are_not_broadcast(spark):
     stored = settle(prints(spark, range(100)).select("f"))
     plan = simhash._buckets(stored, 4)._jdf.queryExecution().executedPlan().toString()
     assert "SortMergeJoin" in plan and "Broadcast" not in plan
+
+
+def test_cold_keys_are_shuffled(spark):
+    rows = settle(spark.range(100).selectExpr("id", "id % 7 AS f"))
+    unique = settle(spark.range(7).selectExpr("id AS f", "id AS v", "10L AS n"))
+    joined = graph.join_unique(rows, unique, "f", "n", 70_000)
+    assert "SortMergeJoin" in joined._jdf.queryExecution().executedPlan().toString()
+    assert sorted(r["v"] for r in joined.collect()) == sorted(i % 7 for i in range(100))
